@@ -1,0 +1,21 @@
+"""Broadcast only what has been measured."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+BROADCAST_BYTES = 64 * 1024 * 1024
+
+
+def broadcast_if_small(side: DataFrame, max_bytes: int = BROADCAST_BYTES) -> DataFrame:
+    """Hint a broadcast when the whole side, measured as text, fits ``max_bytes``.
+
+    Beyond the bound the side comes back unhinted, and the join is a shuffled one whose hot
+    keys AQE splits.  A streaming side is never measured.
+    """
+    if side.isStreaming:
+        return side
+    width = F.sum(F.length(F.to_json(F.struct(*side.columns))))
+    size = side.select(F.coalesce(width, F.lit(0)).alias("size")).first()["size"]
+    return F.broadcast(side) if size <= max_bytes else side
