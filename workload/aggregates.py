@@ -559,17 +559,19 @@ def _rolling_sql(source: str, key: str) -> str:
                 f'over (partition by sensor_id order by "timestamp" '
                 f"rows between {n - 1} preceding and current row)"
             )
-            cells.append(f"round(avg({p}) {over}, 6) as {p}_mean_{n}")
+            cells.append(f"avg({p}) {over} as {p}_mean_{n}")
             cells.append(f"coalesce(round(stddev_samp({p}) {over}, 6), 0) as {p}_std_{n}")
     return f"select {key}, {', '.join(cells)} from {source}"
 
 
 _MOVED = [f"{p}_{s}_{n}" for p in POLLUTANTS for n in ROLLING_WIDTHS for s in ("mean", "std")]
+_DEVIATIONS = [c for c in _MOVED if "_std_" in c]
 
 
 @query(with_tables("m") + _rolling_sql("m", "event_id"))
 def rolling_features(w: World) -> DataFrame:
-    return rounded(rolling.rolling_features(w.measurements), 6, *_MOVED).select("event_id", *_MOVED)
+    made = rolling.rolling_features(w.measurements)
+    return rounded(made, 6, *_DEVIATIONS).select("event_id", *_MOVED)
 
 
 _DELTAS = ", ".join(
@@ -613,7 +615,7 @@ _COMPLETE = " and ".join(f"{p} is not null" for p in POLLUTANTS)
 )
 def build_feature_matrix(w: World) -> DataFrame:
     matrix = features.build_feature_matrix(w.measurements, w.sensors, AS_OF, 30)
-    return rounded(matrix, 6, *_MOVED).drop("city", "temperature", "humidity")
+    return rounded(matrix, 6, *_DEVIATIONS).drop("city", "temperature", "humidity")
 
 
 @query(

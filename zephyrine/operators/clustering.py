@@ -184,8 +184,10 @@ def _adjacent_cells(
             F.col("n"),
             F.col("o_n").alias("other_n"),
             (_total(reach) <= limit).alias("whole"),
-            *(F.col(f"o_lo_{x}").alias(f"lo_{x}") for x in names),
-            *(F.col(f"o_hi_{x}").alias(f"hi_{x}") for x in names),
+            # Under their own names: renaming filtered columns makes the optimizer derive the
+            # filter anew for every combination of old and new names.
+            *(f"o_lo_{x}" for x in names),
+            *(f"o_hi_{x}" for x in names),
         )
     )
 
@@ -197,7 +199,9 @@ def _near_points(
     outside = _total(
         [
             _square(
-                F.greatest(F.lit(0.0), F.col(f"lo_{x}") - F.col(x), F.col(x) - F.col(f"hi_{x}"))
+                F.greatest(
+                    F.lit(0.0), F.col(f"o_lo_{x}") - F.col(x), F.col(x) - F.col(f"o_hi_{x}")
+                )
             )
             for x in names
         ]
