@@ -14,7 +14,7 @@ def twin():
 @pytest.mark.parametrize("name", sorted(ORACLES))
 def test_query_equals_its_sql_twin(spark, twin, name):
     verdict = compare(QUERIES[name](spark, SF), twin, ORACLES[name])
-    assert verdict.startswith("exact"), verdict
+    assert verdict.startswith(("exact", "close")), verdict
 
 
 def test_entry(spark):

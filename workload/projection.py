@@ -199,12 +199,13 @@ class World:
             'measurements', if(k = 5, null, named_struct('pm2_5', pm2_5, 'pm10', pm10, 'no2', no2,
                 'o3', o3, 'co', co, 'so2', so2, 'temperature', temperature, 'humidity', humidity)),
             'battery_level', battery_level)"""
-        text = f"to_json({body})"
-        value = f"""case when k = 1 then left({text}, 40)
-                         when k = 2 then replace({text}, '"battery_level":', '"battery_level":"x","b":')
-                         else {text} end as value"""
-        return self.measurements.withColumn("k", F.col("battery_level") - 5).selectExpr(
-            "event_id", value, "created_at"
+        value = """case when k = 1 then left(text, 40)
+                        when k = 2 then replace(text, '"battery_level":', '"battery_level":"x","b":')
+                        else text end as value"""
+        return (
+            self.measurements.withColumn("k", F.col("battery_level") - 5)
+            .selectExpr("event_id", "created_at", "k", f"explode(array(to_json({body}))) as text")
+            .selectExpr("event_id", value, "created_at")
         )
 
     @cached_property

@@ -86,7 +86,7 @@ def build_feature_matrix(
     rows = scan_measurements_window(measurements, sensors, as_of, days)
     windowed = over_slices(
         rows,
-        {**rolling_columns(POLLUTANTS, widths), **delta_columns(POLLUTANTS)},
+        [delta_columns(POLLUTANTS), *rolling_columns(POLLUTANTS, widths)],
         before=max(widths) - 1,
         slice_width=slice_width,
     )

@@ -69,9 +69,14 @@ def profile_table(
     null_column: str | None = None,
     digits: int | None = 4,
 ) -> DataFrame:
-    """Row count, null rate of one column, and minutes since the newest row."""
+    """Row count, null rate of one column, and minutes since the newest row.
+
+    The age is null for an empty table and for one without the freshness column.
+    """
     rate = rounded(null_rate(null_column), digits) if null_column else F.lit(0.0)
-    age = moments.minutes_between(as_of, F.max(freshness_column)).cast("int")
+    age = F.lit(None).cast("int")
+    if freshness_column in df.columns:
+        age = moments.minutes_between(as_of, F.max(freshness_column)).cast("int")
     return df.agg(
         F.count("*").alias("row_count"),
         rate.alias("null_rate"),

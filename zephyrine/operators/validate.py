@@ -22,11 +22,9 @@ def parse_payload(messages: DataFrame, value: str = "value") -> DataFrame:
     text = messages.filter(F.col(value).isNotNull()).withColumn(
         value, F.col(value).cast("string")
     )
-    return (
-        text.withColumn("_parsed", F.from_json(value, schema, options))
-        .select("*", "_parsed.*")
-        .drop("_parsed")
-    )
+    # ``inline`` is evaluated once per row; a plain struct column would be inlined by the
+    # optimizer, and the text parsed anew for every field and filter that uses it.
+    return text.select("*", F.inline(F.array(F.from_json(value, schema, options))))
 
 
 def missing_reason() -> Column:
