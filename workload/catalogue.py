@@ -1,6 +1,13 @@
 """All registered queries."""
 
-from workload import aggregates, catalog_tables, learning, streams, tables_and_filters  # noqa: F401
+from workload import (  # noqa: F401
+    aggregates,
+    catalog_tables,
+    learning,
+    sinks,
+    streams,
+    tables_and_filters,
+)
 from workload.registry import ORACLES, QUERIES
 
 __all__ = ["ORACLES", "QUERIES"]

@@ -10,7 +10,9 @@ from workload.projection import AS_OF, World, with_tables
 from workload.registry import query, rounded
 from zephyrine.operators import clustering, features, isolation, metrics, models, scoring, summaries
 from zephyrine.plans.training import split_key
-from zephyrine.session import cut_lineage
+from zephyrine.session import cut_lineage, scratch_path
+from zephyrine.streaming.scoring import score_stream
+from zephyrine.streaming.windows import run_to_table
 
 COLUMNS = summaries.PROFILE_FEATURES
 
@@ -44,13 +46,13 @@ def train_logistic(w: World) -> DataFrame:
 @query()
 def train_random_forest(w: World) -> DataFrame:
     train, test = _labelled(w)
-    return models.evaluate_classifier(models.train_random_forest(train, trees=20), test)
+    return models.evaluate_classifier(models.train_random_forest(train), test)
 
 
 @query()
 def top_features(w: World) -> DataFrame:
     train, _ = _labelled(w)
-    return models.feature_importances(w.spark, models.train_random_forest(train, trees=20))
+    return models.feature_importances(w.spark, models.train_random_forest(train))
 
 
 @query()
@@ -69,12 +71,12 @@ def train_ridge(w: World) -> DataFrame:
 @query()
 def train_boosted_trees(w: World) -> DataFrame:
     train, test = _forecast(w)
-    return models.evaluate_forecaster(models.train_boosted_trees(train, rounds=10), test)
+    return models.evaluate_forecaster(models.train_boosted_trees(train, rounds=20), test)
 
 
 @query()
 def kmeans_sensors(w: World) -> DataFrame:
-    assigned, _ = clustering.kmeans_sensors(_profiles(w), restarts=3)
+    assigned, _ = clustering.kmeans_sensors(_profiles(w))
     return assigned.select("sensor_id", "cluster")
 
 
@@ -131,6 +133,18 @@ def score_batch(w: World) -> DataFrame:
     return scoring.score_batch(matrix, classifier, forecasters, "anomaly-classifier", "1")
 
 
+@query()
+def stream_score(w: World) -> DataFrame:
+    """The event stream scored by models trained on the feature matrix."""
+    matrix = cut_lineage(features.generate_labels(_matrix(w)))
+    classifier = models.train_logistic(matrix)
+    forecast = models.train_ridge(features.build_forecast_dataset(matrix, "no2"), target="target")
+    stream = w.event_stream.join(w.sensors.select("sensor_id", "zone"), "sensor_id")
+    scored = score_stream(stream, classifier, {"no2": forecast}, "anomaly-classifier", "1")
+    place = scratch_path(w.spark, "scores")
+    return run_to_table(scored, f"{place}/out", f"{place}/checkpoint")
+
+
 @query()
 def build_forecast_dataset(w: World) -> DataFrame:
     data = features.build_forecast_dataset(_matrix(w), "no2")

@@ -91,7 +91,8 @@ class World:
         """Events -> measurements (batch or stream), out-of-range values included."""
         k = F.get_json_object("props", "$.k").cast("int")
         v = F.floor(F.col("value") * 256) / F.lit(256.0)
-        return events.withColumns({"k": k, "v": v}).selectExpr(
+        # ``explode`` keeps the optimizer from looking up the JSON field anew in every column.
+        return events.withColumn("k", F.explode(F.array(k))).withColumn("v", v).selectExpr(
             "event_id",
             "event_type",
             _ID.format(n="user_id") + " as sensor_id",

@@ -20,9 +20,15 @@ def enrich_with_sensor(
 def left_join_recent(
     sensors: DataFrame, measurements: DataFrame, as_of: Moment, lookback: str = "1 hour"
 ) -> DataFrame:
-    """Every sensor with its readings of the last ``lookback``; silent sensors keep one row."""
+    """Every sensor with its readings of the last ``lookback``; silent sensors keep one row.
+
+    Written as an inner join plus the silent sensors: in an outer join with the readings on the
+    optional side, a hot sensor's readings could not be split over tasks.
+    """
     recent = measurements.filter(since("timestamp", as_of, lookback))
-    return sensors.join(recent, "sensor_id", "left")
+    heard = recent.join(broadcast_if_small(sensors), "sensor_id")
+    silent = sensors.join(recent.select("sensor_id").distinct(), "sensor_id", "left_anti")
+    return heard.unionByName(silent, allowMissingColumns=True)
 
 
 def left_join_by_day(measurements: DataFrame, summaries: DataFrame) -> DataFrame:

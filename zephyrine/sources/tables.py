@@ -98,10 +98,14 @@ class TableStore:
         return self.read(name).filter(F.col(self.layouts[name].partition).isin(values))
 
     def _write(self, name: str, df: DataFrame, mode: str) -> None:
+        """Rebalanced by partition value: few files per day, and a day that holds most of the
+        batch is split over several tasks."""
+        column = self.layouts[name].partition
         (
-            df.write.mode(mode)
+            df.hint("rebalance", F.col(column))
+            .write.mode(mode)
             .option("partitionOverwriteMode", "dynamic")
-            .partitionBy(self.layouts[name].partition)
+            .partitionBy(column)
             .parquet(self.path(name))
         )
 

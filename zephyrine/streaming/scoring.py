@@ -5,11 +5,14 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import pandas as pd
+from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
 from zephyrine.operators.features import calendar_features
+from zephyrine.operators.isolation import IsolationForest
+from zephyrine.operators.scoring import score_batch
 from zephyrine.operators.summaries import with_zone_code
 from zephyrine.schemas import MEASURED
 
@@ -67,6 +70,19 @@ def _step(
     )
 
 
+def score_stream(
+    readings: DataFrame,
+    classifier: PipelineModel | IsolationForest | None = None,
+    forecasters: dict[str, PipelineModel] | None = None,
+    model_name: str = "none",
+    model_version: str = "none",
+) -> DataFrame:
+    """Scores of a stream of flat readings with ``zone``, from real rolling features."""
+    return score_batch(
+        stream_features(readings), classifier, forecasters, model_name, model_version
+    )
+
+
 def stream_features(readings: DataFrame) -> DataFrame:
     """Rolling, delta, calendar and zone features of a stream of flat readings with ``zone``.
 
