@@ -1,5 +1,7 @@
 import datetime as dt
 
+from pyspark.sql import functions as F
+
 from tests.conftest import rows
 from zephyrine.operators import quality, upsert
 from zephyrine.sources.tables import TableStore
@@ -60,6 +62,21 @@ def test_heartbeat_does_not_count_a_replayed_batch_twice(spark, folder):
     assert rows(beats, "records_processed", "last_batch_ts") == [(12, DAY + dt.timedelta(minutes=1))]
 
 
+def test_repeats_are_sought_in_the_touched_days_only(spark, folder):
+    store = TableStore(spark, folder)
+    for batch_id, shift in ((0, 0), (1, 1)):
+        at = DAY + dt.timedelta(days=shift)
+        rows_ = spark.createDataFrame(
+            [("a", at, "{}", batch_id)], "sensor_id string, timestamp timestamp, value string, batch_id long"
+        )
+        store.replace_partitions("raw_archive", rows_)
+    earlier = store.read("raw_archive").filter(F.col("date").isin([DAY.date()]) & (F.col("batch_id") < 1))
+    scan = earlier._jdf.queryExecution().executedPlan().toString()
+    pruned = scan.split("PartitionFilters: [")[1].split("]")[0]
+    assert "date" in pruned and "batch_id" in pruned
+    assert earlier.count() == 1
+
+
 def test_upsert_add(spark):
     schema = "d string, n long, at int"
     there = spark.createDataFrame([("x", 5, 1)], schema)

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from workload.aggregates import _PROFILE_SQL
 from workload.projection import AS_OF, World, with_tables
-from workload.registry import query, rounded
+from workload.registry import ORACLES, query, rounded
 from zephyrine.operators import clustering, features, isolation, metrics, models, scoring, summaries
 from zephyrine.plans.training import split_key
 from zephyrine.session import cut_lineage, scratch_path
@@ -80,7 +80,29 @@ def kmeans_sensors(w: World) -> DataFrame:
     return assigned.select("sensor_id", "cluster")
 
 
-@query()
+_UNROUNDED = _PROFILE_SQL.replace("round(stddev_samp(pm2_5), 6)", "stddev_samp(pm2_5)")
+_Z = ", ".join(
+    f"({c} - avg({c}) over ()) / coalesce(nullif(stddev_pop({c}) over (), 0), 1) as {c}"
+    for c in COLUMNS
+)
+_DISTANCE = " + ".join(f"(a.{c} - b.{c}) ** 2" for c in COLUMNS)
+
+
+@query(
+    with_tables("m").replace("with ", "with recursive ", 1)
+    + f""", p as ({_UNROUNDED}), z as (select sensor_id, {_Z} from p),
+    near as (select a.sensor_id as x, b.sensor_id as y from z a join z b on {_DISTANCE} <= 0.64),
+    core as (select x from near group by 1 having count(*) >= 3),
+    edges as (select x, y from near where x in (select x from core) and y in (select x from core)),
+    reached as (select x as root, x as node from core
+      union select root, y from reached join edges on x = node),
+    named as (select node, min(root) as cluster from reached group by 1),
+    border as (select x, min(cluster) as cluster from near join named on y = node
+      where x not in (select x from core) group by 1)
+    select sensor_id, coalesce(named.cluster, border.cluster, '-1') as cluster,
+    named.cluster is not null as is_core from z
+    left join named on sensor_id = node left join border on sensor_id = border.x"""
+)
 def dbscan_sensors(w: World) -> DataFrame:
     scaled = features.scale_features(_profiles(w), COLUMNS)
     return clustering.dbscan(scaled, COLUMNS)
@@ -92,16 +114,9 @@ def pca_projection(w: World) -> DataFrame:
     return clustering.pca_projection(scaled, COLUMNS)
 
 
-_Z = ", ".join(
-    f"({c} - avg({c}) over ()) / coalesce(nullif(stddev_pop({c}) over (), 0), 1) as {c}"
-    for c in COLUMNS
-)
-_DISTANCE = " + ".join(f"(a.{c} - b.{c}) ** 2" for c in COLUMNS)
-
-
 @query(
     with_tables("m", "s")
-    + f""", p as ({_PROFILE_SQL.replace("round(stddev_samp(pm2_5), 6)", "stddev_samp(pm2_5)")}),
+    + f""", p as ({_UNROUNDED}),
     z as (select sensor_id, {_Z} from p),
     q as (select z.*, zone from z join s using (sensor_id)),
     d as (select a.sensor_id, a.zone as za, b.zone as zb,
@@ -145,9 +160,14 @@ def stream_score(w: World) -> DataFrame:
     return run_to_table(scored, f"{place}/out", f"{place}/checkpoint")
 
 
-@query()
+_KEPT = ("pm2_5", "no2", "pm2_5_mean_5", "pm2_5_mean_15", "pm2_5_delta", "hour", "zone_enc")
+
+
+@query(
+    f"""select * from (select sensor_id, "timestamp", {", ".join(_KEPT)},
+    lead(no2) over (partition by sensor_id order by "timestamp") as target
+    from ({ORACLES["build_feature_matrix"]})) where target is not null"""
+)
 def build_forecast_dataset(w: World) -> DataFrame:
     data = features.build_forecast_dataset(_matrix(w), "no2")
-    return features.select_available(
-        data, features.FORECAST_FEATURES, keep=("sensor_id", "timestamp", "target")
-    )
+    return features.select_available(data, _KEPT, keep=("sensor_id", "timestamp", "target"))

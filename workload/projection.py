@@ -124,7 +124,7 @@ class World:
     @cached_property
     def sensors(self) -> DataFrame:
         """Customers in good standing; the others' readings come from unknown sensors."""
-        nation = F.broadcast(self._read("nation", NATION))  # 25 rows at every scale
+        nation = self._read("nation", NATION)
         return (
             self._read("customer", CUSTOMER)
             .filter("c_acctbal >= 0")

@@ -24,12 +24,21 @@ class Layout:
     key: tuple[str, ...]
     partition: str
     derive: str | None = None  # timestamp column the partition date comes from
+    below: tuple[str, ...] = ()  # further partition levels
+
+    @property
+    def partitions(self) -> tuple[str, ...]:
+        return (self.partition, *self.below)
 
     @property
     def stored(self) -> T.StructType:
-        fields = [f for f in self.schema.fields if f.name != self.partition]
-        kind = T.LongType() if self.partition == "batch_id" else T.DateType()
-        return T.StructType([*fields, T.StructField(self.partition, kind)])
+        """As Spark reads it: the partition columns come last."""
+        fields = [f for f in self.schema.fields if f.name not in self.partitions]
+        last = [
+            T.StructField(name, T.LongType() if name == "batch_id" else T.DateType())
+            for name in self.partitions
+        ]
+        return T.StructType([*fields, *last])
 
 
 _ARCHIVE = T.StructType(
@@ -37,8 +46,6 @@ _ARCHIVE = T.StructType(
         T.StructField("sensor_id", T.StringType()),
         T.StructField("timestamp", T.TimestampType()),
         T.StructField("value", T.StringType()),
-        T.StructField("date", T.DateType()),
-        T.StructField("batch_id", T.LongType()),
     ]
 )
 _QUARANTINE = T.StructType(
@@ -58,7 +65,10 @@ LAYOUTS = {
         schemas.QUALITY_METRICS, ("table_name", "pipeline_date"), "pipeline_date"
     ),
     "heartbeat_deltas": Layout(schemas.HEARTBEAT_DELTAS, ("pipeline_date", "batch_id"), "batch_id"),
-    "raw_archive": Layout(_ARCHIVE, ("sensor_id", "timestamp"), "batch_id"),
+    # By date first: a batch looks for repeats in the days it touches only.
+    "raw_archive": Layout(
+        _ARCHIVE, schemas.MEASUREMENT_KEY, "date", "timestamp", below=("batch_id",)
+    ),
     "quarantine": Layout(_QUARANTINE, (), "batch_id"),
 }
 
@@ -100,12 +110,12 @@ class TableStore:
     def _write(self, name: str, df: DataFrame, mode: str) -> None:
         """Rebalanced by partition value: few files per day, and a day that holds most of the
         batch is split over several tasks."""
-        column = self.layouts[name].partition
+        columns = self.layouts[name].partitions
         (
-            df.hint("rebalance", F.col(column))
+            df.hint("rebalance", *(F.col(c) for c in columns))
             .write.mode(mode)
             .option("partitionOverwriteMode", "dynamic")
-            .partitionBy(column)
+            .partitionBy(*columns)
             .parquet(self.path(name))
         )
 
