@@ -74,11 +74,15 @@ def split_known_sensors(
     )
 
 
+# fixed values: city and zone of sensors known from backfilled readings only
+BACKFILL_PLACE = ("OpenAQ", "unknown")
+
+
 def insert_missing_sensors(
     readings: DataFrame,
     sensors: DataFrame,
-    city: str = "OpenAQ",
-    zone: str = "unknown",
+    city: str = BACKFILL_PLACE[0],
+    zone: str = BACKFILL_PLACE[1],
 ) -> DataFrame:
     """Registry rows for sensor ids that occur in ``readings`` but not in ``sensors``."""
     unseen = (
