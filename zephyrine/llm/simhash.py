@@ -219,7 +219,8 @@ def near_duplicates(
     """
     rows = cut_lineage(fingerprints(docs, id, text, shingle))
     prints = cut_lineage(rows.groupBy("fp").agg(F.min("key_id").alias("first_id")))
-    groups = connected_components(linked(prints.select("fp"), max_bits, pivots))
+    links = cut_lineage(linked(prints.select("fp"), max_bits, pivots))
+    groups = connected_components(links)
     members = prints.join(groups.withColumnRenamed("node", "fp"), "fp", "left").withColumn(
         "component", F.coalesce("component", "fp")
     )
