@@ -24,20 +24,18 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from zephyrine.llm.text import carried, same_key, word_array
+from zephyrine.llm.text import carried, let, same_key, word_array
 from zephyrine.session import cut_lineage
 
 
-def _shingles(words: str, width: int) -> Column:
-    """Hashes of all runs of ``width`` words in the array column; none if it is shorter."""
-    last = F.size(words) - width
-    return F.when(
-        last >= 0,
-        F.transform(
-            F.sequence(F.lit(0), F.greatest(last, F.lit(0))),
-            lambda i: F.xxhash64(F.lit(width), F.slice(F.col(words), i + 1, F.lit(width))),
-        ),
-    )
+def _runs(words: str, width: int) -> Column:
+    """All runs of ``width`` words of the array column, as structs; none if it is shorter."""
+    count = F.greatest(F.size(words) - width + 1, F.lit(0))
+    return F.arrays_zip(*(F.slice(words, k + 1, count).alias(f"w{k}") for k in range(width)))
+
+
+def _run_hash(run: str, width: int) -> Column:
+    return F.xxhash64(F.lit(width), *(F.col(run)[f"w{k}"] for k in range(width)))
 
 
 def item_windows(items: DataFrame, id: str, text: str, window: int) -> DataFrame:
@@ -71,10 +69,14 @@ def shingle_places(
     wanted = _sized(wanted, limit)
     found = None
     for width in widths:
-        places = words.select(
-            "key_id", "key_hash", F.size("words").alias("n_words"),
-            F.posexplode(_shingles("words", width)).alias("pos", "shingle"),
-        ).join(wanted, "shingle")
+        places = (
+            words.select(
+                "key_id", "key_hash", F.size("words").alias("n_words"),
+                F.posexplode(_runs("words", width)).alias("pos", "run"),
+            )
+            .select("key_id", "key_hash", "n_words", "pos", _run_hash("run", width).alias("shingle"))
+            .join(wanted, "shingle")
+        )
         found = places if found is None else found.unionByName(places)
     return found
 
@@ -94,9 +96,9 @@ def contaminated_places(
     windows = cut_lineage(item_windows(items, item_id, item_text, window))
     widths = [r[0] for r in windows.select(F.least(F.size("win"), F.lit(shingle))).distinct().collect()]
     parts = [
-        windows.filter(F.least(F.size("win"), F.lit(shingle)) == w).select(
-            "win", F.posexplode(_shingles("win", w)).alias("offset", "shingle")
-        )
+        windows.filter(F.least(F.size("win"), F.lit(shingle)) == w)
+        .select("win", F.posexplode(_runs("win", w)).alias("offset", "run"))
+        .select("win", "offset", _run_hash("run", w).alias("shingle"))
         for w in sorted(widths)
     ]
     if not parts:  # no item has a word
@@ -127,18 +129,15 @@ def contaminated_places(
         .agg(F.collect_set(F.struct("start", "win")).alias("places"))
     )
     texts = carried(docs, id, text).select("key_id", "key_hash", "body")
-    joined = texts.join(candidates, same_key(texts, candidates)).select(
-        texts["key_id"], texts["key_hash"], word_array(F.col("body")).alias("words"), "places"
+    joined = texts.join(candidates, same_key(texts, candidates))
+    real = let(
+        word_array(F.col("body")),
+        lambda words: F.filter(
+            "places", lambda p: F.slice(words, p["start"] + 1, F.size(p["win"])) == p["win"]
+        ),
     )
     verified = (
-        joined.select(
-            "key_id",
-            "key_hash",
-            F.size("words").alias("n_words"),
-            F.filter(
-                "places", lambda p: F.slice(F.col("words"), p["start"] + 1, F.size(p["win"])) == p["win"]
-            ).alias("places"),
-        )
+        joined.select(texts["key_id"], texts["key_hash"], real.alias("places"))
         .dropDuplicates(["key_id", "key_hash"])
         .select("key_id", "key_hash", F.explode("places").alias("p"))
         .select("key_id", "key_hash", "p.start", "p.win")

@@ -24,8 +24,8 @@ from pyspark.sql import types as T
 
 from zephyrine.llm.text import BLANKS, blank_word_array, carried, line_array, lower_ascii, replace_text
 
-#: A word with a pair of symbols or of exclamation marks.
-NOISY_WORD = r"[^\x20\x09-\x0D]*(?:[#*$%&<>]{2}|!!)[^\x20\x09-\x0D]*"
+#: What makes a word noisy: a pair of symbols or of exclamation marks.
+NOISY = r"[#*$%&<>]{2}|!!"
 #: A bar or arrow that ends a piece of a navigation line.
 PIECE_END = r"[|»›>](?:[\x20\x09]|\z)"
 #: Phrases of page furniture, matched in lower-cased lines of at most ``boilerplate_words`` words.
@@ -64,7 +64,7 @@ class Rules:
 def _failing(text: Column, words: Column, rules: Rules) -> Column:
     """Whether a line breaks a rule; a line without words breaks none."""
     n = F.size(words)
-    noisy = F.regexp_count(text, F.lit(NOISY_WORD))
+    noisy = F.size(F.filter(words, lambda w: w.rlike(NOISY)))
     pieces = F.regexp_count(text, F.lit(PIECE_END)) + 1
     furniture = lower_ascii(text).rlike("|".join(BOILERPLATE))
     return (n > 0) & (

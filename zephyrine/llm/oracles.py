@@ -137,7 +137,7 @@ covered as (
 ),
 lines as (
   select k, line, len(w) as n, len(list_distinct(w)) as kinds,
-    len(regexp_extract_all(line, '{linerules.NOISY_WORD}')) as noisy,
+    len(list_filter(w, lambda x: regexp_matches(x, '{linerules.NOISY}'))) as noisy,
     len(regexp_extract_all(line, '{linerules.PIECE_END}')) + 1 as pieces,
     regexp_matches({_lower("line")}, '{"|".join(linerules.BOILERPLATE)}') as furniture
   from (select k, line, regexp_extract_all(line, '{_BLANK_WORD}') as w

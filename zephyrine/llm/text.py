@@ -38,6 +38,11 @@ def line_array(text: Column) -> Column:
     return F.split(F.coalesce(text, F.lit("")), "\n", -1)
 
 
+def let(value: Column, body) -> Column:
+    """``body(value)`` with the value computed once, also where a lambda uses it again and again."""
+    return F.get(F.transform(F.array(value), body), 0)
+
+
 def carried(docs: DataFrame, id: str, text: str) -> DataFrame:
     """(row, key_id, key_hash, body): the whole row, what identifies its id and text, the text.
 
