@@ -178,3 +178,29 @@ def components(docs, max_bits=2):
         known = [x for x in (least.get(root(i)), id_) if x is not None]
         least[root(i)] = min(known, default=None)
     return [(id_, prints[i], least[root(i)]) for i, (id_, _) in enumerate(docs)]
+
+
+def line_fails(line, rules, boilerplate):
+    w = blank_words(line)
+    n = len(w)
+    if not n:
+        return False
+    noisy = sum(1 for x in w if re.search(r"[#*$%&<>]{2}|!!", x))
+    pieces = len(re.findall(r"[|»›>](?:[ \t]|\Z)", line)) + 1
+    furniture = any(p in line.translate(UPPER) for p in boilerplate)
+    return (
+        noisy >= max(n * rules.noisy_words, 2)
+        or (pieces >= rules.bar_pieces and n / pieces <= rules.piece_words)
+        or (n <= rules.boilerplate_words and furniture)
+        or (n >= rules.repeat_words and len(set(w)) < n * rules.distinct_share)
+    )
+
+
+def cleaned(text, rules, boilerplate):
+    """(kept, cleaned text)."""
+    lines = (text or "").split("\n")
+    fails = [line_fails(line, rules, boilerplate) for line in lines]
+    lost = sum(len(blank_words(line)) for line, f in zip(lines, fails, strict=True) if f)
+    n, *_, failed = quality_counts(text)
+    kept = not failed and lost <= n * rules.max_loss
+    return kept, "\n".join(line for line, f in zip(lines, fails, strict=True) if not f)
