@@ -11,6 +11,7 @@ from zephyrine.operators.validate import sanitize_ranges
 from zephyrine.plans import training
 from zephyrine.plans.daily import QualityGateFailed, run_daily, validate_day
 from zephyrine.plans.views import VIEWS, Tables, register_views
+from zephyrine.sources.declared import CatalogStore, declared_lineage
 from zephyrine.sources.model_store import ModelStore
 from zephyrine.sources.tables import TableStore
 
@@ -59,7 +60,10 @@ def test_the_daily_job(world, store, spark, folder):
     # One forecast model per target: the two forecasts differ.
     assert scored.filter("pm2_5_forecast <> no2_forecast").count() > 0
     assert scored.filter("anomaly_probability not between 0 and 1").count() == 0
-    assert spark.read.parquet(f"{store.root}/catalog/lineage_edges").count() == 8
+    catalog = CatalogStore(spark, f"{store.root}/catalog")
+    assert catalog.read("lineage_edges").count() == declared_lineage(spark).count()
+    ages = {r["table_name"]: r["freshness_minutes"] for r in store.read("quality_metrics").collect()}
+    assert ages["daily_summaries"] is not None
 
 
 def test_the_gate_writes_its_row_before_it_fails(spark, folder):

@@ -26,9 +26,21 @@ def test_split_is_exact_per_class_and_independent_of_partitioning(spark):
     assert plain.filter("is_test").count() == 3
 
 
-def test_split_refuses_continuous_classes(spark):
-    with pytest.raises(ValueError, match="classes"):
-        features.split_train_test(spark.range(2000), ("id",), 0.2, stratify="id")
+def test_split_takes_any_number_of_classes(spark):
+    df = spark.range(6000).select("id", (F.col("id") % 1500).alias("class"))
+    made = features.split_train_test(df, ("id",), 0.3, stratify="class")
+    tests = made.groupBy("class").agg(F.count_if("is_test").alias("n")).select("n").distinct()
+    assert made.count() == 6000 and rows(tests) == [(2,)]
+
+
+def test_split_narrows_large_classes(spark, monkeypatch):
+    df = spark.range(5000).select("id", (F.col("id") % 10 == 0).cast("int").alias("label"))
+    ranked = features.split_train_test(df, ("id",), 0.2, stratify="label")
+    monkeypatch.setattr(features, "_RANKED_ROWS", 2)
+    monkeypatch.setattr(features, "_DIGITS", 1)
+    narrowed = features.split_train_test(df, ("id",), 0.2, stratify="label")
+    assert rows(narrowed.filter("is_test"), "id") == rows(ranked.filter("is_test"), "id")
+    assert features.split_train_test(df.limit(0), ("id",), 0.2, stratify="label").count() == 0
 
 
 def test_scaling_uses_the_population_deviation(spark):

@@ -5,9 +5,12 @@ import pytest
 from pyspark.sql import functions as F
 
 from tests.conftest import rows
+from zephyrine import schemas
 from zephyrine.operators import backfill, catalog, joins, quality, summaries
+from zephyrine.sources import declared
 from zephyrine.sources.pages import scan_backfill_pages
 from zephyrine.sources.registry_seed import SEED, load_sensor_registry, seed_sensors
+from zephyrine.sources.tables import LAYOUTS
 
 AS_OF = dt.datetime(2024, 1, 31)
 
@@ -124,15 +127,6 @@ def test_filters_reach_the_scan(spark, folder):
     assert "ReadSchema: struct<timestamp:timestamp>" in plan
 
 
-def test_large_sides_are_not_broadcast(spark):
-    from zephyrine.operators.sizing import broadcast_if_small
-
-    side = spark.range(1000).withColumn("text", F.lit("x" * 50))
-    assert "broadcast" in broadcast_if_small(side)._jdf.queryExecution().analyzed().toString()
-    kept = broadcast_if_small(side, max_bytes=1000)
-    assert "broadcast" not in kept._jdf.queryExecution().analyzed().toString()
-
-
 def test_residuals_equal_the_row_join(spark):
     day = dt.datetime(2024, 1, 5)
     data = [
@@ -193,14 +187,24 @@ def test_registry_seed(spark):
     assert rows(loaded.filter("sensor_id = 'CAP_001'"), "city") == [("Elsewhere",)]
 
 
+def test_catalog_keeps_rows_of_others(spark, folder):
+    kept = declared.CatalogStore(spark, folder)
+    kept.upsert("data_sources", spark.createDataFrame([("mine", "api", "x"), ("store", "y", "old")], schemas.DATA_SOURCES))
+    for _ in range(2):
+        kept.upsert("data_sources", declared.declared_sources(spark))
+    found = {r["name"]: (r["source_type"], r["version"]) for r in kept.read("data_sources").collect()}
+    assert found["mine"] == ("api", 1) and found["store"] == ("parquet", 2)
+
+
 def test_catalog(spark):
-    sources = catalog.list_sources(catalog.declared_sources(spark))
+    sources = catalog.list_sources(declared.declared_sources(spark))
     names = [r["name"] for r in sources.collect()]
-    assert names == sorted(names) and len(names) == 4
-    tables = catalog.declared_tables(spark)
-    assert catalog.list_tables(tables, "sensor_tables").count() == 6
+    assert names == sorted(names) and "store" in names
+    tables = declared.declared_tables(spark)
+    assert rows(catalog.list_tables(tables, "store"), "table_name") == sorted((n,) for n in LAYOUTS)
     assert catalog.list_tables(tables, "nothing").count() == 0
-    assert catalog.list_lineage(catalog.declared_lineage(spark)).first()["source_name"] == "stream:raw"
+    edges = rows(catalog.list_lineage(declared.declared_lineage(spark)), "source_name", "target_name")
+    assert ("measurements", "daily_summaries") in edges and ("measurements", "model_store") in edges
     old = {"t": spark.createDataFrame([], "a int, b int"), "u": spark.createDataFrame([], "x int")}
     new = {
         "t": spark.createDataFrame([], "a int, b string, c int"),

@@ -1,9 +1,11 @@
 import datetime as dt
+import os
 
 from pyspark.sql import functions as F
 
 from tests.conftest import rows
-from zephyrine.operators import quality, upsert
+from zephyrine.functions import moments
+from zephyrine.operators import filters, quality, summaries, upsert
 from zephyrine.sources.tables import TableStore
 
 DAY = dt.datetime(2024, 1, 5)
@@ -57,7 +59,7 @@ def test_heartbeat_does_not_count_a_replayed_batch_twice(spark, folder):
     for batch_id, count in ((0, 5), (1, 7), (1, 7)):
         at = DAY + dt.timedelta(minutes=batch_id)
         delta = spark.createDataFrame([(DAY.date(), at, count, "running", batch_id)], schema)
-        store.replace_partitions("heartbeat_deltas", delta)
+        store.upsert_replace("heartbeat_deltas", delta)
     beats = quality.heartbeat(store.read("heartbeat_deltas"))
     assert rows(beats, "records_processed", "last_batch_ts") == [(12, DAY + dt.timedelta(minutes=1))]
 
@@ -69,14 +71,62 @@ def test_repeats_are_sought_in_the_touched_days_only(spark, folder):
         rows_ = spark.createDataFrame(
             [("a", at, "{}", batch_id)], "sensor_id string, timestamp timestamp, value string, batch_id long"
         )
-        store.replace_partitions("raw_archive", rows_)
+        store.insert_ignore("raw_archive", rows_)
     earlier = store.read("raw_archive").filter(F.col("date").isin([DAY.date()]) & (F.col("batch_id") < 1))
     scan = earlier._jdf.queryExecution().executedPlan().toString()
     pruned = scan.split("PartitionFilters: [")[1].split("]")[0]
-    assert "date" in pruned and "batch_id" in pruned
+    assert "date" in pruned
     assert earlier.count() == 1
 
 
+def test_time_filters_prune_the_stored_days(spark, folder):
+    store = TableStore(spark, folder)
+    data = [("a", DAY + dt.timedelta(days=n), 1.0) for n in range(5)]
+    store.insert_ignore("measurements", spark.createDataFrame(data, "sensor_id string, timestamp timestamp, pm2_5 double"))
+    stored = store.read("measurements")
+    newest = DAY + dt.timedelta(days=4)
+    for found, count in (
+        (moments.within_day(stored, "timestamp", DAY), 1),
+        (moments.recent(stored, "timestamp", newest, "2 days"), 3),
+        (filters.filter_since(stored, newest, "1 day"), 2),
+        (filters.filter_on_date(stored, DAY), 1),
+        (quality.count_for_day(stored, DAY), 1),
+        (summaries.sensor_profile(stored, newest, "1 day"), 1),
+    ):
+        scan = found._jdf.queryExecution().executedPlan().toString()
+        assert "date" in scan.split("PartitionFilters: [")[1].split("]")[0]
+        assert len(found.inputFiles()) >= 1 and found.count() == count
+
+
+def test_a_write_computes_its_rows_once(spark, folder):
+    store = TableStore(spark, folder)
+    seen = spark.sparkContext.accumulator(0)
+
+    def marked(batches):
+        for b in batches:
+            seen.add(len(b))
+            yield b
+
+    schema = "sensor_id string, timestamp timestamp, pm2_5 double"
+    data = [("a", DAY + dt.timedelta(hours=n), 1.0) for n in range(50)]
+    df = spark.createDataFrame(data, schema).mapInPandas(marked, schema)
+    store.insert_ignore("measurements", df)
+    assert seen.value == 50
+
+
+def test_batches_share_folders(spark, folder):
+    store = TableStore(spark, folder)
+    lost = spark.createDataFrame([("r", "x")], "reason string, raw_payload string")
+    for batch_id in (0, 1, 1, 2, 1000):
+        store.insert_batch("quarantine", lost, batch_id)
+    assert store.read("quarantine").count() == 4
+    folders = [f for f in os.listdir(f"{folder}/quarantine") if f.startswith("batch_range=")]
+    assert sorted(folders) == ["batch_range=0", "batch_range=1"]
+    store.compact("quarantine", [0])
+    assert len(os.listdir(f"{folder}/quarantine/batch_range=0")) <= 4
+    assert store.read("quarantine").count() == 4
+
+
 def test_upsert_add(spark):
     schema = "d string, n long, at int"
     there = spark.createDataFrame([("x", 5, 1)], schema)

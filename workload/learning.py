@@ -71,7 +71,7 @@ def train_ridge(w: World) -> DataFrame:
 @query()
 def train_boosted_trees(w: World) -> DataFrame:
     train, test = _forecast(w)
-    return models.evaluate_forecaster(models.train_boosted_trees(train, rounds=20), test)
+    return models.evaluate_forecaster(models.train_boosted_trees(train), test)
 
 
 @query()

@@ -41,7 +41,7 @@ def write_aggregates(w: World) -> DataFrame:
     store = _store(w)
     for _ in range(2):
         store.insert_ignore("aggregates", rolling.rolling_stats(w.measurements, "1day", "1 day"))
-    return rounded(store.read("aggregates").drop("date"), 6, "pm2_5_std", "pm10_std", "no2_std")
+    return rounded(store.read("aggregates").drop("date", "created_at"), 6, "pm2_5_std", "pm10_std", "no2_std")
 
 
 @query(

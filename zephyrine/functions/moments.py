@@ -4,9 +4,12 @@ from __future__ import annotations
 
 import datetime as dt
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+#: Metadata key of a partition date: the timestamp column that it is the UTC day of.
+DAY_OF = "day_of"
+
 Moment = Column | str | dt.datetime | dt.date
 
 
@@ -31,6 +34,27 @@ def on_day(ts: str | Column, day: Moment) -> Column:
     return (_col(ts) >= start) & (_col(ts) < start + F.expr("INTERVAL 1 day"))
 
 
+def _partition_dates(df: DataFrame, ts: str) -> list[Column]:
+    return [F.col(f.name) for f in df.schema.fields if f.metadata.get(DAY_OF) == ts]
+
+
+def recent(df: DataFrame, ts: str, as_of: Moment, lookback: str) -> DataFrame:
+    """Rows since ``as_of - lookback``; of a stored table only the date partitions from there on."""
+    kept = df.filter(since(ts, as_of, lookback))
+    first = F.to_date(instant(as_of) - F.expr(f"INTERVAL {lookback}"))
+    for date in _partition_dates(df, ts):
+        kept = kept.filter(date >= first)
+    return kept
+
+
+def within_day(df: DataFrame, ts: str, day: Moment) -> DataFrame:
+    """Rows of one UTC day; of a stored table only that day's partition."""
+    kept = df.filter(on_day(ts, day))
+    for date in _partition_dates(df, ts):
+        kept = kept.filter(date == day_of(day))
+    return kept
+
+
 def minutes_between(later: Moment | Column, earlier: str | Column) -> Column:
     return (F.unix_micros(instant(later)) - F.unix_micros(_col(earlier))) / F.lit(60e6)
 

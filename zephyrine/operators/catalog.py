@@ -1,50 +1,12 @@
-"""Catalog tables: sources, tables, columns, lineage."""
+"""Operators on catalog tables: sources, tables, columns, lineage."""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from zephyrine.operators.quality import optional_filter
-from zephyrine.schemas import CATALOG_COLUMNS, CATALOG_TABLES, DATA_SOURCES, LINEAGE_EDGES
-
-SOURCES = (
-    ("raw_stream", "stream", "Raw sensor readings"),
-    ("anomaly_stream", "stream", "Threshold anomaly events"),
-    ("sensor_tables", "parquet", "Processed sensor tables"),
-    ("model_store", "models", "Fitted models and their runs"),
-)
-TABLES = (
-    ("sensor_tables", "measurements", "public", "One row per sensor and reading"),
-    ("sensor_tables", "aggregates", "public", "Window statistics per sensor, 1 and 5 minutes"),
-    ("sensor_tables", "anomalies", "public", "Rule-based and model-based anomaly events"),
-    ("sensor_tables", "daily_summaries", "public", "Statistics per sensor and day"),
-    ("sensor_tables", "sensors", "public", "Sensor registry"),
-    ("sensor_tables", "etl_heartbeat", "public", "Progress of the stream job"),
-)
-LINEAGE = (
-    (1, "stream:raw", "ingest", "schema_validation"),
-    (2, "ingest", "table:measurements", "insert"),
-    (3, "ingest", "stream:anomalies", "rule_based_detection"),
-    (4, "table:measurements", "table:aggregates", "rolling_window"),
-    (5, "table:measurements", "table:daily_summaries", "daily_batch"),
-    (6, "table:measurements", "models", "model_training"),
-    (7, "models", "scoring", "model_serving"),
-    (8, "table:daily_summaries", "views", "visualization"),
-)
-
-
-def declared_sources(spark: SparkSession, rows=SOURCES) -> DataFrame:
-    return spark.createDataFrame(list(rows), DATA_SOURCES)
-
-
-def declared_tables(spark: SparkSession, rows=TABLES) -> DataFrame:
-    return spark.createDataFrame(list(rows), CATALOG_TABLES)
-
-
-def declared_lineage(spark: SparkSession, rows=LINEAGE) -> DataFrame:
-    return spark.createDataFrame(list(rows), LINEAGE_EDGES)
-
+from zephyrine.schemas import CATALOG_COLUMNS
 
 def describe_columns(tables: dict[str, DataFrame]) -> DataFrame:
     """Column snapshot of live tables, from their schemas alone."""

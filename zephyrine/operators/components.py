@@ -8,12 +8,12 @@ from pyspark.sql import functions as F
 from zephyrine.session import cut_lineage
 
 
-def connected_components(edges: DataFrame, max_rounds: int = 60) -> DataFrame:
+def connected_components(edges: DataFrame) -> DataFrame:
     """(node, component) for every node of ``edges`` (u, v); component = smallest node.
 
     Alternates the large-star and small-star steps of Kiveris et al. (2014), which need a
     logarithmic number of rounds.  Each step is a minimum per node and a join; every round is
-    checkpointed.
+    checkpointed, and the rounds end when one changes nothing.
     """
     current = cut_lineage(
         edges.filter("u <> v")
@@ -22,14 +22,11 @@ def connected_components(edges: DataFrame, max_rounds: int = 60) -> DataFrame:
     )
     nodes = edges.select(F.col("u").alias("node")).union(edges.select("v")).distinct()
     seen = _fingerprint(current)
-    for _ in range(max_rounds):
+    settled = False
+    while not settled:
         current = cut_lineage(_small_star(_large_star(current)))
         now = _fingerprint(current)
-        if now == seen:
-            break
-        seen = now
-    else:
-        raise RuntimeError("components did not settle")
+        settled, seen = now == seen, now
     # Settled: every edge points from a node straight at its component's smallest node.
     found = current.select(F.col("u").alias("node"), F.col("v").alias("component"))
     return nodes.join(found, "node", "left").withColumn(

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import functools
 import math
 
 from pyspark.sql import Column, DataFrame, Window
@@ -20,7 +19,9 @@ from zephyrine.operators.rolling import (
 )
 from zephyrine.operators.summaries import with_zone_code
 from zephyrine.schemas import MEASURED, POLLUTANTS, ROLLING_WIDTHS
+from zephyrine.session import cut_lineage
 
+# fixed values: the inputs of the two models, in the order of their contract
 CLASSIFIER_FEATURES = (
     *POLLUTANTS,
     "pm2_5_mean_5",
@@ -53,7 +54,7 @@ def scan_measurements_window(
     measurements: DataFrame, sensors: DataFrame, as_of: Moment, days: int = 30
 ) -> DataFrame:
     """Readings of the last days with city and zone; unordered, the windows sort for themselves."""
-    recent = measurements.filter(moments.since("timestamp", as_of, f"{days} days"))
+    recent = moments.recent(measurements, "timestamp", as_of, f"{days} days")
     return enrich_with_sensor(recent.select("sensor_id", "timestamp", *MEASURED), sensors)
 
 
@@ -126,8 +127,9 @@ def build_forecast_dataset(
 
 # --- split -----------------------------------------------------------------------------
 
-_BUCKET_DIGITS = 4
-_MAX_CLASSES = 1000
+_RANKED_ROWS = 1 << 14
+_DIGITS = 3  # hash digits by which a cell is split into smaller ones
+_HASH_DIGITS = 32
 
 
 def key_hash(key: tuple[str | Column, ...]) -> Column:
@@ -135,6 +137,26 @@ def key_hash(key: tuple[str | Column, ...]) -> Column:
     return F.md5(F.concat_ws("|", *(p.cast("string") for p in parts)))
 
 
+def _small(table: DataFrame, rows: int = 1 << 20) -> DataFrame:
+    """A table of one row per class, broadcast if it is counted small."""
+    return F.broadcast(table) if table.count() <= rows else table
+
+
+def _narrowed(hashed: DataFrame, cells: DataFrame, digits: int) -> DataFrame:
+    """Each class's cell split by more hash digits: the part that its cut falls in."""
+    within = hashed.join(_small(cells), F.col("class").eqNullSafe(F.col("of")))
+    within = within.filter(F.col("hash").startswith(F.col("prefix")))
+    counted = within.groupBy("of", "place", F.substring("hash", 1, digits).alias("prefix")).agg(
+        F.count("*").alias("n")
+    )
+    upto = F.sum("n").over(Window.partitionBy("of").orderBy("prefix"))
+    return (
+        counted.withColumn("before", upto - F.col("n"))
+        .filter((F.col("before") < F.col("place")) & (F.col("before") + F.col("n") >= F.col("place")))
+        .select("of", "prefix", (F.col("place") - F.col("before")).alias("place"), "n")
+    )
+
+
 def split_train_test(
     df: DataFrame,
     key: tuple[str | Column, ...],
@@ -144,48 +166,33 @@ def split_train_test(
     """Add ``is_test``: exactly ``ceil(fraction * n)`` rows of each class.
 
     The test rows of a class are those with the smallest key hashes, so the split does not
-    depend on partitioning.  Ranking a whole class would sort it in one task; instead, hash
-    prefixes are counted, the prefix in which the cut falls is found from the counts, and only
-    the rows with that prefix (one in 65,536) are ranked.  The split itself is then a
-    comparison with one hash per class, without a shuffle.
+    depend on partitioning.  Ranking a whole class would sort it in one task; instead the cell
+    of hashes that the cut falls in is narrowed by counts, a few digits at a time, until it is
+    small enough to rank.  The split itself compares each row with its class's cut, a table of
+    one row per class.
     """
     label = F.col(stratify) if stratify else F.lit(0)
-    hashed = df.select(label.alias("class"), key_hash(key).alias("hash"))
-    hashed = hashed.withColumn("prefix", F.substring("hash", 1, _BUCKET_DIGITS))
-
-    by_class = Window.partitionBy("class")
-    counted = hashed.groupBy("class", "prefix").agg(F.count("*").alias("n"))
-    placed = (
-        counted.withColumn("upto", F.sum("n").over(by_class.orderBy("prefix")))
-        .withColumn("total", F.sum("n").over(by_class))
-        .withColumn("need", F.ceil(F.col("total") * F.lit(fraction)))
-        .filter((F.col("upto") >= F.col("need")) & (F.col("upto") - F.col("n") < F.col("need")))
-    )
-    cuts = placed.select(
-        "class", "prefix", (F.col("need") - F.col("upto") + F.col("n")).alias("place")
-    ).limit(_MAX_CLASSES + 1).collect()
-    if len(cuts) > _MAX_CLASSES:
-        raise ValueError(f"{stratify!r} has more than {_MAX_CLASSES} classes")
-    if not cuts:
-        return df.withColumn("is_test", F.lit(False))
-
-    at_cut = functools.reduce(
-        lambda a, b: a | b,
-        (F.col("class").eqNullSafe(F.lit(c["class"])) & (F.col("prefix") == c["prefix"]) for c in cuts),
-    )
-    place = functools.reduce(
-        lambda a, b: F.coalesce(a, b),
-        (F.when(F.col("class").eqNullSafe(F.lit(c["class"])), F.lit(c["place"])) for c in cuts),
+    hashed = cut_lineage(df.select(label.alias("class"), key_hash(key).alias("hash")))
+    cells = hashed.groupBy(F.col("class").alias("of")).agg(
+        F.lit("").alias("prefix"), F.ceil(F.count("*") * F.lit(fraction)).alias("place"), F.count("*").alias("n")
     )
-    ranked = hashed.filter(at_cut).withColumn(
-        "rank", F.row_number().over(by_class.orderBy("hash"))
+    cells, digits = cut_lineage(cells.filter("place > 0")), 0
+    while digits < _HASH_DIGITS and (cells.agg(F.max("n")).first()[0] or 0) > _RANKED_ROWS:
+        digits += _DIGITS
+        cells = cut_lineage(_narrowed(hashed, cells, digits))
+    within = hashed.join(_small(cells), F.col("class").eqNullSafe(F.col("of")))
+    limits = cut_lineage(
+        within.filter(F.col("hash").startswith(F.col("prefix")))
+        .withColumn("rank", F.row_number().over(Window.partitionBy("of").orderBy("hash")))
+        .filter(F.col("rank") == F.col("place"))
+        .select(F.col("of").alias("_class"), F.col("hash").alias("_limit"))
     )
-    limits = ranked.filter(F.col("rank") == place).select("class", "hash").collect()
-    is_test = functools.reduce(
-        lambda a, b: a | b,
-        (label.eqNullSafe(F.lit(x["class"])) & (key_hash(key) <= F.lit(x["hash"])) for x in limits),
+    is_test = F.coalesce(key_hash(key) <= F.col("_limit"), F.lit(False))
+    return (
+        df.join(_small(limits), label.eqNullSafe(F.col("_class")), "left")
+        .withColumn("is_test", is_test)
+        .drop("_class", "_limit")
     )
-    return df.withColumn("is_test", is_test)
 
 
 # --- scaling ---------------------------------------------------------------------------

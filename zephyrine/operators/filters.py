@@ -10,7 +10,7 @@ from zephyrine.functions.moments import Moment
 
 
 def filter_since(df: DataFrame, as_of: Moment, lookback: str, time: str = "timestamp") -> DataFrame:
-    return df.filter(moments.since(time, as_of, lookback))
+    return moments.recent(df, time, as_of, lookback)
 
 
 def filter_between(
@@ -21,4 +21,4 @@ def filter_between(
 
 
 def filter_on_date(df: DataFrame, day: Moment, time: str = "timestamp") -> DataFrame:
-    return df.filter(moments.on_day(time, day))
+    return moments.within_day(df, time, day)

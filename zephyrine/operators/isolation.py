@@ -137,25 +137,28 @@ def _row_of(columns: tuple[str, ...]) -> Column:
 def draw_samples(
     df: DataFrame, columns: tuple[str, ...], key: tuple[str, ...], trees: int, sample: int, seed: int
 ) -> DataFrame:
-    """Rows (tree, row) with ``sample`` rows per tree, chosen by key hash.
+    """Rows (tree, row) with ``sample`` rows per tree, chosen by a hash of key and tree.
 
-    With enough rows each belongs to one tree and a hash threshold discards nearly all of them
-    before the shuffle; otherwise every tree draws from all rows.
+    A tree looks at the rows whose hash is among the lowest ``4 * sample / total`` of all hashes,
+    four times as many as it needs, and takes the lowest of them.  Small and large inputs are
+    drawn alike; a row is copied only to the trees that look at it.
     """
     total = df.count()
-    rows = df.select(_row_of(columns).alias("row"), *key)
-    if total > trees * sample:
-        tree = F.pmod(F.xxhash64(*key, F.lit(seed)), F.lit(trees)).cast("int")
-        share = min(1.0, 4.0 * trees * sample / total)
-        draw = F.pmod(F.xxhash64(*key, F.lit(seed + 1)), F.lit(1_000_000_000))
-        drawn = rows.select("row", tree.alias("tree"), draw.alias("draw")).filter(
-            F.col("draw") < math.ceil(share * 1e9)
-        )
-    else:
-        drawn = rows.select(
-            "row", *key, F.explode(F.sequence(F.lit(0), F.lit(trees - 1))).alias("tree")
-        ).withColumn("draw", F.xxhash64(*key, "tree", F.lit(seed)))
-    ranked = Window.partitionBy("tree").orderBy("draw")
+    bound = min(1.0, 4.0 * sample / max(total, 1)) * 1e9
+    draws = F.transform(
+        F.sequence(F.lit(0), F.lit(trees - 1)),
+        lambda tree: F.struct(
+            tree.alias("tree"),
+            F.pmod(F.xxhash64(*key, tree, F.lit(seed)), F.lit(1_000_000_000)).alias("draw"),
+        ),
+    )
+    looked = df.select(
+        _row_of(columns).alias("row"),
+        *key,
+        F.explode(F.filter(draws, lambda d: d["draw"] < math.ceil(bound))).alias("d"),
+    )
+    drawn = looked.select("row", *key, "d.tree", "d.draw")
+    ranked = Window.partitionBy("tree").orderBy("draw", *key)
     return (
         drawn.withColumn("_rank", F.row_number().over(ranked))
         .filter(F.col("_rank") <= sample)

@@ -5,16 +5,15 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from zephyrine.functions.moments import Moment, since
-from zephyrine.operators.sizing import broadcast_if_small
+from zephyrine.functions import moments
+from zephyrine.functions.moments import Moment
 
 
 def enrich_with_sensor(
     facts: DataFrame, sensors: DataFrame, columns: tuple[str, ...] = ("city", "zone")
 ) -> DataFrame:
     """Inner join with the registry; facts of unknown sensors fall out."""
-    side = broadcast_if_small(sensors.select("sensor_id", *columns))
-    return facts.join(side, "sensor_id")
+    return facts.join(sensors.select("sensor_id", *columns), "sensor_id")
 
 
 def left_join_recent(
@@ -25,8 +24,8 @@ def left_join_recent(
     Written as an inner join plus the silent sensors: in an outer join with the readings on the
     optional side, a hot sensor's readings could not be split over tasks.
     """
-    recent = measurements.filter(since("timestamp", as_of, lookback))
-    heard = recent.join(broadcast_if_small(sensors), "sensor_id")
+    recent = moments.recent(measurements, "timestamp", as_of, lookback)
+    heard = recent.join(sensors, "sensor_id")
     silent = sensors.join(recent.select("sensor_id").distinct(), "sensor_id", "left_anti")
     return heard.unionByName(silent, allowMissingColumns=True)
 
@@ -67,7 +66,7 @@ def split_known_sensors(
     readings: DataFrame, sensors: DataFrame
 ) -> tuple[DataFrame, DataFrame]:
     """(readings of registered sensors, readings of unknown ones)."""
-    ids = broadcast_if_small(sensors.select("sensor_id").distinct())
+    ids = sensors.select("sensor_id").distinct()
     return (
         readings.join(ids, "sensor_id", "left_semi"),
         readings.join(ids, "sensor_id", "left_anti"),

@@ -22,7 +22,7 @@ def count_new_records(
 
 
 def count_for_day(measurements: DataFrame, day: Moment) -> DataFrame:
-    return measurements.filter(moments.on_day("timestamp", day)).agg(
+    return moments.within_day(measurements, "timestamp", day).agg(
         F.count("*").alias("record_count")
     )
 
@@ -40,7 +40,7 @@ def _gate_columns(limit: float) -> list:
 
 def quality_gate(measurements: DataFrame, day: Moment, limit: float = 0.3) -> DataFrame:
     """One row for the day; an empty day has null rate 0 and passes."""
-    return measurements.filter(moments.on_day("timestamp", day)).agg(*_gate_columns(limit))
+    return moments.within_day(measurements, "timestamp", day).agg(*_gate_columns(limit))
 
 
 def quality_gate_by_day(measurements: DataFrame, limit: float = 0.3) -> DataFrame:

@@ -40,10 +40,12 @@ def daily_summary(measurements: DataFrame, anomalies: DataFrame) -> DataFrame:
 
 
 def daily_summary_of(measurements: DataFrame, anomalies: DataFrame, day: Moment) -> DataFrame:
-    on = moments.on_day("timestamp", day)
-    return daily_summary(measurements.filter(on), anomalies.filter(on))
+    return daily_summary(
+        moments.within_day(measurements, "timestamp", day), moments.within_day(anomalies, "timestamp", day)
+    )
 
 
+# fixed values: the columns of a sensor's profile
 PROFILE_FEATURES = (
     "pm2_5_avg",
     "pm2_5_max",
@@ -58,7 +60,7 @@ PROFILE_FEATURES = (
 
 def sensor_profile(measurements: DataFrame, as_of: Moment, lookback: str = "90 days") -> DataFrame:
     """One row of statistics per sensor; nulls become 0."""
-    recent = measurements.filter(moments.since("timestamp", as_of, lookback))
+    recent = moments.recent(measurements, "timestamp", as_of, lookback)
     return (
         recent.groupBy("sensor_id")
         .agg(
@@ -76,7 +78,7 @@ def anomaly_by_city(
 ) -> DataFrame:
     """Counted per sensor and severity first, so the join sees one row for each."""
     per_sensor = (
-        anomalies.filter(moments.since("timestamp", as_of, lookback))
+        moments.recent(anomalies, "timestamp", as_of, lookback)
         .groupBy("sensor_id", "severity")
         .agg(F.count("*").alias("_n"))
     )
@@ -90,7 +92,7 @@ def anomaly_by_city(
 def zone_hourly_avg(
     measurements: DataFrame, sensors: DataFrame, as_of: Moment, lookback: str = "7 days"
 ) -> DataFrame:
-    recent = measurements.filter(moments.since("timestamp", as_of, lookback))
+    recent = moments.recent(measurements, "timestamp", as_of, lookback)
     return (
         enrich_with_sensor(recent, sensors, ("zone",))
         .groupBy("zone", F.date_trunc("hour", "timestamp").alias("hour"))
@@ -109,7 +111,7 @@ def anomaly_detection_daily(
         return F.count_if(F.col(column) == value)
 
     return (
-        anomalies.filter(moments.since("timestamp", as_of, lookback))
+        moments.recent(anomalies, "timestamp", as_of, lookback)
         .groupBy(F.to_date("timestamp").alias("report_date"))
         .agg(
             F.count("*").alias("total_anomalies"),
@@ -180,7 +182,7 @@ def residuals_daily(
     sensor and day first, and their number weighs the summary.
     """
     per_sensor = (
-        measurements.filter(moments.since("timestamp", as_of, lookback))
+        moments.recent(measurements, "timestamp", as_of, lookback)
         .groupBy("sensor_id", F.to_date("timestamp").alias("report_date"))
         .agg(
             F.sum("pm2_5").alias("_sum"),
@@ -209,7 +211,7 @@ def throughput_hourly(
     measurements: DataFrame, as_of: Moment, lookback: str = "7 days"
 ) -> DataFrame:
     return (
-        measurements.filter(moments.since("created_at", as_of, lookback))
+        moments.recent(measurements, "created_at", as_of, lookback)
         .groupBy(F.date_trunc("hour", "created_at").alias("hour"))
         .agg(
             F.count("*").alias("records_inserted"),
@@ -226,7 +228,7 @@ def daily_volume(
 ) -> DataFrame:
     distinct = F.approx_count_distinct if approximate else F.countDistinct
     return (
-        measurements.filter(moments.since("created_at", as_of, lookback))
+        moments.recent(measurements, "created_at", as_of, lookback)
         .groupBy(F.to_date("created_at").alias("report_date"))
         .agg(
             F.count("*").alias("total_records"),
@@ -246,7 +248,7 @@ def sensor_activity(
 ) -> DataFrame:
     """Readings and reporting status per registered sensor, silent ones included."""
     recent = (
-        measurements.filter(moments.since("timestamp", as_of, lookback))
+        moments.recent(measurements, "timestamp", as_of, lookback)
         .groupBy("sensor_id")
         .agg(F.count("*").alias("_n"), F.max("timestamp").alias("last_seen"))
     )
@@ -271,7 +273,7 @@ def anomaly_rate_daily(
 ) -> DataFrame:
     def per_day(df: DataFrame, name: str) -> DataFrame:
         return (
-            df.filter(moments.since("timestamp", as_of, lookback))
+            moments.recent(df, "timestamp", as_of, lookback)
             .groupBy(F.to_date("timestamp").alias("report_date"))
             .agg(F.count("*").alias(name))
         )
@@ -316,7 +318,7 @@ def anomaly_feed(
     anomalies: DataFrame, sensors: DataFrame, as_of: Moment, lookback: str = "48 hours"
 ) -> DataFrame:
     """Recent events with their place; 100 percent means exactly at the limit."""
-    recent = anomalies.filter(moments.since("timestamp", as_of, lookback))
+    recent = moments.recent(anomalies, "timestamp", as_of, lookback)
     return enrich_with_sensor(recent, sensors).select(
         "sensor_id",
         "city",

@@ -11,6 +11,7 @@ from zephyrine.functions.moments import Moment
 from zephyrine.operators import catalog, features, quality, summaries
 from zephyrine.plans import training
 from zephyrine.session import cut_lineage
+from zephyrine.sources import declared
 from zephyrine.sources.model_store import ModelStore
 from zephyrine.sources.tables import TableStore
 
@@ -63,25 +64,14 @@ def run_catalog(
     spark: SparkSession, store: TableStore, as_of: Moment, root: str, sensors: DataFrame
 ) -> None:
     """Sources, tables, lineage, columns and quality metrics in one go."""
-    tables = {
-        "measurements": store.read("measurements"),
-        "aggregates": store.read("aggregates").withColumn("created_at", F.col("window_end")),
-        "anomalies": store.read("anomalies"),
-        "daily_summaries": store.read("daily_summaries").withColumn(
-            "created_at", F.col("summary_date").cast("timestamp")
-        ),
-        "sensors": sensors,
-        "etl_heartbeat": quality.heartbeat(store.read("heartbeat_deltas")),
-    }
-    for name, df in (
-        ("data_sources", catalog.declared_sources(spark)),
-        ("tables", catalog.declared_tables(spark)),
-        ("lineage_edges", catalog.declared_lineage(spark)),
-        ("columns", catalog.describe_columns(tables)),
-    ):
-        df.write.mode("overwrite").option("partitionOverwriteMode", "static").parquet(
-            f"{root}/catalog/{name}"
-        )
+    tables = {name: store.read(name) for name in ("measurements", "aggregates", "anomalies", "daily_summaries")}
+    tables["sensors"] = sensors
+    tables["etl_heartbeat"] = quality.heartbeat(store.read("heartbeat_deltas"))
+    kept = declared.CatalogStore(spark, f"{root}/catalog")
+    kept.upsert("data_sources", declared.declared_sources(spark))
+    kept.upsert("tables", declared.declared_tables(spark))
+    kept.upsert("lineage_edges", declared.declared_lineage(spark))
+    kept.upsert("columns", catalog.describe_columns(tables))
     store.insert_ignore("quality_metrics", quality.profile_tables(tables, as_of))
 
 
@@ -108,7 +98,7 @@ def run_daily(
     summarise_day(store, day)
 
     # Both supervised trainings use the matrix; it is computed and stored once.
-    measurements = store.read("measurements").drop("date")
+    measurements = store.read("measurements")
     matrix = cut_lineage(features.build_feature_matrix(measurements, sensors, as_of, days))
     result.training = {
         "classification": training.train_best_classifier(matrix, models),

@@ -18,6 +18,13 @@ from zephyrine.session import cut_lineage
 
 Model = PipelineModel | KMeansModel | IsolationForest
 
+#: Where fitted models come from: (origin, training step).
+FED_BY = (
+    ("measurements", "train_best_classifier"),
+    ("measurements", "train_best_forecasters"),
+    ("measurements", "train_best_clustering"),
+)
+
 
 class ModelStore:
     def __init__(self, spark: SparkSession, root: str):

@@ -15,37 +15,39 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from zephyrine import schemas
+from zephyrine.functions.moments import DAY_OF
 from zephyrine.operators.upsert import new_rows, upsert_replace
+from zephyrine.session import cut_lineage
 
 
 @dataclass(frozen=True)
 class Layout:
+    """How a table is stored, and what the catalog tells about it."""
+
     schema: T.StructType
     key: tuple[str, ...]
     partition: str
     derive: str | None = None  # timestamp column the partition date comes from
-    below: tuple[str, ...] = ()  # further partition levels
-
-    @property
-    def partitions(self) -> tuple[str, ...]:
-        return (self.partition, *self.below)
+    about: str = ""
+    fed_by: tuple[tuple[str, str], ...] = ()  # (where rows come from, the step that writes them)
 
     @property
     def stored(self) -> T.StructType:
-        """As Spark reads it: the partition columns come last."""
-        fields = [f for f in self.schema.fields if f.name not in self.partitions]
-        last = [
-            T.StructField(name, T.LongType() if name == "batch_id" else T.DateType())
-            for name in self.partitions
-        ]
-        return T.StructType([*fields, *last])
+        """As Spark reads it: the partition column comes last."""
+        fields = [f for f in self.schema.fields if f.name != self.partition]
+        kind = T.LongType() if self.partition == BATCH_RANGE else T.DateType()
+        return T.StructType([*fields, T.StructField(self.partition, kind)])
+
 
+#: Partition of tables without a date: this many batches share a folder.
+BATCH_RANGE, BATCHES_PER_RANGE = "batch_range", 1000
 
 _ARCHIVE = T.StructType(
     [
         T.StructField("sensor_id", T.StringType()),
         T.StructField("timestamp", T.TimestampType()),
         T.StructField("value", T.StringType()),
+        T.StructField("batch_id", T.LongType()),
     ]
 )
 _QUARANTINE = T.StructType(
@@ -57,20 +59,47 @@ _QUARANTINE = T.StructType(
 )
 
 LAYOUTS = {
-    "measurements": Layout(schemas.MEASUREMENTS, schemas.MEASUREMENT_KEY, "date", "timestamp"),
-    "anomalies": Layout(schemas.ANOMALIES, schemas.ANOMALY_KEY, "date", "timestamp"),
-    "aggregates": Layout(schemas.AGGREGATES, schemas.AGGREGATE_KEY, "date", "window_start"),
-    "daily_summaries": Layout(schemas.DAILY_SUMMARIES, schemas.SUMMARY_KEY, "summary_date"),
+    "measurements": Layout(
+        schemas.MEASUREMENTS, schemas.MEASUREMENT_KEY, "date", "timestamp",
+        about="clean readings of registered sensors",
+        fed_by=(("messages", "ingest_batch"), ("pages", "backfill_day")),
+    ),
+    "anomalies": Layout(
+        schemas.ANOMALIES, schemas.ANOMALY_KEY, "date", "timestamp",
+        about="limits that readings crossed",
+        fed_by=(("messages", "detect_threshold_anomalies"),),
+    ),
+    "aggregates": Layout(
+        schemas.AGGREGATES, schemas.AGGREGATE_KEY, "date", "window_start",
+        about="statistics of closed windows",
+        fed_by=(("measurements", "rolling_stats"),),
+    ),
+    "daily_summaries": Layout(
+        schemas.DAILY_SUMMARIES, schemas.SUMMARY_KEY, "summary_date",
+        about="a sensor's day",
+        fed_by=(("measurements", "daily_summary"), ("anomalies", "daily_summary")),
+    ),
     "quality_metrics": Layout(
-        schemas.QUALITY_METRICS, ("table_name", "pipeline_date"), "pipeline_date"
+        schemas.QUALITY_METRICS, ("table_name", "pipeline_date"), "pipeline_date",
+        about="row counts, null rates and ages",
+        fed_by=(("measurements", "quality_gate"),),
+    ),
+    "heartbeat_deltas": Layout(
+        schemas.HEARTBEAT_DELTAS, ("pipeline_date", "batch_id"), "pipeline_date",
+        about="what each batch added",
+        fed_by=(("messages", "heartbeat_delta"),),
     ),
-    "heartbeat_deltas": Layout(schemas.HEARTBEAT_DELTAS, ("pipeline_date", "batch_id"), "batch_id"),
-    # By date first: a batch looks for repeats in the days it touches only.
     "raw_archive": Layout(
-        _ARCHIVE, schemas.MEASUREMENT_KEY, "date", "timestamp", below=("batch_id",)
+        _ARCHIVE, schemas.MEASUREMENT_KEY, "date", "timestamp",
+        about="accepted messages as they came",
+        fed_by=(("messages", "ingest_batch"),),
+    ),
+    "quarantine": Layout(
+        _QUARANTINE, (), BATCH_RANGE,
+        about="messages that were turned away",
+        fed_by=(("messages", "quarantine"),),
     ),
-    "quarantine": Layout(_QUARANTINE, (), "batch_id"),
-}
+}
 
 
 class TableStore:
@@ -82,18 +111,27 @@ class TableStore:
 
     def read(self, name: str, schema: T.StructType | None = None) -> DataFrame:
         """The table, empty when nothing was written yet."""
-        schema = schema or self.layouts[name].stored
+        layout = self.layouts[name]
+        schema = schema or layout.stored
         try:
-            return self.spark.read.schema(schema).parquet(self.path(name))
+            found = self.spark.read.schema(schema).parquet(self.path(name))
         except AnalysisException as error:
             if error.getCondition() != "PATH_NOT_FOUND":
                 raise
-            return self.spark.createDataFrame([], schema)
+            found = self.spark.createDataFrame([], schema)
+        if layout.derive and layout.partition in schema.names:
+            # Filters on the timestamp find the date partition by this mark.
+            return found.withMetadata(layout.partition, {DAY_OF: layout.derive})
+        return found
 
     def _partitioned(self, name: str, df: DataFrame) -> DataFrame:
         layout = self.layouts[name]
         if layout.derive:
             df = df.withColumn(layout.partition, F.to_date(layout.derive))
+        if layout.partition == BATCH_RANGE:
+            df = df.withColumn(BATCH_RANGE, F.floor(F.col("batch_id") / BATCHES_PER_RANGE))
+        if "created_at" in layout.stored.names and "created_at" not in df.columns:
+            df = df.withColumn("created_at", F.current_timestamp())
         for f in layout.stored.fields:
             if f.name not in df.columns:
                 df = df.withColumn(f.name, F.lit(None).cast(f.dataType))
@@ -110,12 +148,12 @@ class TableStore:
     def _write(self, name: str, df: DataFrame, mode: str) -> None:
         """Rebalanced by partition value: few files per day, and a day that holds most of the
         batch is split over several tasks."""
-        columns = self.layouts[name].partitions
+        column = self.layouts[name].partition
         (
-            df.hint("rebalance", *(F.col(c) for c in columns))
+            df.hint("rebalance", F.col(column))
             .write.mode(mode)
             .option("partitionOverwriteMode", "dynamic")
-            .partitionBy(*columns)
+            .partitionBy(column)
             .parquet(self.path(name))
         )
 
@@ -126,7 +164,7 @@ class TableStore:
         self, name: str, df: DataFrame, arrival: tuple[str, ...] | None = None
     ) -> None:
         """Existing keys win; writing the same batch twice adds nothing."""
-        rows = self._partitioned(name, df)
+        rows = cut_lineage(self._partitioned(name, df))  # computed once, read twice
         values = self._touched(name, rows)
         if values:
             existing = self._existing(name, values)
@@ -134,7 +172,7 @@ class TableStore:
 
     def upsert_replace(self, name: str, df: DataFrame) -> None:
         """Incoming keys win; other rows of the touched partitions are kept."""
-        rows = self._partitioned(name, df)
+        rows = cut_lineage(self._partitioned(name, df))  # computed once, read twice
         values = self._touched(name, rows)
         if values:
             merged = upsert_replace(self._existing(name, values), rows, self.layouts[name].key)
@@ -143,3 +181,16 @@ class TableStore:
     def replace_partitions(self, name: str, df: DataFrame) -> None:
         """The partitions present in ``df`` are replaced as a whole."""
         self._write(name, self._partitioned(name, df), "overwrite")
+
+    def insert_batch(self, name: str, df: DataFrame, batch_id: int) -> None:
+        """Rows of a batch, unless the table has rows of that batch already."""
+        rows = self._partitioned(name, df.withColumn("batch_id", F.lit(batch_id).cast("long")))
+        here = F.col("batch_id") == batch_id
+        if self.layouts[name].partition == BATCH_RANGE:
+            here &= F.col(BATCH_RANGE) == batch_id // BATCHES_PER_RANGE
+        if self.read(name).filter(here).isEmpty():
+            self._write(name, rows, "append")
+
+    def compact(self, name: str, values: list) -> None:
+        """Rewrite whole partitions, of closed days for instance, as few large files."""
+        self._write(name, self._existing(name, values), "overwrite")

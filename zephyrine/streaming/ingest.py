@@ -70,17 +70,16 @@ def ingest_batch(
             publish(events.drop("raw_payload", "created_at"), batch_id)
 
         beats = heartbeat_delta(accepted).withColumn("batch_id", batch)
-        store.replace_partitions("heartbeat_deltas", beats)
+        store.upsert_replace("heartbeat_deltas", beats)
 
         lost = unknown.select(
             F.lit("unknown_sensor").alias("reason"), F.col("value").alias("raw_payload")
         )
-        kept_aside = quarantine(rejected).unionByName(lost).withColumn("batch_id", batch)
-        store.replace_partitions("quarantine", kept_aside)
+        store.insert_batch("quarantine", quarantine(rejected).unionByName(lost), batch_id)
 
         # Last, so that later batches treat these keys as repeats only once all is written.
-        archived = watched.select("sensor_id", "timestamp", "value", "date")
-        store.replace_partitions("raw_archive", archived.withColumn("batch_id", batch))
+        archived = watched.select("sensor_id", "timestamp", "value").withColumn("batch_id", batch)
+        store.insert_ignore("raw_archive", archived)
     finally:
         unique.unpersist()
 
