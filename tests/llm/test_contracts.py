@@ -5,7 +5,7 @@ from itertools import pairwise
 
 import brute
 import pytest
-from conftest import benchmark, documents, pages
+from small_tables import benchmark, documents, pages
 
 from zephyrine.llm import licenses, linerules
 from zephyrine.llm.oracles import ORACLES
