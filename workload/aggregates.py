@@ -798,7 +798,8 @@ def scale_features(w: World) -> DataFrame:
 @query(
     with_tables("qm")
     + f"""select table_name, cast(pipeline_date as varchar) as pipeline_date, row_count, null_rate,
-    freshness_minutes, schema_drift from qm where pipeline_date >= date '{AS_OF[:10]}' - 7"""
+    freshness_minutes, schema_drift from qm where pipeline_date >= date '{AS_OF[:10]}' - 7
+    and table_name = 'measurements'"""
 )
 def recent_quality(w: World) -> DataFrame:
     return quality.recent_quality(w.quality_metrics, AS_OF, 7, "measurements")

@@ -7,6 +7,7 @@ from workload import (  # noqa: F401
     sinks,
     streams,
     tables_and_filters,
+    windows_and_models,
 )
 from workload.registry import ORACLES, QUERIES
 

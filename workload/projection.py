@@ -165,15 +165,20 @@ class World:
 
     @cached_property
     def quality_metrics(self) -> DataFrame:
-        daily = quality_gate_by_day(self.measurements)
-        return daily.select(
-            F.lit("measurements").alias("table_name"),
-            "pipeline_date",
-            F.col("total").alias("row_count"),
-            "null_rate",
-            F.lit(0).alias("freshness_minutes"),
-            F.lit(False).alias("schema_drift"),
-        )
+        """Of all readings, and of those with a charged battery as a second table."""
+
+        def daily(name: str, readings: DataFrame) -> DataFrame:
+            return quality_gate_by_day(readings).select(
+                F.lit(name).alias("table_name"),
+                "pipeline_date",
+                F.col("total").alias("row_count"),
+                "null_rate",
+                F.lit(0).alias("freshness_minutes"),
+                F.lit(False).alias("schema_drift"),
+            )
+
+        charged = self.measurements.filter("battery_level > 50")
+        return daily("measurements", self.measurements).unionByName(daily("charged", charged))
 
     @cached_property
     def model_runs(self) -> DataFrame:
@@ -308,7 +313,10 @@ CTES: dict[str, tuple[tuple[str, ...], str]] = {
         ("m",),
         """select 'measurements' as table_name, cast("timestamp" as date) as pipeline_date,
             count(*) as row_count, count(*) filter (where pm2_5 is null) / count(*) as null_rate,
-            0 as freshness_minutes, false as schema_drift from m group by 2""",
+            0 as freshness_minutes, false as schema_drift from m group by 2
+            union all select 'charged', cast("timestamp" as date), count(*),
+            count(*) filter (where pm2_5 is null) / count(*), 0, false
+            from m where battery_level > 50 group by 2""",
     ),
     "runs": (
         (),

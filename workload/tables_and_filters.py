@@ -209,7 +209,7 @@ def select_available(w: World) -> DataFrame:
     return features.select_available(w.measurements, wanted, keep=("event_id",))
 
 
-@query(with_tables("qm") + "select cast(pipeline_date as varchar) as pipeline_date, row_count from qm")
+@query(with_tables("qm") + "select cast(pipeline_date as varchar) as pipeline_date, row_count from qm where table_name = 'measurements'")
 def optional_filter(w: World) -> DataFrame:
     wanted = {"table_name": "measurements", "schema_drift": None}
     return quality.optional_filter(w.quality_metrics, wanted).select("pipeline_date", "row_count")
