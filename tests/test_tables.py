@@ -4,6 +4,7 @@ import os
 from pyspark.sql import functions as F
 
 from tests.conftest import rows
+from zephyrine import session
 from zephyrine.functions import moments
 from zephyrine.operators import filters, quality, summaries, upsert
 from zephyrine.sources.tables import TableStore
@@ -135,3 +136,10 @@ def test_upsert_add(spark):
         ("x", 7, 3),
         ("y", 1, 1),
     ]
+
+
+def test_scratch_folders_can_be_removed(spark):
+    place = session.scratch_path(spark, "test")
+    spark.range(3).write.parquet(f"{place}/rows")
+    assert os.path.isdir(place.removeprefix("file:"))
+    assert session.clean_scratch(spark) >= 1 and not os.path.isdir(place.removeprefix("file:"))

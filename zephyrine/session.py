@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import atexit
+import shutil
 import tempfile
 import uuid
 
@@ -32,13 +34,30 @@ def shared_dir(spark: SparkSession) -> str:
     if not spark.sparkContext.master.startswith("local"):
         raise RuntimeError("set spark.checkpoint.dir to a folder every executor can reach")
     made = tempfile.mkdtemp(prefix="zephyrine-")
+    atexit.register(shutil.rmtree, made, ignore_errors=True)
     spark.conf.set("spark.checkpoint.dir", made)
     return made
 
 
+_scratch: list[str] = []
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh path under the shared folder."""
-    return f"{shared_dir(spark)}/zephyrine/{name}-{uuid.uuid4().hex}"
+    path = f"{shared_dir(spark)}/zephyrine/{name}-{uuid.uuid4().hex}"
+    _scratch.append(path)
+    return path
+
+
+def clean_scratch(spark: SparkSession) -> int:
+    """Delete the scratch folders this process made; call it when their results are no longer read."""
+    made = spark.sparkContext._jvm.org.apache.hadoop.fs.Path
+    settings = spark.sparkContext._jsc.hadoopConfiguration()
+    removed = 0
+    while _scratch:
+        path = made(_scratch.pop())
+        removed += path.getFileSystem(settings).delete(path, True)
+    return removed
 
 
 def cut_lineage(df: DataFrame) -> DataFrame:
