@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from pyspark.ml import PipelineModel
+from pyspark.ml.feature import SQLTransformer, VectorAssembler
+from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -16,7 +19,8 @@ from zephyrine.session import cut_lineage, scratch_path
 from zephyrine.sources.declared import CatalogStore
 from zephyrine.sources.model_store import ModelStore
 from zephyrine.sources.tables import TableStore
-from zephyrine.streaming.windows import start_rolling_stats
+from zephyrine.streaming.scoring import score_stream
+from zephyrine.streaming.windows import run_to_table, start_rolling_stats
 
 _ROUNDED = ("pm2_5_std", "pm10_std", "no2_std")
 
@@ -216,3 +220,84 @@ def write_catalog_tables(w: World) -> DataFrame:
     for _ in range(2):
         store.upsert("data_sources", rows)
     return store.read("data_sources").drop("version")
+
+
+def _fixed_models() -> tuple[PipelineModel, dict[str, PipelineModel]]:
+    """A classifier and a forecaster with given coefficients, so that scores are an expression."""
+    odds = "1 / (1 + exp(2D - coalesce(pm2_5, 0D) / 64D))"
+    classifier = PipelineModel(
+        [
+            SQLTransformer(statement=f"SELECT *, 1 - {odds} AS _x_no, {odds} AS _x_yes FROM __THIS__"),
+            VectorAssembler(inputCols=["_x_no", "_x_yes"], outputCol="probability"),
+        ]
+    )
+    forecaster = PipelineModel(
+        [SQLTransformer(statement="SELECT *, coalesce(no2, 0D) * 0.5D + 1D AS prediction FROM __THIS__")]
+    )
+    return classifier, {"no2": forecaster}
+
+
+_SCORED = """select sensor_id, "timestamp", round(1 / (1 + exp(2 - coalesce(pm2_5, 0) / 64.0)), 9) as anomaly_probability,
+    1 / (1 + exp(2 - coalesce(pm2_5, 0) / 64.0)) > 0.5 as is_anomaly, null::double as pm2_5_forecast,
+    coalesce(no2, 0) * 0.5 + 1 as no2_forecast, 'fixed' as model_name, '1' as model_version from """
+
+
+@query(_SCORED + f"({ORACLES['build_feature_matrix']})")
+def score_fixed(w: World) -> DataFrame:
+    """Batch scoring of the feature matrix with given coefficients."""
+    classifier, forecasters = _fixed_models()
+    scored = scoring.score_batch(_matrix(w), classifier, forecasters, "fixed", "1")
+    return rounded(scored, 9, "anomaly_probability")
+
+
+@query(with_tables("m", "s") + _SCORED + "m join s using (sensor_id)")
+def stream_score_fixed(w: World) -> DataFrame:
+    """The event stream scored with given coefficients of the reading itself."""
+    classifier, forecasters = _fixed_models()
+    stream = w.event_stream.join(w.sensors.select("sensor_id", "zone"), "sensor_id")
+    scored = score_stream(stream, classifier, forecasters, "fixed", "1")
+    place = scratch_path(w.spark, "scores")
+    found = run_to_table(scored, f"{place}/out", f"{place}/checkpoint")
+    return rounded(found, 9, "anomaly_probability")
+
+
+@query(
+    f"""with d as (select pm2_5, target from ({ORACLES["build_forecast_dataset"]})),
+    k as (select count(*) as n, avg(pm2_5) as m, stddev_pop(pm2_5) as s, avg(target) as t from d)
+    select round(any_value(t), 6) as intercept,
+    round(sum((pm2_5 - m) / s * (target - t)) / (any_value(n) + 1), 6) as slope from d cross join k"""
+)
+def ridge_one_feature(w: World) -> DataFrame:
+    """Ridge on the z-score of one feature has a closed form."""
+    data = cut_lineage(features.build_forecast_dataset(_matrix(w), "no2"))
+    fitted = models.train_ridge(data, columns=("pm2_5",), alpha=1.0).stages[-1]
+    row = (round(float(fitted.intercept), 6), round(float(fitted.coefficients[0]), 6))
+    return w.spark.createDataFrame([row], "intercept double, slope double")
+
+
+@query(
+    f"""select count(*) as n, round(avg(label), 3) as label_rate, round(avg(label), 3) as mean_probability
+    from ({ORACLES["generate_labels"]})"""
+)
+def logistic_calibration(w: World) -> DataFrame:
+    """At its optimum a logistic regression predicts the label rate on average."""
+    labelled = cut_lineage(features.generate_labels(w.measurements))
+    model = models.train_logistic(labelled, columns=("pm2_5", "pm10", "no2"))
+    yes = vector_to_array("probability")[1]
+    return model.transform(labelled).agg(
+        F.count("*").alias("n"),
+        F.round(F.avg("label"), 3).alias("label_rate"),
+        F.round(F.avg(yes), 3).alias("mean_probability"),
+    )
+
+
+@query("select 2::bigint as features, 1.0::double as total, true as all_positive")
+def importance_shares(w: World) -> DataFrame:
+    """Importances of a forest are shares: not negative, one in total."""
+    labelled = cut_lineage(features.generate_labels(w.measurements))
+    model = models.train_random_forest(labelled, columns=("pm2_5", "pm10"), trees=10, depth=4)
+    return models.feature_importances(w.spark, model).agg(
+        F.count("*").alias("features"),
+        F.round(F.sum("importance"), 6).alias("total"),
+        F.bool_and(F.col("importance") >= 0).alias("all_positive"),
+    )
