@@ -15,6 +15,8 @@ do not matter.
 from __future__ import annotations
 
 from dataclasses import dataclass
+from functools import reduce
+from operator import or_
 
 import numpy as np
 import pandas as pd
@@ -22,8 +24,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from zephyrine.llm.text import BLANKS, blank_word_array, carried, line_array, lower_ascii, replace_text
+from zephyrine.llm.text import BLANK_CHARS, blank_word_array, carried, let, line_array, lower_ascii, replace_text
 
+SYMBOLS = b"#*$%&|<>"
 #: What makes a word noisy: a pair of symbols or of exclamation marks.
 NOISY = r"[#*$%&<>]{2}|!!"
 #: A bar or arrow that ends a piece of a navigation line.
@@ -66,7 +69,9 @@ def _failing(text: Column, words: Column, rules: Rules) -> Column:
     n = F.size(words)
     noisy = F.size(F.filter(words, lambda w: w.rlike(NOISY)))
     pieces = F.regexp_count(text, F.lit(PIECE_END)) + 1
-    furniture = lower_ascii(text).rlike("|".join(BOILERPLATE))
+    furniture = let(
+        lower_ascii(text), lambda folded: reduce(or_, (folded.contains(p) for p in BOILERPLATE))
+    )
     return (n > 0) & (
         (noisy >= F.greatest(n * rules.noisy_words, F.lit(2)))
         | ((pieces >= rules.bar_pieces) & (n / pieces <= rules.piece_words))
@@ -75,9 +80,8 @@ def _failing(text: Column, words: Column, rules: Rules) -> Column:
     )
 
 
-def repeated_window_words(text: bytes | None, width: int = 3) -> int:
+def repeated_window_words(words: list[bytes], width: int = 3) -> int:
     """Words inside windows of ``width`` words that occur more than once in the text."""
-    words = (text or b"").split()
     last = len(words) - width + 1
     if last < 2:
         return 0
@@ -95,9 +99,20 @@ def repeated_window_words(text: bytes | None, width: int = 3) -> int:
     return int((np.cumsum(step[:-1]) > 0).sum())
 
 
-@F.pandas_udf(T.LongType())
-def _repeat_words(texts: pd.Series) -> pd.Series:
-    return pd.Series([repeated_window_words(t) for t in texts], dtype="int64")
+def text_counts(text: bytes) -> tuple[int, int, int, int]:
+    """(n_words, word_chars, n_symbols, n_repeat_words) of a whole text."""
+    words = text.split()
+    blanks = len(text) - len(text.translate(None, BLANK_CHARS.encode()))
+    symbols = len(text) - len(text.translate(None, SYMBOLS))
+    return len(words), len(text.decode()) - blanks, symbols, repeated_window_words(words)
+
+
+_COUNTS = ("n_words", "word_chars", "n_symbols", "n_repeat_words")
+
+
+@F.pandas_udf(T.StructType([T.StructField(name, T.LongType()) for name in _COUNTS]))
+def _text_counts(texts: pd.Series) -> pd.DataFrame:
+    return pd.DataFrame([text_counts(t) for t in texts], columns=_COUNTS, dtype="int64")
 
 
 def judge_quality(
@@ -113,8 +128,7 @@ def judge_quality(
     )
     split = base.select(
         "*",
-        F.size(blank_word_array(F.col("body"))).cast("long").alias("n_words"),
-        _repeat_words(F.col("body").cast("binary")).alias("n_repeat_words"),
+        _text_counts(F.col("body").cast("binary")).alias("counts"),
         F.transform(
             line_array(F.col("body")),
             lambda x: F.struct(x.alias("line"), blank_word_array(x).alias("words")),
@@ -132,19 +146,18 @@ def judge_quality(
         ),
     )
     worded = F.filter("lines", lambda x: x["n"] > 0)["line"]
-    symbols = F.length("body") - F.length(F.translate("body", "#*$%&|<>", ""))
     failed = F.filter("lines", lambda x: x["fails"])
     lost = F.aggregate(failed, F.lit(0).cast("long"), lambda total, x: total + x["n"])
-    too_few = F.col("n_words") < rules.min_words
-    repeats = 100 * F.col("n_repeat_words") > rules.max_repeat_percent * F.col("n_words")
+    too_few = F.col("counts.n_words") < rules.min_words
+    repeats = 100 * F.col("counts.n_repeat_words") > rules.max_repeat_percent * F.col("counts.n_words")
     counted = judged.select(
         "row",
         "key_id",
-        "n_words",
-        F.length(F.regexp_replace("body", BLANKS, "")).cast("long").alias("word_chars"),
-        symbols.cast("long").alias("n_symbols"),
+        "counts.n_words",
+        "counts.word_chars",
+        "counts.n_symbols",
         (F.size(worded) - F.size(F.array_distinct(worded))).cast("long").alias("n_dup_lines"),
-        "n_repeat_words",
+        "counts.n_repeat_words",
         (too_few | repeats).alias("base_failed"),
         F.size(failed).cast("long").alias("n_failed_lines"),
         lost.alias("n_lost_words"),

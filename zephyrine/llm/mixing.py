@@ -123,6 +123,7 @@ def mix(
     max_repeats: float | None = 4.0,
     block_tokens: int = 1 << 17,
     seed: int = 17,
+    broadcast_rows: int = 1 << 20,
 ) -> DataFrame:
     """(key_id, source, n_tokens, weight, epoch, block, place) per placed copy of a document."""
     tokens = cut_lineage(
@@ -134,7 +135,9 @@ def mix(
     )
     quotas, budget = source_quotas(tokens, budget_share, entropy_share, max_repeats)
     blocks = max(1, -(-budget // block_tokens))
-    quotas = F.broadcast(quotas.withColumnRenamed("source", "s"))  # one row per source
+    quotas = quotas.withColumnRenamed("source", "s")
+    if quotas.count() <= broadcast_rows:  # one row per source
+        quotas = F.broadcast(quotas)
     known = tokens.join(quotas, F.col("source").eqNullSafe(F.col("s")), "left").drop("s")
     whole = F.floor(F.col("quota") / F.col("source_tokens"))
     known = known.fillna({"source_tokens": 0, "quota": 0, "weight": 0.0}).withColumn(
