@@ -133,6 +133,15 @@ def test_held_out_quality(spark):
     assert scores[0] == scores[1]
 
 
+def test_repeated_documents_are_learned_from_once(spark):
+    folder = "/root/testdata/sf0.001"
+    docs, labels = (spark.read.parquet(f"{folder}/{t}.parquet") for t in ("documents", "labels"))
+    some = docs.filter("doc_id % 3 = 0")
+    once, often = (fm.train(d, labels) for d in (docs, docs.unionByName(some).unionByName(some)))
+    assert once[0] == often[0]
+    assert all((a == b).all() for a, b in zip(once[1:], often[1:], strict=True))
+
+
 def test_no_labels_give_the_prior(spark, tables, empty_tables):
     docs, labels = spark.read.parquet(f"{tables}/documents.parquet"), spark.read.parquet(f"{empty_tables}/labels.parquet")
     rows = fm.score_quality(docs, fm.train(docs, labels)).collect()

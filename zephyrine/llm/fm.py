@@ -10,7 +10,8 @@ Training takes labelled rows outside the held-out fold, at most about ``sample_r
 chosen by a hash of the id.  One Spark task fits the bounded sample; the model (a few thousand
 numbers) comes back and scores all documents in Arrow batches.
 
-Conflicting labels of an id are averaged.  Without labels every score is the prior 0.5.  Empty and
+Conflicting labels of an id are averaged.  Of documents with equal ids one is learned from, so that a
+repeated id adds nothing to the sample.  Without labels every score is the prior 0.5.  Empty and
 null texts have the features of an empty text and get its score.  Null ids are never held out.
 """
 
@@ -170,6 +171,7 @@ def train(
 
     rows = _inputs(docs, id, text, size).join(known, "key_id")
     sample = rows.mapInArrow(vectors, "key_id long, y int, x binary")
+    sample = sample.groupBy("key_id").agg(F.max("y").alias("y"), F.min("x").alias("x"))
     model = sample.withColumn("one", F.lit(0)).groupBy("one").applyInArrow(fitted, "model array<double>").collect()
     flat = np.array(model[0]["model"] if model else np.zeros(1 + WIDTH * (1 + FACTORS)), np.float32)
     return float(flat[0]), flat[1 : 1 + WIDTH], flat[1 + WIDTH :].reshape(WIDTH, FACTORS)

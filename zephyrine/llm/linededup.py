@@ -1,15 +1,14 @@
-"""Line deduplication by a sharded minimal perfect hash over repeated line hashes.
+"""Line deduplication by a sharded minimal perfect hash over distinct line hashes.
 
 1. Each line's key (stripped, A-Z lower-cased) is hashed twice: ``h`` places it, ``check`` proves
    it.  Distinct documents per key are counted over the whole corpus; a key of a third of all
    documents is counted in partial sums.
-2. The distinct keys that repeat often enough are split into shards by ``h``.  A shard's minimal
-   perfect hash is a cascade of bit arrays (Limasset et al. 2017): a key alone at its place in a
+2. The distinct keys are split into shards by ``h``.  A shard's minimal perfect hash is a cascade of bit arrays (Limasset et al. 2017): a key alone at its place in a
    level is settled, the others fall to the next level; its rank among settled places is its
    slot.  Slots index compact arrays of fingerprints, counts and the document that keeps the line.
 3. Documents probe: their line hashes travel to the shard, in groups of bounded size (a shard that
    a hot line makes large is copied to as many groups as it needs), and come back as line numbers
-   to drop.  Line texts are never joined.
+   to drop, by the count and the keeper found at the key's slot.  Line texts are never joined.
 
 A key counts once per document id.  The document with the largest id keeps all its copies of the
 line; null ids count as one document that never keeps.  Null and empty texts are one empty line.
@@ -81,24 +80,28 @@ def _build(table: pa.Table) -> pa.Table:
     return pa.table({k: pa.array(v, t) for (k, v), t in zip(row.items(), kinds, strict=True)})
 
 
-def _load(row: dict) -> tuple[list[np.ndarray], np.ndarray, np.ndarray]:
+def _load(row: dict) -> tuple[list[np.ndarray], np.ndarray, np.ndarray, np.ndarray]:
     bits, levels, at = np.frombuffer(row["bits"], np.uint8), [], 0
     for size in row["level_bits"]:
         width = -(-size // 8)
         levels.append(np.unpackbits(bits[at : at + width], count=size).astype(bool))
         at += width
-    return levels, np.frombuffer(row["checks"], np.int64), np.frombuffer(row["keepers"], np.int64)
+    kinds = {"checks": np.int64, "counts": np.int32, "keepers": np.int64}
+    return levels, *(np.frombuffer(row[name], kind) for name, kind in kinds.items())
 
 
-def _probe(probes: pa.Table, index: pa.Table) -> pa.Table:
-    """Probes of one group whose key is in the shard and kept by another document."""
+def _probe(probes: pa.Table, index: pa.Table, min_docs: int) -> pa.Table:
+    """Probes of one group whose key is counted often enough and kept by another document."""
     names = ["key_id", "key_hash", "line_no"]
     if not probes.num_rows or not index.num_rows:
         return probes.select(names).slice(0, 0)
-    levels, checks, keepers = _load(index.select(["level_bits", "bits", "checks", "keepers"]).to_pylist()[0])
+    levels, checks, counts, keepers = _load(
+        index.select(["level_bits", "bits", "checks", "counts", "keepers"]).to_pylist()[0]
+    )
     slot = slots(probes.column("h").to_numpy().view(np.uint64), levels)
     known = slot >= 0
     known[known] = checks[slot[known]] == probes.column("check").to_numpy()[known]
+    known[known] = counts[slot[known]] >= min_docs
     own = probes.column("key_id")
     lose = known.copy()
     lose[known] = keepers[slot[known]] != own.fill_null(0).to_numpy()[known]
@@ -125,14 +128,13 @@ def line_hashes(docs: DataFrame, id: str, text: str, min_chars: int) -> DataFram
     )
 
 
-def repeated_keys(lines: DataFrame, min_docs: int) -> DataFrame:
-    """(h, check, n_docs, keeper) of the keys found in at least ``min_docs`` documents."""
+def key_counts(lines: DataFrame) -> DataFrame:
+    """(h, check, n_docs, keeper) of each distinct key."""
     return (
         lines.select("h", "check", "key_id")
         .distinct()
         .groupBy("h", "check")
         .agg(F.count("*").cast("int").alias("n_docs"), F.max("key_id").alias("keeper"))
-        .filter(F.col("n_docs") >= min_docs)
         .withColumn("keeper", F.coalesce("keeper", F.lit(0)))
     )
 
@@ -141,9 +143,9 @@ def build_index(keys: DataFrame, shards: int) -> DataFrame:
     """One row per shard: the cascade and its arrays.
 
     Keys that share ``h`` but not ``check`` cannot both be slots; a collision of 64 bits is
-    settled by keeping the smaller ``check`` in the arrays.
+    settled by keeping the one found in more documents in the arrays.
     """
-    alone = keys.groupBy("h").agg(F.min(F.struct("check", "n_docs", "keeper")).alias("k"))
+    alone = keys.groupBy("h").agg(F.max(F.struct("n_docs", "check", "keeper")).alias("k"))
     return (
         alone.select("h", "k.*", F.pmod("h", F.lit(shards)).alias("shard"))
         .groupBy("shard")
@@ -162,7 +164,7 @@ def dropped_lines(
 ) -> DataFrame:
     """(key_id, key_hash, line_no): the lines that documents lose."""
     lines = cut_lineage(line_hashes(docs, id, text, min_chars))
-    keys = cut_lineage(repeated_keys(lines, min_docs))
+    keys = cut_lineage(key_counts(lines))
     shards = max(1, -(-keys.count() // keys_per_shard))
     index = build_index(keys, shards)
     probes = lines.withColumn("shard", F.pmod("h", F.lit(shards)))
@@ -175,12 +177,16 @@ def dropped_lines(
     )
     copies = index.join(parts, "shard").select(
         "shard", F.explode(F.sequence(F.lit(0).cast("long"), F.col("parts").cast("long") - 1)).alias("part"),
-        "level_bits", "bits", "checks", "keepers",
+        "level_bits", "bits", "checks", "counts", "keepers",
     )
+
+    def probe(some: pa.Table, arrays: pa.Table) -> pa.Table:
+        return _probe(some, arrays, min_docs)
+
     return (
         dealt.groupBy("shard", "part")
         .cogroup(copies.groupBy("shard", "part"))
-        .applyInArrow(_probe, "key_id long, key_hash long, line_no int")
+        .applyInArrow(probe, "key_id long, key_hash long, line_no int")
     )
 
 
