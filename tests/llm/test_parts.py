@@ -222,6 +222,36 @@ def test_training_raises_the_likelihood(spark):
     assert mean(pseudolm.train(docs, own)) > mean(pseudolm.new_model()) + 0.3
 
 
+@pytest.mark.parametrize("near", [0, 3, 1000])
+def test_word_probabilities_follow_the_corpus_counts(spark, near):
+    text = "common " * 9 + "rare seen seen " + " ".join(f"w{n} w{n}" for n in range(30))
+    docs = spark.createDataFrame([(1, text), (1, text), (2, None)], "doc_id long, text string")
+    counts = pseudolm.word_counts(docs)
+    own = pseudolm.frequent_words(docs, count=1, counts=counts)
+    assert own == {b"common": 0}
+    tally, model = {r.word: r["count"] for r in counts.collect()}, pseudolm.new_model()
+    probes = ["rare", "seen", "Common", "never-seen-garbage", "", "w3 common rare rare", *(f"w{n}" for n in range(30))]
+    asked = spark.createDataFrame(list(enumerate(probes)), "doc_id long, text string")
+    rows = pseudolm.score_documents(asked, model, own, counts=counts, near=near).collect()
+    found = {probes[r.key_id]: (r.n_tokens, r.log_likelihood) for r in rows}
+    classes = {}
+    for w, n in tally.items():
+        if w != "common":
+            number = int(pseudolm.token_numbers(w.encode(), own)[0])
+            classes[number] = classes.get(number, 0) + n
+    for probe in probes:
+        numbers = pseudolm.token_numbers(probe.encode(), own)
+        log = 0.0
+        if len(numbers):
+            log = float(pseudolm.log_probabilities(model, pseudolm.windows(numbers), numbers).sum())
+        for w, number in zip(probe.lower().split(), numbers, strict=True):
+            if w != "common":
+                share = tally[w] if w in tally else 257.0 ** -(len(w) + 1)
+                log += np.log(share / (classes.get(int(number), 0) + 1))
+        assert found[probe] == (len(numbers), pytest.approx(log, abs=1e-4))
+    assert len(rows) == len(probes)
+
+
 def test_colliding_digests_are_confirmed_by_their_strings(monkeypatch):
     names = sorted([b"com/", b"net/", b"org/"])
     part = (

@@ -3,8 +3,14 @@
 A token is a word, lower-cased.  The most frequent words of the whole corpus have numbers of their
 own, all others share hashed numbers.  For each position the embeddings of the tokens on both sides
 (the position itself is masked) pass a hidden layer; the number is predicted in two halves, the
-high one first and the low one given the high one, each by a softmax.  The document's score is the
-sum of the conditional log-probabilities of all its tokens.
+high one first and the low one given the high one, each by a softmax.  A number that words share is
+only a class: the word has its share of the class's count in the corpus.  One more unit of the count
+is left to words the corpus doesn't have, divided by their spelling, so that the probabilities of all
+words at a position sum to 1 at most.  The document's score is the sum of the conditional
+log-probabilities of all its tokens.
+
+The counts of all words are a stored table.  The most frequent of them go to the tasks, where most
+tokens are looked up; all other words meet the table in a shuffled join.
 
 Training covers all documents: every task masks a share of the positions of each of its documents,
 chosen by a hash, and trains a numpy copy of the network on them by Adagrad; Spark averages the copies,
@@ -17,6 +23,7 @@ network scores.  Repeated rows train twice and score alike.
 
 from __future__ import annotations
 
+import math
 import zlib
 from collections.abc import Iterator
 
@@ -26,10 +33,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from zephyrine.llm.text import blank_word_array, carried, lower_ascii
+from zephyrine.session import scratch_path
 
 HALF = 32
 VOCABULARY = HALF * HALF  # numbers of tokens; one more stands for the edge of the text
 OWN = VOCABULARY // 2  # numbers kept for the most frequent words
+NEAR = 1 << 16  # words of shared numbers whose counts go to the tasks; the others are joined
 SIDE = 2  # tokens seen on each side
 EMBED, HIDDEN = 8, 16
 _SHAPES = {
@@ -63,11 +72,14 @@ def _shaped(flat: np.ndarray) -> dict[str, np.ndarray]:
     return {k: p.reshape(s) for (k, s), p in zip(_SHAPES.items(), parts, strict=True)}
 
 
+def word_numbers(words: list[bytes], own: dict[bytes, int]) -> np.ndarray:
+    spread, crc = VOCABULARY - OWN, zlib.crc32
+    return np.array([own[w] if w in own else OWN + crc(w) % spread for w in words], np.int64)
+
+
 def token_numbers(text: bytes | None, own: dict[bytes, int]) -> np.ndarray:
     """Numbers of all words of a text."""
-    spread, crc = VOCABULARY - OWN, zlib.crc32
-    found = [own[w] if w in own else OWN + crc(w) % spread for w in (text or b"").lower().split()]
-    return np.array(found, np.int64)
+    return word_numbers((text or b"").lower().split(), own)
 
 
 def windows(numbers: np.ndarray) -> np.ndarray:
@@ -150,13 +162,45 @@ class Trainer:
                 self.model[name] -= self.rate * g / np.sqrt(self.past[name])
 
 
-def frequent_words(docs: DataFrame, text: str = "text", count: int = OWN) -> dict[bytes, int]:
-    """Numbers of the ``count`` most frequent words, counted over all documents."""
+def word_counts(docs: DataFrame, text: str = "text") -> DataFrame:
+    """(word, count) of every word of all documents, stored."""
     words = docs.select(F.explode(blank_word_array(lower_ascii(F.col(f"`{text}`")))).alias("word"))
-    top = words.groupBy("word").count().orderBy(F.desc("count"), "word").limit(count).collect()
+    path = scratch_path(docs.sparkSession, "words")
+    words.groupBy("word").count().write.parquet(path)
+    return docs.sparkSession.read.parquet(path)
+
+
+def frequent_words(
+    docs: DataFrame, text: str = "text", count: int = OWN, counts: DataFrame | None = None
+) -> dict[bytes, int]:
+    """Numbers of the ``count`` most frequent words, counted over all documents."""
+    counts = word_counts(docs, text) if counts is None else counts
+    top = counts.orderBy(F.desc("count"), "word").limit(count).collect()
     return {r["word"].encode(): n for n, r in enumerate(top)}
 
 
+def unseen_log_share(size: int) -> float:
+    """Logarithm of an unseen word's part of the unit left to all of them; ``size`` is in bytes.
+
+    Every byte and the end are one of 257 signs, so the parts of all spellings sum to 1.
+    """
+    return -(size + 1) * math.log(257)
+
+
+def shared_counts(
+    counts: DataFrame, own: dict[bytes, int], near: int = NEAR
+) -> tuple[DataFrame, np.ndarray, dict[bytes, int]]:
+    """Counts of the words that share numbers: (word, count), the sum of each shared number, the largest."""
+    spread = VOCABULARY - OWN
+    shared = counts.filter(~F.col("word").isin([w.decode() for w in own])) if own else counts
+    totals = np.zeros(spread)
+    number = (F.crc32(F.col("word").cast("binary")) % spread).alias("number")
+    for r in shared.groupBy(number).agg(F.sum("count").alias("n")).collect():
+        totals[r["number"]] = r["n"]
+    top = shared.orderBy(F.desc("count"), "word").limit(near).collect()
+    return shared, totals, {r["word"].encode(): r["count"] for r in top}
+
+
 def train(
     docs: DataFrame,
     own: dict[bytes, int],
@@ -203,36 +247,78 @@ def train(
 
 
 def score_documents(
-    docs: DataFrame, model: dict[str, np.ndarray], own: dict[bytes, int], id: str = "doc_id", text: str = "text"
+    docs: DataFrame,
+    model: dict[str, np.ndarray],
+    own: dict[bytes, int],
+    id: str = "doc_id",
+    text: str = "text",
+    counts: DataFrame | None = None,
+    near: int = NEAR,
 ) -> DataFrame:
-    """(key_id, n_tokens, log_likelihood) per row of ``docs``."""
+    """(key_id, n_tokens, log_likelihood) per row of ``docs``.
+
+    ``counts`` are the word counts of the corpus, by default of ``docs``.
+    """
+    shared, totals, top = shared_counts(word_counts(docs, text) if counts is None else counts, own, near)
+    # A class without any word is left to unseen words as a whole.
+    scale = np.concatenate([np.zeros(OWN), np.log(totals + 1)])
+    known = {w: math.log(n) for w, n in top.items()} | dict.fromkeys(own, 0.0)
+    all_known = len(top) < near
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        def scored(ids, held):
+        def scored(ids, held, shares, rare):
             sizes = [len(x) for x in held]
-            sums = np.zeros(len(held))
+            sums = np.array(shares, np.float64)
             if sum(sizes):
                 numbers = np.concatenate(held)
                 around = np.concatenate([windows(x) for x in held])
                 of = np.repeat(np.arange(len(held)), sizes)
                 for k in range(0, len(numbers), _CHUNK):
                     part = slice(k, k + _CHUNK)
-                    logs = log_probabilities(model, around[part], numbers[part])
+                    logs = log_probabilities(model, around[part], numbers[part]) - scale[numbers[part]]
                     sums += np.bincount(of[part], logs, minlength=len(held))
             arrays = [pa.array(ids, pa.int64()), pa.array(sizes, pa.int64()), pa.array(sums, pa.float64())]
-            return pa.RecordBatch.from_arrays(arrays, ["key_id", "n_tokens", "log_likelihood"])
+            arrays.append(pa.array(rare, pa.list_(pa.binary())))
+            return pa.RecordBatch.from_arrays(arrays, ["key_id", "n_tokens", "log_likelihood", "rare"])
 
         for b in batches:
-            ids, held, waiting = [], [], 0
+            ids, held, shares, rare, waiting = [], [], [], [], 0
             for id_, text_ in zip(b.column("key_id").to_pylist(), b.column("body").to_pylist(), strict=True):
+                words = (text_ or b"").lower().split()
+                others = [w for w in words if w not in known]
                 ids.append(id_)
-                held.append(token_numbers(text_, own))
-                waiting += len(held[-1])
+                held.append(word_numbers(words, own))
+                shares.append(sum(known[w] for w in words if w in known))
+                if all_known:
+                    shares[-1] += sum(unseen_log_share(len(w)) for w in others)
+                rare.append([] if all_known else others)
+                waiting += len(words)
                 if waiting >= _CHUNK:
-                    yield scored(ids, held)
-                    ids, held, waiting = [], [], 0
+                    yield scored(ids, held, shares, rare)
+                    ids, held, shares, rare, waiting = [], [], [], [], 0
             if ids:
-                yield scored(ids, held)
+                yield scored(ids, held, shares, rare)
 
     rows = carried(docs, id, text).select("key_id", F.col("body").cast("binary").alias("body"))
-    return rows.mapInArrow(scan, "key_id long, n_tokens long, log_likelihood double")
+    found = rows.mapInArrow(scan, "key_id long, n_tokens long, log_likelihood double, rare array<binary>")
+    if all_known:
+        return found.drop("rare")
+    lone = found.withColumn("row_no", F.monotonically_increasing_id()).select(
+        "row_no", "key_id", "n_tokens", "log_likelihood", F.explode_outer("rare").alias("word")
+    )
+    # Rows without a rare word are dealt by a key no word equals, since words have no blanks.
+    key = F.coalesce("word", F.concat(F.lit(" "), F.col("row_no").cast("string")).cast("binary"))
+    table = shared.select(F.col("word").cast("binary").alias("key"), "count")
+    unseen = (F.octet_length("word") + 1) * unseen_log_share(0)
+    share = F.when(F.col("word").isNull(), 0.0).otherwise(F.coalesce(F.log("count"), unseen))
+    return (
+        lone.withColumn("key", key)
+        .join(table, "key", "left")
+        .groupBy("row_no")
+        .agg(
+            F.first("key_id").alias("key_id"),
+            F.first("n_tokens").alias("n_tokens"),
+            (F.first("log_likelihood") + F.sum(share)).alias("log_likelihood"),
+        )
+        .drop("row_no")
+    )

@@ -111,8 +111,9 @@ def op8_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op9_pseudo_likelihood(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
-    own = pseudolm.frequent_words(docs)
-    found = pseudolm.score_documents(docs, pseudolm.train(docs, own), own)
+    counts = pseudolm.word_counts(docs)
+    own = pseudolm.frequent_words(docs, counts=counts)
+    found = pseudolm.score_documents(docs, pseudolm.train(docs, own), own, counts=counts)
     return found.select(
         F.col("key_id").alias("doc_id"),
         "n_tokens",
