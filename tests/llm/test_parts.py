@@ -1,5 +1,7 @@
 """The operators' inner parts by themselves."""
 
+import os
+
 import numpy as np
 import pytest
 from hypothesis import given, settings
@@ -222,6 +224,28 @@ def test_training_raises_the_likelihood(spark):
     assert mean(pseudolm.train(docs, own)) > mean(pseudolm.new_model()) + 0.3
 
 
+def test_every_position_is_trained_once(spark, monkeypatch, tmp_path):
+    seen = tmp_path / "seen"
+    seen.mkdir()
+
+    class Recorder(pseudolm.Trainer):
+        def add(self, around, numbers):
+            super().add(around, numbers)
+            with open(seen / str(os.getpid()), "a") as out:
+                out.writelines(f"{n}\n" for n in numbers)
+
+    monkeypatch.setattr(pseudolm, "Trainer", Recorder)
+    texts = ["a", "b c", "d e f g h i j k l m n o p", None, "q r s", "q r s"]
+    own = {w.encode(): n for n, w in enumerate("abcdefghijklmnopqrs")}
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    for rounds in (1, 2, 5):
+        for f in seen.iterdir():
+            f.write_text("")
+        pseudolm.train(docs, own, rounds=rounds)
+        found = sorted(int(x) for f in seen.iterdir() for x in f.read_text().split())
+        assert found == sorted([*range(19), 16, 17, 18])
+
+
 @pytest.mark.parametrize("near", [0, 3, 1000])
 def test_word_probabilities_follow_the_corpus_counts(spark, near):
     text = "common " * 9 + "rare seen seen " + " ".join(f"w{n} w{n}" for n in range(30))

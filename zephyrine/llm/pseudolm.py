@@ -12,9 +12,10 @@ log-probabilities of all its tokens.
 The counts of all words are a stored table.  The most frequent of them go to the tasks, where most
 tokens are looked up; all other words meet the table in a shuffled join.
 
-Training covers all documents: every task masks a share of the positions of each of its documents,
-chosen by a hash, and trains a numpy copy of the network on them by Adagrad; Spark averages the copies,
-weighted by positions, and the next round begins at the average.  What comes back to the driver
+Training covers all positions of all documents: the rounds share the positions of each document among
+them, beginning at a hash, so that each is masked in exactly one round.  Every task trains a numpy copy
+of the network on its positions by Adagrad; Spark averages the copies, weighted by positions, and the
+next round begins at the average.  What comes back to the driver
 is one model.  Scoring covers every token of every text.
 
 Texts without words have no tokens and a log-likelihood of 0.  Without any token the untrained
@@ -114,6 +115,13 @@ def log_probabilities(m: dict[str, np.ndarray], around: np.ndarray, numbers: np.
     return high[rows, first] + low[rows, numbers % HALF]
 
 
+def _sums_by(at: np.ndarray, rows: np.ndarray, count: int) -> np.ndarray:
+    """Sums of the rows that go to each of ``count`` places."""
+    wide = rows.shape[1]
+    flat = (at[:, None] * wide + np.arange(wide)).ravel()
+    return np.bincount(flat, rows.ravel(), count * wide).reshape(count, wide).astype(rows.dtype)
+
+
 def _gradient(m, around, numbers) -> dict[str, np.ndarray]:
     n, rows = len(numbers), np.arange(len(numbers))
     seen, hidden, told, first, high, low = _forward(m, around, numbers)
@@ -123,9 +131,8 @@ def _gradient(m, around, numbers) -> dict[str, np.ndarray]:
     dh, dl = dh / n, dl / n
     dtold = dl @ m["low"].T
     inner = (dh @ m["high"].T + dtold) * (1 - hidden * hidden)
-    given, embed = np.zeros_like(m["given"]), np.zeros_like(m["embed"])
-    np.add.at(given, first, dtold)
-    np.add.at(embed, around.ravel(), (inner @ m["inner"].T).reshape(-1, EMBED))
+    given = _sums_by(first, dtold, HALF)
+    embed = _sums_by(around.ravel(), (inner @ m["inner"].T).reshape(-1, EMBED), VOCABULARY + 1)
     return {
         "embed": embed, "inner": seen.T @ inner, "inner_bias": inner.sum(axis=0),
         "high": hidden.T @ dh, "high_bias": dh.sum(axis=0), "given": given,
@@ -201,16 +208,20 @@ def shared_counts(
     return shared, totals, {r["word"].encode(): r["count"] for r in top}
 
 
+def positions_of_round(hash_: int, turn: int, rounds: int) -> slice:
+    """The positions of a text that are masked in round ``turn``; the rounds together have them all."""
+    return slice((hash_ + turn) % rounds, None, rounds)
+
+
 def train(
     docs: DataFrame,
     own: dict[bytes, int],
     id: str = "doc_id",
     text: str = "text",
     rounds: int = 2,
-    masked: int = 8,
     rate: float = 0.1,
 ) -> dict[str, np.ndarray]:
-    """The averaged network; one position in ``masked`` of every document is trained per round."""
+    """The averaged network; every position of every document is trained in one of the rounds."""
     rows = carried(docs, id, text).select("key_hash", F.col("body").cast("binary").alias("body"))
     model = new_model()
     for turn in range(rounds):
@@ -220,7 +231,7 @@ def train(
             for b in batches:
                 for text_, hash_ in zip(b.column("body").to_pylist(), b.column("key_hash").to_pylist(), strict=True):
                     numbers = token_numbers(text_, own)
-                    chosen = slice((hash_ + turn) % masked, None, masked)
+                    chosen = positions_of_round(hash_, turn, rounds)
                     if len(numbers[chosen]):
                         trainer.add(windows(numbers)[chosen], numbers[chosen])
             trainer.step()
