@@ -308,6 +308,25 @@ def test_template_threshold(spark):
     assert {(r.key_id, r.containment) for r in rows} == {(1, 0.9), (3, 0.9)}
 
 
+def test_a_wrapped_notice_is_found(spark):
+    mit = (
+        "Permission is hereby granted, free of charge, to any person obtaining a copy\n"
+        "of this software and associated documentation files (the \"Software\"), to deal\n"
+    )
+    bsd = (
+        " * Redistribution and use in source and binary forms, with or without\r\n"
+        " * modification, are permitted provided that the following conditions\r\n * are met:\r\n"
+    )
+    far = "word\n" * 45
+    texts = [mit, bsd, far + mit + far + bsd, far + "Licensed under\nCC BY-SA 4.0", far]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    rows = licenses.scan_licenses(docs).collect()
+    found = {r.key_id: (r.labels, r.score) for r in rows}
+    assert found == {
+        0: (["mit"], 1.0), 1: (["bsd"], 1.0), 2: (["bsd", "mit"], 1.0), 3: (["cc-by-sa"], 1.0), 4: ([], 0.0),
+    }
+
+
 def test_shuffled_joins_give_the_same_contamination(spark, tables):
     docs, items = (spark.read.parquet(f"{tables}/{t}.parquet") for t in ("documents", "benchmark"))
     small, shuffled = (

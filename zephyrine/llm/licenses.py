@@ -1,7 +1,8 @@
 """License scans as an exact set-similarity join of text blocks with license templates.
 
-1. A line's words are cut into blocks (long lines into overlapping runs); a block and a template
-   are sets of words.  Only template words can match, so a block is reduced to those it has.
+1. A text's words are cut into overlapping blocks, across its lines, so a wrapped notice lies in one;
+   a block and a template are sets of words.  Only template words can match, so a block is reduced
+   to those it has.
 2. Template words are ordered by how many blocks of the whole corpus hold them, rarest first.
 3. A block holds a share of at least ``threshold`` of a template only if it has ``needed`` =
    ceil(threshold * size) of its words.  Then the first ``size - needed + 1`` words of the
@@ -25,7 +26,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from zephyrine.llm.text import NON_WORD, carried, line_array, same_key, word_array
+from zephyrine.llm.text import NON_WORD, carried, same_key, word_array
 
 #: Fixed phrases and their labels; a phrase is found where its words stand consecutively.
 PHRASES = (
@@ -66,11 +67,8 @@ def needed_words(size: int, threshold: float) -> int:
 
 
 def blocks(docs: DataFrame, id: str, text: str, block_words: int) -> DataFrame:
-    """(key_id, key_hash, line_no, first, words): runs of a line's words, half overlapping."""
-    lines = carried(docs, id, text).select(
-        "key_id", "key_hash", F.posexplode(line_array(F.col("body"))).alias("line_no", "line")
-    )
-    words = lines.select("key_id", "key_hash", "line_no", word_array(F.col("line")).alias("all"))
+    """(key_id, key_hash, first, words): runs of a text's words, half overlapping."""
+    words = carried(docs, id, text).select("key_id", "key_hash", word_array(F.col("body")).alias("all"))
     step = block_words // 2
     # The last run begins where no more than a whole block is left.
     last = F.greatest(F.ceil((F.size("all") - block_words) / step), F.lit(0)).cast("int")
@@ -82,8 +80,8 @@ def blocks(docs: DataFrame, id: str, text: str, block_words: int) -> DataFrame:
     )
     return (
         words.filter(F.size("all") > 0)
-        .select("key_id", "key_hash", "line_no", F.explode(cut).alias("block"))
-        .select("key_id", "key_hash", "line_no", "block.first", "block.words")
+        .select("key_id", "key_hash", F.explode(cut).alias("block"))
+        .select("key_id", "key_hash", "block.first", "block.words")
     )
 
 
@@ -99,7 +97,7 @@ def matching_blocks(
     threshold: float = 0.9,
     block_words: int = 64,
 ) -> DataFrame:
-    """(key_id, key_hash, line_no, first, template, label, containment) of every matching block.
+    """(key_id, key_hash, first, template, label, containment) of every matching block.
 
     ``block_words`` must be at least twice the longest template's length for a notice to lie whole
     in one block.
@@ -147,7 +145,7 @@ def matching_blocks(
         .withColumn("overlap", overlap)
         .filter("overlap >= needed")
         .select(
-            "key_id", "key_hash", "line_no", "first", "template", "label",
+            "key_id", "key_hash", "first", "template", "label",
             (F.col("overlap") / wide).alias("containment"),
         )
         .distinct()
