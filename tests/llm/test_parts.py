@@ -1,6 +1,7 @@
 """The operators' inner parts by themselves."""
 
 import os
+from pydoc_data.topics import topics
 
 import numpy as np
 import pytest
@@ -327,6 +328,19 @@ def test_a_wrapped_notice_is_found(spark):
     }
 
 
+def test_a_long_clean_line_is_kept(spark):
+    words = " ".join(topics.values()).split()
+    clean = " ".join(words[:20_000])
+    assert len(set(words[:20_000])) < 0.3 * 20_000
+    assert linerules.repeating_lines(" ".join(words).encode()) == []
+    spin = "buy these fine things from us now " * 10
+    other = " ".join(f"v{n}" for n in range(400))
+    texts = [clean, f"{other}\n{spin}", f"{clean}\n{spin}\n" + "go " * 11]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    found = {r.key_id: (r.kept, r.n_failed_lines) for r in linerules.judge_quality(docs).collect()}
+    assert found == {0: (True, 0), 1: (True, 1), 2: (True, 1)}
+
+
 def test_shuffled_joins_give_the_same_contamination(spark, tables):
     docs, items = (spark.read.parquet(f"{tables}/{t}.parquet") for t in ("documents", "benchmark"))
     small, shuffled = (

@@ -6,7 +6,9 @@ too much of its text, or that breaks a rule on the whole text, is rejected.
 * punctuation: too many of the line's words carry a symbol or repeated exclamation marks;
 * navigation: most of the line's pieces between bars or arrows are a few words long;
 * boilerplate: a phrase that pages repeat (policies, sharing, subscriptions);
-* repetition: a run of words repeats itself through the line.
+* repetition: a run of words repeats itself through the line.  Few distinct words alone are no fault,
+  since their share falls with the length of any text; most words must also lie in windows that
+  occur again within ``repeat_reach`` words, which is as likely in a long line as in a short one.
 
 Null and empty texts have no words and are rejected for length.  Repeated rows and other columns
 do not matter.
@@ -59,13 +61,15 @@ class Rules:
     boilerplate_words: int = 30
     repeat_words: int = 12
     distinct_share: float = 0.3
+    repeated_share: float = 0.5
+    repeat_reach: int = 1000
     max_loss: float = 0.3
     min_words: int = 50
     max_repeat_percent: int = 50
 
 
-def _failing(text: Column, words: Column, rules: Rules) -> Column:
-    """Whether a line breaks a rule; a line without words breaks none."""
+def _failing(text: Column, words: Column, repeats: Column, rules: Rules) -> Column:
+    """Whether a line breaks a rule; a line without words breaks none.  ``repeats``: it breaks the last rule."""
     n = F.size(words)
     noisy = F.size(F.filter(words, lambda w: w.rlike(NOISY)))
     pieces = F.regexp_count(text, F.lit(PIECE_END)) + 1
@@ -76,12 +80,15 @@ def _failing(text: Column, words: Column, rules: Rules) -> Column:
         (noisy >= F.greatest(n * rules.noisy_words, F.lit(2)))
         | ((pieces >= rules.bar_pieces) & (n / pieces <= rules.piece_words))
         | ((n <= rules.boilerplate_words) & furniture)
-        | ((n >= rules.repeat_words) & (F.size(F.array_distinct(words)) < n * rules.distinct_share))
+        | repeats
     )
 
 
-def repeated_window_words(words: list[bytes], width: int = 3) -> int:
-    """Words inside windows of ``width`` words that occur more than once in the text."""
+def repeated_window_words(words: list[bytes], width: int = 3, reach: int | None = None) -> int:
+    """Words inside windows of ``width`` words that occur more than once in the text.
+
+    With ``reach`` the nearest other occurrence is at most so many words away.
+    """
     last = len(words) - width + 1
     if last < 2:
         return 0
@@ -91,7 +98,13 @@ def repeated_window_words(words: list[bytes], width: int = 3) -> int:
     window = word[:last]
     for k in range(1, width):
         _, window = np.unique(window * len(codes) + word[k : last + k], return_inverse=True)
-    again = np.bincount(window)[window] > 1
+    if reach is None:
+        again = np.bincount(window)[window] > 1
+    else:
+        order = np.argsort(window, kind="stable")
+        near = (np.diff(window[order]) == 0) & (np.diff(order) <= reach)
+        again = np.zeros(last, bool)
+        again[order[:-1][near]] = again[order[1:][near]] = True
     step = np.zeros(len(words) + 1, np.int64)
     starts = np.flatnonzero(again)
     np.add.at(step, starts, 1)
@@ -107,12 +120,33 @@ def text_counts(text: bytes) -> tuple[int, int, int, int]:
     return len(words), len(text.decode()) - blanks, symbols, repeated_window_words(words)
 
 
+def repeating_lines(text: bytes, rules: Rules = Rules()) -> list[int]:
+    """Numbers of the lines, from 0, that break the repetition rule."""
+    found = []
+    for number, line in enumerate(text.split(b"\n")):
+        words = line.split()
+        n = len(words)
+        if n >= rules.repeat_words and len(set(words)) < n * rules.distinct_share:
+            if repeated_window_words(words, reach=rules.repeat_reach) > n * rules.repeated_share:
+                found.append(number)
+    return found
+
+
 _COUNTS = ("n_words", "word_chars", "n_symbols", "n_repeat_words")
+_COUNTED = T.StructType(
+    [T.StructField(name, T.LongType()) for name in _COUNTS]
+    + [T.StructField("repeating", T.ArrayType(T.IntegerType()))]
+)
+
 
+def _text_counts(rules: Rules):
+    @F.pandas_udf(_COUNTED)
+    def counted(texts: pd.Series) -> pd.DataFrame:
+        found = pd.DataFrame([text_counts(t) for t in texts], columns=_COUNTS, dtype="int64")
+        found["repeating"] = [repeating_lines(t, rules) for t in texts]
+        return found
 
-@F.pandas_udf(T.StructType([T.StructField(name, T.LongType()) for name in _COUNTS]))
-def _text_counts(texts: pd.Series) -> pd.DataFrame:
-    return pd.DataFrame([text_counts(t) for t in texts], columns=_COUNTS, dtype="int64")
+    return counted
 
 
 def judge_quality(
@@ -128,7 +162,7 @@ def judge_quality(
     )
     split = base.select(
         "*",
-        _text_counts(F.col("body").cast("binary")).alias("counts"),
+        _text_counts(rules)(F.col("body").cast("binary")).alias("counts"),
         F.transform(
             line_array(F.col("body")),
             lambda x: F.struct(x.alias("line"), blank_word_array(x).alias("words")),
@@ -138,10 +172,12 @@ def judge_quality(
         "lines",
         F.transform(
             "lines",
-            lambda x: F.struct(
+            lambda x, number: F.struct(
                 x["line"].alias("line"),
                 F.size(x["words"]).alias("n"),
-                _failing(x["line"], x["words"], rules).alias("fails"),
+                _failing(
+                    x["line"], x["words"], F.array_contains("counts.repeating", number), rules
+                ).alias("fails"),
             ),
         ),
     )
