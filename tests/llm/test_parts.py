@@ -328,6 +328,32 @@ def test_a_wrapped_notice_is_found(spark):
     }
 
 
+def test_only_lines_of_boilerplate_fail(spark):
+    stay = [
+        "The boat was powered by a diesel engine.",
+        "She wanted to read more books.",
+        "Spread more",
+        "thread more!",
+        "click hereafter",
+        "Sourdough bread more often than rye",
+        "Nobody could share this view of the privacy policy that the town had chosen",
+    ]
+    go = [
+        "Read more",
+        "READ MORE...",
+        "Click here to read more",
+        "(c) 2024 Ex. All rights reserved.",
+        "Privacy Policy | Terms of Use",
+        "Read more, read more",
+        "Powered by WordPress",
+    ]
+    prose = " ".join(f"v{n}" for n in range(400))
+    docs = spark.createDataFrame([(1, "\n".join([prose, *stay])), (2, "\n".join([*go, prose, *stay]))], "doc_id long, text string")
+    rows = {r.key_id: r for r in linerules.judge_quality(docs).collect()}
+    assert rows[1].n_failed_lines == 0 and rows[2].n_failed_lines == len(go)
+    assert rows[1].cleaned_text == rows[2].cleaned_text == "\n".join([prose, *stay])
+
+
 def test_a_long_clean_line_is_kept(spark):
     words = " ".join(topics.values()).split()
     clean = " ".join(words[:20_000])

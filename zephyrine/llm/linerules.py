@@ -5,7 +5,8 @@ too much of its text, or that breaks a rule on the whole text, is rejected.
 
 * punctuation: too many of the line's words carry a symbol or repeated exclamation marks;
 * navigation: most of the line's pieces between bars or arrows are a few words long;
-* boilerplate: a phrase that pages repeat (policies, sharing, subscriptions);
+* boilerplate: whole phrases that pages repeat (policies, sharing, subscriptions) make up most of
+  the line's words;
 * repetition: a run of words repeats itself through the line.  Few distinct words alone are no fault,
   since their share falls with the length of any text; most words must also lie in windows that
   occur again within ``repeat_reach`` words, which is as likely in a long line as in a short one.
@@ -18,7 +19,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 from functools import reduce
-from operator import or_
+from operator import add, or_
 
 import numpy as np
 import pandas as pd
@@ -26,7 +27,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from zephyrine.llm.text import BLANK_CHARS, blank_word_array, carried, let, line_array, lower_ascii, replace_text
+from zephyrine.llm.text import BLANK_CHARS, blank_word_array, carried, let, line_array, lower_ascii, replace_text, word_array
 
 SYMBOLS = b"#*$%&|<>"
 #: What makes a word noisy: a pair of symbols or of exclamation marks.
@@ -59,6 +60,7 @@ class Rules:
     bar_pieces: int = 4
     piece_words: float = 4.0
     boilerplate_words: int = 30
+    boilerplate_share: float = 0.5
     repeat_words: int = 12
     distinct_share: float = 0.3
     repeated_share: float = 0.5
@@ -68,13 +70,24 @@ class Rules:
     max_repeat_percent: int = 50
 
 
+def _furniture_words(words: Column) -> Column:
+    """How many of the alphanumeric words belong to a phrase; no phrase overlaps another."""
+    joined = F.concat(F.lit("  "), F.array_join(words, "  "), F.lit("  "))
+    counts = (
+        F.regexp_count(joined, F.lit(f"  {p.replace(' ', '  ')}(?=  )")) * len(p.split(" ")) for p in BOILERPLATE
+    )
+    return reduce(add, counts)
+
+
 def _failing(text: Column, words: Column, repeats: Column, rules: Rules) -> Column:
     """Whether a line breaks a rule; a line without words breaks none.  ``repeats``: it breaks the last rule."""
     n = F.size(words)
     noisy = F.size(F.filter(words, lambda w: w.rlike(NOISY)))
     pieces = F.regexp_count(text, F.lit(PIECE_END)) + 1
     furniture = let(
-        lower_ascii(text), lambda folded: reduce(or_, (folded.contains(p) for p in BOILERPLATE))
+        lower_ascii(text),
+        lambda folded: reduce(or_, (folded.contains(p) for p in BOILERPLATE))
+        & let(word_array(folded), lambda w: _furniture_words(w) >= F.size(w) * rules.boilerplate_share),
     )
     return (n > 0) & (
         (noisy >= F.greatest(n * rules.noisy_words, F.lit(2)))
