@@ -192,6 +192,23 @@ def test_mixture_meets_its_quotas(spark, budget, entropy, limit):
     assert set(per_block) == set(range(-(-int(total * budget) // 200)))
 
 
+@pytest.mark.parametrize("same", [None, 7])
+def test_rows_of_one_id_are_cut_one_by_one(spark, same):
+    rows = [(same if n % 3 == 0 else n, f"t{n} " + "w " * 4, "a") for n in range(8, 308)]
+    rows += [(same, "copy " * 5, "b")] * 100  # fully equal
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    found = mixing.mix(docs, budget_share=0.5, entropy_share=None, max_repeats=None, block_tokens=50).collect()
+    sums = {}
+    for r in found:
+        sums[r.source] = sums.get(r.source, 0) + r.n_tokens
+    weights = {r.source: r.weight for r in found}
+    for source, tokens in sums.items():
+        quota = int(weights[source] * 1000)
+        assert quota <= tokens < quota + 5
+    assert len({r.place for r in found if r.source == "a" and r.key_id == same}) > 10
+    assert len({r.block for r in found if r.source == "a" and r.key_id == same}) > 5
+
+
 def test_window_network_probabilities_sum_to_one():
     model = pseudolm.new_model()
     around = pseudolm.windows(np.array([5, 9, 1000, 7, 7]))[2:3]

@@ -4,7 +4,8 @@
    until the weights meet a target: an entropy (share of the largest possible one), or the
    largest number of times any source may be repeated.
 2. A source's weight times the budget is its token quota: whole epochs of the source, then part of
-   one.  Each epoch is a permutation of the source's documents by a hash of seed, epoch and id.
+   one.  Each epoch is a permutation of the source's documents by a hash of seed, epoch and id; where the
+   id is null or repeated, also of the text.
 3. The part is cut by blocks: documents fall into blocks by the leading digits of that hash, block
    token sums are added up per source, and only the one block the quota ends in is looked at
    document by document.  No source is sorted or gathered, however large.
@@ -13,8 +14,8 @@
 
 A document is taken while the tokens before it are below the quota, so a source exceeds it by less
 than one document.  Tokens are words between ASCII white space.  A null source is a source of its
-own; documents without tokens are placed for free (in every whole epoch); null ids hash as empty text;
-repeated rows are repeated documents in the same place.  An empty table gives no rows.
+own; documents without tokens are placed for free (in every whole epoch).  Rows equal in id and text are
+repeated documents in the same place, of which the cut takes as many as the quota needs.  An empty table gives no rows.
 """
 
 from __future__ import annotations
@@ -108,8 +109,9 @@ def source_quotas(
 
 
 def _order(seed: int) -> Column:
-    """Hash digits that order a document within its epoch."""
-    name = F.concat_ws(":", F.lit(str(seed)), F.col("epoch").cast("string"), F.col("key_id").cast("string"))
+    """Hash digits that order a document within its epoch; ``text_hash`` is null where the id suffices."""
+    parts = (F.col(c).cast("string") for c in ("epoch", "key_id", "text_hash"))
+    name = F.concat_ws(":", F.lit(str(seed)), *parts)
     return F.substring(F.md5(name), 1, _DIGITS)
 
 
@@ -131,8 +133,13 @@ def mix(
             F.col(f"`{id}`").cast("long").alias("key_id"),
             F.col(f"`{source}`").cast("string").alias("source"),
             F.size(blank_word_array(F.col(f"`{text}`"))).cast("long").alias("n_tokens"),
+            F.xxhash64(F.col(f"`{text}`")).alias("text_hash"),
         )
     )
+    again = tokens.groupBy(F.col("key_id").alias("again")).count().filter("count > 1 and again is not null")
+    tokens = tokens.join(again.select("again"), F.col("key_id") == F.col("again"), "left").withColumn(
+        "text_hash", F.when(F.col("key_id").isNull() | F.col("again").isNotNull(), F.col("text_hash"))
+    ).drop("again")
     quotas, budget = source_quotas(tokens, budget_share, entropy_share, max_repeats)
     blocks = max(1, -(-budget // block_tokens))
     quotas = quotas.withColumnRenamed("source", "s")
@@ -192,7 +199,15 @@ def _cut(rows: DataFrame) -> DataFrame:
     ).filter("before < rest")
     inside = placed.filter("before + t <= rest")
     edge = placed.filter("before + t > rest")
-    order = Window.partitionBy("source").orderBy("order", F.col("key_id").asc_nulls_first())
-    prior = F.sum("n_tokens").over(order) - F.sum("n_tokens").over(order.rangeBetween(0, 0))
-    edge = edge.withColumn("prior", prior).filter(F.col("before") + F.col("prior") < F.col("rest"))
+    # Equal rows are one row with their number; the quota ends after some of the copies.
+    copies = edge.groupBy(*(c for c in edge.columns if c not in ("h", "l", "s"))).agg(F.count("*").alias("n"))
+    order = Window.partitionBy("source").orderBy("order", F.col("key_id").asc_nulls_first(), "text_hash", "n_tokens")
+    size = F.col("n") * F.col("n_tokens")
+    left = F.col("rest") - F.col("before") - (F.sum(size).over(order) - size)
+    needed = F.when(F.col("n_tokens") > 0, F.ceil(F.col("left") / F.col("n_tokens"))).otherwise(F.col("n"))
+    edge = (
+        copies.withColumn("left", left)
+        .filter("left > 0")
+        .withColumn("copy", F.explode(F.sequence(F.lit(1).cast("long"), F.least("n", needed))))
+    )
     return inside.select(rows.columns).unionByName(edge.select(rows.columns))
