@@ -393,6 +393,17 @@ def test_shuffled_joins_give_the_same_contamination(spark, tables):
     assert sorted(map(repr, small.collect())) == sorted(map(repr, shuffled.collect()))
 
 
+def test_a_shared_preamble_stays_rows(spark):
+    preamble = "answer the next question with one of the four given letters"
+    items = spark.createDataFrame([(n, f"{preamble} q{n}") for n in range(50)], "item_id long, text string")
+    uses = decontam.item_windows(items, "item_id", "text", 10)
+    assert uses.count() == 150 and all(f.dataType.typeName() != "array" for f in uses.schema if f.name != "win")
+    docs = spark.createDataFrame([(1, f"so {preamble} q7"), (2, "clean")], "doc_id long, text string")
+    for limit in (0, 1 << 20):
+        rows = decontam.judge_contamination(docs, items, broadcast_bytes=limit).collect()
+        assert {r.key_id: (r.n_hit, len(r["items"]), r.containment) for r in rows} == {1: (12, 50, 1.0), 2: (0, 0, 0.0)}
+
+
 def test_salted_shards_give_the_same_lines(spark, tables):
     docs = spark.read.parquet(f"{tables}/documents.parquet")
     plain, cut = (

@@ -11,8 +11,9 @@
 5. Places that agree on where an item begins are counted over the item-sized window there:
    ``containment`` is the share of the item's windows found in it.
 
-Item shingles and prefixes are broadcast only if they are counted at ``broadcast_rows`` or fewer;
-beyond that the joins are shuffled ones, where adaptive execution splits hot shingles.  Texts move
+Item shingles and prefixes are broadcast only if they are counted at ``broadcast_rows`` or fewer and
+``broadcast_bytes`` or less; beyond that the joins are shuffled ones, where adaptive execution splits hot
+shingles.  A window's uses in the items stay rows of their own, however many items share it.  Texts move
 for documents with a surviving place only, once runtime filters apply.
 
 Null texts have no words; items without words have no window and match nothing.  Items with equal
@@ -39,34 +40,30 @@ def _run_hash(run: str, width: int) -> Column:
 
 
 def item_windows(items: DataFrame, id: str, text: str, window: int) -> DataFrame:
-    """(win, uses): each distinct window and its places (item, at, n_windows) in the items."""
+    """(item, n_windows, at, win): the windows of all items, one row per place."""
     words = items.select(F.col(f"`{id}`").alias("item"), word_array(F.col(f"`{text}`")).alias("words"))
     cut = words.filter(F.size("words") > 0).withColumn(
         "n_windows", F.greatest(F.size("words") - window, F.lit(0)) + 1
     )
-    return (
-        cut.select(
-            "item", "words", "n_windows", F.explode(F.sequence(F.lit(0), F.col("n_windows") - 1)).alias("at")
-        )
-        .select("item", "n_windows", "at", F.slice("words", F.col("at") + 1, F.lit(window)).alias("win"))
-        .groupBy("win")
-        .agg(F.collect_list(F.struct("item", "at", "n_windows")).alias("uses"))
-    )
+    return cut.select(
+        "item", "words", "n_windows", F.explode(F.sequence(F.lit(0), F.col("n_windows") - 1)).alias("at")
+    ).select("item", "n_windows", "at", F.slice("words", F.col("at") + 1, F.lit(window)).alias("win"))
 
 
-def _sized(side: DataFrame, limit: int) -> DataFrame:
+def _sized(side: DataFrame, limit: int, limit_bytes: int, row_bytes: Column) -> DataFrame:
     """With a broadcast hint if ``side`` is counted small enough."""
-    return F.broadcast(side) if side.count() <= limit else side
+    n, total = side.agg(F.count("*"), F.coalesce(F.sum(row_bytes), F.lit(0))).first()
+    return F.broadcast(side) if n <= limit and total <= limit_bytes else side
 
 
 def shingle_places(
-    docs: DataFrame, id: str, text: str, wanted: DataFrame, widths: list[int], limit: int
+    docs: DataFrame, id: str, text: str, wanted: DataFrame, widths: list[int], limit: int, limit_bytes: int
 ) -> DataFrame:
     """(key_id, key_hash, n_words, pos, shingle) wherever a document has a wanted shingle."""
     words = carried(docs, id, text).select(
         "key_id", "key_hash", word_array(F.col("body")).alias("words")
     )
-    wanted = _sized(wanted, limit)
+    wanted = _sized(wanted, limit, limit_bytes, F.lit(8))
     found = None
     for width in widths:
         places = (
@@ -91,9 +88,11 @@ def contaminated_places(
     window: int = 10,
     shingle: int = 3,
     broadcast_rows: int = 2_000_000,
+    broadcast_bytes: int = 64 << 20,
 ) -> DataFrame:
     """(key_id, key_hash, start, width, item, at, n_windows): verified windows in documents."""
-    windows = cut_lineage(item_windows(items, item_id, item_text, window))
+    uses = cut_lineage(item_windows(items, item_id, item_text, window))
+    windows = cut_lineage(uses.select("win").distinct())
     widths = [r[0] for r in windows.select(F.least(F.size("win"), F.lit(shingle))).distinct().collect()]
     parts = [
         windows.filter(F.least(F.size("win"), F.lit(shingle)) == w)
@@ -108,7 +107,8 @@ def contaminated_places(
         shingles = shingles.unionByName(part)
     places = cut_lineage(
         shingle_places(
-            docs, id, text, shingles.select("shingle").distinct(), sorted(widths) or [shingle], broadcast_rows
+            docs, id, text, shingles.select("shingle").distinct(), sorted(widths) or [shingle], broadcast_rows,
+            broadcast_bytes,
         )
     )
     counts = places.groupBy("shingle").agg(F.count("*").alias("n"))
@@ -120,7 +120,8 @@ def contaminated_places(
         .filter("rarest.n > 0")
         .select("win", "rarest.offset", "rarest.shingle", F.size("win").alias("width"))
     )
-    prefixes = _sized(cut_lineage(prefixes), broadcast_rows)
+    win_bytes = F.octet_length(F.array_join("win", " ")) + 16 * (F.size("win") + 1)
+    prefixes = _sized(cut_lineage(prefixes), broadcast_rows, broadcast_bytes, win_bytes)
     candidates = (
         places.join(prefixes, "shingle")
         .withColumn("start", F.col("pos") - F.col("offset"))
@@ -142,10 +143,8 @@ def contaminated_places(
         .select("key_id", "key_hash", F.explode("places").alias("p"))
         .select("key_id", "key_hash", "p.start", "p.win")
     )
-    return (
-        verified.join(_sized(windows, broadcast_rows), "win")
-        .select("key_id", "key_hash", "start", F.size("win").alias("width"), F.explode("uses").alias("u"))
-        .select("key_id", "key_hash", "start", "width", "u.item", "u.at", "u.n_windows")
+    return verified.join(uses, "win").select(
+        "key_id", "key_hash", "start", F.size("win").alias("width"), "item", "at", "n_windows"
     )
 
 
