@@ -4,7 +4,9 @@ from __future__ import annotations
 
 import base64
 import hashlib
+import math
 import re
+import zlib
 from collections import Counter, defaultdict
 
 import xxhash
@@ -204,3 +206,63 @@ def cleaned(text, rules, boilerplate):
     n, *_, failed = quality_counts(text)
     kept = not failed and lost <= n * rules.max_loss
     return kept, "\n".join(line for line, f in zip(lines, fails, strict=True) if not f)
+
+
+def search_terms(text):
+    return re.findall(r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+", (text or "").translate(UPPER))
+
+
+def ranked(docs, items, top=10):
+    """(item, rank, doc, score) rows of the ranked search over (id, text) lists."""
+    found = [(i, Counter(search_terms(t))) for i, t in docs]
+    found = [(i, c, sum(c.values())) for i, c in found if c]
+    n_docs, n_terms = len(found), sum(n for _, _, n in found)
+    df = Counter(t for _, c, _ in found for t in c)
+    for item, text in items:
+        scores = []
+        for i, c, n in found:
+            m = 10 + 90 * n * n_docs // n_terms
+            score = sum(
+                math.floor(1000 * math.log((2 * n_docs + 2) / (2 * df[t] + 1)))
+                * (1_000_000_000 * c[t] // (1000 * c[t] + 8 * m))
+                for t in set(search_terms(text)) & set(c)
+            )
+            if score > 0:
+                scores.append((-score, i is not None, i or 0, i))
+        for rank, (score, _, _, i) in enumerate(sorted(scores)[:top], 1):
+            yield item, rank, i, -score
+
+
+def spelling_counts(docs, least_length=5, least_count=3, noise=97):
+    """{word: n} with the planted deletions."""
+    n = Counter()
+    for i, text in docs:
+        for run in re.findall("[A-Za-zÀ-ÿ]+", text or ""):
+            run = run.translate(UPPER)
+            mark = zlib.crc32(f"{'' if i is None else i}:{run}".encode())
+            if mark % noise == 0:
+                run = run[: mark % len(run)] + run[mark % len(run) + 1 :]
+            n[run] += 1
+    return {w: k for w, k in n.items() if len(w) >= least_length and k >= least_count}
+
+
+def one_edit(a, b):
+    if len(a) > len(b):
+        a, b = b, a
+    if len(a) == len(b):
+        return sum(x != y for x, y in zip(a, b, strict=True)) == 1
+    return len(b) == len(a) + 1 and any(b[:k] + b[k + 1 :] == a for k in range(len(b)))
+
+
+def variants(n):
+    """(word, form, root, n, n_near, form_n) of {word: n}."""
+    forms, near = {}, {}
+    for w in n:
+        near[w] = [x for x in n if one_edit(w, x)]
+        best = min(near[w], key=lambda x: (-n[x], x), default=None)
+        forms[w] = best if best is not None and n[best] >= 2 * n[w] else None
+    for w in n:
+        root = w
+        while forms[root] is not None:
+            root = forms[root]
+        yield w, forms[w], root, n[w], len(near[w]), n[forms[w]] if forms[w] else None

@@ -57,6 +57,28 @@ def expect_simhash():
         yield id_, f"{print_:016x}", component
 
 
+def expect_search():
+    yield from brute.ranked(documents(), benchmark())
+
+
+def expect_bpe():
+    import base64
+
+    import public_tokenizers
+    import tiktoken
+
+    with open(public_tokenizers.path("byte_bpe_50k.tiktoken"), "rb") as file:
+        ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, file)}
+    coder = tiktoken.Encoding("own", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={})
+    for id_, text in documents():
+        ids = coder.encode_ordinary(text or "")
+        yield id_, len(ids), sha(" ".join(map(str, ids))), sha(text or "")
+
+
+def expect_variants():
+    yield from brute.variants(brute.spelling_counts(documents()))
+
+
 CASES = {
     "op1_license_scan": (expect_licenses, "doc_id n_words n_base first_word last_word base_labels labels score"),
     "op2_line_dedup": (expect_lines, "doc_id n_lines n_dropped kept_sha256"),
@@ -68,6 +90,9 @@ CASES = {
     "op6_url_filter": (expect_urls, "page_id host path rule verdict"),
     "op8_warc": (expect_warc, "page_id payload_bytes payload_digest record_type refers_to intact"),
     "op10_simhash": (expect_simhash, "doc_id fingerprint component_id"),
+    "op11_lexical_search": (expect_search, "item_id rank doc_id score"),
+    "op12_byte_bpe": (expect_bpe, "doc_id n_tokens ids_sha256 decoded_sha256"),
+    "op13_spelling_variants": (expect_variants, "word form root n n_near form_n"),
 }
 
 

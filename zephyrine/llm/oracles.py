@@ -1,6 +1,7 @@
 """SQL twins of the text queries, where SQL expresses them.
 
-The learned scores (3, 9) and XXH64 of shingles (10, and with it the pipeline) have no twin.
+The learned scores (3, 9), XXH64 of shingles (10, and with it the pipeline), merges by rank (12) and CRC-32 (13)
+have no twin.
 """
 
 from __future__ import annotations
@@ -264,6 +265,30 @@ from placed cross join (select greatest(ceil(budget / 131072.0), 1)::bigint as b
 where epoch < whole or (quota > whole * t and before < quota - whole * t)
 """
 
+SEARCH = f"""
+with docs as (select row_number() over () as k, doc_id, {_words("text")} as w from documents),
+sizes as (select count(*) as n_docs, sum(len(w)) as n_terms from docs where len(w) > 0),
+items as (select row_number() over () as q, item_id, list_distinct({_words("text")}) as terms from benchmark),
+asked as (select q, item_id, unnest(terms) as term from items),
+tfs as (
+  select k, doc_id, len(w) as n, term, count(*) as tf
+  from (select k, doc_id, w, unnest(w) as term from docs) where term in (select term from asked)
+  group by k, doc_id, len(w), term
+),
+weights as (
+  select term, floor(1000 * ln((2 * any_value(n_docs) + 2) / (2 * count(*) + 1)))::bigint as w
+  from tfs cross join sizes group by term
+),
+scores as (
+  select q, item_id, k, doc_id,
+    sum(weights.w * ((1000000000 * tf) // (1000 * tf + 8 * (10 + (90 * n * n_docs) // n_terms))))::bigint as score
+  from asked join tfs using (term) join weights using (term) cross join sizes group by q, item_id, k, doc_id
+)
+select item_id, row_number() over (partition by q order by score desc, doc_id nulls first)::int as rank, doc_id, score
+from scores where score > 0
+qualify rank <= 10
+"""
+
 ORACLES: dict[str, str] = {
     "op1_license_scan": LICENSES,
     "op2_line_dedup": LINE_DEDUP,
@@ -272,4 +297,5 @@ ORACLES: dict[str, str] = {
     "op6_url_filter": URL_FILTER,
     "op7_temperature_mix": MIXING,
     "op8_warc": WARC,
+    "op11_lexical_search": SEARCH,
 }

@@ -5,7 +5,21 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from zephyrine.llm import decontam, fm, licenses, linededup, linerules, mixing, pseudolm, simhash, urls, warc
+from zephyrine.llm import (
+    bpe,
+    decontam,
+    fm,
+    lexsearch,
+    licenses,
+    linededup,
+    linerules,
+    mixing,
+    pseudolm,
+    simhash,
+    spelling,
+    urls,
+    warc,
+)
 
 #: Fixed rules of the URL query: host, path, verdict.
 URL_RULES = (
@@ -131,6 +145,30 @@ def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op11_lexical_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = lexsearch.search(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    return found.withColumnRenamed("key_id", "doc_id")
+
+
+def op12_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    ranks = bpe.load_ranks(spark, public_tokenizers.path("byte_bpe_50k.tiktoken"))
+    pattern = public_tokenizers.PATTERN
+    coded = bpe.decode_ids(bpe.encode_texts(table(spark, sf_dir, "documents"), ranks, pattern), ranks, pattern)
+    return coded.select(
+        F.col("key_id").alias("doc_id"),
+        F.size("ids").cast("long").alias("n_tokens"),
+        F.sha2(F.array_join(F.col("ids").cast("array<string>"), " ").cast("binary"), 256).alias("ids_sha256"),
+        F.sha2("decoded", 256).alias("decoded_sha256"),
+    )
+
+
+def op13_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = spelling.group_variants(table(spark, sf_dir, "documents"))
+    return found.select("word", "form", "root", "n", "n_near", "form_n")
+
+
 QUERIES = {
     f.__name__: f
     for f in (
@@ -144,5 +182,8 @@ QUERIES = {
         op8_warc,
         op9_pseudo_likelihood,
         op10_simhash,
+        op11_lexical_search,
+        op12_byte_bpe,
+        op13_spelling_variants,
     )
 }
