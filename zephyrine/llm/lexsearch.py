@@ -9,7 +9,8 @@ numbers.  The search is exact:
 * Every document gets a 64-bit geometric code, the signs of its weighted vector's products with random
   directions, so similar documents have close codes.  All documents are sorted by code (a range shuffle; equal
   codes, as of copies, are dealt out by a row number).  Each term's posting list thereby is in the order of
-  document similarity, and is cut into blocks of at most ``BLOCK_DOCS`` neighbours.
+  document similarity, and is cut into blocks of at most ``BLOCK_DOCS`` neighbours (``CHUNK_DOCS`` for a term that
+  shares queries with very many others).
 * Per block the index stores the maximum of every coordinate that a query asks for along with the term.
   Rows of the index are bounded: ``CHUNK_DOCS`` documents, ``CHUNK_CELLS`` cells of documents by terms.
 * A query visits the lists of its essential terms only: those left when the terms of the smallest maxima are
@@ -44,7 +45,9 @@ BLOCK_DOCS = 32
 CHUNK_DOCS = 256
 CHUNK_CELLS = 1 << 23
 SEED_SHARE = 16
-#: Terms with more partners than this in the queries have summaries over all terms of an index row.
+#: Index rows per file: readers hold the arrays of so many rows at once.
+FILE_ROWS = 32
+#: A term with more partners than this in the queries has one block per index row, with a summary over all terms.
 MOST_PARTNERS = 1 << 10
 
 #: Bytes to lower case; ASCII that is no part of a term becomes a space.
@@ -52,7 +55,7 @@ _TO_TERMS = bytes(c + 32 if 65 <= c <= 90 else c if c >= 128 or chr(c).isalnum()
 
 INDEX = (
     "chunk long, ids array<long>, ends array<int>, terms array<int>, impacts array<int>, "
-    "list_terms array<int>, list_ends array<int>, members array<int>, "
+    "list_terms array<int>, list_ends array<int>, block_docs array<int>, members array<int>, "
     "summary_ends array<int>, summary_terms array<int>, maxima array<int>"
 )
 _FIELDS = [part.split()[0] for part in INDEX.split(", ")]
@@ -172,12 +175,14 @@ def _dense(docs: list) -> tuple[np.ndarray, np.ndarray]:
 def _index_row(number: int, docs: list, partners: _Partners) -> dict:
     """One row of the index: the documents, each term's list, and the summaries of the list's blocks."""
     local, cells = _dense(docs)
-    members, summary_terms, maxima = [], [], []
+    members, block_docs, summary_terms, maxima = [], [], [], []
     for column, term in enumerate(local.tolist()):
         holding = np.flatnonzero(cells[:, column])
         near = partners.of(term)
         wanted = np.arange(len(local)) if near is None else _places(local, near)
-        tops = np.maximum.reduceat(cells[np.ix_(holding, wanted)], np.arange(0, len(holding), BLOCK_DOCS), axis=0)
+        block_docs.append(CHUNK_DOCS if near is None else BLOCK_DOCS)
+        starts = np.arange(0, len(holding), block_docs[-1])
+        tops = np.maximum.reduceat(cells[np.ix_(holding, wanted)], starts, axis=0)
         used = tops.any(axis=0)
         members.append(holding)
         summary_terms.append(local[wanted[used]])
@@ -190,6 +195,7 @@ def _index_row(number: int, docs: list, partners: _Partners) -> dict:
         "impacts": np.concatenate([impacts for _, _, impacts in docs]),
         "list_terms": local,
         "list_ends": np.cumsum([len(x) for x in members]),
+        "block_docs": block_docs,
         "members": np.concatenate(members),
         "summary_ends": np.cumsum([len(x) for x in summary_terms]),
         "summary_terms": np.concatenate(summary_terms),
@@ -242,9 +248,9 @@ def _survivors(row: dict, places: np.ndarray, weights: np.ndarray, lists: np.nda
     """Documents of an index row in a block whose summary reaches ``least``."""
     found = []
     for place in lists.tolist():
-        begin, end = row["list_begins"][place], row["list_ends"][place]
+        begin, end, width = row["list_begins"][place], row["list_ends"][place], row["block_docs"][place]
         first, last = row["summary_begins"][place], row["summary_ends"][place]
-        blocks = -(-(end - begin) // BLOCK_DOCS)
+        blocks = -(-(end - begin) // width)
         asked = row["list_terms"][places]
         held = row["summary_terms"][first:last]
         at = np.searchsorted(held, asked)
@@ -253,7 +259,7 @@ def _survivors(row: dict, places: np.ndarray, weights: np.ndarray, lists: np.nda
         tops = row["maxima"][start : start + blocks * len(held)].reshape(blocks, len(held))
         bounds = tops[:, at[known]].astype(np.int64) @ weights[known]
         for block in np.flatnonzero(bounds >= least).tolist():
-            found.append(row["members"][begin + block * BLOCK_DOCS : min(end, begin + (block + 1) * BLOCK_DOCS)])
+            found.append(row["members"][begin + block * width : min(end, begin + (block + 1) * width)])
     return np.unique(np.concatenate(found)) if found else np.array([], np.int64)
 
 
@@ -263,7 +269,7 @@ def _opened(batch: pa.RecordBatch, k: int) -> dict:
     row["ids"] = batch.column("ids")[k].as_py()
     for name in ("list", "summary"):
         row[f"{name}_begins"] = np.concatenate([[0], row[f"{name}_ends"][:-1]])
-    blocks = -(-(row["list_ends"] - row["list_begins"]) // BLOCK_DOCS)
+    blocks = -(-(row["list_ends"] - row["list_begins"]) // row["block_docs"])
     sizes = blocks * (row["summary_ends"] - row["summary_begins"])
     row["maxima_begins"] = np.concatenate([[0], np.cumsum(sizes.astype(np.int64))[:-1]])
     return row
@@ -341,7 +347,8 @@ def _search_block(docs: DataFrame, block: list, id: str, text: str, top: int) ->
     queries, weighed = context.broadcast(asked), context.broadcast(weights)
     placed = place_documents(counted, n_docs, n_terms, weights)
     placed.write.parquet(f"{folder}/placed")
-    build_index(spark.read.parquet(f"{folder}/placed"), queries).write.parquet(f"{folder}/index")
+    built = build_index(spark.read.parquet(f"{folder}/placed"), queries)
+    built.write.option("maxRecordsPerFile", FILE_ROWS).parquet(f"{folder}/index")
     index = spark.read.parquet(f"{folder}/index")
     floors = np.zeros(len(asked), np.int64)
     seeds = visit(
