@@ -7,8 +7,9 @@ two words one edit apart, a pivot of the word whose prefix ends rarer is in the
 
 Position limit: the edit lies on one side of the common bigram, so the bigram stands equally far from the word's other
 end in both words, and what lies between is equal as well.  A pivot therefore meets prefix bigrams by the word's
-beginning up to the bigram, or its end from the bigram on.  Lengths differ by one at most.  All candidates are
-verified by edit distance.  No bigram, key or word is left out; keys that very many prefixes share are dealt out
+beginning up to the bigram, or its end from the bigram on.  Lengths differ by one at most.  On the side that may hold the
+edit, the letter next to the bigram or the two at the word's other end are equal, since the edit is not at both.  What
+is left is verified by edit distance.  No bigram, key or word is left out; keys that very many prefixes share are dealt out
 over parts, and the pivots of such a key are copied to all its parts.
 
 Words: maximal runs of ASCII letters and the characters from U+00C0 to U+00FF of whole texts, A-Z in lower case.  If
@@ -126,8 +127,20 @@ def _bigram_counts(words: DataFrame) -> dict[str, int]:
     return {gram: n for gram, n in grams.groupBy("col").count().collect()}
 
 
+def _sides(word: str, p: int) -> Iterator[tuple[str, str, str | None]]:
+    """(key, letter next to it, far end) of the bigram at ``p`` for an edit behind it and for one before it.
+
+    The far end is the two last letters on the side of the edit, or null if that side has fewer than three.
+    """
+    yield "<" + word[: p + 2], word[p + 2 : p + 3], word[-2:] if len(word) - p - 2 > 2 else None
+    yield ">" + word[p:], word[max(p - 1, 0) : p], word[:2] if p > 2 else None
+
+
+_KEY_ROWS = "pivot boolean, key string, beside string, far string, word string, size int, n long, last long"
+
+
 def _keys(words: DataFrame, frequency) -> DataFrame:
-    """(pivot, key, word, n, last): a row per side of every prefix bigram and of every pivot."""
+    """Rows of ``_KEY_ROWS``: one per side of every prefix bigram and of every pivot."""
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known = frequency.value
@@ -139,15 +152,14 @@ def _keys(words: DataFrame, frequency) -> DataFrame:
                     places, last = prefix_places(word, known)
                     for pivot, chosen in ((False, places), (True, pivot_places(word, places, known))):
                         for p in chosen:
-                            made.append((pivot, "<" + word[: p + 2], word, n, last))
-                            made.append((pivot, ">" + word[p:], word, n, last))
-                kinds = (pa.bool_(), pa.string(), pa.string(), pa.int64(), pa.int64())
+                            made += [(pivot, *side, word, len(word), n, last) for side in _sides(word, p)]
+                kinds = (pa.bool_(), *[pa.string()] * 4, pa.int32(), pa.int64(), pa.int64())
                 yield pa.RecordBatch.from_arrays(
                     [pa.array([m[c] for m in made], kind) for c, kind in enumerate(kinds)],
-                    ["pivot", "key", "word", "n", "last"],
+                    [part.split()[0] for part in _KEY_ROWS.split(", ")],
                 )
 
-    return words.mapInArrow(scan, "pivot boolean, key string, word string, n long, last long")
+    return words.mapInArrow(scan, _KEY_ROWS)
 
 
 def near_pairs(words: DataFrame) -> DataFrame:
@@ -164,21 +176,22 @@ def near_pairs(words: DataFrame) -> DataFrame:
 
     every = F.explode(F.sequence(F.lit(0), F.coalesce("parts", F.lit(1)) - 1))
     own = F.pmod(F.xxhash64("word"), F.coalesce("parts", F.lit(1))).cast("int")
-    left = dealt(pivots, every).select("key", "part", "word", "n", "last")
-    right = dealt(prefixes, own).select(
-        "key", "part", F.col("word").alias("near"), F.col("n").alias("near_n"), F.col("last").alias("near_last")
-    )
+    left = dealt(pivots, every).drop("pivot", "parts").alias("l")
+    right = dealt(prefixes, own).drop("pivot", "parts").alias("r")
     met = left.join(right, ["key", "part"]).filter(
-        (F.col("near_last") >= F.col("last"))
-        & (F.abs(F.length("word") - F.length("near")) <= 1)
-        & (F.col("word") != F.col("near"))
-        & (F.levenshtein("word", "near", 1) == 1)
+        (F.col("r.last") >= F.col("l.last"))
+        & F.col("r.size").between(F.col("l.size") - 1, F.col("l.size") + 1)
+        & ((F.col("l.beside") == F.col("r.beside")) | F.coalesce(F.col("l.far") == F.col("r.far"), F.lit(True)))
+        & (F.col("l.word") != F.col("r.word"))
+        & (F.levenshtein("l.word", "r.word", 1) == 1)
     )
-    found = met.select("word", "n", "near", "near_n")
-    turned = found.select(
-        F.col("near").alias("word"), F.col("near_n").alias("n"), F.col("word").alias("near"), F.col("n").alias("near_n")
+    one, other = (F.struct(F.col(f"{x}.word").alias("word"), F.col(f"{x}.n").alias("n")) for x in "lr")
+    both = F.explode(F.array(F.struct(one.alias("a"), other.alias("b")), F.struct(other.alias("a"), one.alias("b"))))
+    return (
+        met.select(both.alias("pair"))
+        .select("pair.a.word", "pair.a.n", F.col("pair.b.word").alias("near"), F.col("pair.b.n").alias("near_n"))
+        .distinct()
     )
-    return found.union(turned).distinct()
 
 
 def variant_forms(words: DataFrame) -> DataFrame:
