@@ -133,8 +133,9 @@ def test_pivots_are_the_cheapest_disjoint_bigrams_of_the_prefix():
     frequency = Counter(g for w in words for g in {w[p : p + 2] for p in range(len(w) - 1)})
     for word in words:
         places, last = spelling.prefix_places(word, frequency)
-        costs = {p: frequency[word[p : p + 2]] for p in range(len(word) - 1)}
-        assert len(places) >= 3 and places == [p for p in costs if costs[p] <= last]
+        rarity = {p: frequency[word[p : p + 2]] for p in range(len(word) - 1)}
+        assert len(places) >= 3 and places == [p for p in rarity if rarity[p] <= last]
+        costs = {p: spelling.expected_meetings(word, p, frequency) for p in rarity}
         a, b = spelling.pivot_places(word, places, frequency)
         assert abs(a - b) >= 2
         assert costs[a] + costs[b] == min(costs[p] + costs[q] for p in places for q in places if q - p >= 2)

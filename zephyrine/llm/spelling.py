@@ -2,7 +2,7 @@
 
 Every word has the bigrams at all its places.  With all bigrams ordered by rarity, its prefix is the three
 rarest (and all others as frequent as the third).  Among the prefix, dynamic programming picks the two disjoint
-bigrams of least total frequency, its pivots.  One edit leaves at least one of two disjoint bigrams as it is; so for
+bigrams that the fewest words should share at their places, its pivots.  One edit leaves at least one of two disjoint bigrams as it is; so for
 two words one edit apart, a pivot of the word whose prefix ends rarer is in the prefix of the other word.
 
 Position limit: the edit lies on one side of the common bigram, so the bigram stands equally far from the word's other
@@ -30,11 +30,12 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from zephyrine.session import cut_lineage
+from zephyrine.session import cut_lineage, scratch_path
 
 HELD_WORDS = 200_000
 #: Prefixes of one key that a task meets at most, about.
 KEY_ROWS = 20_000
+SPREAD = 4.0
 
 #: Latin-1 to lower case; what is no letter of a run becomes a space.
 _TO_RUNS = bytes(
@@ -100,8 +101,16 @@ def prefix_places(word: str, frequency: dict[str, int]) -> tuple[list[int], int]
     return sorted(p for f, p in weighed if f <= last), last
 
 
+def expected_meetings(word: str, p: int, frequency: dict[str, int]) -> float:
+    """About how many words share the bigram at ``p`` along with the beginning before it or the end behind it.
+
+    Every letter of these divides the bigram's words by about ``SPREAD``.
+    """
+    return frequency[word[p : p + 2]] * (SPREAD**-p + SPREAD ** (p + 2 - len(word)))
+
+
 def pivot_places(word: str, places: list[int], frequency: dict[str, int]) -> list[int]:
-    """The two disjoint places of least total frequency; ``places`` are in order.
+    """The two disjoint places of the fewest expected meetings; ``places`` are in order.
 
     ``one`` is the best single place so far with room before the next bigram, ``two`` the best pair.
     """
@@ -112,7 +121,7 @@ def pivot_places(word: str, places: list[int], frequency: dict[str, int]) -> lis
         while waiting and waiting[0][1] <= p - 2:
             ahead = waiting.pop(0)
             one = ahead if one is None else min(one, ahead)
-        weight = frequency[word[p : p + 2]]
+        weight = expected_meetings(word, p, frequency)
         if one is not None:
             pair = (one[0] + weight, one[1], p)
             two = pair if two is None else min(two, pair)
@@ -168,19 +177,21 @@ def near_pairs(words: DataFrame) -> DataFrame:
     frequency = spark.sparkContext.broadcast(_bigram_counts(words))
     keys = cut_lineage(_keys(words, frequency))
     prefixes, pivots = keys.filter("not pivot"), keys.filter("pivot")
-    hot = prefixes.groupBy("key").count().filter(F.col("count") > KEY_ROWS)
-    parts = hot.select("key", F.ceil(F.col("count") / KEY_ROWS).cast("int").alias("parts"))
+    hot = prefixes.groupBy("key", "size").count().filter(F.col("count") > KEY_ROWS)
+    path = scratch_path(spark, "hot-keys")  # a table, so that its size tells Spark how to join it
+    hot.select("key", "size", F.ceil(F.col("count") / KEY_ROWS).cast("int").alias("parts")).write.parquet(path)
+    parts = spark.read.parquet(path)
 
     def dealt(rows: DataFrame, part) -> DataFrame:
-        return rows.join(parts, "key", "left").withColumn("part", part)
+        return rows.join(parts, ["key", "size"], "left").withColumn("part", part)
 
     every = F.explode(F.sequence(F.lit(0), F.coalesce("parts", F.lit(1)) - 1))
     own = F.pmod(F.xxhash64("word"), F.coalesce("parts", F.lit(1))).cast("int")
-    left = dealt(pivots, every).drop("pivot", "parts").alias("l")
+    lengths = F.explode(F.array(F.col("size") - 1, F.col("size"), F.col("size") + 1))
+    left = dealt(pivots.withColumn("size", lengths), every).drop("pivot", "parts").alias("l")
     right = dealt(prefixes, own).drop("pivot", "parts").alias("r")
-    met = left.join(right, ["key", "part"]).filter(
+    met = left.join(right, ["key", "size", "part"]).filter(
         (F.col("r.last") >= F.col("l.last"))
-        & F.col("r.size").between(F.col("l.size") - 1, F.col("l.size") + 1)
         & ((F.col("l.beside") == F.col("r.beside")) | F.coalesce(F.col("l.far") == F.col("r.far"), F.lit(True)))
         & (F.col("l.word") != F.col("r.word"))
         & (F.levenshtein("l.word", "r.word", 1) == 1)
