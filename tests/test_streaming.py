@@ -3,6 +3,8 @@ import json
 import os
 
 import pandas as pd
+import pytest
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from tests.conftest import rows
@@ -143,25 +145,67 @@ def test_anomaly_messages_as_files(spark, folder):
     assert json.loads(written[0]["value"])["severity"] == "critical"
 
 
-def test_streamed_features_equal_batch_features(spark, folder):
-    columns = ["sensor_id", "timestamp", *MEASURED]
-    data = [
-        ("a", START.replace(tzinfo=None) + dt.timedelta(seconds=i), float(i * 7 % 23), *[float(i % 5)] * 7)
-        for i in range(40)
-    ]
+SCORED = ("pm2_5_mean_5", "pm2_5_std_5", "pm2_5_mean_15", "pm2_5_std_15", "pm2_5_delta", "pm10_mean_5", "no2_mean_5")
+
+
+def readings(spark, n=60, sensors=("a", "b", "c")):
+    """Readings 20 s apart with nulls, and one of a sensor that is far ahead and closes all others."""
+    data = []
+    for s, sensor in enumerate(sensors):
+        for i in range(n):
+            at = START.replace(tzinfo=None) + dt.timedelta(seconds=20 * i + s)
+            value = None if i % 11 == 4 else float((i * 7 + s) % 23) / 4
+            data.append((sensor, at, value, *[float(i % 5)] * 7))
+    data.append(("end", START.replace(tzinfo=None) + dt.timedelta(days=9), *[0.0] * 8))
     schema = "sensor_id string, timestamp timestamp, " + ", ".join(f"{c} double" for c in MEASURED)
-    table = spark.createDataFrame(data, schema).withColumn("zone", F.lit("industrial"))
-    for part, keep in enumerate(("second(timestamp) < 20", "second(timestamp) >= 20")):
-        table.filter(keep).coalesce(1).write.mode("append").parquet(f"{folder}/in")
-    stream = (
-        spark.readStream.schema(table.schema).option("maxFilesPerTrigger", 1).parquet(f"{folder}/in")
-    )
-    done = run_to_table(stream_features(stream), f"{folder}/out", f"{folder}/checkpoint").toPandas()
-    batched = delta_features(rolling_features(table, POLLUTANTS, (5, 15)), POLLUTANTS).toPandas()
-    done = done.sort_values("timestamp", ignore_index=True)
-    batched = batched.sort_values("timestamp", ignore_index=True)
-    assert set(FORECAST_FEATURES) <= set(done.columns)
-    for c in ("pm2_5_mean_5", "pm2_5_std_5", "pm2_5_mean_15", "pm2_5_std_15", "pm2_5_delta",
-              "pm10_mean_5", "no2_mean_5"):
-        pd.testing.assert_series_equal(done[c], batched[c], check_names=False, atol=1e-6)
-    assert set(done["zone_enc"]) == {2} and columns[0] in done.columns
+    return spark.createDataFrame(data, schema).withColumn("zone", F.lit("industrial"))
+
+
+def streamed(spark, table, folder, arrival, files, watermark):
+    """``stream_features`` over the rows in ``files`` batches, in the order of ``arrival`` (seconds)."""
+    ahead = F.col("sensor_id") == "end"
+    order = F.row_number().over(Window.orderBy(ahead, arrival))
+    placed = table.withColumn("part", F.floor(order * files / (table.count() + 1)).cast("int")).cache()
+    for part in range(files):
+        placed.filter(F.col("part") == part).drop("part").coalesce(1).write.mode("append").parquet(f"{folder}/in")
+    stream = spark.readStream.schema(table.schema).option("maxFilesPerTrigger", 1).parquet(f"{folder}/in")
+    done = run_to_table(stream_features(stream, watermark, 30), f"{folder}/out", f"{folder}/checkpoint")
+    return done.toPandas().sort_values(["sensor_id", "timestamp"], ignore_index=True)
+
+
+@pytest.mark.parametrize(("files", "spread"), [(1, 0), (7, 0), (7, 300), (20, 300)])
+def test_streamed_features_equal_batch_features_in_any_order_of_arrival(spark, folder, files, spread):
+    table = readings(spark)
+    jitter = F.pmod(F.xxhash64("sensor_id", "timestamp"), F.lit(spread)) if spread else F.lit(0)
+    arrival = F.col("timestamp").cast("long") + jitter
+    done = streamed(spark, table, folder, arrival, files, "10 minutes")
+    whole = delta_features(rolling_features(table, POLLUTANTS, (5, 15)), POLLUTANTS).filter("sensor_id <> 'end'")
+    batched = whole.toPandas().sort_values(["sensor_id", "timestamp"], ignore_index=True)
+    assert set(FORECAST_FEATURES) <= set(done.columns) and len(done) == 180
+    assert list(done["timestamp"]) == list(batched["timestamp"])
+    for c in (*SCORED, "pm2_5"):
+        pd.testing.assert_series_equal(done[c], batched[c], check_names=False, atol=1e-9)
+    assert set(done["zone_enc"]) == {2}
+
+
+def test_rows_behind_the_watermark_are_left_out_of_later_frames(spark, folder):
+    table = readings(spark, 30, ("a",))
+    late = F.col("timestamp") == F.lit(START.replace(tzinfo=None) + dt.timedelta(seconds=40))
+    arrival = F.col("timestamp").cast("long") + F.when(late, 10_000).otherwise(0)
+    done = streamed(spark, table, folder, arrival, 10, "1 minute")
+    assert len(done) == 29 and done["pm2_5_mean_5"].iloc[2] == (0 + 7 + 21) / 4 / 3
+
+
+def test_a_stopped_stream_goes_on_with_its_state(spark, folder):
+    table = readings(spark).withColumn("part", F.pmod(F.unix_seconds("timestamp"), F.lit(2)))
+    for part in (0, 1):
+        table.filter(F.col("part") == part).drop("part").write.mode("append").parquet(f"{folder}/in")
+        stream = spark.readStream.schema(table.drop("part").schema).parquet(f"{folder}/in")
+        run_to_table(stream_features(stream, "20 days"), f"{folder}/out", f"{folder}/checkpoint")
+    spark.createDataFrame(table.filter("sensor_id = 'end'").drop("part").collect(), table.drop("part").schema) \
+        .withColumn("timestamp", F.expr("timestamp + interval 30 days")).write.mode("append").parquet(f"{folder}/in")
+    stream = spark.readStream.schema(table.drop("part").schema).parquet(f"{folder}/in")
+    done = run_to_table(stream_features(stream, "20 days"), f"{folder}/out", f"{folder}/checkpoint")
+    batched = delta_features(rolling_features(table, POLLUTANTS, (5, 15)), POLLUTANTS)
+    columns = ("sensor_id", "timestamp", "pm2_5_mean_15", "pm2_5_delta")
+    assert rows(done.filter("sensor_id <> 'end'"), *columns) == rows(batched.filter("sensor_id <> 'end'"), *columns)

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from workload.aggregates import _PROFILE_SQL
 from workload.projection import AS_OF, World, with_tables
 from workload.registry import ORACLES, query, rounded
+from workload.streams import arriving_stream
 from zephyrine.operators import clustering, features, isolation, metrics, models, scoring, summaries
 from zephyrine.plans.training import split_key
 from zephyrine.session import cut_lineage, scratch_path
@@ -154,8 +155,10 @@ def stream_score(w: World) -> DataFrame:
     matrix = cut_lineage(features.generate_labels(_matrix(w)))
     classifier = models.train_logistic(matrix)
     forecast = models.train_ridge(features.build_forecast_dataset(matrix, "no2"), target="target")
-    stream = w.event_stream.join(w.sensors.select("sensor_id", "zone"), "sensor_id")
-    scored = score_stream(stream, classifier, {"no2": forecast}, "anomaly-classifier", "1")
+    stream = arriving_stream(w)
+    scored = score_stream(
+        stream, classifier, {"no2": forecast}, "anomaly-classifier", "1", watermark=None, bucket_seconds=3600
+    )
     place = scratch_path(w.spark, "scores")
     return run_to_table(scored, f"{place}/out", f"{place}/checkpoint")
 

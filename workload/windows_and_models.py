@@ -12,6 +12,7 @@ from workload.aggregates import _PROFILE_SQL, ROLLING_SQL
 from workload.learning import _matrix, _profiles
 from workload.projection import AS_OF, DAY, World, with_tables
 from workload.registry import ORACLES, query, rounded
+from workload.streams import arriving_stream
 from zephyrine import schemas
 from zephyrine.operators import clustering, features, models, quality, rolling, scoring, summaries
 from zephyrine.plans import daily, training
@@ -254,8 +255,8 @@ def score_fixed(w: World) -> DataFrame:
 def stream_score_fixed(w: World) -> DataFrame:
     """The event stream scored with given coefficients of the reading itself."""
     classifier, forecasters = _fixed_models()
-    stream = w.event_stream.join(w.sensors.select("sensor_id", "zone"), "sensor_id")
-    scored = score_stream(stream, classifier, forecasters, "fixed", "1")
+    stream = arriving_stream(w)
+    scored = score_stream(stream, classifier, forecasters, "fixed", "1", watermark=None, bucket_seconds=3600)
     place = scratch_path(w.spark, "scores")
     found = run_to_table(scored, f"{place}/out", f"{place}/checkpoint")
     return rounded(found, 9, "anomaly_probability")

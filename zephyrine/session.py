@@ -26,6 +26,14 @@ def configure(spark: SparkSession) -> SparkSession:
     return spark
 
 
+def keep_state_in_rocksdb(spark: SparkSession) -> None:
+    """Streaming state outside the heap; operators with timers need this store."""
+    spark.conf.set(
+        "spark.sql.streaming.stateStore.providerClass",
+        "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
+    )
+
+
 def shared_dir(spark: SparkSession) -> str:
     """The cluster's shared folder; a throw-away one only in local mode without a setting."""
     configured = spark.conf.get("spark.checkpoint.dir", None)

@@ -1,20 +1,23 @@
-"""Scoring of a reading stream with rolling features kept in keyed state."""
+"""Scoring of a reading stream with rolling features in event-time order."""
 
 from __future__ import annotations
 
 from collections.abc import Iterator
 
+import numpy as np
 import pandas as pd
 from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
-from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
+from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
 from zephyrine.operators.features import calendar_features
 from zephyrine.operators.isolation import IsolationForest
 from zephyrine.operators.scoring import score_batch
 from zephyrine.operators.summaries import with_zone_code
 from zephyrine.schemas import MEASURED
+from zephyrine.session import keep_state_in_rocksdb
 
 _HISTORY = 14  # rows before the current one that a 15-row window needs
 _TRACKED = ("pm2_5", "pm10", "no2")
@@ -28,46 +31,110 @@ _FEATURES = {
     "no2_mean_5": ("no2", 5, "mean"),
 }
 
-_OUTPUT = T.StructType(
+_ROW = T.StructType(
     [
-        T.StructField("sensor_id", T.StringType()),
-        T.StructField("timestamp", T.TimestampType()),
+        T.StructField("at", T.LongType()),
         *(T.StructField(c, T.DoubleType()) for c in MEASURED),
         T.StructField("zone", T.StringType()),
+    ]
+)
+_OUTPUT = T.StructType(
+    [
+        T.StructField("sensor_id", T.StringType()),
+        *_ROW.fields,
         *(T.StructField(c, T.DoubleType()) for c in _FEATURES),
         T.StructField("pm2_5_delta", T.DoubleType()),
     ]
 )
-_STATE = T.StructType([T.StructField(c, T.ArrayType(T.DoubleType())) for c in _TRACKED])
+_BUCKET = T.StructType([T.StructField(f.name, T.ArrayType(f.dataType)) for f in _ROW.fields])
+_PAST = T.StructType([T.StructField(c, T.ArrayType(T.DoubleType())) for c in _TRACKED])
+_NUMBER = T.StructType([T.StructField("bucket", T.LongType())])
+
+
+def _frames(series: np.ndarray, width: int) -> np.ndarray:
+    """Row i holds the last ``width`` values up to i; places before the start are NaN."""
+    padded = np.concatenate([np.full(width - 1, np.nan), series])
+    return np.lib.stride_tricks.sliding_window_view(padded, width)
+
 
+def _statistic(frames: np.ndarray, how: str) -> np.ndarray:
+    """Mean (NaN without values) or sample deviation (0 below two values) of every frame.
 
-def _add_features(rows: pd.DataFrame, past: pd.DataFrame) -> pd.DataFrame:
-    series = pd.concat([past, rows[list(_TRACKED)]], ignore_index=True)
-    fresh = slice(len(past), None)
-    made = rows.copy()
+    A frame's figure follows from its own values alone, so it is the same however a stream was cut.
+    """
+    known = ~np.isnan(frames)
+    n = known.sum(axis=1)
+    mean = np.where(known, frames, 0.0).sum(axis=1) / np.maximum(n, 1)
+    if how == "mean":
+        return np.where(n > 0, mean, np.nan)
+    squares = np.where(known, frames - mean[:, None], 0.0) ** 2
+    return np.where(n > 1, np.sqrt(squares.sum(axis=1) / np.maximum(n - 1, 1)), 0.0)
+
+
+def _add_features(rows: pd.DataFrame, past: dict[str, list[float]]) -> pd.DataFrame:
+    """``rows`` in time order with features; ``past`` holds the values of the rows before them."""
+    made, skip = rows.copy(), len(past["pm2_5"])
+    series = {c: np.concatenate([past[c], rows[c].to_numpy(float)]) for c in _TRACKED}
     for name, (column, width, how) in _FEATURES.items():
-        window = series[column].rolling(width, min_periods=1)
-        values = window.mean() if how == "mean" else window.std().fillna(0.0)
-        made[name] = values.iloc[fresh].to_numpy()
-    made["pm2_5_delta"] = series["pm2_5"].diff().fillna(0.0).iloc[fresh].to_numpy()
+        made[name] = _statistic(_frames(series[column], width)[skip:], how)
+    step = np.diff(series["pm2_5"], prepend=np.nan)[skip:]
+    made["pm2_5_delta"] = np.where(np.isnan(step), 0.0, step)
     return made
 
 
-def _step(
-    key: tuple[str], frames: Iterator[pd.DataFrame], state: GroupState
-) -> Iterator[pd.DataFrame]:
-    """Frames are handled one by one, so a busy sensor never has to fit in memory at once."""
-    if state.exists:
-        past = pd.DataFrame(dict(zip(_TRACKED, state.get, strict=True)), dtype=float)
-    else:
-        past = pd.DataFrame({c: [] for c in _TRACKED}, dtype=float)
-    for frame in frames:
-        rows = frame.sort_values("timestamp", ignore_index=True)
-        yield _add_features(rows, past)[[f.name for f in _OUTPUT.fields]]
-        past = pd.concat([past, rows[list(_TRACKED)]], ignore_index=True).tail(_HISTORY)
-    state.update(
-        tuple([None if pd.isna(v) else float(v) for v in past[c]] for c in _TRACKED)
-    )
+def _values(column: pd.Series) -> list:
+    return [None if pd.isna(v) else v for v in column.tolist()]
+
+
+class _InTimeOrder(StatefulProcessor):
+    """Holds a sensor's rows back until the watermark has passed them.
+
+    Rows wait in buckets of ``width_ms`` of event time; a timer per bucket fires when the watermark reaches the
+    bucket's end, after which no row of it can arrive.  Timers fire in time order, so a sensor's rows leave in time
+    order, a bucket at a time; rows of equal time are ordered by their values.  The state holds the waiting buckets
+    and the last rows that left.
+    """
+
+    def __init__(self, width_ms: int):
+        self.width_ms = width_ms
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.handle = handle
+        self.waiting = handle.getMapState("waiting", _NUMBER, _BUCKET)
+        self.past = handle.getValueState("past", _PAST)
+
+    def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
+        for frame in rows:
+            if frame.empty:
+                continue
+            for bucket, part in frame.groupby(frame["at"] // (self.width_ms * 1000)):
+                number = (int(bucket),)
+                held = self.waiting.getValue(number) if self.waiting.containsKey(number) else None
+                if held is None:
+                    self.handle.registerTimer((int(bucket) + 1) * self.width_ms)
+                columns = [_values(part[f.name]) for f in _ROW.fields]
+                if held is not None:
+                    columns = [list(old) + new for old, new in zip(held, columns, strict=True)]
+                self.waiting.updateValue(number, tuple(columns))
+        return iter(())
+
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
+        number = (expiredTimerInfo.getExpiryTimeInMs() // self.width_ms - 1,)
+        held = dict(zip(_BUCKET.names, self.waiting.getValue(number), strict=True))
+        self.waiting.removeKey(number)
+        rows = pd.DataFrame({c: list(v) for c, v in held.items()})
+        rows[list(MEASURED)] = rows[list(MEASURED)].astype(float)
+        rows = rows.sort_values(["at", *MEASURED, "zone"], ignore_index=True)
+        stored = self.past.get() if self.past.exists() else [[]] * len(_TRACKED)
+        past = {c: [np.nan if v is None else v for v in s] for c, s in zip(_TRACKED, stored, strict=True)}
+        made = _add_features(rows, past)
+        kept = [pd.Series([*past[c], *rows[c]], dtype=float).tail(_HISTORY) for c in _TRACKED]
+        self.past.update(tuple(_values(c) for c in kept))
+        made.insert(0, "sensor_id", key[0])
+        yield made[_OUTPUT.names]
+
+    def close(self) -> None:
+        pass
 
 
 def score_stream(
@@ -76,25 +143,31 @@ def score_stream(
     forecasters: dict[str, PipelineModel] | None = None,
     model_name: str = "none",
     model_version: str = "none",
+    watermark: str | None = "10 minutes",
+    bucket_seconds: int = 60,
 ) -> DataFrame:
     """Scores of a stream of flat readings with ``zone``, from real rolling features."""
-    return score_batch(
-        stream_features(readings), classifier, forecasters, model_name, model_version
-    )
+    rows = stream_features(readings, watermark, bucket_seconds)
+    return score_batch(rows, classifier, forecasters, model_name, model_version)
 
 
-def stream_features(readings: DataFrame) -> DataFrame:
+def stream_features(
+    readings: DataFrame, watermark: str | None = "10 minutes", bucket_seconds: int = 60
+) -> DataFrame:
     """Rolling, delta, calendar and zone features of a stream of flat readings with ``zone``.
 
-    A sensor's rows are put in time order within an Arrow batch; a row that arrives in a later
-    batch counts as newer than those before it.
+    A sensor's rows are taken in the order of their timestamps, whatever their order of arrival and the size of the
+    batches.  A row is given out once the watermark passes the end of its bucket of ``bucket_seconds``, and rows behind
+    the watermark are dropped (``numRowsDroppedByWatermark``).  With ``watermark=None`` the stream's own holds.  Rows
+    without a timestamp have no place in the order and are left out.
     """
-    columns = ["sensor_id", "timestamp", *MEASURED, "zone"]
-    rows = (
-        readings.select(*columns)
-        .groupBy("sensor_id")
-        .applyInPandasWithState(
-            _step, _OUTPUT, _STATE, "append", GroupStateTimeout.NoTimeout
-        )
+    keep_state_in_rocksdb(readings.sparkSession)
+    rows = readings if watermark is None else readings.withWatermark("timestamp", watermark)
+    rows = rows.filter("timestamp is not null").select(
+        "sensor_id", "timestamp", F.unix_micros("timestamp").alias("at"), *MEASURED, "zone"
+    )
+    made = rows.groupBy("sensor_id").transformWithStateInPandas(
+        _InTimeOrder(bucket_seconds * 1000), _OUTPUT, "append", "eventTime"
     )
-    return with_zone_code(calendar_features(rows))
+    timed = made.withColumn("timestamp", F.timestamp_micros("at"))
+    return with_zone_code(calendar_features(timed.select("sensor_id", "timestamp", *_OUTPUT.names[2:])))
