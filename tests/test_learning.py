@@ -4,7 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tests.conftest import rows
-from zephyrine.operators import clustering, features, isolation, metrics, models, scoring
+from zephyrine.operators import clustering, features, isolation, metrics, models, scoring, spaces
 from zephyrine.operators.components import connected_components
 
 RNG = np.random.default_rng(7)
@@ -123,17 +123,37 @@ def brute_dbscan(x, ids, eps, least):
     return found
 
 
-@pytest.mark.parametrize(("dims", "eps", "least"), [(2, 0.8, 3), (2, 0.3, 5), (4, 0.9, 3)])
-def test_density_clusters_match_brute_force(spark, dims, eps, least):
+@pytest.mark.parametrize(
+    ("dims", "eps", "least", "part_cells"),
+    [(2, 0.8, 3, 4096), (2, 0.3, 5, 8), (4, 0.9, 3, 16), (3, 0.6, 2, 5), (3, 0.7, 60, 10)],
+)
+def test_density_clusters_match_brute_force(spark, dims, eps, least, part_cells):
     blobs = [RNG.normal(c, 0.35, (45, dims)) for c in (0.0, 2.0)]
     x = np.vstack([*blobs, RNG.uniform(-3, 5, (40, dims)), np.repeat(blobs[0][:1], 20, axis=0)])
     df = table(spark, x)
     names = tuple(f"f{i}" for i in range(dims))
-    found = clustering.dbscan(df, names, key="id", eps=eps, min_samples=least)
+    found = clustering.dbscan(df, names, key="id", eps=eps, min_samples=least, part_cells=part_cells)
     ids = [f"p{i:04d}" for i in range(len(x))]
     expected = brute_dbscan(x, ids, eps, least)
     assert {r["id"]: (r["cluster"], r["is_core"]) for r in found.collect()} == expected
-    assert len({c for c, _ in expected.values()}) > 1
+    assert len({c for c, _ in expected.values()}) > (least < 60)
+
+
+def test_every_cell_is_in_the_parts_within_reach(spark):
+    x = np.concatenate([RNG.normal(0, 1, (300, 3)), RNG.normal(0, 0.01, (50, 3))])
+    side, eps, names = 0.25, 0.5, ["x0", "x1", "x2"]
+    cells = spark.createDataFrame(
+        [(str(i), 1, *map(float, p), *map(float, p)) for i, p in enumerate(x)],
+        "cell string, n long, " + ", ".join(f"{end}_{n} double" for end in ("lo", "hi") for n in names),
+    )
+    tree = spaces.fit_tree(cells, names, side, 20)
+    placed = [(int(r.cell), r.part, r.own) for r in spaces.place_cells(cells, names, tree, eps).collect()]
+    homes = {c: part for c, part, own in placed if own}
+    assert len(homes) == sum(own for *_, own in placed) == len(x) and len(set(homes.values())) > 10
+    held = {(c, part) for c, part, _ in placed}
+    near = ((x[:, None] - x[None]) ** 2).sum(-1) <= eps * eps
+    assert all((j, homes[i]) in held for i, j in zip(*np.nonzero(near), strict=True))
+    assert len(held) < len(x) * len(set(homes.values())) / 2
 
 
 def test_components(spark):

@@ -12,6 +12,7 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from zephyrine.operators import spaces
 from zephyrine.operators.components import connected_components
 from zephyrine.operators.features import scale_features
 from zephyrine.operators.summaries import PROFILE_FEATURES
@@ -100,6 +101,7 @@ def dbscan(
     key: str = "sensor_id",
     eps: float = 0.8,
     min_samples: int = 3,
+    part_cells: int = 4096,
 ) -> DataFrame:
     """Exact density clustering: (key, cluster, is_core).
 
@@ -108,10 +110,14 @@ def dbscan(
 
     Space is cut into cells whose diagonal is below ``eps``.  Points sharing a cell are
     neighbours by construction, so pairs inside a cell are never formed, and a cell with
-    ``min_samples`` points consists of core points.  Two cells whose points all lie within
-    ``eps`` of each other are settled from their bounds.  Distances between points are computed
-    only across the remaining pairs of cells, only for points in reach of the other cell's
-    bounds, and, for linking, only where the cells are not connected already.
+    ``min_samples`` points, a dense one, consists of core points.
+
+    Cells meet in the parts of a split tree of about ``part_cells`` cells each.  A part also gets the cells
+    within ``eps`` of its box.  There the points of sparse cells, which are few per cell, are compared at once:
+    neighbours are counted, then core points are linked and border points attached, and only the counts, one link
+    per cell and the attachments leave the part.  Labels of parts meet in the cells they share.  Pairs with a
+    dense cell leave the part as pairs: those whose points all lie within ``eps`` are settled from their bounds, for
+    the others points in reach are joined, and, for linking, only where the cells are not connected already.
     """
     names = [f"x{i}" for i in range(len(columns))]
     side = eps / math.sqrt(len(columns)) * (1 - 1e-9)
@@ -129,12 +135,18 @@ def dbscan(
             *(F.max(x).alias(f"hi_{x}") for x in names),
         )
     )
-    pairs = cut_lineage(_adjacent_cells(points, cells, names, eps))
-
-    core = cut_lineage(_core_points(points, cells, pairs, names, eps, min_samples))
-    linked = _cell_clusters(core, pairs, names, eps)
+    tree = spaces.fit_tree(cells, names, side, part_cells)
+    placed = cut_lineage(spaces.place_cells(cells, names, tree, eps))
+    sparse = points.join(cells.filter(F.col("n") < min_samples).select("cell"), "cell")
+    pairs = cut_lineage(spaces.dense_pairs(placed, names, eps, min_samples))
+    seen = spaces.sparse_neighbours(placed, sparse, names, eps)
+
+    core = cut_lineage(_core_points(points, cells, pairs, seen, names, eps, min_samples))
+    flagged = sparse.join(core.select("id", F.lit(True).alias("core")), "id", "left")
+    links, attached = spaces.sparse_links(placed, flagged, names, eps)
+    linked = _cell_clusters(core, pairs, links, names, eps)
     core_labels = core.join(linked, "cell")
-    border = _border_points(points, core, linked, pairs, names, eps)
+    border = _border_points(points, core, linked, pairs, attached, names, eps)
     named = core_labels.groupBy("component").agg(F.min("id").alias("cluster"))
     settled = (
         core_labels.select("id", "component", F.lit(True).alias("is_core"))
@@ -150,48 +162,6 @@ def dbscan(
     )
 
 
-def _adjacent_cells(
-    points: DataFrame, cells: DataFrame, names: list[str], eps: float
-) -> DataFrame:
-    """Ordered pairs (cell, other) whose bounds come within ``eps``.
-
-    Cells meet in buckets over the three coordinates of largest variance.  The lower bounds of
-    cells in reach differ by less than ``2 * eps`` (a cell is narrower than ``eps``), so
-    neighbouring buckets of that width suffice.
-    """
-    spread = points.agg(*(F.var_pop(x).alias(x) for x in names)).first()
-    chosen = sorted(names, key=lambda x: -(spread[x] or 0.0))[:3]
-    width = 2 * eps
-    buckets = {f"b_{x}": F.floor(F.col(f"lo_{x}") / F.lit(width)) for x in chosen}
-    left = cells.withColumns(buckets)
-    right = cells.select(*(F.col(c).alias(f"o_{c}") for c in cells.columns))
-    for x in chosen:
-        at = F.floor(F.col(f"o_lo_{x}") / F.lit(width))
-        right = right.withColumn(f"b_{x}", F.explode(F.array(at - 1, at, at + 1)))
-    gap, reach = [], []
-    for x in names:
-        lo, hi = F.col(f"lo_{x}"), F.col(f"hi_{x}")
-        olo, ohi = F.col(f"o_lo_{x}"), F.col(f"o_hi_{x}")
-        gap.append(_square(F.greatest(F.lit(0.0), lo - ohi, olo - hi)))
-        reach.append(_square(F.greatest(hi - olo, ohi - lo)))
-    limit = F.lit(eps * eps)
-    return (
-        left.join(right, [f"b_{x}" for x in chosen])
-        .filter((F.col("cell") != F.col("o_cell")) & (_total(gap) <= limit))
-        .select(
-            "cell",
-            F.col("o_cell").alias("other"),
-            F.col("n"),
-            F.col("o_n").alias("other_n"),
-            (_total(reach) <= limit).alias("whole"),
-            # Under their own names: renaming filtered columns makes the optimizer derive the
-            # filter anew for every combination of old and new names.
-            *(f"o_lo_{x}" for x in names),
-            *(f"o_hi_{x}" for x in names),
-        )
-    )
-
-
 def _near_points(
     points: DataFrame, pairs: DataFrame, others: DataFrame, names: list[str], eps: float
 ) -> DataFrame:
@@ -223,6 +193,7 @@ def _core_points(
     points: DataFrame,
     cells: DataFrame,
     pairs: DataFrame,
+    sparse_seen: DataFrame,
     names: list[str],
     eps: float,
     min_samples: int,
@@ -241,17 +212,21 @@ def _core_points(
         .agg(F.count("*").alias("seen_n"))
     )
     zero = F.lit(0)
-    around = F.col("n") + F.coalesce("whole_n", zero) + F.coalesce("seen_n", zero)
+    others = [F.coalesce(c, zero) for c in ("whole_n", "seen_n", "sparse_n")]
+    around = F.col("n") + others[0] + others[1] + others[2]
     promoted = (
         sparse.join(whole, "cell", "left")
         .join(seen, "id", "left")
+        .join(sparse_seen, "id", "left")
         .filter(around >= min_samples)
         .select(*points.columns)
     )
     return dense.select(*points.columns).unionByName(promoted)
 
 
-def _cell_clusters(core: DataFrame, pairs: DataFrame, names: list[str], eps: float) -> DataFrame:
+def _cell_clusters(
+    core: DataFrame, pairs: DataFrame, links: DataFrame, names: list[str], eps: float
+) -> DataFrame:
     """(cell, component) for the cells that hold core points."""
     cells = core.select("cell").distinct()
     among = (
@@ -267,6 +242,7 @@ def _cell_clusters(core: DataFrame, pairs: DataFrame, names: list[str], eps: flo
         )
 
     sure = among.filter("whole").select(F.col("cell").alias("u"), F.col("other").alias("v"))
+    sure = cut_lineage(sure.union(links.select("u", "v")))
     first = cut_lineage(components(sure))
     other = first.select(F.col("cell").alias("other"), F.col("component").alias("other_component"))
     undecided = (
@@ -289,6 +265,7 @@ def _border_points(
     core: DataFrame,
     linked: DataFrame,
     pairs: DataFrame,
+    attached: DataFrame,
     names: list[str],
     eps: float,
 ) -> DataFrame:
@@ -309,4 +286,5 @@ def _border_points(
         .join(other, "other")
         .select("id", "component")
     )
-    return same.unionByName(whole).unionByName(near).distinct()
+    sparse = attached.join(linked, "cell").select("id", "component")
+    return same.unionByName(whole).unionByName(near).unionByName(sparse).distinct()
