@@ -41,7 +41,7 @@ def test_the_daily_job(world, store, spark, folder):
     assert "new_data" in waiting.waiting_for and not waiting.training
 
     done = run_daily(
-        spark, store, models, world.sensors, DAY, AS_OF, rounds=2, check_gates=False
+        spark, store, models, world.sensors, DAY, AS_OF, check_gates=False
     )
     assert done.record_count > 0 and done.deployed
     assert all(done.training["forecasting"][t][1] for t in ("pm2_5", "no2"))

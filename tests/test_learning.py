@@ -1,10 +1,11 @@
 import numpy as np
 import pandas as pd
 import pytest
+from pyspark.ml import PipelineModel
 from pyspark.sql import functions as F
 
 from tests.conftest import rows
-from zephyrine.operators import clustering, features, isolation, metrics, models, scoring, spaces
+from zephyrine.operators import clustering, features, isolation, metrics, models, scoring, spaces, trees
 from zephyrine.operators.components import connected_components
 
 RNG = np.random.default_rng(7)
@@ -225,3 +226,62 @@ def test_request_defaults(spark):
     assert rows(empty, "anomaly_probability", "is_anomaly", "no2_forecast", "model_name") == [
         (None, None, None, "none")
     ] * 2
+
+
+def tree_rows(spark, n=600):
+    x = RNG.integers(0, 40, (n, 3)).astype(float)
+    x[:, 2] = RNG.normal(0, 1, n)
+    y = 3.0 * (x[:, 0] > 17) - 2.0 * (x[:, 1] < 9) + RNG.normal(0, 0.1, n)
+    rows = [(*map(float, r), float(v), int(v > 1)) for r, v in zip(x, y, strict=True)]
+    return spark.createDataFrame(rows, "a double, b double, c double, target double, label int").repartition(5)
+
+
+@pytest.mark.parametrize("boosted", [True, False])
+def test_trees_are_equal_in_one_task_and_in_the_cluster(spark, boosted):
+    growth = trees.Growth(depth=4, row_sample=0.8, columns_per_tree=0.7, bootstrap=not boosted, columns_per_node=0.7)
+    data = trees.bin_rows(tree_rows(spark), ("a", "b", "c"), "target" if boosted else "label", bins=32)
+    here = trees.grow_trees(data, 4, growth, boosted)
+    spread = trees.grow_trees(data, 4, growth, boosted, task_rows=0, keep_every=2)
+    assert here == spread and any(len(t["feature"]) > 7 for t in here)
+
+
+def test_nodes_below_the_least_size_are_not_split(spark):
+    rows = tree_rows(spark, 60)
+    data = trees.bin_rows(rows, ("a", "b", "c"), "target")
+    growth = trees.Growth(depth=10, reg=0.0, least_hessian=0.0, least_rows_to_split=20)
+    (tree,) = trees.grow_trees(data, 1, growth, boosted=False)
+    bins = np.stack([np.frombuffer(r.x, np.uint8) for r in data.rows.collect()])
+    at = trees.nodes_of(tree, bins)
+    inside = {n for n, f in enumerate(tree["feature"]) if f >= 0}
+    sizes = {n: int((at == n).sum()) for n in range(len(tree["feature"])) if n not in inside}
+    for n in sorted(inside, reverse=True):
+        sizes[n] = sizes[tree["left"][n]] + sizes[tree["right"][n]]
+    assert sizes[0] == 60 and min(sizes[n] for n in inside) >= 20 and len(inside) > 1
+
+
+def test_boosting_learns_and_names_the_planted_features(spark, folder):
+    rows_ = tree_rows(spark)
+    model = models.train_boosted_trees(rows_, ("a", "b", "c"), rounds=60, depth=3)
+    assert models.evaluate_forecaster(model, rows_).first()["r2"] > 0.95
+    order = [r["feature"] for r in models.feature_importances(spark, model).collect()]
+    assert order == ["a", "b", "c"]
+    model.write().overwrite().save(f"{folder}/model")
+    again = PipelineModel.load(f"{folder}/model")
+    same = models.transform(again, rows_).select("prediction").collect()
+    assert same == models.transform(model, rows_).select("prediction").collect()
+
+
+def test_a_forest_gives_shares_and_planted_importances(spark):
+    rows_ = tree_rows(spark)
+    model = models.train_random_forest(rows_, ("a", "b", "c"), trees=40, depth=5)
+    assert models.evaluate_classifier(model, rows_).first()["f1"] > 0.9
+    assert models.feature_importances(spark, model).first()["feature"] == "a"
+
+
+def test_quantile_cuts_and_constant_features(spark):
+    rows_ = tree_rows(spark).withColumn("same", F.lit(1.0))
+    data = trees.bin_rows(rows_, ("c", "same", "a"), "target", bins=16)
+    assert [len(c) for c in data.cuts][1] == 0 and 10 <= len(data.cuts[0]) <= 15
+    assert trees.grow_trees(trees.bin_rows(rows_.limit(0), ("a",), "target"), 2, trees.Growth(), True) == [
+        trees.new_tree(), trees.new_tree(),
+    ]

@@ -14,7 +14,7 @@ from workload.projection import AS_OF, DAY, World, with_tables
 from workload.registry import ORACLES, query, rounded
 from workload.streams import arriving_stream
 from zephyrine import schemas
-from zephyrine.operators import clustering, features, models, quality, rolling, scoring, summaries
+from zephyrine.operators import clustering, features, models, quality, rolling, scoring, summaries, trees
 from zephyrine.plans import daily, training
 from zephyrine.session import cut_lineage, scratch_path
 from zephyrine.sources.declared import CatalogStore
@@ -292,11 +292,56 @@ def logistic_calibration(w: World) -> DataFrame:
     )
 
 
+@query(
+    with_tables("m")
+    + """, d as (select coalesce(no2, 0) as x, pm2_5 as y from m where pm2_5 is not null),
+    b as (select avg(y) as base, count(*) as n from d),
+    s as (select x, sum(base - y) as g, count(*) as h from d cross join b group by x),
+    c as (select x, sum(g) over w as gl, sum(h) over w as hl, sum(g) over () as g, sum(h) over () as h
+      from s window w as (order by x rows between unbounded preceding and current row)),
+    top as (select * from c where h > hl
+      order by gl * gl / (hl + 1) + (g - gl) * (g - gl) / (h - hl + 1) - g * g / (h + 1) desc, x limit 1)
+    select x as threshold, round(-0.05 * gl / (hl + 1), 5) as left_value,
+    round(-0.05 * (g - gl) / (h - hl + 1), 5) as right_value, round(base, 6) as base from top cross join b"""
+)
+def boosted_one_split(w: World) -> DataFrame:
+    """The first split of boosting on one feature, its cut and its leaves."""
+    rows = w.measurements.filter("pm2_5 is not null")
+    model = models.train_boosted_trees(
+        rows, ("no2",), "pm2_5", rounds=1, depth=1, subsample=1.0, column_sample=1.0
+    )
+    content = model.stages[-1].content
+    tree = content["trees"][0]
+    left, right = (round(tree["value"][tree[side][0]], 5) for side in ("left", "right"))
+    row = (tree["threshold"][0], left, right, round(content["base"], 6))
+    return w.spark.createDataFrame([row], "threshold double, left_value double, right_value double, base double")
+
+
+@query(
+    with_tables("m")
+    + """, d as (select coalesce(no2, 0) as x, (pm2_5 > 50)::int as y from m where pm2_5 is not null),
+    s as (select x, sum(y) as g, count(*) as h from d group by x),
+    c as (select x, sum(g) over w as gl, sum(h) over w as hl, sum(g) over () as g, sum(h) over () as h
+      from s window w as (order by x rows between unbounded preceding and current row)),
+    top as (select x from c where h > hl order by gl * gl / hl + (g - gl) * (g - gl) / (h - hl) desc, x limit 1)
+    select d.x <= top.x as low, count(*) as n, round(avg(y), 6) as probability from d cross join top group by 1"""
+)
+def tree_one_split(w: World) -> DataFrame:
+    """One tree of depth 1 without a bootstrap: its two leaves hold the shares of ones."""
+    rows = w.measurements.filter("pm2_5 is not null").withColumn("label", (F.col("pm2_5") > 50).cast("int"))
+    data = trees.bin_rows(rows, ("no2",), "label")
+    grown = trees.grow_trees(data, 1, trees.Growth(depth=1, reg=0.0), boosted=False)
+    model = PipelineModel([*models.feature_stages(("no2",)), trees.ensemble_of(data, grown, boosted=False)])
+    scored = models.transform(model, rows).withColumn("probability", F.round(vector_to_array("probability")[1], 6))
+    low = F.coalesce("no2", F.lit(0.0)) <= grown[0]["threshold"][0]
+    return scored.groupBy(low.alias("low"), "probability").agg(F.count("*").alias("n"))
+
+
 @query("select 2::bigint as features, 1.0::double as total, true as all_positive")
 def importance_shares(w: World) -> DataFrame:
     """Importances of a forest are shares: not negative, one in total."""
     labelled = cut_lineage(features.generate_labels(w.measurements))
-    model = models.train_random_forest(labelled, columns=("pm2_5", "pm10"), trees=10, depth=4)
+    model = models.train_random_forest(labelled, columns=("pm2_5", "pm10"))
     return models.feature_importances(w.spark, model).agg(
         F.count("*").alias("features"),
         F.round(F.sum("importance"), 6).alias("total"),

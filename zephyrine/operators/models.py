@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+import math
+
 from pyspark.ml import Pipeline, PipelineModel
-from pyspark.ml.classification import LogisticRegression, RandomForestClassifier
+from pyspark.ml.classification import LogisticRegression
 from pyspark.ml.feature import SQLTransformer, VectorAssembler
-from pyspark.ml.regression import GBTRegressor, LinearRegression
+from pyspark.ml.regression import LinearRegression
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -15,6 +17,7 @@ from zephyrine.operators.features import (
     fit_scaler,
 )
 from zephyrine.operators.metrics import classification_metrics, regression_metrics
+from zephyrine.operators.trees import Growth, bin_rows, ensemble_of, grow_trees
 
 _PREFIX = "_x_"
 
@@ -71,10 +74,22 @@ def train_random_forest(
     label: str = "label",
     trees: int = 100,
     depth: int = 10,
+    min_samples_split: int = 5,
     seed: int = 42,
+    task_rows: int = 1_000_000,
 ) -> PipelineModel:
-    estimator = RandomForestClassifier(labelCol=label, numTrees=trees, maxDepth=depth, seed=seed)
-    return Pipeline(stages=[*feature_stages(_present(train, columns)), estimator]).fit(train)
+    """Mean of trees over bootstraps, each node splitting on one of about sqrt(features) random ones.
+
+    The squared error of 0/1 labels orders splits as the Gini index does; a leaf holds its share of ones.
+    """
+    used = _present(train, columns)
+    growth = Growth(
+        depth=depth, reg=0.0, least_rows_to_split=min_samples_split, bootstrap=True,
+        columns_per_node=math.isqrt(len(used)) / len(used), seed=seed,
+    )
+    data = bin_rows(train, used, label)
+    grown = grow_trees(data, trees, growth, boosted=False, task_rows=task_rows)
+    return PipelineModel([*feature_stages(used), ensemble_of(data, grown, boosted=False)])
 
 
 def train_ridge(
@@ -108,18 +123,18 @@ def train_boosted_trees(
     depth: int = 6,
     subsample: float = 0.8,
     column_sample: float = 0.8,
+    reg: float = 1.0,
     seed: int = 42,
+    task_rows: int = 1_000_000,
 ) -> PipelineModel:
-    estimator = GBTRegressor(
-        labelCol=target,
-        maxIter=rounds,
-        stepSize=step,
-        maxDepth=depth,
-        subsamplingRate=subsample,
-        featureSubsetStrategy=str(column_sample),
-        seed=seed,
+    """Second-order boosting of the squared error: rows and columns are drawn per tree."""
+    used = _present(train, columns)
+    growth = Growth(
+        depth=depth, reg=reg, row_sample=subsample, columns_per_tree=column_sample, step=step, seed=seed
     )
-    return Pipeline(stages=[*feature_stages(_present(train, columns)), estimator]).fit(train)
+    data = bin_rows(train, used, target)
+    grown = grow_trees(data, rounds, growth, boosted=True, task_rows=task_rows)
+    return PipelineModel([*feature_stages(used), ensemble_of(data, grown, boosted=True)])
 
 
 def evaluate_classifier(model: PipelineModel, test: DataFrame, label: str = "label") -> DataFrame:
