@@ -7,7 +7,7 @@ from tests.conftest import rows
 from zephyrine import session
 from zephyrine.functions import moments
 from zephyrine.operators import filters, quality, summaries, upsert
-from zephyrine.sources.tables import TableStore
+from zephyrine.sources.tables import TableStore, stretches
 
 DAY = dt.datetime(2024, 1, 5)
 
@@ -143,3 +143,39 @@ def test_scratch_folders_can_be_removed(spark):
     spark.range(3).write.parquet(f"{place}/rows")
     assert os.path.isdir(place.removeprefix("file:"))
     assert session.clean_scratch(spark) >= 1 and not os.path.isdir(place.removeprefix("file:"))
+
+
+def scanned_rows(df):
+    """Rows that the scan of a plan without shuffles has given out."""
+    df.collect()
+    leaf = df._jdf.queryExecution().executedPlan().collectLeaves().head()
+    return leaf.metrics().apply("numOutputRows").value()
+
+
+def test_a_batch_reads_the_keys_around_its_times_only(spark, folder):
+    store = TableStore(spark, folder)
+    seen = []
+    for hour in range(8):
+        times = f"timestamp'2024-01-01 {hour:02d}:00:00' + make_dt_interval(0, 0, 0, id div 20)"
+        batch = spark.range(2000).selectExpr("concat('s', id % 20) sensor_id", f"{times} timestamp", "1D pm2_5")
+        store.insert_ignore("measurements", batch)
+        again = store._partitioned("measurements", batch)
+        seen.append(scanned_rows(store.rows_beside("measurements", again).select("sensor_id", "timestamp")))
+        store.insert_ignore("measurements", batch)  # a replay adds nothing
+    assert seen == [2000] * 8  # does not grow with the day
+    assert store.read("measurements").count() == 16_000
+    late = spark.sql("select 's1' sensor_id, timestamp'2024-01-01 03:00:07' timestamp, 9D pm2_5 "
+                     "union all select 'new', timestamp'2024-01-01 09:30:00', 9D")
+    assert scanned_rows(store.rows_beside("measurements", store._partitioned("measurements", late))) == 2000
+    store.insert_ignore("measurements", late)
+    assert store.read("measurements").filter("pm2_5 = 9").count() == 1
+    store.compact("measurements", [dt.date(2024, 1, 1)])
+    store.insert_ignore("measurements", late)
+    assert store.read("measurements").count() == 16_001
+
+
+def test_stretches_close_the_smallest_gaps():
+    assert stretches([5, 3, 4, 9, 20, 21], 3) == [(3, 5), (9, 9), (20, 21)]
+    assert stretches([5, 3, 4, 9, 20, 21], 2) == [(3, 9), (20, 21)]
+    assert stretches(list(range(0, 100, 2)), 4) == [(0, 98)]
+    assert stretches([]) == []

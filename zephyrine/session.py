@@ -17,6 +17,8 @@ SETTINGS = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     # Table writers replace only the date partitions they produce.
     "spark.sql.sources.partitionOverwriteMode": "dynamic",
+    # Files keep statistics of timestamps, so that filters on time skip row groups.
+    "spark.sql.parquet.outputTimestampType": "TIMESTAMP_MICROS",
 }
 
 

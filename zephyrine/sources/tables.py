@@ -102,6 +102,30 @@ LAYOUTS = {
 }
 
 
+#: Length of the stretches of time in which a batch looks for keys it may repeat, and how many it names at most.
+SLOT_SECONDS = 900
+MOST_STRETCHES = 32
+
+
+def stretches(slots: list[int], most: int = MOST_STRETCHES) -> list[tuple[int, int]]:
+    """The slots as (first, last) stretches; the smallest gaps are closed until ``most`` are left."""
+    found: list[list[int]] = []
+    for slot in sorted(set(slots)):
+        if found and slot == found[-1][1] + 1:
+            found[-1][1] = slot
+        else:
+            found.append([slot, slot])
+    gaps = sorted(b[0] - a[1] for a, b in zip(found, found[1:], strict=False))
+    closed = gaps[len(found) - most - 1] if len(found) > most else 0
+    kept = found[:1]
+    for stretch in found[1:]:
+        if stretch[0] - kept[-1][1] <= closed:
+            kept[-1][1] = stretch[1]
+        else:
+            kept.append(stretch)
+    return [(a, b) for a, b in kept]
+
+
 class TableStore:
     def __init__(self, spark: SparkSession, root: str, layouts: dict[str, Layout] = LAYOUTS):
         self.spark, self.root, self.layouts = spark, root.rstrip("/"), layouts
@@ -145,6 +169,24 @@ class TableStore:
     def _existing(self, name: str, values: list) -> DataFrame:
         return self.read(name).filter(F.col(self.layouts[name].partition).isin(values))
 
+    def rows_beside(self, name: str, batch: DataFrame) -> DataFrame:
+        """Stored rows that can share a key with ``batch``: those in the stretches of time it touches.
+
+        Keys hold the time that partitions the table.  Stored files come from batches of neighbouring times, so
+        their statistics let a reader skip all but the few around the batch's own times, however long the day is.
+        A late row adds a stretch of its own.
+        """
+        layout = self.layouts[name]
+        if not layout.derive or layout.derive not in layout.key:
+            return self._existing(name, self._touched(name, batch))
+        slot = F.floor(F.unix_seconds(layout.derive) / SLOT_SECONDS).cast("long")
+        touched = batch.select(F.col(layout.partition).alias("day"), slot.alias("slot")).distinct().collect()
+        here = F.lit(False)
+        for first, last in stretches([r["slot"] for r in touched if r["slot"] is not None]):
+            begin, end = (F.timestamp_seconds(F.lit(k * SLOT_SECONDS)) for k in (first, last + 1))
+            here |= (F.col(layout.derive) >= begin) & (F.col(layout.derive) < end)
+        return self._existing(name, list({r["day"] for r in touched})).filter(here)
+
     def _write(self, name: str, df: DataFrame, mode: str) -> None:
         """Rebalanced by partition value: few files per day, and a day that holds most of the
         batch is split over several tasks."""
@@ -165,9 +207,8 @@ class TableStore:
     ) -> None:
         """Existing keys win; writing the same batch twice adds nothing."""
         rows = cut_lineage(self._partitioned(name, df))  # computed once, read twice
-        values = self._touched(name, rows)
-        if values:
-            existing = self._existing(name, values)
+        if not rows.isEmpty():
+            existing = self.rows_beside(name, rows)
             self._write(name, new_rows(rows, existing, self.layouts[name].key, arrival), "append")
 
     def upsert_replace(self, name: str, df: DataFrame) -> None:
@@ -192,5 +233,12 @@ class TableStore:
             self._write(name, rows, "append")
 
     def compact(self, name: str, values: list) -> None:
-        """Rewrite whole partitions, of closed days for instance, as few large files."""
-        self._write(name, self._existing(name, values), "overwrite")
+        """Rewrite whole partitions, of closed days for instance, as few large files in the order of time."""
+        column, time = self.layouts[name].partition, self.layouts[name].derive
+        rows = self._existing(name, values)
+        if time:
+            rows = rows.repartitionByRange(column, time).sortWithinPartitions(column, time)
+            writer = rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+            writer.partitionBy(column).parquet(self.path(name))
+        else:
+            self._write(name, rows, "overwrite")

@@ -47,10 +47,7 @@ def ingest_batch(
         StorageLevel.MEMORY_AND_DISK
     )
     try:
-        days = [r[0] for r in unique.select("date").distinct().collect()]
-        earlier = store.read("raw_archive").filter(
-            F.col("date").isin(days) & (F.col("batch_id") < batch_id)
-        )
+        earlier = store.rows_beside("raw_archive", unique).filter(F.col("batch_id") < batch_id)
         accepted = unique.join(earlier.select(*MEASUREMENT_KEY), list(MEASUREMENT_KEY), "left_anti")
         known, unknown = split_known_sensors(accepted, sensors)
         batch = F.lit(batch_id).cast("bigint")
