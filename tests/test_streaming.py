@@ -10,14 +10,20 @@ from pyspark.sql import functions as F
 from tests.conftest import rows
 from zephyrine.operators import quality
 from zephyrine.operators.features import FORECAST_FEATURES
-from zephyrine.operators.rolling import delta_features, rolling_features
+from zephyrine.operators.rolling import (
+    delta_features,
+    merge_moments,
+    partial_moments,
+    rolling_features,
+    rolling_stats,
+)
 from zephyrine.operators.validate import dedup_stream
 from zephyrine.schemas import MEASURED, POLLUTANTS
 from zephyrine.sources.messages import read_landed_stream, write_anomaly_files
 from zephyrine.sources.tables import TableStore
 from zephyrine.streaming.ingest import clean_stream, ingest_batch, start_ingest
 from zephyrine.streaming.scoring import stream_features
-from zephyrine.streaming.windows import run_to_table, start_rolling_stats
+from zephyrine.streaming.windows import run_to_table, start_lasting_stats, start_rolling_stats
 
 START = dt.datetime(2024, 1, 1, tzinfo=dt.timezone.utc)
 
@@ -123,6 +129,34 @@ def test_closed_windows_and_late_rows(spark, folder):
     ]
 
 
+def test_late_rows_reach_their_closed_windows(spark, folder):
+    os.mkdir(f"{folder}/in")
+    land(f"{folder}/in", 0, [message("a", 0, 1.0), message("a", 30, 3.0, pm10=2.0)])
+    land(f"{folder}/in", 1, [message("a", 400, 1.0)])  # closes the first window
+    land(f"{folder}/in", 2, [message("a", 10, 99.0), message("a", 20, None), message("b", 5, 4.0)])  # late
+    land(f"{folder}/in", 3, [message("b", 1000, 1.0)])
+    store = TableStore(spark, f"{folder}/tables")
+    stream = clean_stream(read_landed_stream(spark, f"{folder}/in", files_per_batch=1))
+    start_lasting_stats(
+        stream, store, "1min", f"{folder}/checkpoint", wait="2 minutes", once=True
+    ).awaitTermination()
+    columns = ("sensor_id", "pm2_5_mean", "pm2_5_std", "pm2_5_max", "pm10_mean", "record_count")
+    whole = rolling_stats(clean_stream(spark.read.text(f"{folder}/in")), "1min", digits=4)
+    closed = whole.filter(f"unix_seconds(window_end) <= {int(START.timestamp()) + 880}")
+    found = rows(store.read("aggregates"), *columns)
+    assert found == rows(closed, *columns)
+    assert ("a", 34.3333, 56.0119, 99.0, 2.0, 4) in found
+
+
+def test_moments_merge_to_the_statistics_of_all_rows(spark):
+    table = readings(spark).withColumn("pm10", F.when(F.rand(3) > 0.3, F.col("pm10")))
+    halves = [table.filter(F.pmod(F.xxhash64("timestamp"), F.lit(3)) == k) for k in range(3)]
+    parts = [partial_moments(h, "5min", "5 minutes").drop("newest") for h in halves]
+    merged = merge_moments(parts[0].unionByName(parts[1]).unionByName(parts[2]), 6)
+    whole = rolling_stats(table, "5min", digits=6)
+    assert rows(merged, *whole.columns) == rows(whole, *whole.columns)
+
+
 def test_dedup_in_the_stream(spark, folder):
     os.mkdir(f"{folder}/in")
     land(f"{folder}/in", 0, [message("a", 0), message("a", 0), message("b", 0)])

@@ -159,14 +159,14 @@ def test_a_batch_reads_the_keys_around_its_times_only(spark, folder):
         times = f"timestamp'2024-01-01 {hour:02d}:00:00' + make_dt_interval(0, 0, 0, id div 20)"
         batch = spark.range(2000).selectExpr("concat('s', id % 20) sensor_id", f"{times} timestamp", "1D pm2_5")
         store.insert_ignore("measurements", batch)
-        again = store._partitioned("measurements", batch)
+        again = store.stored("measurements", batch)
         seen.append(scanned_rows(store.rows_beside("measurements", again).select("sensor_id", "timestamp")))
         store.insert_ignore("measurements", batch)  # a replay adds nothing
     assert seen == [2000] * 8  # does not grow with the day
     assert store.read("measurements").count() == 16_000
     late = spark.sql("select 's1' sensor_id, timestamp'2024-01-01 03:00:07' timestamp, 9D pm2_5 "
                      "union all select 'new', timestamp'2024-01-01 09:30:00', 9D")
-    assert scanned_rows(store.rows_beside("measurements", store._partitioned("measurements", late))) == 2000
+    assert scanned_rows(store.rows_beside("measurements", store.stored("measurements", late))) == 2000
     store.insert_ignore("measurements", late)
     assert store.read("measurements").filter("pm2_5 = 9").count() == 1
     store.compact("measurements", [dt.date(2024, 1, 1)])

@@ -21,7 +21,7 @@ from zephyrine.sources.declared import CatalogStore
 from zephyrine.sources.model_store import ModelStore
 from zephyrine.sources.tables import TableStore
 from zephyrine.streaming.scoring import score_stream
-from zephyrine.streaming.windows import run_to_table, start_rolling_stats
+from zephyrine.streaming.windows import run_to_table, start_lasting_stats, start_rolling_stats
 
 _ROUNDED = ("pm2_5_std", "pm10_std", "no2_std")
 
@@ -71,6 +71,21 @@ def late_event_policy(w: World) -> DataFrame:
     return rounded(store.read("aggregates").drop("date", "created_at"), 6, *_ROUNDED)
 
 
+@query(
+    with_tables("m", "s")
+    + f"""select w.* from ({ROLLING_SQL}) w where sensor_id in (select sensor_id from s) and window_end <=
+    (select max("timestamp") from m where sensor_id in (select sensor_id from s)) - interval 1 day"""
+)
+def late_events_kept(w: World) -> DataFrame:
+    """Rows up to three days late in windows that close after one day: closed windows equal the batch windows."""
+    place = scratch_path(w.spark, "late")
+    store = TableStore(w.spark, f"{place}/tables")
+    start_lasting_stats(
+        arriving_stream(w), store, "1day", f"{place}/checkpoint", wait="1 day", duration="1 day", digits=None, once=True
+    ).awaitTermination()
+    return rounded(store.read("aggregates").drop("date", "created_at"), 6, *_ROUNDED)
+
+
 @query(
     with_tables("m")
     + f"""select count(*) as total, count(*) filter (where pm2_5 is null) as null_pm25,

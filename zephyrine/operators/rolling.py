@@ -27,7 +27,7 @@ _UNIT_MICROS = {
 }
 
 
-def _micros(width: str) -> int:
+def micros(width: str) -> int:
     count, unit = width.split()
     return int(count) * _UNIT_MICROS[unit.rstrip("s")]
 
@@ -65,7 +65,7 @@ def over_slices(
     local = Window.partitionBy(*key, "_slice").orderBy(*order)
     group = Window.partitionBy(*key, "_slice")
 
-    slice_no = F.floor(F.unix_micros(F.col(time)) / F.lit(_micros(slice_width)))
+    slice_no = F.floor(F.unixmicros(F.col(time)) / F.lit(micros(slice_width)))
     ranked = (
         df.withColumn("_slice", slice_no)
         .withColumn("_rank", F.row_number().over(local))
@@ -263,6 +263,66 @@ def rolling_stats(
     )
 
 
+_MOMENTS_OF = {"mean": ("n", "sum"), "std": ("n", "sum", "m2", "nonzero"), "min": ("min",), "max": ("max",)}
+#: (pollutant, moment) pairs that the statistics need, and their columns.
+_NEEDED = [
+    (p, m) for p, stats in _STATISTICS.items() for m in dict.fromkeys(m for s in stats for m in _MOMENTS_OF[s])
+]
+MOMENTS = tuple(f"{p}_{m}" for p, m in _NEEDED)
+
+
+def partial_moments(readings: DataFrame, window_type: str, duration: str) -> DataFrame:
+    """Mergeable moments per sensor and tumbling window, and the newest timestamp of each."""
+    made = {
+        "n": lambda c: F.count(c).cast("double"),
+        "sum": F.sum,
+        "m2": lambda c: F.var_pop(c) * F.count(c),
+        "nonzero": lambda c: F.count_if(c != 0).cast("double"),
+        "min": F.min,
+        "max": F.max,
+    }
+    return (
+        readings.groupBy("sensor_id", F.window("timestamp", duration).alias("_window"))
+        .agg(
+            F.count("*").alias("record_count"),
+            F.max("timestamp").alias("newest"),
+            *(made[m](F.col(p)).alias(f"{p}_{m}") for p, m in _NEEDED),
+        )
+        .withColumns({"window_start": F.col("_window.start"), "window_end": F.col("_window.end")})
+        .withColumn("window_type", F.lit(window_type))
+        .drop("_window")
+    )
+
+
+def merge_moments(parts: DataFrame, digits: int | None = None) -> DataFrame:
+    """The statistics of ``rolling_stats`` from any number of moments per sensor and window."""
+    key = ["sensor_id", "window_start", "window_end", "window_type"]
+    every = Window.partitionBy(*key)
+    spread = [p for p, m in _NEEDED if m == "m2"]
+    means = {f"_mean_{p}": F.sum(f"{p}_sum").over(every) / F.nullif(F.sum(f"{p}_n").over(every), F.lit(0.0)) for p in spread}
+    own = {
+        p: F.sum(
+            F.col(f"{p}_m2")
+            + F.col(f"{p}_n") * F.pow(F.col(f"{p}_sum") / F.nullif(F.col(f"{p}_n"), F.lit(0.0)) - F.col(f"_mean_{p}"), 2)
+        )
+        for p in spread
+    }
+
+    def statistic(p: str, s: str) -> Column:
+        n = F.sum(f"{p}_n")
+        if s == "mean":
+            return F.sum(f"{p}_sum") / F.nullif(n, F.lit(0.0))
+        if s == "std":
+            return F.when(F.sum(f"{p}_nonzero") > 1, F.sqrt(own[p] / (n - 1))).otherwise(F.lit(0.0))
+        return (F.min if s == "min" else F.max)(f"{p}_{s}")
+
+    wanted = [(p, s) for p, stats in _STATISTICS.items() for s in stats]
+    return parts.withColumns(means).groupBy(*key).agg(
+        *(rounded(statistic(p, s), digits).alias(f"{p}_{s}") for p, s in wanted),
+        F.sum("record_count").alias("record_count"),
+    )
+
+
 def all_rolling_stats(
     readings: DataFrame, windows: dict[str, str] = WINDOW_TYPES, **options
 ) -> DataFrame:

@@ -148,7 +148,8 @@ class TableStore:
             return found.withMetadata(layout.partition, {DAY_OF: layout.derive})
         return found
 
-    def _partitioned(self, name: str, df: DataFrame) -> DataFrame:
+    def stored(self, name: str, df: DataFrame) -> DataFrame:
+        """``df`` with the columns of the stored table, the partition's included."""
         layout = self.layouts[name]
         if layout.derive:
             df = df.withColumn(layout.partition, F.to_date(layout.derive))
@@ -200,20 +201,20 @@ class TableStore:
         )
 
     def append(self, name: str, df: DataFrame) -> None:
-        self._write(name, self._partitioned(name, df), "append")
+        self._write(name, self.stored(name, df), "append")
 
     def insert_ignore(
         self, name: str, df: DataFrame, arrival: tuple[str, ...] | None = None
     ) -> None:
         """Existing keys win; writing the same batch twice adds nothing."""
-        rows = cut_lineage(self._partitioned(name, df))  # computed once, read twice
+        rows = cut_lineage(self.stored(name, df))  # computed once, read twice
         if not rows.isEmpty():
             existing = self.rows_beside(name, rows)
             self._write(name, new_rows(rows, existing, self.layouts[name].key, arrival), "append")
 
     def upsert_replace(self, name: str, df: DataFrame) -> None:
         """Incoming keys win; other rows of the touched partitions are kept."""
-        rows = cut_lineage(self._partitioned(name, df))  # computed once, read twice
+        rows = cut_lineage(self.stored(name, df))  # computed once, read twice
         values = self._touched(name, rows)
         if values:
             merged = upsert_replace(self._existing(name, values), rows, self.layouts[name].key)
@@ -221,11 +222,11 @@ class TableStore:
 
     def replace_partitions(self, name: str, df: DataFrame) -> None:
         """The partitions present in ``df`` are replaced as a whole."""
-        self._write(name, self._partitioned(name, df), "overwrite")
+        self._write(name, self.stored(name, df), "overwrite")
 
     def insert_batch(self, name: str, df: DataFrame, batch_id: int) -> None:
         """Rows of a batch, unless the table has rows of that batch already."""
-        rows = self._partitioned(name, df.withColumn("batch_id", F.lit(batch_id).cast("long")))
+        rows = self.stored(name, df.withColumn("batch_id", F.lit(batch_id).cast("long")))
         here = F.col("batch_id") == batch_id
         if self.layouts[name].partition == BATCH_RANGE:
             here &= F.col(BATCH_RANGE) == batch_id // BATCHES_PER_RANGE
