@@ -4,12 +4,14 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from workload.aggregates import ANOMALY_SQL, ROLLING_SQL
 from workload.projection import EVENTS, World, with_tables
 from workload.registry import query, rounded
 from zephyrine.operators import anomalies, rolling, validate
 from zephyrine.session import scratch_path
+from zephyrine.sources import segments
 from zephyrine.streaming.scoring import stream_features as features_in_order
 from zephyrine.streaming.windows import run_to_table
 
@@ -78,3 +80,29 @@ def stream_features(w: World) -> DataFrame:
     made = _drain(w, features_in_order(arriving_stream(w), watermark=None, bucket_seconds=3600), "features")
     names = [f"{c}_{how}_{width}" for c, width, how in _IN_ORDER]
     return rounded(made.select("sensor_id", "timestamp", *names, "pm2_5_delta"), 6, *names)
+
+
+_MICROS = {"timestampFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX"}
+
+
+@query(ANOMALY_SQL)
+def segment_round_trip(w: World) -> DataFrame:
+    """Readings through a topic, half before a stop and half after it, their anomalies through another topic.
+
+    The second run goes on at the first one's offsets; each anomaly is in the outgoing topic once.
+    """
+    place = scratch_path(w.spark, "topics")
+    readings = w.measurements.select(F.col("sensor_id").alias("key"), F.to_json(F.struct("*"), _MICROS).alias("value"))
+    kind = w.measurements.schema
+    out = T.StructType.fromDDL("sensor_id string, timestamp timestamp, anomaly_type string, severity string, "
+                               "pollutant string, value double, threshold double")
+    half = F.pmod(F.xxhash64("key", "value"), F.lit(2))
+    for k in range(2):
+        segments.append_segments(readings.filter(half == k), f"{place}/raw")
+        stream = segments.read_segment_stream(w.spark, f"{place}/raw", group="detector")
+        flat = stream.select(F.from_json("value", kind, _MICROS).alias("r")).select("r.*")
+        found = anomalies.detect_threshold_anomalies(flat).select(*out.names)
+        messages = found.select(F.col("sensor_id").alias("key"), F.to_json(F.struct("*"), _MICROS).alias("value"))
+        segments.start_segment_sink(messages, f"{place}/anomalies", f"{place}/checkpoint", once=True).awaitTermination()
+    kept = segments.read_segments(w.spark, f"{place}/anomalies")
+    return kept.select(F.from_json("value", out, _MICROS).alias("r")).select("r.*")
