@@ -201,6 +201,12 @@ def test_isolation_forest_finds_the_strangers(spark, folder, trees, sample):
     strangers = {f"p{i:04d}" for i in range(8)}
     assert strangers <= {r["id"] for r in flagged.collect()}
     assert 4 <= flagged.count() <= 40
+    scored = forest.transform(df).select("id", "score")
+    walked = isolation.path_lengths(df, forest.nodes(spark), ("id",), ("f0", "f1", "f2")).toPandas()
+    walked["path"] = walked["depth"] + isolation.average_path(walked["size"])
+    norm = len(forest.trees) * isolation.average_path(forest.sample)
+    again = 2 ** -(walked.groupby("id")["path"].sum() / norm)
+    assert np.allclose(again.sort_index(), scored.orderBy("id").toPandas()["score"])
     forest.save(spark, f"{folder}/forest")
     again = isolation.IsolationForest.load(spark, f"{folder}/forest")
     assert rows(again.transform(df), "id", "score") == rows(forest.transform(df), "id", "score")

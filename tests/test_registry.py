@@ -1,4 +1,7 @@
 import datetime as dt
+import glob
+import os
+from concurrent.futures import ThreadPoolExecutor
 
 import pytest
 from pyspark.ml import Pipeline
@@ -83,3 +86,33 @@ def test_model_store(spark, folder):
     worse = store.append_model_run("m", "k3", {}, {"f1": 0.1}, model(3), created_at=at)
     assert store.stage_if_better("m", [worse], "f1", True) == (worse, False)
     assert sorted(r["version"] for r in store.runs().collect()) == [1, 2, 3]
+
+
+def test_writers_at_once_get_versions_of_their_own(spark, folder):
+    with ThreadPoolExecutor(6) as pool:
+        stores = [ModelStore(spark, folder) for _ in range(6)]
+        ids = list(pool.map(lambda s: s.append_model_run("m", "x", {}, {"f1": 0.5}), stores))
+    runs = stores[0].runs()
+    assert rows(runs, "version") == [(n,) for n in range(1, 7)] == rows(runs, "run_order")
+    assert {r["run_id"] for r in runs.collect()} == set(ids)
+
+
+def test_stages_are_logged_and_nothing_is_rewritten(spark, folder):
+    store = ModelStore(spark, folder)
+    ids = [store.append_model_run("anomaly-classifier", "x", {}, {"f1": f}) for f in (0.5, 0.7)]
+
+    def files():
+        return {p: os.stat(p).st_mtime_ns for p in glob.glob(f"{folder}/model_*/*/part-*")}
+
+    before = files()
+    for run_id in ids:
+        store.set_stage(run_id, "Staging")
+        store.promote()
+    assert before.items() <= files().items()
+    assert rows(store.runs(), "version", "stage") == [(1, "Archived"), (2, "Production")]
+    with ThreadPoolExecutor(4) as pool:  # the last event of a run holds
+        list(pool.map(lambda s: store.set_stage(ids[0], s), ["None", "Staging", "None", "Staging"]))
+    events = spark.read.parquet(f"{folder}/model_stages/*")
+    assert events.select("event").distinct().count() == events.count()
+    last = events.filter(events.run_id == ids[0]).orderBy(events.event.desc()).first()["stage"]
+    assert rows(store.runs().filter("version = 1"), "stage") == [(last,)]

@@ -14,7 +14,7 @@ from workload.projection import AS_OF, DAY, World, with_tables
 from workload.registry import ORACLES, query, rounded
 from workload.streams import arriving_stream
 from zephyrine import schemas
-from zephyrine.operators import clustering, features, models, quality, rolling, scoring, summaries, trees
+from zephyrine.operators import clustering, features, isolation, models, quality, rolling, scoring, summaries, trees
 from zephyrine.plans import daily, training
 from zephyrine.session import cut_lineage, scratch_path
 from zephyrine.sources.declared import CatalogStore
@@ -352,6 +352,54 @@ def tree_one_split(w: World) -> DataFrame:
     return scored.groupBy(low.alias("low"), "probability").agg(F.count("*").alias("n"))
 
 
+#: (tree, node, feature, cut, low, high, size): three small trees over a sample of 16 rows.
+_NODES = [
+    (0, 0, "pm2_5", 300.0, 1, 2, 16), (0, 1, "no2", 30.0, 3, 4, 13), (0, 2, None, 0.0, -1, -1, 3),
+    (0, 3, None, 0.0, -1, -1, 2), (0, 4, "pm10", 40.0, 5, 6, 11), (0, 5, None, 0.0, -1, -1, 1),
+    (0, 6, None, 0.0, -1, -1, 10), (1, 0, "no2", 270.0, 1, 2, 16), (1, 1, "pm2_5", 10.0, 3, 4, 14),
+    (1, 2, "pm10", 100.0, 5, 6, 2), (1, 3, None, 0.0, -1, -1, 1), (1, 4, None, 0.0, -1, -1, 13),
+    (1, 5, None, 0.0, -1, -1, 1), (1, 6, None, 0.0, -1, -1, 1), (2, 0, None, 0.0, -1, -1, 16),
+]
+_MEAN_PATH = """case when {n} > 2 then 2 * (ln({n} - 1.0) + 0.5772156649015329) - 2 * ({n} - 1.0) / {n}
+    when {n} = 2 then 1 else 0 end"""
+
+
+@query(
+    with_tables("m")
+    + f""", nodes(tree, node, feature, cut, low, high, size) as (values
+    {", ".join("(" + ", ".join("null" if v is None else repr(v) for v in n) + ")" for n in _NODES)}),
+    walk as (
+      with recursive walk as (
+        select event_id, coalesce(pm2_5, 0) as pm2_5, coalesce(pm10, 0) as pm10, coalesce(no2, 0) as no2,
+          tree, 0 as node, 0 as depth from m cross join (select distinct tree from nodes)
+        union all
+        select event_id, pm2_5, pm10, no2, w.tree, case when
+          (case feature when 'pm2_5' then pm2_5 when 'pm10' then pm10 else no2 end) <= cut then low else high end,
+          depth + 1 from walk w join nodes n on w.tree = n.tree and w.node = n.node and feature is not null)
+      select w.*, size from walk w join nodes n on w.tree = n.tree and w.node = n.node and feature is null),
+    scores as (select event_id, sum(depth) as steps,
+      pow(2, -sum(depth + {_MEAN_PATH.format(n="size")}) / 3 / ({_MEAN_PATH.format(n="16")})) as score
+      from walk group by event_id),
+    bar as (select quantile_disc(score, 0.95) as cut from scores)
+    select event_id, steps, round(score, 9) as score, round(cut, 9) as cut, score > cut as flagged
+    from scores cross join bar"""
+)
+def isolation_forest_stored(w: World) -> DataFrame:
+    """A stored forest: path lengths by recursion, scores, the threshold at the 95 % quantile, and what it flags."""
+    columns = ("pm2_5", "pm10", "no2")
+    nodes = w.spark.createDataFrame(_NODES, isolation.NODES)
+    rows = cut_lineage(w.measurements.select("event_id", *columns))
+    path = scratch_path(w.spark, "forest")
+    isolation.IsolationForest.of_nodes(nodes, columns, 16).fit_threshold(rows, 0.05).save(w.spark, path)
+    forest = isolation.IsolationForest.load(w.spark, path)
+    walked = isolation.path_lengths(rows, forest.nodes(w.spark), ("event_id",), columns)
+    steps = walked.groupBy("event_id").agg(F.sum("depth").alias("steps"))
+    scored = forest.transform(rows).select(
+        "event_id", F.round("score", 9).alias("score"), (F.col("prediction") == 1).alias("flagged")
+    )
+    return steps.join(scored, "event_id").withColumn("cut", F.lit(round(forest.threshold, 9)))
+
+
 @query("select 2::bigint as features, 1.0::double as total, true as all_positive")
 def importance_shares(w: World) -> DataFrame:
     """Importances of a forest are shares: not negative, one in total."""

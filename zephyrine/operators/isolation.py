@@ -7,6 +7,7 @@ most a few hundred rows.  Scoring walks the small fitted trees over Arrow batche
 from __future__ import annotations
 
 import math
+import uuid
 from dataclasses import dataclass, field
 
 import numpy as np
@@ -20,6 +21,7 @@ from zephyrine.operators.features import CLASSIFIER_FEATURES
 _TREE_SCHEMA = (
     "tree int, feature array<int>, cut array<double>, low array<int>, high array<int>, size array<int>"
 )
+NODES = "tree int, node int, feature string, cut double, low int, high int, size int"
 _FOREST_SCHEMA = "columns array<string>, sample int, threshold double"
 _EULER = 0.5772156649015329
 
@@ -93,6 +95,39 @@ class IsolationForest:
 
         return scores(_row_of(self.columns))
 
+    def nodes(self, spark: SparkSession) -> DataFrame:
+        """The forest as a table (tree, node, feature, cut, low, high, size); a leaf's feature is null."""
+        rows = [
+            (i, n, self.columns[f] if f >= 0 else None, *(t[k][n].item() for k in ("cut", "low", "high", "size")))
+            for i, t in enumerate(self.trees)
+            for n, f in enumerate(t["feature"].tolist())
+        ]
+        return spark.createDataFrame(rows, NODES)
+
+    @classmethod
+    def of_nodes(cls, nodes: DataFrame, columns: tuple[str, ...], sample: int) -> IsolationForest:
+        """The forest a table of nodes describes; nodes are numbered from 0, the root, in every tree."""
+        found: dict[int, list[Row]] = {}
+        for row in nodes.orderBy("tree", "node").collect():  # trees * 2 * sample nodes at most
+            found.setdefault(row["tree"], []).append(row)
+        trees = [
+            {
+                "feature": np.array([columns.index(r["feature"]) if r["feature"] else -1 for r in rows]),
+                "cut": np.array([r["cut"] or 0.0 for r in rows]),
+                **{k: np.array([r[k] for r in rows], np.int64) for k in ("low", "high", "size")},
+            }
+            for rows in found.values()
+        ]
+        return cls(tuple(columns), trees, sample)
+
+    def fit_threshold(self, df: DataFrame, contamination: float = 0.05) -> IsolationForest:
+        """Take the ``1 - contamination`` quantile of the scores of ``df`` as the threshold."""
+        cut = df.select(self.score().alias("score")).agg(
+            F.percentile_approx("score", 1.0 - contamination, 10_000).alias("cut")
+        )
+        self.threshold = cut.first()["cut"]
+        return self
+
     def save(self, spark: SparkSession, path: str) -> None:
         rows = [
             (i, *(t[k].tolist() for k in ("feature", "cut", "low", "high", "size")))
@@ -195,9 +230,26 @@ def train_isolation_forest(
     )
     grown = [_arrays(r) for r in fitted]
     drawn = max((int(t["size"][0]) for t in grown), default=1)
-    forest = IsolationForest(used, grown, drawn)
-    cut = df.select(forest.score().alias("score")).agg(
-        F.percentile_approx("score", 1.0 - contamination, 10_000).alias("cut")
+    return IsolationForest(used, grown, drawn).fit_threshold(df, contamination)
+
+
+def path_lengths(df: DataFrame, nodes: DataFrame, key: tuple[str, ...], columns: tuple[str, ...]) -> DataFrame:
+    """(key, tree, depth, size): the leaf every row reaches in every tree of a table of nodes, by a recursive query.
+
+    For forests kept as tables, beside other tables; ``IsolationForest.score`` walks the same trees in one pass.
+    """
+    values = F.map_from_arrays(F.array(*map(F.lit, columns)), _row_of(columns))
+    names = ", ".join(f"`{k}`" for k in key)
+    spark = df.sparkSession
+    mark = uuid.uuid4().hex
+    df.select(*key, values.alias("_values")).createOrReplaceTempView(f"rows_{mark}")
+    nodes.createOrReplaceTempView(f"nodes_{mark}")
+    return spark.sql(
+        f"""with recursive walk({names}, _values, tree, node, depth) as (
+          select {names}, _values, tree, 0, 0 from rows_{mark} join (select distinct tree from nodes_{mark}) on true
+          union all
+          select {names}, _values, w.tree, case when _values[n.feature] <= n.cut then n.low else n.high end, depth + 1
+          from walk w join nodes_{mark} n on w.tree = n.tree and w.node = n.node and n.feature is not null)
+        select {names}, w.tree, w.depth, n.size from walk w
+        join nodes_{mark} n on w.tree = n.tree and w.node = n.node and n.feature is null"""
     )
-    forest.threshold = cut.first()["cut"]
-    return forest

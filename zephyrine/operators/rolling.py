@@ -65,7 +65,7 @@ def over_slices(
     local = Window.partitionBy(*key, "_slice").orderBy(*order)
     group = Window.partitionBy(*key, "_slice")
 
-    slice_no = F.floor(F.unixmicros(F.col(time)) / F.lit(micros(slice_width)))
+    slice_no = F.floor(F.unix_micros(F.col(time)) / F.lit(micros(slice_width)))
     ranked = (
         df.withColumn("_slice", slice_no)
         .withColumn("_rank", F.row_number().over(local))

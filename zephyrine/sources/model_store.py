@@ -3,8 +3,10 @@
 from __future__ import annotations
 
 import datetime as dt
+import os
 import uuid
 
+from py4j.protocol import Py4JJavaError
 from pyspark.errors import AnalysisException
 from pyspark.ml import PipelineModel
 from pyspark.ml.clustering import KMeansModel
@@ -26,21 +28,65 @@ FED_BY = (
 )
 
 
+def _created(spark: SparkSession, name: str) -> bool:
+    """Create an empty file unless there is one; of several callers at once one succeeds."""
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(name)
+    store = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    try:
+        if store.getUri().getScheme() == "file":  # where Hadoop checks and creates in two steps
+            local = path.toUri().getPath()
+            os.makedirs(os.path.dirname(local), exist_ok=True)
+            os.close(os.open(local, os.O_CREAT | os.O_EXCL))
+        else:
+            store.create(path, False).close()
+        return True
+    except FileExistsError:
+        return False
+    except Py4JJavaError as error:
+        if "FileAlreadyExistsException" not in str(error.java_exception):
+            raise
+        return False
+
+
+_STAGES = "event long, run_id string, stage string"
+
+
 class ModelStore:
+    """Runs, stages and fitted models under one folder, for any number of writers at once.
+
+    ``model_runs`` and ``model_stages`` are only added to.  A run's stage is that of its last event.  Versions, places
+    in the order of runs and numbers of events are claimed by creating an empty file, which succeeds for one writer only.
+    """
+
     def __init__(self, spark: SparkSession, root: str):
         self.spark, self.root = spark, root.rstrip("/")
 
-    @property
-    def _runs_path(self) -> str:
-        return f"{self.root}/model_runs"
-
-    def runs(self) -> DataFrame:
+    def _table(self, name: str, schema) -> DataFrame:
         try:
-            return self.spark.read.schema(MODEL_RUNS).parquet(self._runs_path)
+            return self.spark.read.schema(schema).option("recursiveFileLookup", True).parquet(f"{self.root}/{name}")
         except AnalysisException as error:
             if error.getCondition() != "PATH_NOT_FOUND":
                 raise
-            return self.spark.createDataFrame([], MODEL_RUNS)
+            return self.spark.createDataFrame([], schema)
+
+    def _add(self, name: str, rows: list[tuple], schema) -> None:
+        # A folder per write: writers of one folder would clear each other's unfinished files.
+        path = f"{self.root}/{name}/{uuid.uuid4().hex}"
+        self.spark.createDataFrame(rows, schema).coalesce(1).write.parquet(path)
+
+    def _claim(self, what: str, after: int) -> int:
+        """The first number beyond ``after`` that no writer has; a claim that is never used leaves a gap."""
+        number = after + 1
+        while not _created(self.spark, f"{self.root}/claims/{what}/{number:012d}"):
+            number += 1
+        return number
+
+    def runs(self) -> DataFrame:
+        """All runs with their present stage."""
+        newest = self._table("model_stages", _STAGES).groupBy("run_id").agg(F.max_by("stage", "event").alias("_now"))
+        logged = self._table("model_runs", MODEL_RUNS).join(newest, "run_id", "left")
+        staged = logged.withColumn("stage", F.coalesce("_now", "stage"))
+        return staged.select(*MODEL_RUNS.fieldNames())
 
     def append_model_run(
         self,
@@ -69,34 +115,36 @@ class ModelStore:
                 F.max(F.when(F.col("registry_name") == registry_name, F.col("version"))), F.lit(0)
             ).alias("version"),
         ).first()
+        order = self._claim("runs", last["run"])
+        version = self._claim(f"versions/{registry_name}", last["version"])
         row = (
             run_id,
             registry_name,
             model_name,
             target,
-            last["run"] + 1,
+            order,
             {k: str(v) for k, v in params.items()},
             {k: float(v) for k, v in metrics.items() if v is not None},
-            last["version"] + 1,
+            version,
             stage,
             path,
             created_at or dt.datetime.now(),
         )
-        frame = self.spark.createDataFrame([row], MODEL_RUNS)
-        frame.coalesce(1).write.mode("append").parquet(self._runs_path)
+        self._add("model_runs", [row], MODEL_RUNS)
         return run_id
 
-    def _rewrite(self, runs: DataFrame) -> None:
-        """Replace the run table; the new content is durable before the old one goes."""
-        cut_lineage(runs.select(*MODEL_RUNS.fieldNames())).write.mode("overwrite").option(
-            "partitionOverwriteMode", "static"
-        ).parquet(self._runs_path)
+    def set_stages(self, stages: dict[str, str]) -> None:
+        """Log a new stage for each of some runs, in this order."""
+        if stages:
+            last = self._table("model_stages", _STAGES).agg(F.coalesce(F.max("event"), F.lit(0))).first()[0]
+            events = []
+            for run_id, stage in stages.items():
+                last = self._claim("events", last)
+                events.append((last, run_id, stage))
+            self._add("model_stages", events, _STAGES)
 
     def set_stage(self, run_id: str, stage: str) -> None:
-        here = F.col("run_id") == run_id
-        self._rewrite(
-            self.runs().withColumn("stage", F.when(here, stage).otherwise(F.col("stage")))
-        )
+        self.set_stages({run_id: stage})
 
     def stage_if_better(
         self, registry_name: str, run_ids: list[str], metric: str, higher_is_better: bool
@@ -123,7 +171,9 @@ class ModelStore:
         runs = cut_lineage(self.runs())
         metric, up = registry.contest_columns(contests)
         decisions = cut_lineage(registry.compare_stages(runs, metric, up))
-        self._rewrite(registry.promote(runs, decisions))
+        moved = registry.promote(runs, decisions).select("run_id", F.col("stage").alias("now"))
+        changed = moved.join(runs.select("run_id", "stage"), "run_id").filter("now <> stage").orderBy("now", "run_id")
+        self.set_stages({r["run_id"]: r["now"] for r in changed.collect()})  # two per registry name at most
         return decisions
 
     def load_model(self, registry_name: str) -> tuple[Model | None, dict[str, str]]:
