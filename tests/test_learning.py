@@ -180,6 +180,24 @@ def test_silhouette(spark):
     assert clustering.silhouette_of_names(named, ("f0", "f1")) == pytest.approx(np.mean(scores))
 
 
+@pytest.mark.parametrize("slice_rows", [7, 1000])
+def test_euclidean_silhouette(spark, slice_rows):
+    x = np.vstack([RNG.normal(0, 1, (20, 2)), RNG.normal(3, 1, (15, 2)), RNG.normal(9, 1, (1, 2))])
+    labels = np.repeat([0, 1, -1], [20, 15, 1])
+    d = np.sqrt(((x[:, None] - x[None]) ** 2).sum(-1))
+    scores = []
+    for i in range(len(x)):
+        inside = d[i, labels == labels[i]].sum() / max((labels == labels[i]).sum() - 1, 1)
+        outside = min(d[i, labels == c].mean() for c in set(labels) - {labels[i]})
+        scores.append(0.0 if labels[i] == -1 else (outside - inside) / max(inside, outside))
+    df = table(spark, x, cluster=labels)
+    args = ("f0", "f1"), "cluster", "id", slice_rows
+    assert clustering.euclidean_silhouette(df, *args) == pytest.approx(np.mean(scores))
+    assert clustering.euclidean_silhouette(df.filter("cluster = 0"), *args) == 0.0
+    same = df.withColumns({"f0": F.lit(1.0), "f1": F.lit(1.0)})
+    assert clustering.euclidean_silhouette(same, *args) == 0.0
+
+
 def test_projection(spark):
     x = RNG.normal(0, 1, (60, 3)) @ np.diag([3.0, 1.0, 0.1])
     x -= x.mean(0)

@@ -215,3 +215,18 @@ def test_catalog(spark):
         ("t", "a", "same"), ("t", "b", "retyped"), ("t", "c", "added"), ("u", "x", "same"),
     ]
     assert rows(catalog.drifted_tables(drift)) == [("t", True), ("u", False)]
+
+
+def test_daily_rows_merge_within_the_bound_of_their_sketches(spark):
+    rows_ = spark.range(60_000).selectExpr(
+        "concat('s', xxhash64(id) % 9000) sensor_id", "id % 7 + 0.5D pm2_5",
+        "timestamp'2024-01-01' + make_dt_interval(cast(id % 30 as int)) created_at",
+    )
+    days = summaries.volume_rows(rows_, "2024-01-31")
+    merged = summaries.volume_between(days, "2024-01-02", "2024-01-20").first()
+    kept = rows_.filter("created_at >= '2024-01-02' and created_at < '2024-01-21'")
+    exact = kept.selectExpr("count(*) n", "avg(pm2_5) a", "max(pm2_5) m", "count(distinct sensor_id) d").first()
+    assert (merged["total_records"], merged["max_pm25"]) == (exact["n"], exact["m"])
+    assert abs(merged["avg_pm25"] - exact["a"]) < 1e-9
+    assert abs(merged["active_sensors"] / exact["d"] - 1) < 0.03
+    assert summaries.volume_between(days, "2030-01-01", "2030-01-02").first()["active_sensors"] == 0

@@ -23,6 +23,7 @@ from zephyrine.operators import (
 )
 from zephyrine.plans import views
 from zephyrine.schemas import POLLUTANTS, ROLLING_WIDTHS
+from zephyrine.session import scratch_path
 
 _DATE = 'cast(cast("timestamp" as date) as varchar)'
 
@@ -278,6 +279,21 @@ def daily_volume(w: World) -> DataFrame:
     return views.daily_volume(_tables(w, "measurements"), AS_OF)
 
 
+@query(
+    with_tables("m")
+    + f"""select count(*) as total_records, round(avg(pm2_5), 6) as avg_pm25, max(pm2_5) as max_pm25,
+    count(distinct sensor_id) as active_sensors from m
+    where created_at >= timestamp '{AS_OF}' - interval 30 days
+    and cast(created_at as date) between date '2024-01-05' and date '2024-01-25'"""
+)
+def volume_between(w: World) -> DataFrame:
+    """Three weeks from stored rows per day; on these few sensors the sketch counts without error."""
+    path = scratch_path(w.spark, "volume")
+    summaries.volume_rows(w.measurements, AS_OF).write.parquet(path)
+    merged = summaries.volume_between(w.spark.read.parquet(path), "2024-01-05", "2024-01-25")
+    return rounded(merged, 6, "avg_pm25")
+
+
 @query(
     with_tables("m", "s")
     + f"""select s.sensor_id, city, zone, status, count(event_id) as readings_last_hour,

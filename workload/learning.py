@@ -138,6 +138,29 @@ def silhouette(w: World) -> DataFrame:
     return rounded(made, 6, "silhouette_sq")
 
 
+@query(
+    with_tables("m", "s")
+    + f""", p as ({_UNROUNDED}),
+    z as (select sensor_id, {_Z} from p),
+    q as (select z.*, zone from z join s using (sensor_id)),
+    d as (select a.sensor_id, a.zone as za, b.zone as zb,
+          sum(sqrt({_DISTANCE})) as total, count(*) as n from q a cross join q b group by 1, 2, 3),
+    t as (select sensor_id, za,
+          max(case when za = zb then total / nullif(n - 1, 0) end) as inside,
+          min(case when za <> zb then total / n end) as outside,
+          max(case when za = zb then n end) as own from d group by 1, 2)
+    select round(avg(case when own = 1 then 0 else (outside - inside) / greatest(outside, inside)
+    end), 6) as silhouette from t"""
+)
+def silhouette_euclidean(w: World) -> DataFrame:
+    """The same under the plain distance, from sums over tiles."""
+    scaled = features.scale_features(_profiles(w), COLUMNS)
+    zoned = scaled.join(w.sensors.select("sensor_id", "zone"), "sensor_id")
+    value = clustering.euclidean_silhouette(zoned, COLUMNS, "zone", slice_rows=64)
+    made = w.spark.createDataFrame([(float(value),)], "silhouette double")
+    return rounded(made, 6, "silhouette")
+
+
 @query()
 def score_batch(w: World) -> DataFrame:
     matrix = cut_lineage(features.generate_labels(_matrix(w)))

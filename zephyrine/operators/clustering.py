@@ -5,6 +5,8 @@ from __future__ import annotations
 import math
 from functools import reduce
 
+import numpy as np
+import pyarrow as pa
 from pyspark.ml.clustering import KMeans, KMeansModel
 from pyspark.ml.evaluation import ClusteringEvaluator
 from pyspark.ml.feature import PCA, StringIndexer, VectorAssembler
@@ -64,6 +66,78 @@ def silhouette(df: DataFrame, columns: tuple[str, ...], cluster: str = "cluster"
     return ClusteringEvaluator(predictionCol="_p", featuresCol="features").evaluate(points)
 
 
+def euclidean_silhouette(
+    df: DataFrame,
+    columns: tuple[str, ...],
+    cluster: str = "cluster",
+    key: str = "sensor_id",
+    slice_rows: int = 8192,
+) -> float:
+    """Mean silhouette under the plain Euclidean distance; 0 for a single cluster, noise counts as one more.
+
+    The points are dealt into slices of about ``slice_rows`` by a hash of the key.  Every pair of slices is a tile, in
+    which a task sums each point's distances to the points of every cluster.  Only these sums leave a tile, never a
+    pair, and a task holds two slices.  The work is that of all distances, which this measure asks for; it is the same
+    path at every size.
+    """
+    names = [f"x{i}" for i in range(len(columns))]
+    points = cut_lineage(
+        df.select(
+            F.col(key).cast("string").alias("id"),
+            F.col(cluster).cast("string").alias("cluster"),
+            *(F.col(c).cast("double").alias(x) for c, x in zip(columns, names, strict=True)),
+        )
+    )
+    total, clusters = points.agg(F.count("*"), F.approx_count_distinct("cluster")).first()
+    if clusters < 2 and len(points.select("cluster").distinct().limit(2).collect()) < 2:
+        return 0.0
+    slices = max(1, -(-total // slice_rows))
+    own = F.pmod(F.xxhash64("id"), F.lit(slices)).cast("int")
+    every = F.explode(F.sequence(F.lit(0), F.lit(slices - 1)))
+    left = points.withColumns({"row": own, "column": every})
+    right = points.withColumns({"row": every, "column": own})
+
+    def tile(a: pa.Table, b: pa.Table) -> pa.Table:
+        x, y = spaces.matrix(a, names), spaces.matrix(b, names)
+        label = b.column("cluster").combine_chunks().dictionary_encode()
+        member = label.indices.to_numpy()
+        sums = np.zeros((len(x), len(label.dictionary)))
+        step = max(1, spaces.BLOCK // max(len(y), 1))
+        for k in range(0, len(x), step):
+            square = np.zeros((len(x[k : k + step]), len(y)))
+            for axis in range(len(names)):
+                square += (x[k : k + step, axis, None] - y[None, :, axis]) ** 2
+            distance = np.sqrt(square)
+            for c in range(sums.shape[1]):
+                sums[k : k + step, c] = distance[:, member == c].sum(axis=1)
+        rows = np.repeat(np.arange(len(x)), sums.shape[1])
+        return pa.table(
+            {
+                "id": a.column("id").take(pa.array(rows)),
+                "cluster": a.column("cluster").take(pa.array(rows)),
+                "other": label.dictionary.take(pa.array(np.tile(np.arange(sums.shape[1]), len(x)))),
+                "total": pa.array(sums.ravel()),
+            }
+        )
+
+    met = left.groupBy("row", "column").cogroup(right.groupBy("row", "column"))
+    sums = met.applyInArrow(tile, "id string, cluster string, other string, total double")
+    sums = sums.groupBy("id", "cluster", "other").agg(F.sum("total").alias("total"))
+    sizes = points.groupBy(F.col("cluster").alias("other")).agg(F.count("*").alias("n"))
+    mine = F.col("cluster") == F.col("other")
+    per_point = (
+        sums.join(sizes, "other")
+        .groupBy("id")
+        .agg(
+            F.max(F.when(mine & (F.col("n") > 1), F.col("total") / (F.col("n") - 1))).alias("inside"),
+            F.min(F.when(~mine, F.col("total") / F.col("n"))).alias("outside"),
+        )
+    )
+    most = F.greatest("inside", "outside")
+    value = F.when(F.col("inside").isNull() | (most == 0), 0.0).otherwise((F.col("outside") - F.col("inside")) / most)
+    return float(per_point.agg(F.avg(value)).first()[0])
+
+
 def silhouette_of_names(
     df: DataFrame, columns: tuple[str, ...], cluster: str = "cluster"
 ) -> float:

@@ -91,7 +91,7 @@ def place_cells(cells: DataFrame, names: list[str], tree: Broadcast, eps: float)
     return cells.mapInArrow(scan, schema)
 
 
-def _matrix(table: pa.Table, names: list[str]) -> np.ndarray:
+def matrix(table: pa.Table, names: list[str]) -> np.ndarray:
     columns = [table.column(x).to_numpy() for x in names]
     return np.stack(columns, axis=1) if table.num_rows else np.zeros((0, len(names)))
 
@@ -111,7 +111,7 @@ def dense_pairs(placed: DataFrame, names: list[str], eps: float, min_samples: in
     bounds = [f"{end}_{x}" for x in names for end in ("lo", "hi")]
 
     def meet(table: pa.Table) -> pa.Table:
-        lo, hi = (_matrix(table, [f"{end}_{x}" for x in names]) for end in ("lo", "hi"))
+        lo, hi = (matrix(table, [f"{end}_{x}" for x in names]) for end in ("lo", "hi"))
         own, n = table.column("own").to_numpy(), table.column("n").to_numpy()
         every, dense = np.arange(len(n)), np.flatnonzero(n >= min_samples)
         found = []
@@ -150,7 +150,7 @@ def sparse_neighbours(placed: DataFrame, sparse: DataFrame, names: list[str], ep
     """(id, sparse_n): how many points of other sparse cells lie within ``eps`` of a point of a sparse cell."""
 
     def count(table: pa.Table) -> pa.Table:
-        x, cell = _matrix(table, names), table.column("cell").combine_chunks().dictionary_encode().indices.to_numpy()
+        x, cell = matrix(table, names), table.column("cell").combine_chunks().dictionary_encode().indices.to_numpy()
         own = np.flatnonzero(table.column("own").to_numpy())
         n = np.zeros(len(own), np.int64)
         for k, near in _near(x[own], x, eps):
@@ -176,7 +176,7 @@ def sparse_links(placed: DataFrame, flagged: DataFrame, names: list[str], eps: f
     """
 
     def link(table: pa.Table) -> pa.Table:
-        x, names_of = _matrix(table, names), table.column("cell").combine_chunks().dictionary_encode()
+        x, names_of = matrix(table, names), table.column("cell").combine_chunks().dictionary_encode()
         cell, own = names_of.indices.to_numpy(), table.column("own").to_numpy()
         core = np.array(table.column("core").fill_null(False).to_pylist(), bool)
         cores = np.flatnonzero(core)
