@@ -7,7 +7,7 @@ import brute
 import pytest
 from small_tables import benchmark, documents, pages
 
-from zephyrine.llm import licenses, linerules
+from zephyrine.llm import licenses, linerules, mixing
 from zephyrine.llm.oracles import ORACLES
 from zephyrine.llm.queries import BLOCKED_HOSTS, QUERIES, URL_RULES
 
@@ -158,7 +158,30 @@ def test_pipeline_stages(spark, tables, tmp_path):
     assert set(texts[3]) <= set(texts[2])
     clean = [(i, t) for i, t in texts[3] if not brute.contamination(t, benchmark())[1]]
     assert texts[4] == clean
-    assert {r.doc_id for r in held[5].collect()} <= {i for i, _ in clean}
+    assert set(columns) | set(mixing.MIXED) == set(held[5].columns)
+    mixed = [((r.doc_id, r.text), r.mix_epoch, r.mix_block, r.mix_place) for r in held[5].collect()]
+    assert {row for row, *_ in mixed} <= set(clean)  # every mixed row is a whole document of the stage before
+    placed = [(r.key_id, r.epoch, r.block, r.place) for r in mixing.mix(held[4]).collect()]
+    assert sorted(((row[0], *at) for row, *at in mixed), key=repr) == sorted(placed, key=repr)
     sizes = {r.doc_id: r.n_chars for r in held[4].collect()}
     assert all(sizes[i] == len(t) for i, t in texts[4])
     assert len(held) == 6 and all(len(a) >= len(b) for a, b in pairwise(texts))
+
+
+@pytest.mark.parametrize(("budget", "entropy"), [(1.0, 0.98), (0.4, None), (0.03, None)])
+def test_mixed_rows_are_those_of_the_mixture(spark, tables, budget, entropy):
+    docs = spark.read.parquet(f"{tables}/documents.parquet")
+    docs = docs.unionByName(docs.filter("doc_id is null or doc_id < 8")).unionByName(docs.filter("doc_id = 20"))
+    options = {"budget_share": budget, "entropy_share": entropy, "block_tokens": 300}
+    rows = mixing.mix_rows(docs.withColumn("mix_block", docs.text), **options).collect()
+    found = [(r.doc_id, r.source, r.mix_weight, r.mix_epoch, r.mix_block, r.mix_place) for r in rows]
+    expected = [(r.key_id, r.source, r.weight, r.epoch, r.block, r.place) for r in mixing.mix(docs, **options).collect()]
+    assert sorted(found, key=repr) == sorted(expected, key=repr)
+    texts = {(r.doc_id, r.text, r.lang, r.h) for r in docs.collect()}
+    assert {(r.doc_id, r.text, r.lang, r.h) for r in rows} <= texts
+
+
+def test_a_cut_among_equal_rows_takes_some_of_them(spark):
+    docs = spark.range(40).selectExpr("cast(null as long) doc_id", "'one two three' text", "'a' source")
+    rows = mixing.mix_rows(docs, budget_share=0.5, entropy_share=None, max_repeats=None).collect()
+    assert len(rows) == 20 and {r.text for r in rows} == {"one two three"}

@@ -128,20 +128,82 @@ def mix(
     broadcast_rows: int = 1 << 20,
 ) -> DataFrame:
     """(key_id, source, n_tokens, weight, epoch, block, place) per placed copy of a document."""
-    tokens = cut_lineage(
-        docs.select(
-            F.col(f"`{id}`").cast("long").alias("key_id"),
-            F.col(f"`{source}`").cast("string").alias("source"),
-            F.size(blank_word_array(F.col(f"`{text}`"))).cast("long").alias("n_tokens"),
-            F.xxhash64(F.col(f"`{text}`")).alias("text_hash"),
-        )
+    tokens = cut_lineage(_tokens(docs, id, text, source).drop("row"))
+    quotas, budget = source_quotas(tokens, budget_share, entropy_share, max_repeats)
+    blocks = max(1, -(-budget // block_tokens))
+    return _placed(_copies(tokens, quotas, seed, broadcast_rows), blocks).select(
+        "key_id", "source", "n_tokens", "weight", "epoch", "block", F.col("order").alias("place")
     )
-    again = tokens.groupBy(F.col("key_id").alias("again")).count().filter("count > 1 and again is not null")
-    tokens = tokens.join(again.select("again"), F.col("key_id") == F.col("again"), "left").withColumn(
-        "text_hash", F.when(F.col("key_id").isNull() | F.col("again").isNotNull(), F.col("text_hash"))
-    ).drop("again")
+
+
+#: What the mixture adds to a document; columns of these names that documents have already are replaced.
+MIXED = ("mix_weight", "mix_epoch", "mix_block", "mix_place")
+
+
+def mix_rows(
+    docs: DataFrame,
+    id: str = "doc_id",
+    text: str = "text",
+    source: str = "source",
+    budget_share: float = 1.0,
+    entropy_share: float | None = 0.98,
+    max_repeats: float | None = 4.0,
+    block_tokens: int = 1 << 17,
+    seed: int = 17,
+    broadcast_rows: int = 1 << 20,
+) -> DataFrame:
+    """The documents themselves, a row per placed copy, with the columns ``MIXED``; places are those of ``mix``.
+
+    Where a source's last epoch ends is one row per source.  Every document is tested against it where it is read, so
+    no text is shuffled.  Only where the cut leaves out some of several equal rows are these numbered.
+    """
+    tokens = cut_lineage(_tokens(docs, id, text, source).drop("row"))
     quotas, budget = source_quotas(tokens, budget_share, entropy_share, max_repeats)
     blocks = max(1, -(-budget // block_tokens))
+    copies = _copies(tokens, quotas, seed, broadcast_rows)
+    partial = _placed(copies, blocks).filter("epoch = whole and source_tokens > 0")
+    last = partial.groupBy("source", "order").count().groupBy("source").agg(F.max(F.struct("order", "count")).alias("x"))
+    ends = cut_lineage(last.select(F.col("source").alias("e"), F.col("x.order").alias("end"), F.col("x.count").alias("taken")))
+    few = ends.count() <= broadcast_rows  # one row per source
+
+    def cut(rows: DataFrame) -> DataFrame:
+        found = rows.join(F.broadcast(ends) if few else ends, F.col("source").eqNullSafe(F.col("e")), "left").drop("e")
+        inside = (F.col("epoch") < F.col("whole")) | F.coalesce(F.col("order") <= F.col("end"), F.lit(False))
+        return found.filter(inside).withColumn("edge", (F.col("epoch") == F.col("whole")) & (F.col("order") == F.col("end")))
+
+    there = cut(copies).filter("edge").groupBy("source").agg(F.count("*").alias("n"), F.max("taken").alias("taken"))
+    split = cut_lineage(there.filter("n > taken").select(F.col("source").alias("s")))
+    rows = cut(_copies(_tokens(docs, id, text, source), quotas, seed, broadcast_rows))
+    if not split.isEmpty():
+        left_out = F.broadcast(split) if few else split
+        marked = rows.join(left_out.withColumn("some", F.lit(True)), F.col("source").eqNullSafe(F.col("s")), "left")
+        some = F.col("edge") & F.coalesce("some", F.lit(False))
+        number = F.row_number().over(Window.partitionBy("source").orderBy(F.xxhash64("row")))
+        numbered = marked.filter(some).withColumn("number", number).filter("number <= taken")
+        rows = marked.filter(~some).select(rows.columns).unionByName(numbered.select(rows.columns))
+    added = [F.col(c).alias(name) for c, name in zip(("weight", "epoch", "block", "order"), MIXED, strict=True)]
+    kept = [F.col("row").getField(c).alias(c) for c in docs.columns if c not in MIXED]
+    return _blocked(rows, blocks).select(*kept, *added)
+
+
+def _tokens(docs: DataFrame, id: str, text: str, source: str) -> DataFrame:
+    """(row, key_id, source, n_tokens, text_hash); the hash is null where the id suffices to tell rows apart."""
+    tokens = docs.select(
+        F.struct("*").alias("row"),
+        F.col(f"`{id}`").cast("long").alias("key_id"),
+        F.col(f"`{source}`").cast("string").alias("source"),
+        F.size(blank_word_array(F.col(f"`{text}`"))).cast("long").alias("n_tokens"),
+        F.xxhash64(F.col(f"`{text}`")).alias("text_hash"),
+    )
+    ids = docs.select(F.col(f"`{id}`").cast("long").alias("again"))
+    again = ids.groupBy("again").count().filter("count > 1 and again is not null")
+    return tokens.join(again.select("again"), F.col("key_id") == F.col("again"), "left").withColumn(
+        "text_hash", F.when(F.col("key_id").isNull() | F.col("again").isNotNull(), F.col("text_hash"))
+    ).drop("again")
+
+
+def _copies(tokens: DataFrame, quotas: DataFrame, seed: int, broadcast_rows: int) -> DataFrame:
+    """A row per document and epoch, whole ones and the last, with the order of documents in it."""
     quotas = quotas.withColumnRenamed("source", "s")
     if quotas.count() <= broadcast_rows:  # one row per source
         quotas = F.broadcast(quotas)
@@ -151,11 +213,20 @@ def mix(
         "whole", F.when(F.col("source_tokens") > 0, whole).otherwise(1)
     )
     rest = F.col("quota") - F.col("whole") * F.col("source_tokens")
-    rows = known.select(
+    return known.select(
         "*", rest.alias("rest"), F.explode(F.sequence(F.lit(0).cast("long"), F.col("whole"))).alias("epoch")
     ).withColumn("order", _order(seed))
-    full = rows.filter("epoch < whole")
-    part = _cut(rows.filter("epoch = whole and rest > 0"))
+
+
+def _placed(copies: DataFrame, blocks: int) -> DataFrame:
+    """The copies up to where the quotas end, with their blocks."""
+    full = copies.filter("epoch < whole")
+    part = _cut(copies.filter("epoch = whole and rest > 0"))
+    columns = ["key_id", "source", "n_tokens", "weight", "epoch", "order", "quota", "source_tokens", "whole"]
+    return _blocked(full.select(columns).unionByName(part.select(columns)), blocks)
+
+
+def _blocked(rows: DataFrame, blocks: int) -> DataFrame:
     # How far along its source's stream of epochs a document stands, from 0 to 1.
     along = (F.col("epoch") + _number(F.col("order"), _DIGITS) / 16.0**_DIGITS) / F.greatest(
         F.col("quota") / F.col("source_tokens"), F.lit(1e-9)
@@ -163,13 +234,7 @@ def mix(
     along = F.when(F.col("source_tokens") > 0, along).otherwise(
         _number(F.col("order"), _DIGITS) / 16.0**_DIGITS
     )
-    block = F.least(F.floor(along * blocks), F.lit(blocks - 1)).cast("long")
-    columns = ["key_id", "source", "n_tokens", "weight", "epoch", "order", "quota", "source_tokens"]
-    return (
-        full.select(columns)
-        .unionByName(part.select(columns))
-        .select("key_id", "source", "n_tokens", "weight", "epoch", block.alias("block"), F.col("order").alias("place"))
-    )
+    return rows.withColumn("block", F.least(F.floor(along * blocks), F.lit(blocks - 1)).cast("long"))
 
 
 def _number(digits: Column, count: int) -> Column:
