@@ -35,7 +35,7 @@ def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 
 def mixture(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return mixing.mix(docs).withColumnRenamed("key_id", "doc_id")
+    return mixing.mix_rows(docs)
 
 
 STAGES = [
