@@ -14,7 +14,8 @@
 Item shingles and prefixes are broadcast only if they are counted at ``broadcast_rows`` or fewer and
 ``broadcast_bytes`` or less; beyond that the joins are shuffled ones, where adaptive execution splits hot
 shingles.  A window's uses in the items stay rows of their own, however many items share it.  Texts move
-for documents with a surviving place only, once runtime filters apply.
+for documents with a surviving place only: the keys of these are a written table, which Spark broadcasts while it is
+small.
 
 Null texts have no words; items without words have no window and match nothing.  Items with equal
 ids count once, items without id mark words but are not counted.  Repeated rows have equal results.
@@ -25,7 +26,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from zephyrine.llm.text import carried, let, same_key, word_array
+from zephyrine.llm.text import carried, let, same_key, stored, word_array
 from zephyrine.session import cut_lineage
 
 
@@ -129,7 +130,11 @@ def contaminated_places(
         .groupBy("key_id", "key_hash")
         .agg(F.collect_set(F.struct("start", "win")).alias("places"))
     )
+    candidates = stored(candidates, "decontamination-places")
+    named = stored(candidates.select("key_id", "key_hash"), "decontamination-candidates")
     texts = carried(docs, id, text).select("key_id", "key_hash", "body")
+    # The candidates' keys alone are few enough to be broadcast mostly; other texts stay where they are read.
+    texts = texts.join(named, same_key(texts, named), "left_semi")
     joined = texts.join(candidates, same_key(texts, candidates))
     real = let(
         word_array(F.col("body")),
@@ -196,6 +201,7 @@ def drop_contaminated(
     docs: DataFrame, items: DataFrame, id: str = "doc_id", text: str = "text", **how
 ) -> DataFrame:
     """``docs`` without the rows that hold any window of an item."""
-    hits = contamination(docs, items, id, text, **how)
+    places = contaminated_places(docs, items, id, text, **how)
+    hits = stored(places.select("key_id", "key_hash").distinct(), "decontamination-hits")
     rows = carried(docs, id, text).drop("body")
     return rows.join(hits, same_key(rows, hits), "left_anti").select("row.*")

@@ -26,7 +26,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from zephyrine.llm.text import blank_word_array
+from zephyrine.llm.text import blank_word_array, stored
 from zephyrine.session import cut_lineage
 
 #: Digits of the document hash, in base 16; the first ``_HIGH`` name a block's row of sums.
@@ -163,13 +163,16 @@ def mix_rows(
     copies = _copies(tokens, quotas, seed, broadcast_rows)
     partial = _placed(copies, blocks).filter("epoch = whole and source_tokens > 0")
     last = partial.groupBy("source", "order").count().groupBy("source").agg(F.max(F.struct("order", "count")).alias("x"))
-    ends = cut_lineage(last.select(F.col("source").alias("e"), F.col("x.order").alias("end"), F.col("x.count").alias("taken")))
+    named = F.col("source").alias("e"), F.col("x.order").alias("end"), F.col("x.count").alias("taken")
+    ends = cut_lineage(last.select(*named))
     few = ends.count() <= broadcast_rows  # one row per source
 
     def cut(rows: DataFrame) -> DataFrame:
-        found = rows.join(F.broadcast(ends) if few else ends, F.col("source").eqNullSafe(F.col("e")), "left").drop("e")
+        limits = F.broadcast(ends) if few else ends
+        found = rows.join(limits, F.col("source").eqNullSafe(F.col("e")), "left").drop("e")
         inside = (F.col("epoch") < F.col("whole")) | F.coalesce(F.col("order") <= F.col("end"), F.lit(False))
-        return found.filter(inside).withColumn("edge", (F.col("epoch") == F.col("whole")) & (F.col("order") == F.col("end")))
+        edge = (F.col("epoch") == F.col("whole")) & (F.col("order") == F.col("end"))
+        return found.filter(inside).withColumn("edge", edge)
 
     there = cut(copies).filter("edge").groupBy("source").agg(F.count("*").alias("n"), F.max("taken").alias("taken"))
     split = cut_lineage(there.filter("n > taken").select(F.col("source").alias("s")))
@@ -196,8 +199,9 @@ def _tokens(docs: DataFrame, id: str, text: str, source: str) -> DataFrame:
         F.xxhash64(F.col(f"`{text}`")).alias("text_hash"),
     )
     ids = docs.select(F.col(f"`{id}`").cast("long").alias("again"))
-    again = ids.groupBy("again").count().filter("count > 1 and again is not null")
-    return tokens.join(again.select("again"), F.col("key_id") == F.col("again"), "left").withColumn(
+    repeated = ids.groupBy("again").count().filter("count > 1 and again is not null").select("again")
+    again = stored(repeated, "repeated-ids")
+    return tokens.join(again, F.col("key_id") == F.col("again"), "left").withColumn(
         "text_hash", F.when(F.col("key_id").isNull() | F.col("again").isNotNull(), F.col("text_hash"))
     ).drop("again")
 

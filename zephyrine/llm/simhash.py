@@ -28,7 +28,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from zephyrine.llm.text import carried, same_key
+from zephyrine.llm.text import carried, same_key, stored
 from zephyrine.operators.components import connected_components
 from zephyrine.session import cut_lineage
 
@@ -234,13 +234,18 @@ def drop_near_duplicates(docs: DataFrame, id: str = "doc_id", text: str = "text"
 
     Null ids come last.  Rows equal in id and text count as one.
     """
-    found = near_duplicates(docs, id, text, **how)
+    found = cut_lineage(near_duplicates(docs, id, text, **how).select("key_id", "key_hash", "component"))
     rank = F.struct(F.col("key_id").isNull().alias("last"), "key_id", "key_hash")
     kept = found.groupBy("component").agg(F.min(rank).alias("best")).select("best.*").drop("last")
+    keys = found.groupBy("key_id", "key_hash").count()
+    # The verdicts travel to the rows: few of them are broadcast, and the texts stay where they are read.
+    removed = stored(keys.join(kept, same_key(keys, kept), "left_anti").drop("count"), "near-removed")
+    again = stored(keys.filter("count > 1").drop("count"), "near-again")
     rows = carried(docs, id, text).drop("body")
-    one = (
-        rows.join(kept, same_key(rows, kept))
-        .groupBy(rows["key_id"], rows["key_hash"])
-        .agg(F.first("row").alias("row"))
-    )
-    return one.select("row.*")
+    rows = rows.join(removed, same_key(rows, removed), "left_anti")
+    single = rows.join(again, same_key(rows, again), "left_anti").select("row.*")
+    if again.isEmpty():
+        return single
+    several = rows.join(again, same_key(rows, again), "left_semi")
+    one = several.groupBy("key_id", "key_hash").agg(F.first("row").alias("row"))
+    return single.unionByName(one.select("row.*"))

@@ -11,6 +11,8 @@ import string
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from zephyrine.session import scratch_path
+
 #: Characters that separate alphanumeric words: ASCII other than digits and lower-case letters.
 NON_WORD = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 #: ASCII white space.
@@ -66,3 +68,10 @@ def same_key(left: DataFrame, right: DataFrame) -> Column:
 def replace_text(text_name: str, value: Column) -> Column:
     """The carried row with another text; ``n_chars`` follows where the row has it."""
     return F.col("row").withField(f"`{text_name}`", value)
+
+
+def stored(df: DataFrame, name: str) -> DataFrame:
+    """``df`` as a written table, so that Spark knows its size when it plans a join with it."""
+    path = scratch_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.parquet(path)
