@@ -620,6 +620,32 @@ _ZONE_CODE = """case zone when 'traffic' then 1 when 'industrial' then 2
 _COMPLETE = " and ".join(f"{p} is not null" for p in POLLUTANTS)
 
 
+def _o(n: int) -> str:
+    return f'over (partition by sensor_id order by "timestamp" rows between {n - 1} preceding and current row)'
+
+
+_SLICED = [f"""avg({p}) {_o(n)} as {p}_mean_{n}, coalesce(round(stddev_samp({p}) {_o(n)}, 6), 0) as {p}_std_{n}"""
+           for p in ("pm2_5", "no2") for n in (2, 3)]
+
+
+@query(with_tables("m") + f"select event_id, {', '.join(_SLICED)} from m")
+def rolling_features_sliced(w: World) -> DataFrame:
+    """Short frames over slices of ten days, most of whose rows are settled inside their slice."""
+    made = rolling.rolling_features(w.measurements, ("pm2_5", "no2"), (2, 3), slice_width="10 days")
+    names = [f"{p}_{s}_{n}" for p in ("pm2_5", "no2") for s in ("mean", "std") for n in (2, 3)]
+    return rounded(made.select("event_id", *names), 6, *(c for c in names if "_std_" in c))
+
+
+@query(
+    with_tables("m")
+    + """select * from (select event_id, lead(pm2_5, 2) over (partition by sensor_id order by "timestamp") as target
+    from m) where target is not null"""
+)
+def forecast_target_sliced(w: World) -> DataFrame:
+    made = rolling.forecast_target(w.measurements, "pm2_5", 2, slice_width="10 days")
+    return made.select("event_id", "target")
+
+
 @query(
     with_tables("m", "s")
     + f""", x as (select m.*, city, zone from m join s using (sensor_id) where {since("30 days")}),

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.ml import PipelineModel
 from pyspark.ml.feature import SQLTransformer, VectorAssembler
 from pyspark.ml.functions import vector_to_array
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from workload.aggregates import _PROFILE_SQL, ROLLING_SQL
@@ -162,6 +162,41 @@ def train_best(w: World) -> DataFrame:
     )
 
 
+def _contest(store: ModelStore, metric: str, lower_wins: bool) -> DataFrame:
+    """Per registry name the runs, how many are staged, and how many that are not staged beat them."""
+    runs = store.runs().select("registry_name", "stage", F.col("metrics")[metric].alias("value"))
+    sign = F.lit(-1.0 if lower_wins else 1.0)
+    staged = F.col("stage") == "Staging"
+    top = F.max(F.when(staged, sign * F.col("value"))).over(Window.partitionBy("registry_name"))
+    return runs.withColumn("top", top).groupBy("registry_name").agg(
+        F.count("*").alias("candidates"),
+        F.count_if(staged).alias("staged"),
+        F.count_if(~staged & (sign * F.col("value") > F.col("top"))).alias("better_left_behind"),
+    )
+
+
+@query(
+    """select 'pollution-forecaster-' || target as registry_name, 2::bigint as candidates, 1::bigint as staged,
+    0::bigint as better_left_behind from (values ('pm2_5'), ('no2')) as t(target)"""
+)
+def train_best_forecasters(w: World) -> DataFrame:
+    """Ridge and boosted trees for each target: the lower error is staged."""
+    store = ModelStore(w.spark, scratch_path(w.spark, "models"))
+    training.train_best_forecasters(cut_lineage(_matrix(w)), store)
+    return _contest(store, "rmse", lower_wins=True)
+
+
+@query(
+    """select 'sensor-clustering' as registry_name, 2::bigint as candidates, 1::bigint as staged,
+    0::bigint as better_left_behind"""
+)
+def train_best_clustering(w: World) -> DataFrame:
+    """k-means and density clusters of the profiles: the higher silhouette is staged."""
+    store = ModelStore(w.spark, scratch_path(w.spark, "models"))
+    training.train_best_clustering(w.measurements, AS_OF, store)
+    return _contest(store, "silhouette_sq", lower_wins=False)
+
+
 @query(
     with_tables("m")
     + f""", p as ({_PROFILE_SQL}) select count(*) as sensors, least(4, count(*)) as clusters,
