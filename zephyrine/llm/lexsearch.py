@@ -46,7 +46,7 @@ CHUNK_DOCS = 256
 CHUNK_CELLS = 1 << 23
 SEED_SHARE = 16
 #: Index rows per file: readers hold the arrays of so many rows at once.
-FILE_ROWS = 32
+FILE_ROWS = 16
 #: A term with more partners than this in the queries has one block per index row, with a summary over all terms.
 MOST_PARTNERS = 1 << 10
 
