@@ -9,7 +9,7 @@ import numpy as np
 import public_tokenizers
 import pytest
 
-from zephyrine.llm import bpe, lexsearch, spelling
+from zephyrine.llm import bpe, lexsearch, pseudolm, spelling
 
 
 def some_texts(n, seed, vocabulary=60, most=40):
@@ -154,3 +154,13 @@ def test_runs_are_latin_letters_only():
         w.encode("latin-1") for w in ("Éa×÷b", "x", "Àb", "c", "d", "e")
     ]
     assert spelling.split_runs(None) == []
+
+
+@pytest.mark.parametrize("most", [0, 1, 5, 40, 99, 100, 1000])
+def test_the_cut_leaves_as_many_words_as_fit(spark, most):
+    counts = [1] * 60 + [2] * 20 + [7] * 10 + [1000 + k // 2 for k in range(9)] + [10**12]
+    frame = spark.createDataFrame([(f"w{k}", n) for k, n in enumerate(counts)], "word string, count long")
+    cut = pseudolm.count_beyond(frame, most)
+    kept = sum(n > cut for n in counts)
+    assert kept <= most
+    assert cut == 0 or sum(n >= cut for n in counts) > most

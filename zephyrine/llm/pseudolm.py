@@ -194,6 +194,28 @@ def unseen_log_share(size: int) -> float:
     return -(size + 1) * math.log(257)
 
 
+def count_beyond(counts: DataFrame, most: int) -> int:
+    """The smallest count that at most ``most`` words exceed, from histograms of the counts.
+
+    Bins are eighths of a power of two; the one the limit falls into is then split by its single counts.
+    """
+    bin_ = F.floor(F.log2(F.col("count").cast("double")) * 8).alias("value")
+
+    def reach(rows: DataFrame, value, room: int) -> tuple[int | None, int]:
+        """The largest value whose words do not fit in any more, and the room left before it."""
+        for r in sorted(rows.groupBy(value).agg(F.count("*").alias("n")).collect(), reverse=True):
+            if r["n"] > room:
+                return r["value"], room
+            room -= r["n"]
+        return None, room
+
+    place, room = reach(counts, bin_, most)
+    if place is None:
+        return 0
+    exact, _ = reach(counts.filter(bin_ == place), F.col("count").alias("value"), room)
+    return exact
+
+
 def shared_counts(
     counts: DataFrame, own: dict[bytes, int], near: int = NEAR
 ) -> tuple[DataFrame, np.ndarray, dict[bytes, int]]:
@@ -204,7 +226,7 @@ def shared_counts(
     number = (F.crc32(F.col("word").cast("binary")) % spread).alias("number")
     for r in shared.groupBy(number).agg(F.sum("count").alias("n")).collect():
         totals[r["number"]] = r["n"]
-    top = shared.orderBy(F.desc("count"), "word").limit(near).collect()
+    top = shared.filter(F.col("count") > count_beyond(shared, near)).collect()
     return shared, totals, {r["word"].encode(): r["count"] for r in top}
 
 
