@@ -164,3 +164,17 @@ def test_the_cut_leaves_as_many_words_as_fit(spark, most):
     kept = sum(n > cut for n in counts)
     assert kept <= most
     assert cut == 0 or sum(n >= cut for n in counts) > most
+
+
+def test_scores_do_not_depend_on_how_many_counts_go_to_the_tasks(spark):
+    texts = some_texts(60, 9, vocabulary=2000)
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    counts = pseudolm.word_counts(docs)
+    own = dict(list(pseudolm.frequent_words(docs, count=20, counts=counts).items()))
+    model = pseudolm.train(docs, own)
+
+    def scores(near):
+        found = pseudolm.score_documents(docs, model, own, counts=counts, near=near).collect()
+        return sorted((r.key_id, r.n_tokens, round(r.log_likelihood, 6)) for r in found)
+
+    assert scores(1) == scores(30) == scores(300) == scores(1 << 16)

@@ -218,16 +218,18 @@ def count_beyond(counts: DataFrame, most: int) -> int:
 
 def shared_counts(
     counts: DataFrame, own: dict[bytes, int], near: int = NEAR
-) -> tuple[DataFrame, np.ndarray, dict[bytes, int]]:
-    """Counts of the words that share numbers: (word, count), the sum of each shared number, the largest."""
+) -> tuple[DataFrame, np.ndarray, dict[bytes, int], bool]:
+    """Counts of the words that share numbers: (word, count), the sum of each shared number, the largest counts, and
+    whether these are all of them."""
     spread = VOCABULARY - OWN
     shared = counts.filter(~F.col("word").isin([w.decode() for w in own])) if own else counts
     totals = np.zeros(spread)
     number = (F.crc32(F.col("word").cast("binary")) % spread).alias("number")
     for r in shared.groupBy(number).agg(F.sum("count").alias("n")).collect():
         totals[r["number"]] = r["n"]
-    top = shared.filter(F.col("count") > count_beyond(shared, near)).collect()
-    return shared, totals, {r["word"].encode(): r["count"] for r in top}
+    cut = count_beyond(shared, near)
+    top = shared.filter(F.col("count") > cut).collect()
+    return shared, totals, {r["word"].encode(): r["count"] for r in top}, cut == 0
 
 
 def positions_of_round(hash_: int, turn: int, rounds: int) -> slice:
@@ -292,11 +294,10 @@ def score_documents(
 
     ``counts`` are the word counts of the corpus, by default of ``docs``.
     """
-    shared, totals, top = shared_counts(word_counts(docs, text) if counts is None else counts, own, near)
+    shared, totals, top, all_known = shared_counts(word_counts(docs, text) if counts is None else counts, own, near)
     # A class without any word is left to unseen words as a whole.
     scale = np.concatenate([np.zeros(OWN), np.log(totals + 1)])
     known = {w: math.log(n) for w, n in top.items()} | dict.fromkeys(own, 0.0)
-    all_known = len(top) < near
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         def scored(ids, held, shares, rare):
