@@ -41,7 +41,7 @@ def test_pivots_lose_no_link(center, flips, max_bits):
             made ^= 1 << b
         prints.add(made)
     fp = np.array(sorted(prints), np.uint64)
-    table, keys = simhash.pivot_rows(fp, max_bits, 16)
+    table, keys, _ = simhash.pivot_rows(fp, max_bits, 16)
     labels = list(range(len(fp)))
     for k in range(keys.shape[1]):
         order = np.lexsort((table[:, 0], keys[:, k]))
@@ -60,12 +60,55 @@ def test_a_large_group_makes_few_links():
     rng = np.random.default_rng(1)
     fp = np.unique(np.uint64(1) << rng.integers(0, 20, 4000).astype(np.uint64))
     wide = np.unique(fp[:, None] ^ fp[None, :])
-    table, keys = simhash.pivot_rows(wide, 2, 16)
+    table, keys, _ = simhash.pivot_rows(wide, 2, 16)
     order = np.lexsort((table[:, 0], keys[:, 0]))
     u, _ = simhash.joining_links(keys[order, 0], wide[order], table[order].view(np.int8), 2)
     assert len(u) < 20 * len(wide)
 
 
+def near_components(fp, max_bits):
+    """{fingerprint: smallest of its component}, by trying every change of up to two bits."""
+    label = {int(x): int(x) for x in fp}
+
+    def root(x):
+        while label[x] != x:
+            x = label[x]
+        return x
+
+    flips = [1 << a for a in range(64)]
+    flips += [a ^ b for n, a in enumerate(flips) for b in flips[:n]] if max_bits == 2 else []
+    for x in list(label):
+        for flip in flips:
+            if x ^ flip in label:
+                a, b = root(x), root(x ^ flip)
+                label[max(a, b)] = min(a, b)
+    return {x: root(x) for x in label}
+
+
+def test_hot_keys_are_split_without_losing_a_link(spark):
+    rng = np.random.default_rng(3)
+    free = rng.integers(0, 1 << 26, 6000, np.uint64)
+    base = np.uint64(0x5A5A1234DEADBEEF) >> np.uint64(26) << np.uint64(26)
+    fp = np.unique(np.concatenate([base | free, free[:900] << np.uint64(30), base | np.arange(700, dtype=np.uint64)]))
+    prints = spark.createDataFrame([(int(x),) for x in fp.view(np.int64)], "fp long").repartition(4)
+    table = simhash.pivot_table(prints, 2, rows_per_key=64)
+    assert table.groupBy("key").count().agg({"count": "max"}).first()[0] <= 64
+    links = simhash.linked(prints, 2, rows_per_key=64).collect()
+    expected = near_components(fp, 2)
+    label = {int(x): int(x) for x in fp}
+
+    def root(x):
+        while label[x] != x:
+            x = label[x]
+        return x
+
+    for u, v in ((r.u % 2**64, r.v % 2**64) for r in links):
+        assert (u ^ v).bit_count() <= 2
+        a, b = root(u), root(v)
+        label[max(a, b)] = min(a, b)
+    assert {x: root(x) for x in label} == expected
+
+
 @settings(max_examples=100, deadline=None)
 @given(st.lists(st.sampled_from(["a", "b", "é#", "$", "\x85\U0001f600"]), max_size=40))
 def test_repeated_window_words(words):

@@ -6,7 +6,12 @@
    differing bits, in every block and in total.
 3. Two fingerprints within ``max_bits`` bits differ in at most ``max_bits`` of the
    ``max_bits + 3`` blocks.  In the blocks left over all their coordinates are equal, so an equi
-   join on the coordinates of every choice of three blocks meets every such pair.
+   join on the coordinates of every choice of three blocks meets every such pair.  Sixteen
+   references determine a block's bits, so a key stands for equal bits in three blocks.
+   Fingerprints of one key differ in the other blocks only.  Where a key has many, those bits
+   are cut into ``max_bits + 3`` blocks again: by the same argument a pair within ``max_bits``
+   bits meets under one of the finer keys.  With two bits, two cuts leave 11 free bits, so a key
+   never has more than 2,048 rows, however many fingerprints share their other bits.
 4. ``linked``: inside one such key, sorted by the first total coordinate, rows further apart than
    ``max_bits`` in any total coordinate are discarded and survivors verified by exact distance.
    Pairs that are connected already are skipped and only joining links leave the task, so a
@@ -14,7 +19,9 @@
 5. Components by alternating large and small stars; exact copies meet only by their fingerprint.
 
 Null text counts as empty; documents without words have fingerprint zero and are linked like any
-other.  Null ids keep their row; a group's id is its smallest id that is not null.
+other.  Null ids keep their row; a group's id is its smallest id that is not null.  Rows equal in
+id and text, and texts equal up to case and white space, share a fingerprint.  A very long text is
+hashed in slices, whole.  Empty tables give empty results.
 """
 
 from __future__ import annotations
@@ -86,51 +93,75 @@ def fingerprints(
     return chosen.mapInArrow(scan, "key_id long, key_hash long, fp long")
 
 
-def _blocks(count: int) -> np.ndarray:
-    """Bit masks that split the fingerprint into ``count`` runs of nearly equal length."""
-    edges = [BITS * k // count for k in range(count + 1)]
-    runs = [((1 << b) - 1) ^ ((1 << a) - 1) for a, b in zip(edges, edges[1:], strict=False)]
-    return np.array(runs, np.uint64)
+def _blocks(free: int, count: int) -> np.ndarray:
+    """Bit masks that split the set bits of ``free`` into ``count`` runs of nearly equal length."""
+    bits = [1 << k for k in range(BITS) if free >> k & 1]
+    edges = [len(bits) * k // count for k in range(count + 1)]
+    return np.array([sum(bits[a:b]) for a, b in zip(edges, edges[1:], strict=False)], np.uint64)
 
 
-def pivot_rows(fp: np.ndarray, max_bits: int, pivots: int) -> tuple[np.ndarray, np.ndarray]:
-    """(distances, keys) of fingerprints: total distance per pivot, one key per three blocks.
+def pivot_rows(
+    fp: np.ndarray, max_bits: int, pivots: int, free: int = (1 << BITS) - 1
+) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(distances, keys, left) of fingerprints: total distance per pivot, one key per three blocks.
 
-    A key is a weighted sum of the block distances; different distances that share a key only
-    make candidates that verification discards.
+    The blocks split the bits of ``free``; ``left`` has its bits outside a key's blocks.  A key is
+    a weighted sum of the block distances; different distances that share a key only make
+    candidates that verification discards.
     """
-    refs, masks = np.array(references(pivots), np.uint64), _blocks(max_bits + 3)
-    far = (fp[:, None] ^ refs)[:, :, None] & masks
-    local = np.bitwise_count(far)  # fingerprint, pivot, block
+    refs, masks = np.array(references(pivots), np.uint64), _blocks(free, max_bits + 3)
+    apart = fp[:, None] ^ refs
+    local = np.bitwise_count(apart[:, :, None] & masks)  # fingerprint, pivot, block
     weights = np.array(references(pivots * 3 + 1)[1:], np.uint64) | np.uint64(1)
-    keys = []
+    keys, left = [], []
     for number, chosen in enumerate(combinations(range(len(masks)), 3)):
         wide = local[:, :, chosen].reshape(len(fp), -1).astype(np.uint64)
         keys.append((wide * weights).sum(axis=1, dtype=np.uint64) * np.uint64(2 * number + 1) + np.uint64(number))
-    return local.sum(axis=2, dtype=np.uint8), np.stack(keys, axis=1)
+        left.append(free & ~sum(masks[list(chosen)].tolist()))
+    return np.bitwise_count(apart), np.stack(keys, axis=1), np.array(left, np.uint64)
 
 
-def pivot_table(prints: DataFrame, max_bits: int, pivots: int = 16) -> DataFrame:
-    """(key, nearest, fp, distances): a row per key; ``nearest`` is the first total distance."""
+def _keyed(rows: DataFrame, max_bits: int, pivots: int) -> DataFrame:
+    """(key, free, nearest, fp, distances) of (key, free, fp): each key's rows under finer keys."""
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            fp = b.column("fp").to_numpy().view(np.uint64)
-            table, keys = pivot_rows(fp, max_bits, pivots)
-            times = keys.shape[1]
-            packed = pa.array([row.tobytes() for row in table], pa.binary())
-            spread = pa.array(np.repeat(np.arange(len(fp)), times))
-            yield pa.RecordBatch.from_arrays(
-                [
-                    pa.array(keys.ravel().view(np.int64)),
-                    pa.array(np.repeat(table[:, 0].view(np.int8), times)),
-                    pa.array(np.repeat(fp.view(np.int64), times)),
-                    packed.take(spread),
-                ],
-                ["key", "nearest", "fp", "distances"],
-            )
-
-    return prints.mapInArrow(scan, "key long, nearest byte, fp long, distances binary")
+            above, free, fp = (b.column(x).to_numpy().view(np.uint64) for x in ("key", "free", "fp"))
+            for mask in np.unique(free):
+                here = free == mask
+                table, keys, left = pivot_rows(fp[here], max_bits, pivots, int(mask))
+                times = keys.shape[1]
+                keys = keys + above[here, None] * np.uint64(0x9E3779B97F4A7C15)
+                packed = pa.array([row.tobytes() for row in table], pa.binary())
+                yield pa.RecordBatch.from_arrays(
+                    [
+                        pa.array(keys.ravel().view(np.int64)),
+                        pa.array(np.tile(left, len(table)).view(np.int64)),
+                        pa.array(np.repeat(table[:, 0].view(np.int8), times)),
+                        pa.array(np.repeat(fp[here].view(np.int64), times)),
+                        packed.take(pa.array(np.repeat(np.arange(len(table)), times))),
+                    ],
+                    ["key", "free", "nearest", "fp", "distances"],
+                )
+
+    schema = "key long, free long, nearest byte, fp long, distances binary"
+    return rows.select("key", "free", "fp").mapInArrow(scan, schema)
+
+
+def pivot_table(prints: DataFrame, max_bits: int, pivots: int = 16, rows_per_key: int = 1 << 11) -> DataFrame:
+    """(key, free, nearest, fp, distances): a row per key; ``nearest`` is the first total distance.
+
+    A key of more than ``rows_per_key`` distinct fingerprints is split: its rows differ in the bits
+    of ``free`` only, and these are cut into blocks and keyed in the same way, as often as needed.
+    """
+    table = _keyed(prints.select(F.lit(0).cast("long").alias("key"), F.lit(-1).cast("long").alias("free"), "fp"), max_bits, pivots)
+    while True:
+        sizes = table.filter("free <> 0").groupBy("key").count()
+        hot = stored(sizes.filter(F.col("count") > rows_per_key).select("key"), "hot-keys")
+        if hot.isEmpty():
+            return table
+        heavy = cut_lineage(table.join(hot, "key", "left_semi"))
+        table = table.join(hot, "key", "left_anti").unionByName(_keyed(heavy, max_bits, pivots))
 
 
 def _merge(label: np.ndarray, a: np.ndarray, b: np.ndarray) -> np.ndarray:
@@ -170,7 +201,7 @@ def joining_links(key, fp, table, max_bits: int) -> tuple[np.ndarray, np.ndarray
     return np.concatenate(found_a), np.concatenate(found_b)
 
 
-def linked(prints: DataFrame, max_bits: int, pivots: int = 16) -> DataFrame:
+def linked(prints: DataFrame, max_bits: int, pivots: int = 16, rows_per_key: int = 1 << 11) -> DataFrame:
     """(u, v) links between distinct fingerprints that connect all within ``max_bits`` bits."""
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -198,7 +229,8 @@ def linked(prints: DataFrame, max_bits: int, pivots: int = 16) -> DataFrame:
             yield made(*held)
 
     return (
-        pivot_table(prints, max_bits, pivots)
+        pivot_table(prints, max_bits, pivots, rows_per_key)
+        .select("key", "nearest", "fp", "distances")
         .repartition("key")
         .sortWithinPartitions("key", "nearest")
         .mapInArrow(scan, "u long, v long")
