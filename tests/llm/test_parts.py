@@ -453,3 +453,11 @@ def test_salted_shards_give_the_same_lines(spark, tables):
         linededup.dropped_lines(docs, keys_per_shard=k, probes_per_group=p) for k, p in ((1 << 16, 1 << 18), (2, 3))
     )
     assert sorted(map(repr, plain.collect())) == sorted(map(repr, cut.collect()))
+
+
+def test_lines_of_equal_hash_are_told_apart(spark, tables, monkeypatch):
+    docs = spark.read.parquet(f"{tables}/documents.parquet")
+    before = sorted(map(repr, linededup.dropped_lines(docs).collect()))
+    plain = linededup.line_hashes
+    monkeypatch.setattr(linededup, "line_hashes", lambda *how: plain(*how).withColumn("h", F.pmod("h", F.lit(3))))
+    assert before and sorted(map(repr, linededup.dropped_lines(docs, keys_per_shard=4).collect())) == before

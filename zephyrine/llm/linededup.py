@@ -12,6 +12,8 @@
 
 A key counts once per document id.  The document with the largest id keeps all its copies of the
 line; null ids count as one document that never keeps.  Null and empty texts are one empty line.
+Rows equal in id and text lose the same lines.  A very long text is split into its lines whole and its
+rows are dealt by line.  An empty table has no index and gives no rows.
 """
 
 from __future__ import annotations
@@ -26,7 +28,11 @@ from zephyrine.session import cut_lineage
 
 #: Places per key in a level; more settles keys sooner and costs bits.
 GAMMA = 2
-INDEX = "shard long, level_bits array<int>, bits binary, checks binary, counts binary, keepers binary"
+INDEX = (
+    "shard long, level_bits array<int>, bits binary, checks binary, counts binary, keepers binary,"
+    " spilled array<struct<h:long,check:long,n_docs:int,keeper:long>>"
+)
+_ARRAYS = ("level_bits", "bits", "checks", "counts", "keepers", "spilled")
 
 
 def _place(h: np.ndarray, level: int, size: int) -> np.ndarray:
@@ -64,7 +70,12 @@ def slots(h: np.ndarray, levels: list[np.ndarray]) -> np.ndarray:
 
 
 def _build(table: pa.Table) -> pa.Table:
-    h = table.column("h").to_numpy().view(np.uint64)
+    # Of keys with one h the first takes the slot: the one in most documents.
+    table = table.sort_by([("h", "ascending"), ("n_docs", "descending"), ("check", "ascending")])
+    h = table.column("h").to_numpy()
+    first = np.concatenate(([True], h[1:] != h[:-1]))
+    settled, spilled = table.filter(pa.array(first)), table.filter(pa.array(~first))
+    h = h[first].view(np.uint64)
     levels = build_levels(h)
     order = np.argsort(slots(h, levels))
     packed = [np.packbits(x) for x in levels]
@@ -72,11 +83,13 @@ def _build(table: pa.Table) -> pa.Table:
         "shard": [table.column("shard")[0].as_py()],
         "level_bits": [[len(x) for x in levels]],
         "bits": [np.concatenate(packed).tobytes()],
-        "checks": [table.column("check").to_numpy()[order].tobytes()],
-        "counts": [table.column("n_docs").to_numpy()[order].tobytes()],
-        "keepers": [table.column("keeper").to_numpy()[order].tobytes()],
+        "checks": [settled.column("check").to_numpy()[order].tobytes()],
+        "counts": [settled.column("n_docs").to_numpy()[order].tobytes()],
+        "keepers": [settled.column("keeper").to_numpy()[order].tobytes()],
+        "spilled": [spilled.select(["h", "check", "n_docs", "keeper"]).to_pylist()],
     }
-    kinds = [pa.int64(), pa.list_(pa.int32()), *[pa.binary()] * 4]
+    fields = [("h", pa.int64()), ("check", pa.int64()), ("n_docs", pa.int32()), ("keeper", pa.int64())]
+    kinds = [pa.int64(), pa.list_(pa.int32()), *[pa.binary()] * 4, pa.list_(pa.struct(fields))]
     return pa.table({k: pa.array(v, t) for (k, v), t in zip(row.items(), kinds, strict=True)})
 
 
@@ -95,18 +108,21 @@ def _probe(probes: pa.Table, index: pa.Table, min_docs: int) -> pa.Table:
     names = ["key_id", "key_hash", "line_no"]
     if not probes.num_rows or not index.num_rows:
         return probes.select(names).slice(0, 0)
-    levels, checks, counts, keepers = _load(
-        index.select(["level_bits", "bits", "checks", "counts", "keepers"]).to_pylist()[0]
-    )
-    slot = slots(probes.column("h").to_numpy().view(np.uint64), levels)
+    row = index.select(list(_ARRAYS)).to_pylist()[0]
+    levels, checks, counts, keepers = _load(row)
+    h, check = probes.column("h").to_numpy(), probes.column("check").to_numpy()
+    slot = slots(h.view(np.uint64), levels)
     known = slot >= 0
-    known[known] = checks[slot[known]] == probes.column("check").to_numpy()[known]
-    known[known] = counts[slot[known]] >= min_docs
+    known[known] = checks[slot[known]] == check[known]
+    found, keeper = np.zeros(len(h), np.int64), np.zeros(len(h), np.int64)
+    found[known], keeper[known] = counts[slot[known]], keepers[slot[known]]
+    if row["spilled"]:
+        beside = {(x["h"], x["check"]): (x["n_docs"], x["keeper"]) for x in row["spilled"]}
+        for k in np.flatnonzero(~known & np.isin(h, [x["h"] for x in row["spilled"]])):
+            found[k], keeper[k] = beside.get((int(h[k]), int(check[k])), (0, 0))
     own = probes.column("key_id")
-    lose = known.copy()
-    lose[known] = keepers[slot[known]] != own.fill_null(0).to_numpy()[known]
-    lose |= known & own.is_null().to_numpy()
-    return probes.select(names).filter(pa.array(lose))
+    lose = (keeper != own.fill_null(0).to_numpy()) | own.is_null().to_numpy()
+    return probes.select(names).filter(pa.array(lose & (found >= min_docs)))
 
 
 def line_hashes(docs: DataFrame, id: str, text: str, min_chars: int) -> DataFrame:
@@ -142,12 +158,11 @@ def key_counts(lines: DataFrame) -> DataFrame:
 def build_index(keys: DataFrame, shards: int) -> DataFrame:
     """One row per shard: the cascade and its arrays.
 
-    Keys that share ``h`` but not ``check`` cannot both be slots; a collision of 64 bits is
-    settled by keeping the one found in more documents in the arrays.
+    Keys that share ``h`` but not ``check`` cannot both be slots.  The one in more documents takes
+    the slot, the others go to the list ``spilled``; two keys that agree in both, 128 bits, count as one.
     """
-    alone = keys.groupBy("h").agg(F.max(F.struct("n_docs", "check", "keeper")).alias("k"))
     return (
-        alone.select("h", "k.*", F.pmod("h", F.lit(shards)).alias("shard"))
+        keys.withColumn("shard", F.pmod("h", F.lit(shards)))
         .groupBy("shard")
         .applyInArrow(_build, INDEX)
     )
@@ -177,7 +192,7 @@ def dropped_lines(
     )
     copies = index.join(parts, "shard").select(
         "shard", F.explode(F.sequence(F.lit(0).cast("long"), F.col("parts").cast("long") - 1)).alias("part"),
-        "level_bits", "bits", "checks", "counts", "keepers",
+        *_ARRAYS,
     )
 
     def probe(some: pa.Table, arrays: pa.Table) -> pa.Table:
