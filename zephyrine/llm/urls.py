@@ -2,7 +2,7 @@
 
 A rule is a host and the beginning of a path; it fits its host and all subdomains.  The strings of
 the rules and of a list of blocked hosts are digested by XXH64; digests are sorted by Spark and
-written as plain arrays beside the full strings.  ``SparkContext.addFile`` brings the files to every
+written by its tasks, each range as plain arrays beside the full strings; the driver sees one row per range.  ``SparkContext.addFile`` brings the files to every
 executor once, where workers map them into memory.  A URL is probed with each of its host suffixes
 times each length that any rule's path has; hits of the binary search are confirmed on the full
 string, so that colliding digests do no harm.  The longest fitting rule decides, of equally long
@@ -10,7 +10,8 @@ ones that with the longer host; without a rule, a URL on a blocked host is block
 allowed.
 
 Null URLs and those without ``://`` have an empty host and path, which no rule fits.  Rules given
-twice count once, the stricter verdict first.  Repeated pages have equal rows.
+twice count once, the stricter verdict first.  Repeated pages have equal rows, a very long URL is
+read whole.  Without rules and hosts every URL is allowed; without pages there are no rows.
 """
 
 from __future__ import annotations
@@ -28,7 +29,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from zephyrine.llm.text import lower_ascii
-from zephyrine.session import shared_dir
+from zephyrine.session import cut_lineage, scratch_path
 
 ALLOW, BLOCK, LISTED = 0, 1, 2
 _NAMES = ("digests", "kinds", "ends", "strings")
@@ -44,17 +45,20 @@ def host_and_path(url: Column) -> tuple[Column, Column]:
 
 
 class UrlIndex:
-    """The rules' arrays as files; ``parts`` names one set of files per sorted run of digests."""
+    """The rules' arrays as files; ``parts`` names one set of files per sorted range of digests.
 
-    def __init__(self, parts: list[str], lengths: list[int]):
-        self.parts, self.lengths = parts, lengths
+    ``firsts`` are the ranges' smallest digests, ascending; equal digests share a range.
+    """
+
+    def __init__(self, parts: list[str], firsts: list[int], lengths: list[int]):
+        self.parts, self.firsts, self.lengths = parts, np.array(firsts, np.uint64), lengths
 
 
 def build_index(rules: DataFrame, blocked_hosts: DataFrame, rows_per_part: int = 1 << 20) -> UrlIndex:
     """Index of rules (host, path, verdict) and hosts (host).
 
-    Spark digests, deduplicates and sorts the rules; the driver streams one sorted run at a time
-    into files of the shared folder.
+    Spark digests, deduplicates and sorts the rules; every task writes its range of about
+    ``rows_per_part`` digests into the shared folder.
     """
     spark = rules.sparkSession
     kind = F.when(F.col("verdict") == "block", BLOCK).otherwise(ALLOW)
@@ -62,7 +66,7 @@ def build_index(rules: DataFrame, blocked_hosts: DataFrame, rows_per_part: int =
     named = rules.select(
         F.concat("host", "path").alias("name"), kind.alias("kind"), F.length("path").alias("size")
     ).unionByName(listed)
-    named = (
+    named = cut_lineage(
         named.filter("name is not null")
         .groupBy("name", F.expr(f"kind = {LISTED}").alias("listed"))
         .agg(F.max("kind").alias("kind"), F.max("size").alias("size"))
@@ -70,37 +74,40 @@ def build_index(rules: DataFrame, blocked_hosts: DataFrame, rows_per_part: int =
     )
     lengths = [r[0] for r in named.select("size").distinct().collect()]
     order = F.col("digest").bitwiseXOR(F.lit(-(1 << 63)))  # unsigned order
-    total = named.count()
-    sorted_rows = named.repartitionByRange(max(1, -(-total // rows_per_part)), order).sortWithinPartitions(order, "name", "kind")
-    folder = f"{shared_dir(spark)}/zephyrine/urls-{uuid.uuid4().hex}"
-    store, root = fs.FileSystem.from_uri(folder)
-    store.create_dir(root, recursive=True)
-    parts: list[str] = []
-    held: list = []
-    for row in sorted_rows.select("digest", "kind", "name").toLocalIterator():
-        held.append(row)
-        if len(held) == rows_per_part:
-            parts.append(_write_part(spark, store, root, folder, len(parts), held))
-            held = []
-    if held:
-        parts.append(_write_part(spark, store, root, folder, len(parts), held))
-    return UrlIndex(parts, sorted(lengths))
-
-
-def _write_part(spark, store, root: str, folder: str, number: int, rows: list) -> str:
-    strings = [r["name"].encode() for r in rows]
+    sorted_rows = named.repartitionByRange(max(1, -(-named.count() // rows_per_part)), order).sortWithinPartitions(order, "name", "kind")
+    folder = scratch_path(spark, "urls")
+
+    def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        rows = pa.Table.from_batches(batches) if (batches := [b for b in batches if b.num_rows]) else None
+        if rows is not None:
+            part, first = _write_part(folder, rows)
+            yield pa.RecordBatch.from_pydict({"part": [part], "first": pa.array([first], pa.int64())})
+
+    written = sorted_rows.select("digest", "kind", "name").mapInArrow(write, "part string, first long").collect()
+    ranges = sorted((r["first"] % (1 << 64), r["part"]) for r in written)
+    for _, part in ranges:
+        for name in _NAMES:
+            spark.sparkContext.addFile(f"{folder}/{part}-{name}.npy")
+    return UrlIndex([part for _, part in ranges], [first for first, _ in ranges], sorted(lengths))
+
+
+def _write_part(folder: str, rows: pa.Table) -> tuple[str, int]:
+    """Write one range; its name is new, so that a repeated attempt never meets its files."""
+    strings = [s.encode() for s in rows.column("name").to_pylist()]
+    digests = rows.column("digest").to_numpy()
     arrays = (
-        np.array([r["digest"] for r in rows], np.int64).view(np.uint64),
-        np.array([r["kind"] for r in rows], np.uint8),
+        digests.view(np.uint64),
+        rows.column("kind").to_numpy().astype(np.uint8),
         np.cumsum([len(s) for s in strings], dtype=np.int64),
         np.frombuffer(b"".join(strings), np.uint8),
     )
-    part = f"{root.rsplit('/', 1)[-1]}-{number}"
+    store, root = fs.FileSystem.from_uri(folder)
+    store.create_dir(root, recursive=True)
+    part = f"urls-{uuid.uuid4().hex}"
     for name, array in zip(_NAMES, arrays, strict=True):
         with store.open_output_stream(f"{root}/{part}-{name}.npy") as out:
             np.lib.format.write_array(_Writer(out), array)
-        spark.sparkContext.addFile(f"{folder}/{part}-{name}.npy")
-    return part
+    return part, int(digests[0])
 
 
 class _Writer:
@@ -131,6 +138,19 @@ def _found(part: str, digests: np.ndarray, strings: list[bytes]) -> Iterator[tup
                 yield int(probe), int(kinds[at])
 
 
+def _hits(index: UrlIndex, digests: np.ndarray, strings: list[bytes]) -> Iterator[tuple[int, int]]:
+    """(probe, kind) of all probes in the index; a probe is searched in the one range it may be in."""
+    if not len(index.firsts) or not strings:
+        return
+    within = np.searchsorted(index.firsts, digests, "right") - 1
+    order = np.argsort(within, kind="stable")
+    edges = np.searchsorted(within[order], np.arange(len(index.firsts) + 1))
+    for number in np.unique(within[within >= 0]):
+        some = order[edges[number] : edges[number + 1]]
+        for k, kind in _found(index.parts[number], digests[some], [strings[i] for i in some]):
+            yield int(some[k]), kind
+
+
 def _suffixes(host: str) -> list[str]:
     labels = host.split(".")
     return [".".join(labels[k:]) for k in range(len(labels))]
@@ -149,15 +169,14 @@ def _verdicts(index: UrlIndex, hosts: list[str], paths: list[str]) -> tuple[list
     digests = np.array([xxhash.xxh64_intdigest(p, 42) for p in probes], np.uint64)
     best: dict[int, tuple[int, int, str, int]] = {}
     listed = set()
-    for part in index.parts if probes else ():
-        for probe, kind in _found(part, digests, probes):
-            row, width = of[probe]
-            name = probes[probe].decode()
-            if kind == LISTED:
-                if len(name) == width:
-                    listed.add(row)
-            else:
-                best[row] = max(best.get(row, (-1, 0, "", 0)), (len(name), width, name, kind))
+    for probe, kind in _hits(index, digests, probes):
+        row, width = of[probe]
+        name = probes[probe].decode()
+        if kind == LISTED:
+            if len(name) == width:
+                listed.add(row)
+        else:
+            best[row] = max(best.get(row, (-1, 0, "", 0)), (len(name), width, name, kind))
     rules = [best[r][2] if r in best else None for r in range(len(hosts))]
     verdicts = [
         ("block" if best[r][3] == BLOCK else "allow") if r in best else "block" if r in listed else "allow"
