@@ -35,20 +35,16 @@ def phrase_counts(text, phrases):
     return len(w), places, labels
 
 
-def template_labels(text, templates, threshold, block_words):
-    """{label: best containment} over all blocks of all lines."""
+def template_labels(text, templates, threshold, spread):
+    """{label: best containment} over all stretches of ``spread`` template lengths."""
     found = defaultdict(float)
-    step = block_words // 2
-    for line in (text or "").split("\n"):
-        w = words(line)
-        last = max(0, -(-(len(w) - block_words) // step))
-        for n in range(last + 1) if w else ():
-            block = set(w[n * step : n * step + block_words])
-            for label, template in templates:
-                t = set(words(template))
-                share = len(t & block) / len(t) if t else 0
-                if t and len(t & block) >= max(1, threshold * len(t) - 1e-9):
-                    found[label] = max(found[label], share)
+    w = words(text)
+    for label, template in templates:
+        t, span = set(words(template)), spread * len(words(template))
+        for n in range(max(1, len(w) - span + 1)):
+            share = len(t & set(w[n : n + span])) / len(t) if t else 0
+            if t and share >= threshold - 1e-9 and share > 0:
+                found[label] = max(found[label], share)
     return dict(found)
 
 

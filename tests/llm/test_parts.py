@@ -388,6 +388,22 @@ def test_a_wrapped_notice_is_found(spark):
     }
 
 
+def test_long_templates_match_their_copies(spark):
+    long = " ".join(f"w{n}" for n in range(300))
+    far = "other " * 137
+    docs = spark.createDataFrame([(1, long), (2, far + long + far), (3, far + long[:600] + far)], "doc_id long, text string")
+    templates = [("long", long), ("short", "All rights reserved.")]
+    best = licenses.matching_blocks(docs, templates=templates).groupBy("key_id", "label").max("containment")
+    assert sorted(map(tuple, best.collect())) == [(1, "long", 1.0), (2, "long", 1.0)]
+
+
+def test_words_said_far_apart_are_no_notice(spark):
+    seats = "All passengers who board early have certain rights, and seats by the window stay reserved for them."
+    docs = spark.createDataFrame([(1, seats), (2, "(c) Ex. All\nrights reserved."), (3, None)], "doc_id long, text string")
+    found = {r.key_id: (r.labels, r.score) for r in licenses.scan_licenses(docs).collect()}
+    assert found == {1: ([], 0.0), 2: (["all-rights-reserved"], 1.0), 3: ([], 0.0)}
+
+
 def test_only_lines_of_boilerplate_fail(spark):
     stay = [
         "The boat was powered by a diesel engine.",

@@ -1,8 +1,11 @@
 """License scans as an exact set-similarity join of text blocks with license templates.
 
+A template matches a text where ``SPREAD`` times its length of consecutive words hold a share of at
+least ``threshold`` of its distinct words, so a few words said far apart are no notice.
+
 1. A text's words are cut into overlapping blocks, across its lines, so a wrapped notice lies in one;
    a block and a template are sets of words.  Only template words can match, so a block is reduced
-   to those it has.
+   to those it has.  Blocks are long enough for every such stretch to lie whole in one.
 2. Template words are ordered by how many blocks of the whole corpus hold them, rarest first.
 3. A block holds a share of at least ``threshold`` of a template only if it has ``needed`` =
    ceil(threshold * size) of its words.  Then the first ``size - needed + 1`` words of the
@@ -10,11 +13,13 @@
    ``needed`` template words (length filter), and behind the shared word both sides have enough
    words left (positional filter).
 4. Blocks are joined with the templates by prefix word under these conditions, and survivors
-   verified by their exact overlap.
+   verified by their exact overlap, then by the best overlap of a stretch.
 
 The template side is a parameter: its rows are the templates' words, so the broadcast is bounded by
 the caller's list, and nothing else is broadcast or collected but one count per template word.
 Texts without words, null texts and empty tables match nothing; repeated rows have equal results.
+Template words found in equally many blocks are ordered by spelling; of several matches a label counts
+once and the best share is the score.  A very long text is cut into blocks whole.
 """
 
 from __future__ import annotations
@@ -56,10 +61,29 @@ TEMPLATES = (
 )
 
 
-def template_words(text: str) -> list[str]:
-    """Distinct words of a template, by the words of the documents."""
+#: Words a template's words may be spread over, in lengths of the template.
+SPREAD = 2
+
+
+def all_words(text: str) -> list[str]:
+    """Words of a template, as documents have them."""
     folded = "".join(c.lower() if c.isascii() else c for c in text)
-    return list(dict.fromkeys(w for w in re.split(NON_WORD, folded) if w))
+    return [w for w in re.split(NON_WORD, folded) if w]
+
+
+def template_words(text: str) -> list[str]:
+    """Distinct words of a template."""
+    return list(dict.fromkeys(all_words(text)))
+
+
+def stretch(text: str) -> int:
+    """Consecutive words within which a template's words count."""
+    return SPREAD * len(all_words(text))
+
+
+def block_length(templates: Sequence[tuple[str, str]]) -> int:
+    """Half overlapping blocks of this length hold every stretch of each template whole."""
+    return 2 * max((stretch(t) for _, t in templates), default=1)
 
 
 def needed_words(size: int, threshold: float) -> int:
@@ -95,18 +119,13 @@ def matching_blocks(
     text: str = "text",
     templates: Sequence[tuple[str, str]] = TEMPLATES,
     threshold: float = 0.9,
-    block_words: int = 64,
 ) -> DataFrame:
-    """(key_id, key_hash, first, template, label, containment) of every matching block.
-
-    ``block_words`` must be at least twice the longest template's length for a notice to lie whole
-    in one block.
-    """
+    """(key_id, key_hash, first, template, label, containment) of every matching block."""
     spark = docs.sparkSession
-    sets = [(label, template_words(t)) for label, t in templates]
-    sets = [(label, words) for label, words in sets if words]
-    vocabulary = sorted({w for _, words in sets for w in words})
-    cut = blocks(docs, id, text, block_words)
+    sets = [(label, template_words(t), stretch(t)) for label, t in templates]
+    sets = [s for s in sets if s[1]]
+    vocabulary = sorted({w for _, words, _ in sets for w in words})
+    cut = blocks(docs, id, text, max(2, block_length(templates)))
     counts = {
         r["word"]: r["n"]
         for r in cut.select(F.explode(F.array_intersect(_words(vocabulary), "words")).alias("word"))
@@ -117,17 +136,19 @@ def matching_blocks(
     order = sorted(vocabulary, key=lambda w: (counts.get(w, 0), w))
     rank = {w: n for n, w in enumerate(order)}
     rows = []
-    for number, (label, words) in enumerate(sets):
+    for number, (label, words, span) in enumerate(sets):
         ordered = sorted(words, key=rank.get)
         needed = needed_words(len(ordered), threshold)
         for at, word in enumerate(ordered[: len(ordered) - needed + 1]):
-            rows.append((word, at, number, label, ordered, needed))
-    schema = "word string, at int, template int, label string, template_words array<string>, needed int"
+            rows.append((word, at, number, label, ordered, needed, span))
+    schema = "word string, at int, template int, label string, template_words array<string>, needed int, span int"
     index = F.broadcast(spark.createDataFrame(rows, schema))
     least = min((r[5] for r in rows), default=1)
     # The intersection keeps the order of its first argument: rarest words first.
-    reduced = cut.withColumn("words", F.array_intersect(_words(order), "words")).withColumn(
-        "size", F.size("words")
+    reduced = (
+        cut.withColumnRenamed("words", "text_words")
+        .withColumn("words", F.array_intersect(_words(order), "text_words"))
+        .withColumn("size", F.size("words"))
     )
     probes = reduced.filter(F.col("size") >= least).select(
         "*", F.posexplode(F.slice("words", 1, F.col("size") - least + 1)).alias("pos", "word")
@@ -135,6 +156,14 @@ def matching_blocks(
     wide = F.size("template_words")
     left = 1 + F.least(wide - F.col("at"), F.col("size") - F.col("pos")) - 1
     overlap = F.size(F.array_intersect("template_words", "words"))
+    # The best stretch, only for the few blocks that hold enough of the words at all.
+    starts = F.sequence(F.lit(1), F.greatest(F.size("text_words") - F.col("span") + 1, F.lit(1)))
+    within = F.array_max(
+        F.transform(
+            starts,
+            lambda n: F.size(F.array_intersect("template_words", F.slice("text_words", n, F.col("span")))),
+        )
+    )
     return (
         probes.join(index, "word")
         .filter(
@@ -144,9 +173,11 @@ def matching_blocks(
         )
         .withColumn("overlap", overlap)
         .filter("overlap >= needed")
+        .withColumn("within", within)
+        .filter("within >= needed")
         .select(
             "key_id", "key_hash", "first", "template", "label",
-            (F.col("overlap") / wide).alias("containment"),
+            (F.col("within") / wide).alias("containment"),
         )
         .distinct()
     )

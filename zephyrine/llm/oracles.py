@@ -35,11 +35,13 @@ def _rows(rows) -> str:
 _PHRASES = _rows([(p.split(" "), label) for p, label in licenses.PHRASES])
 _TEMPLATES = _rows(
     [
-        (n, label, words := licenses.template_words(t), licenses.needed_words(len(words), 0.9))
+        (n, label, words := licenses.template_words(t), licenses.needed_words(len(words), 0.9), licenses.stretch(t))
         for n, (label, t) in enumerate(licenses.TEMPLATES)
     ]
 )
 
+_HALF = licenses.block_length(licenses.TEMPLATES) // 2
+
 LICENSES = f"""
 with docs as (select row_number() over () as k, doc_id, text, {_words("text")} as w from documents),
 places as (
@@ -50,15 +52,21 @@ base as (
   select k, count(*) as n_base, min(spot) as first_word, max(spot) as last_word, list_distinct(list(label)) as l
   from places group by k
 ),
-lines as (select k, {_words("line")} as w from (select k, unnest(string_split(coalesce(text, ''), chr(10))) as line from docs)),
 blocks as (
-  select k, list_distinct(w[n * 32 + 1:n * 32 + 64]) as b
-  from (select k, w, unnest(range(0, greatest(ceil((len(w) - 64) / 32.0), 0)::bigint + 1)) as n from lines where len(w) > 0)
+  select k, w[n * {_HALF} + 1:n * {_HALF} + 2 * {_HALF}] as b
+  from (select k, w, unnest(range(0, greatest(ceil((len(w) - 2 * {_HALF}) / {_HALF}::double), 0)::bigint + 1)) as n from docs where len(w) > 0)
+),
+held as (
+  select k, label, t, needed, span, b from blocks cross join {_TEMPLATES} as templates(number, label, t, needed, span)
+  where len(list_intersect(list_distinct(b), t)) >= needed
+),
+stretches as (
+  select k, label, t, needed, b[n:n + span - 1] as stretch
+  from (select *, unnest(range(1, greatest(len(b) - span + 1, 1) + 1)) as n from held)
 ),
 hits as (
-  select k, label, len(list_intersect(b, t)) / len(t) as share
-  from blocks cross join {_TEMPLATES} as templates(number, label, t, needed)
-  where len(list_intersect(b, t)) >= needed
+  select k, label, len(list_intersect(list_distinct(stretch), t)) / len(t) as share
+  from stretches where len(list_intersect(list_distinct(stretch), t)) >= needed
 ),
 best as (select k, list_distinct(list(label)) as l, max(share) as share from hits group by k)
 select doc_id, len(w)::bigint as n_words, coalesce(n_base, 0)::bigint as n_base, first_word, last_word,
