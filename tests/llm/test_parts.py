@@ -391,7 +391,7 @@ def test_a_wrapped_notice_is_found(spark):
 def test_long_templates_match_their_copies(spark):
     long = " ".join(f"w{n}" for n in range(300))
     far = "other " * 137
-    docs = spark.createDataFrame([(1, long), (2, far + long + far), (3, far + long[:600] + far)], "doc_id long, text string")
+    docs = spark.createDataFrame([(1, long), (2, far + long + " " + far), (3, far + long[:600] + " " + far)], "doc_id long, text string")
     templates = [("long", long), ("short", "All rights reserved.")]
     best = licenses.matching_blocks(docs, templates=templates).groupBy("key_id", "label").max("containment")
     assert sorted(map(tuple, best.collect())) == [(1, "long", 1.0), (2, "long", 1.0)]
