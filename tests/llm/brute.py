@@ -178,6 +178,28 @@ def components(docs, max_bits=2):
     return [(id_, prints[i], least[root(i)]) for i, (id_, _) in enumerate(docs)]
 
 
+def phrase_words(line, boilerplate):
+    w = words(line)
+    found = 0
+    for phrase in boilerplate:
+        parts = phrase.split(" ")
+        found += len(parts) * sum(w[i : i + len(parts)] == parts for i in range(len(w)))
+    return found
+
+
+def repeated_within(w, reach, width=3):
+    """Words in windows of ``width`` words that occur again within ``reach`` words."""
+    places = defaultdict(list)
+    for i in range(len(w) - width + 1):
+        places[tuple(w[i : i + width])].append(i)
+    hit = set()
+    for spots in places.values():
+        for a, b in zip(spots, spots[1:], strict=False):
+            if b - a <= reach:
+                hit.update(range(a, a + width), range(b, b + width))
+    return len(hit)
+
+
 def line_fails(line, rules, boilerplate):
     w = blank_words(line)
     n = len(w)
@@ -185,12 +207,15 @@ def line_fails(line, rules, boilerplate):
         return False
     noisy = sum(1 for x in w if re.search(r"[#*$%&<>]{2}|!!", x))
     pieces = len(re.findall(r"[|»›>](?:[ \t]|\Z)", line)) + 1
+    figures = sum(1 for x in w if re.search("[0-9]", x))
     furniture = any(p in line.translate(UPPER) for p in boilerplate)
+    furniture = furniture and phrase_words(line, boilerplate) >= rules.boilerplate_share * len(words(line))
+    repeats = n >= rules.repeat_words and len(set(w)) < n * rules.distinct_share
     return (
         noisy >= max(n * rules.noisy_words, 2)
-        or (pieces >= rules.bar_pieces and n / pieces <= rules.piece_words)
+        or (pieces >= rules.bar_pieces and n / pieces <= rules.piece_words and figures < n * rules.figure_words)
         or (n <= rules.boilerplate_words and furniture)
-        or (n >= rules.repeat_words and len(set(w)) < n * rules.distinct_share)
+        or (repeats and repeated_within(w, rules.repeat_reach) > n * rules.repeated_share)
     )
 
 

@@ -4,6 +4,7 @@ import hashlib
 from itertools import pairwise
 
 import brute
+import duckdb
 import pytest
 from small_tables import benchmark, documents, pages
 
@@ -109,6 +110,42 @@ def test_empty_tables_give_no_rows(spark, tables, empty_tables, name):
     assert found.collect() == []
 
 
+AWKWARD = [
+    'Permission is hereby granted, free of charge, to any person obtaining a copy\nof this software and associated '
+    'documentation files (the "Software")',
+    "All passengers who board early have certain rights, and seats by the window stay reserved for them.",
+    "\n".join(["She liked to read more books.", "Read more", "Read more, read more", "(c) Ex. All rights reserved."]),
+    " ".join(["on", "and", "on"] * 30) + "\n" + " ".join(f"v{n}" for n in range(80)),
+    " ".join(f"v{n % 90}" for n in range(2000)) + "\n" + " ".join(f"u{n * n % 1009}" for n in range(5000)),
+    "\n".join(["Name | Mass | Radius | Days", *(f"Planet {n} | {n}.5 | {n * 7} | 36{n}" for n in range(12))])
+    + "\n" + " ".join(f"p{n}" for n in range(70)),
+    "\n".join(["Home | News | Sport | More"] * 3) + "\n" + " ".join(f"q{n}" for n in range(70)),
+]
+
+
+@pytest.mark.parametrize("name", ["op1_license_scan", "op2_line_dedup", "op4_decontamination", "op5_line_rules", "op6_url_filter"])
+def test_sql_twin_on_awkward_rows(spark, tables, tmp_path, name):
+    from workload.check import compare
+
+    for table in ("pages", "benchmark", "documents"):
+        rows = spark.read.parquet(f"{tables}/{table}.parquet")
+        if table == "documents":
+            more = spark.createDataFrame(list(enumerate(AWKWARD, 9000)), "doc_id long, text string")
+            rows = rows.unionByName(more, allowMissingColumns=True)
+        rows.coalesce(1).write.parquet(str(tmp_path / f"{table}.parquet"))
+    con = duckdb.connect()
+    for table in ("pages", "benchmark", "documents"):
+        con.execute(f"create view {table} as select * from read_parquet('{tmp_path}/{table}.parquet/*.parquet')")
+    verdict = compare(QUERIES[name](spark, str(tmp_path)), con, ORACLES[name])
+    assert verdict.startswith("exact"), verdict
+
+
+def test_tables_of_figures_stay(spark):
+    docs = spark.createDataFrame(list(enumerate(AWKWARD)), "doc_id long, text string")
+    found = {r.key_id: (r.n_failed_lines, r.kept) for r in linerules.judge_quality(docs).collect()}
+    assert found[5] == (1, True) and found[6] == (3, True)
+
+
 @pytest.mark.parametrize("name", sorted(ORACLES))
 def test_query_equals_its_sql_twin(spark, name):
     from workload.check import compare, connect

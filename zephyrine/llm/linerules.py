@@ -4,7 +4,8 @@ Each line with a word is judged by itself; lines that fail are removed, and a do
 too much of its text, or that breaks a rule on the whole text, is rejected.
 
 * punctuation: too many of the line's words carry a symbol or repeated exclamation marks;
-* navigation: most of the line's pieces between bars or arrows are a few words long;
+* navigation: the line's pieces between bars or arrows are a few words long, and few of its words hold
+  a digit, so that rows of figures in a table stay;
 * boilerplate: whole phrases that pages repeat (policies, sharing, subscriptions) make up most of
   the line's words;
 * repetition: a run of words repeats itself through the line.  Few distinct words alone are no fault,
@@ -12,7 +13,7 @@ too much of its text, or that breaks a rule on the whole text, is rejected.
   occur again within ``repeat_reach`` words, which is as likely in a long line as in a short one.
 
 Null and empty texts have no words and are rejected for length.  Repeated rows and other columns
-do not matter.
+do not matter; a very long text is judged whole, and an empty table gives no rows.
 """
 
 from __future__ import annotations
@@ -34,6 +35,8 @@ SYMBOLS = b"#*$%&|<>"
 NOISY = r"[#*$%&<>]{2}|!!"
 #: A bar or arrow that ends a piece of a navigation line.
 PIECE_END = r"[|»›>](?:[\x20\x09]|\z)"
+#: What makes a word a figure.
+FIGURE = r"[0-9]"
 #: Phrases of page furniture, matched in lower-cased lines of at most ``boilerplate_words`` words.
 BOILERPLATE = (
     "all rights reserved",
@@ -59,6 +62,7 @@ class Rules:
     noisy_words: float = 0.5
     bar_pieces: int = 4
     piece_words: float = 4.0
+    figure_words: float = 0.25
     boilerplate_words: int = 30
     boilerplate_share: float = 0.5
     repeat_words: int = 12
@@ -84,6 +88,10 @@ def _failing(text: Column, words: Column, repeats: Column, rules: Rules) -> Colu
     n = F.size(words)
     noisy = F.size(F.filter(words, lambda w: w.rlike(NOISY)))
     pieces = F.regexp_count(text, F.lit(PIECE_END)) + 1
+    figures = F.size(F.filter(words, lambda w: w.rlike(FIGURE)))
+    navigation = (
+        (pieces >= rules.bar_pieces) & (n / pieces <= rules.piece_words) & (figures < n * rules.figure_words)
+    )
     furniture = let(
         lower_ascii(text),
         lambda folded: reduce(or_, (folded.contains(p) for p in BOILERPLATE))
@@ -91,7 +99,7 @@ def _failing(text: Column, words: Column, repeats: Column, rules: Rules) -> Colu
     )
     return (n > 0) & (
         (noisy >= F.greatest(n * rules.noisy_words, F.lit(2)))
-        | ((pieces >= rules.bar_pieces) & (n / pieces <= rules.piece_words))
+        | navigation
         | ((n <= rules.boilerplate_words) & furniture)
         | repeats
     )

@@ -130,6 +130,16 @@ from docs left join covered using (k) left join found using (k) left join aligne
 """
 
 _R = linerules.Rules()
+
+
+def _phrase_words(phrase: str) -> str:
+    """Words of a line that belong to the phrase; four blanks between words, two around a phrase."""
+    line = f"('  ' || array_to_string({_words('line')}, '    ') || '  ')"
+    whole = f"  {phrase.replace(' ', '    ')}  "
+    return f"(length({line}) - length(replace({line}, '{whole}', ''))) // {len(whole)} * {len(phrase.split(' '))}"
+
+
+_FURNITURE = f"({' + '.join(map(_phrase_words, linerules.BOILERPLATE))})"
 LINE_RULES = f"""
 with docs as (
   select row_number() over () as k, doc_id, coalesce(text, '') as text,
@@ -145,20 +155,37 @@ covered as (
   from (select k, unnest(range(spot, spot + 3)) as pos from windows join again using (k, win)) group by k
 ),
 lines as (
-  select k, line, len(w) as n, len(list_distinct(w)) as kinds,
+  select k, spot, line, w, len(w) as n, len(list_distinct(w)) as kinds,
     len(list_filter(w, lambda x: regexp_matches(x, '{linerules.NOISY}'))) as noisy,
+    len(list_filter(w, lambda x: regexp_matches(x, '{linerules.FIGURE}'))) as figures,
     len(regexp_extract_all(line, '{linerules.PIECE_END}')) + 1 as pieces,
-    regexp_matches({_lower("line")}, '{"|".join(linerules.BOILERPLATE)}') as furniture
-  from (select k, line, regexp_extract_all(line, '{_BLANK_WORD}') as w
-        from (select k, unnest(string_split(text, chr(10))) as line from docs))
+    regexp_matches({_lower("line")}, '{"|".join(linerules.BOILERPLATE)}')
+      and {_FURNITURE} >= len({_words("line")}) * {_R.boilerplate_share} as furniture
+  from (select k, spot, ls[spot] as line, regexp_extract_all(ls[spot], '{_BLANK_WORD}') as w
+        from (select k, ls, unnest(range(1, len(ls) + 1)) as spot
+              from (select k, string_split(text, chr(10)) as ls from docs)))
+),
+line_windows as (
+  select k, spot, n, place, w[place:place + 2] as win
+  from (select k, spot, n, w, unnest(range(1, n - 1)) as place from lines
+        where n >= {_R.repeat_words} and kinds < n * {_R.distinct_share})
+),
+near as (
+  select k, spot, n, place, least(place - lag(place) over same, lead(place) over same - place) as away
+  from line_windows window same as (partition by k, spot, win order by place)
+),
+repeating as (
+  select k, spot
+  from (select k, spot, n, unnest(range(place, place + 3)) as pos from near where away <= {_R.repeat_reach})
+  group by k, spot, n having count(distinct pos) > n * {_R.repeated_share}
 ),
 judged as (
   select k, line, n, n > 0 and (
       noisy >= greatest(n * {_R.noisy_words}, 2)
-      or (pieces >= {_R.bar_pieces} and n / pieces <= {_R.piece_words})
+      or (pieces >= {_R.bar_pieces} and n / pieces <= {_R.piece_words} and figures < n * {_R.figure_words})
       or (n <= {_R.boilerplate_words} and furniture)
-      or (n >= {_R.repeat_words} and kinds < n * {_R.distinct_share})) as fails
-  from lines
+      or repeating.k is not null) as fails
+  from lines left join repeating using (k, spot)
 ),
 sums as (
   select k, count(*) filter (n > 0) - count(distinct line) filter (n > 0) as n_dup,
