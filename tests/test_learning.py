@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from tests.conftest import rows
 from zephyrine.operators import clustering, features, isolation, metrics, models, scoring, spaces, trees
 from zephyrine.operators.components import connected_components
+from zephyrine.plans import training
 
 RNG = np.random.default_rng(7)
 
@@ -234,6 +235,13 @@ def test_isolation_forest_finds_the_strangers(spark, folder, trees, sample):
     assert refit.threshold == forest.threshold
 
 
+def test_the_gate_brings_no_rows_to_the_driver(spark, monkeypatch):
+    df = spark.range(3000)
+    assert training.train_gate(df, 101) and not training.train_gate(df.limit(100), 101)
+    monkeypatch.setattr(type(df), "collect", lambda self: pytest.fail("rows collected"))
+    assert training.train_gate(df, 3000) and not training.train_gate(df, 3001)
+
+
 def test_request_defaults(spark):
     data = [(1.0, None, None), (2.0, 0.0, 0.0)]
     df = spark.createDataFrame(data, "pm2_5 double, temperature double, humidity double").select(

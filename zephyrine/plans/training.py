@@ -24,9 +24,15 @@ def forecaster_name(target: str) -> str:
     return f"pollution-forecaster-{target}"
 
 
+#: Up to so many rows the gate looks at the first ones it finds; beyond, it counts.
+GATE_ROWS = 1000
+
+
 def train_gate(rows: DataFrame, minimum: int) -> bool:
-    """Enough rows to train on?  Reads no more of them than needed."""
-    return len(rows.select(F.lit(1)).limit(minimum).collect()) >= minimum
+    """Enough rows to train on?  A small minimum reads no more rows than needed, a large one is a distributed count."""
+    if minimum <= GATE_ROWS:
+        return len(rows.select(F.lit(1)).take(minimum)) >= minimum
+    return rows.count() >= minimum
 
 
 def train_best_classifier(matrix: DataFrame, store: ModelStore) -> tuple[str | None, bool]:
