@@ -235,6 +235,25 @@ def test_isolation_forest_finds_the_strangers(spark, folder, trees, sample):
     assert refit.threshold == forest.threshold
 
 
+def test_a_stored_forest_walks_any_number_of_rows(spark):
+    nodes = spark.createDataFrame(
+        [(0, 0, "f0", 0.5, 1, 2, 9), (0, 1, None, 0.0, -1, -1, 5), (0, 2, "f1", 0.5, 3, 4, 4),
+         (0, 3, None, 0.0, -1, -1, 3), (0, 4, None, 0.0, -1, -1, 1), (1, 0, None, 0.0, -1, -1, 9)],
+        isolation.NODES,
+    )
+    df = spark.range(200).selectExpr("id", "id % 2 as f0", "id div 2 % 2 as f1")
+    limit = spark.conf.get("spark.sql.cteRecursionRowLimit")
+    spark.conf.set("spark.sql.cteRecursionRowLimit", "100")
+    try:
+        walked = isolation.path_lengths(df, nodes, ("id",), ("f0", "f1")).groupBy("tree", "depth", "size").count()
+        assert rows(walked) == [(0, 1, 5, 100), (0, 2, 1, 50), (0, 2, 3, 50), (1, 0, 9, 200)]
+    finally:
+        spark.conf.set("spark.sql.cteRecursionRowLimit", limit)
+    round_ = nodes.withColumn("low", F.when(F.col("node") == 2, 0).otherwise(F.col("low")))
+    with pytest.raises(ValueError, match="circle"):
+        isolation.path_lengths(df, round_, ("id",), ("f0", "f1"))
+
+
 def test_the_gate_brings_no_rows_to_the_driver(spark, monkeypatch):
     df = spark.range(3000)
     assert training.train_gate(df, 101) and not training.train_gate(df.limit(100), 101)

@@ -7,7 +7,6 @@ most a few hundred rows.  Scoring walks the small fitted trees over Arrow batche
 from __future__ import annotations
 
 import math
-import uuid
 from dataclasses import dataclass, field
 
 import numpy as np
@@ -17,6 +16,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.functions import pandas_udf
 
 from zephyrine.operators.features import CLASSIFIER_FEATURES
+from zephyrine.session import cut_lineage
 
 _TREE_SCHEMA = (
     "tree int, feature array<int>, cut array<double>, low array<int>, high array<int>, size array<int>"
@@ -233,23 +233,38 @@ def train_isolation_forest(
     return IsolationForest(used, grown, drawn).fit_threshold(df, contamination)
 
 
+def _height(nodes: DataFrame) -> int:
+    """The most steps from a root to a leaf in a table of nodes, found a level at a time."""
+    held = cut_lineage(nodes.filter("feature is not null").select("tree", "node", "low", "high"))
+    inner = held.count()  # a path of more steps would meet a node twice
+    children = held.select("tree", F.explode(F.array("low", "high")).alias("node")).join(held, ["tree", "node"])
+    level, steps = held.filter("node = 0"), 0
+    while not level.isEmpty():
+        steps += 1
+        if steps > inner:
+            raise ValueError("the nodes of a tree form a circle")
+        below = level.select("tree", F.explode(F.array("low", "high")).alias("node"))
+        level = cut_lineage(children.join(below, ["tree", "node"], "left_semi"))
+    return steps
+
+
 def path_lengths(df: DataFrame, nodes: DataFrame, key: tuple[str, ...], columns: tuple[str, ...]) -> DataFrame:
-    """(key, tree, depth, size): the leaf every row reaches in every tree of a table of nodes, by a recursive query.
+    """(key, tree, depth, size): the leaf every row reaches in every tree of a table of nodes, by a join per level.
 
     For forests kept as tables, beside other tables; ``IsolationForest.score`` walks the same trees in one pass.
+    The joins follow each other without a table in between, as many as the highest tree has levels.
     """
     values = F.map_from_arrays(F.array(*map(F.lit, columns)), _row_of(columns))
-    names = ", ".join(f"`{k}`" for k in key)
-    spark = df.sparkSession
-    mark = uuid.uuid4().hex
-    df.select(*key, values.alias("_values")).createOrReplaceTempView(f"rows_{mark}")
-    nodes.createOrReplaceTempView(f"nodes_{mark}")
-    return spark.sql(
-        f"""with recursive walk({names}, _values, tree, node, depth) as (
-          select {names}, _values, tree, 0, 0 from rows_{mark} join (select distinct tree from nodes_{mark}) on true
-          union all
-          select {names}, _values, w.tree, case when _values[n.feature] <= n.cut then n.low else n.high end, depth + 1
-          from walk w join nodes_{mark} n on w.tree = n.tree and w.node = n.node and n.feature is not null)
-        select {names}, w.tree, w.depth, n.size from walk w
-        join nodes_{mark} n on w.tree = n.tree and w.node = n.node and n.feature is null"""
-    )
+    roots = nodes.select("tree").distinct()
+    walk = df.select(*key, values.alias("_values")).crossJoin(roots)
+    walk = walk.withColumns({"node": F.lit(0), "depth": F.lit(0)})
+    step = nodes.select("tree", "node", "feature", "cut", "low", "high")
+    inner = F.col("feature").isNotNull()
+    side = F.when(F.col("_values")[F.col("feature")] <= F.col("cut"), F.col("low")).otherwise(F.col("high"))
+    for _ in range(_height(nodes)):
+        walk = walk.join(step, ["tree", "node"]).select(
+            *key, "_values", "tree", F.when(inner, side).otherwise(F.col("node")).alias("node"),
+            (F.col("depth") + inner.cast("int")).alias("depth"),
+        )
+    leaves = nodes.filter(~inner).select("tree", "node", "size")
+    return walk.join(leaves, ["tree", "node"]).select(*key, "tree", "depth", "size")
