@@ -22,7 +22,7 @@ from zephyrine.schemas import MEASURED, POLLUTANTS
 from zephyrine.sources.messages import read_landed_stream, write_anomaly_files
 from zephyrine.sources.tables import TableStore
 from zephyrine.streaming.ingest import clean_stream, ingest_batch, start_ingest
-from zephyrine.streaming.scoring import stream_features
+from zephyrine.streaming.scoring import _InTimeOrder, stream_features
 from zephyrine.streaming.windows import run_to_table, start_lasting_stats, start_rolling_stats
 
 START = dt.datetime(2024, 1, 1, tzinfo=dt.timezone.utc)
@@ -243,3 +243,76 @@ def test_a_stopped_stream_goes_on_with_its_state(spark, folder):
     batched = delta_features(rolling_features(table, POLLUTANTS, (5, 15)), POLLUTANTS)
     columns = ("sensor_id", "timestamp", "pm2_5_mean_15", "pm2_5_delta")
     assert rows(done.filter("sensor_id <> 'end'"), *columns) == rows(batched.filter("sensor_id <> 'end'"), *columns)
+
+
+class _Held:
+    """The states and timers of one key in a dict, with a count of the calls."""
+
+    def __init__(self):
+        self.calls, self.values, self.timers, self.past_value = 0, {}, set(), None
+
+    def getMapState(self, *_):  # noqa: N802
+        return self
+
+    def getValueState(self, *_):  # noqa: N802
+        return self
+
+    def _counted(self, value=None):
+        self.calls += 1
+        return value
+
+    def getValue(self, key):  # noqa: N802
+        return self._counted(self.values.get(key))
+
+    def updateValue(self, key, value):  # noqa: N802
+        self._counted(self.values.update({key: value}))
+
+    def removeKey(self, key):  # noqa: N802
+        self._counted(self.values.pop(key))
+
+    def keys(self):
+        return self._counted(list(self.values))
+
+    def listTimers(self):  # noqa: N802
+        return self._counted(sorted(self.timers))
+
+    def registerTimer(self, at):  # noqa: N802
+        self._counted(self.timers.add(at))
+
+    def exists(self):
+        return self._counted(self.past_value is not None)
+
+    def get(self):
+        return self._counted(self.past_value)
+
+    def update(self, value):
+        self.past_value = self._counted(value)
+
+
+class _Moment:
+    def __init__(self, at):
+        self.getExpiryTimeInMs = self.getCurrentWatermarkInMs = lambda: at
+
+
+def test_state_calls_do_not_grow_with_sensors(spark):
+    def drained(sensors):
+        at = [k * 400_000 for k in range(20) for _ in range(sensors)]
+        ids = [None if s == 0 else f"s{s:04d}" for _ in range(20) for s in range(sensors)]
+        frame = pd.DataFrame({"sensor_id": ids, "at": at, "zone": None, **{c: 1.0 * pd.Series(at) for c in MEASURED}})
+        held, work, found = _Held(), _InTimeOrder(1000), []
+        work.init(held)
+        for part in (frame[frame["at"] % 800_000 == 0], frame[frame["at"] % 800_000 > 0]):
+            assert list(work.handleInputRows((0,), iter([part.iloc[:7], part.iloc[7:]]), None)) == []
+        for watermark in (3_001, 100_000):
+            for timer in sorted(t for t in held.timers if t < watermark):
+                held.timers.remove(timer)
+                found += work.handleExpiredTimer((0,), _Moment(watermark), _Moment(timer))
+        assert not held.values and not held.timers
+        made = pd.concat(found, ignore_index=True).sort_values("at", kind="stable")
+        for sensor in ("s0001", None):
+            own = made[made["sensor_id"].isna() if sensor is None else made["sensor_id"] == sensor]
+            assert len(own) == 20 and own["pm2_5_mean_15"].iloc[-1] == 12 * 400_000
+            assert list(own["pm2_5_delta"]) == [0.0] + 19 * [400_000.0]
+        return held.calls
+
+    assert drained(300) == drained(2) < 120

@@ -17,7 +17,7 @@ from zephyrine.streaming.windows import run_to_table
 
 
 def arriving_stream(w: World, slices: int = 5) -> DataFrame:
-    """The events landed in slices of their arrival, up to three days late, as a stream of readings.
+    """The events landed in slices of their arrival, up to three days late, as a stream of readings, a slice per batch.
 
     The last file holds one reading of an unknown sensor far ahead, which lets the watermark pass all others.
     """
@@ -26,11 +26,13 @@ def arriving_stream(w: World, slices: int = 5) -> DataFrame:
     placed = w.events.withColumn("arrival", arrival)
     first, last = placed.agg(F.min("arrival"), F.max("arrival")).first()
     number = F.floor((F.col("arrival") - first) * slices / (last - first + 1))
+    files = w.spark.sparkContext.defaultParallelism
     for k in range(slices):
-        placed.filter(number == k).drop("arrival").write.mode("append").parquet(place)
+        part = placed.filter(number == k).drop("arrival")
+        part.repartition(files, "event_id", "ts").write.mode("append").parquet(place)
     ahead = "-1L event_id, timestamp'2100-01-01' ts, -1L user_id, 'click' event_type, 0D value, '{\"k\": 0}' props"
     w.spark.sql(f"select {ahead}").write.mode("append").parquet(place)
-    landed = w.spark.readStream.schema(EVENTS).option("maxFilesPerTrigger", 1).parquet(place)
+    landed = w.spark.readStream.schema(EVENTS).option("maxFilesPerTrigger", files).parquet(place)
     stream = w.project(landed.withWatermark("ts", "12 days"))
     return stream.join(w.sensors.select("sensor_id", "zone"), "sensor_id")
 
