@@ -8,7 +8,7 @@ number of rows per (tree, node, feature, bin).  The best split of a node maximis
 and a leaf's value is ``-G / (H + reg)``.  Gradients are summed as whole numbers (fixed point), so sums are exact and
 a model does not depend on how its rows are spread over tasks.  Rows and columns are drawn per tree and node by hashes.
 
-``Binned`` holds rows in the cluster and runs one Spark job per level.  Up to ``task_rows`` rows are a bounded table of
+``Binned`` holds rows in the cluster; they are cached as blocks of arrays, and a level of the trees is one Spark job.  Up to ``task_rows`` rows are a bounded table of
 one byte a value: one task then does the same sums over the same rows without a job per level.  Both give equal trees.
 """
 
@@ -22,7 +22,7 @@ from dataclasses import dataclass, replace
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark import keyword_only
+from pyspark import RDD, StorageLevel, keyword_only
 from pyspark.ml import Model
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.ml.linalg import DenseVector
@@ -195,77 +195,112 @@ def _grow_here(bins, keys, y, start, number, growth, cuts, size, scale, boosted)
 
 
 # --- rows in the cluster -------------------------------------------------------------------
+# The rows lie in blocks (bins, keys, y, score) of arrays, cached, so that a pass over them costs no work per row but sums.
+
+BLOCK_ROWS = 1 << 17
+PART_ROWS = 1 << 20
+Block = tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]
 
 
 def _unpacked(b: pa.RecordBatch, width: int) -> np.ndarray:
     return np.frombuffer(b"".join(b.column("x").to_pylist()), np.uint8).reshape(-1, width)
 
 
-_CELLS = "tree int, node int, feature int, bin int, g long, w long, c long"
-_SPLITS = "tree int, node int, feature int, bin int, gain double, g double, h double, gl double, hl double, rows double"
+def _blocks(data: Binned, start: float) -> RDD[Block]:
+    """The rows as blocks of at most ``BLOCK_ROWS``, in parts that a task can hold."""
+    width = data.width
 
+    def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[pa.RecordBatch] = []
 
-def _cells(
-    rows: DataFrame,
-    trees: dict[int, dict],
-    opened: dict[int, list[int]],
-    since: list[dict],
-    growth: Growth,
-    width: int,
-    size: int,
-    scale: float,
-) -> DataFrame:
-    """Partial sums of the open nodes, non-empty cells only; ``since`` are the trees that the scores lack."""
+        def packed() -> pa.RecordBatch:
+            columns = [np.concatenate([_unpacked(b, width) for b in held])]
+            columns += [np.concatenate([b.column(c).to_numpy() for b in held]) for c in ("key", "y")]
+            made = [pa.array([c.tobytes()], pa.binary()) for c in columns]
+            held.clear()
+            return pa.RecordBatch.from_arrays(made, ["x", "key", "y"])
 
-    def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            if not b.num_rows:
+            if sum(h.num_rows for h in held) + b.num_rows > BLOCK_ROWS and held:
+                yield packed()
+            if b.num_rows:
+                held.append(b)
+        if held:
+            yield packed()
+
+    def arrays(row) -> Block:
+        y = np.frombuffer(row["y"], float)
+        x = np.frombuffer(row["x"], np.uint8).reshape(-1, width)
+        return x, np.frombuffer(row["key"], np.int64), y, np.full(len(y), start)
+
+    parts = max(data.rows.sparkSession.sparkContext.defaultParallelism, -(-data.n // PART_ROWS))
+    return data.rows.coalesce(parts).mapInArrow(pack, "x binary, key binary, y binary").rdd.map(arrays)
+
+
+def _node_sums(
+    bins: np.ndarray, slot: np.ndarray, g: np.ndarray, w: np.ndarray, columns: np.ndarray, size: int
+) -> np.ndarray:
+    """Sums (gradient, weight, rows) per (slot, one of the slot's ``columns``, bin) as whole numbers."""
+    n, k = columns.shape
+    total = np.zeros((3, n, k, size), np.int64)
+    alike, single = (columns == columns[0]).all(), not len(w) or w.max() == 1
+    for first in range(0, len(slot), EXACT_ROWS):
+        part = slice(first, first + EXACT_ROWS)
+        own, x, gp = slot[part], bins[part], g[part].astype(float)
+        row, start = np.arange(len(own)), slot[part] * size
+        for j in range(k):
+            key = start + (x[:, columns[0, j]] if alike else x[row, columns[own, j]])
+            seen = np.bincount(key, minlength=n * size).reshape(n, size)
+            total[0, :, j] += np.bincount(key, gp, n * size).astype(np.int64).reshape(n, size)
+            total[2, :, j] += seen
+            if single:
+                total[1, :, j] += seen
+            else:
+                total[1, :, j] += np.bincount(key, w[part], n * size).astype(np.int64).reshape(n, size)
+    return total
+
+
+def _level(
+    blocks: RDD[Block], trees: dict[int, dict], opened: dict[int, list[int]],
+    growth: Growth, width: int, size: int, scale: float, cuts: list[list[float]],
+) -> dict[int, list[int]]:
+    """One level of all trees: sums per part and open node, the best split per node in grouped tasks, a row a node here."""
+
+    def scan(part: Iterator[Block]) -> Iterator[tuple[tuple[int, int], np.ndarray]]:
+        held = list(part)
+        for t, tree in trees.items():
+            if not opened[t]:
                 continue
-            bins, keys, y = _unpacked(b, width), b.column("key").to_numpy(), b.column("y").to_numpy()
-            score = b.column("score").to_numpy().copy()
-            for tree in since:
-                score += np.array(tree["value"])[nodes_of(tree, bins)]
-            for t, tree in trees.items():
-                if not opened[t]:
-                    continue
+            columns = np.stack([np.flatnonzero(allowed_columns(width, t, node, growth)) for node in opened[t]])
+            slots, total = _slots(tree, opened[t]), np.zeros((3, *columns.shape, size), np.int64)
+            for bins, keys, y, score in held:
                 w = row_weights(keys, t, growth)
-                g = np.rint((score - y) * scale).astype(np.int64) * w
-                sums = histograms(bins, nodes_of(tree, bins), g, w, _slots(tree, opened[t]), size)
-                slot, feature, place = np.nonzero(sums[2])
-                columns = [np.full(len(slot), t), np.array(opened[t])[slot], feature, place]
-                arrays = [pa.array(c, pa.int32()) for c in columns]
-                arrays += [pa.array(s[slot, feature, place].astype(np.int64)) for s in sums]
-                yield pa.RecordBatch.from_arrays(arrays, [c.split()[0] for c in _CELLS.split(", ")])
-
-    return rows.mapInArrow(scan, _CELLS)
-
-
-def _level(rows, trees, opened, since, growth, width, size, scale, cuts) -> dict[int, list[int]]:
-    """One level of all trees: sums per cell, the best split per node in grouped tasks, one row per node here."""
-
-    def choose(table: pa.Table) -> pa.Table:
-        t, node = table.column("tree")[0].as_py(), table.column("node")[0].as_py()
-        sums = np.zeros((3, 1, width, size))
-        place = table.column("feature").to_numpy(), table.column("bin").to_numpy()
-        for s, name in zip(sums, ("g", "w", "c"), strict=True):
-            s[0][place] = table.column(name).to_numpy()
-        found = best_splits(sums, allowed_columns(width, t, node, growth)[None], scale, growth)
-        columns = [pa.array([t], pa.int32()), pa.array([node], pa.int32())]
-        columns += [pa.array(f.astype(np.int32)) for f in found[:2]] + [pa.array(f.astype(float)) for f in found[2:]]
-        return pa.table(columns, [c.split()[0] for c in _SPLITS.split(", ")])
-
-    cells = _cells(rows, trees, opened, since, growth, width, size, scale)
-    summed = cells.groupBy("tree", "node", "feature", "bin").agg(*(F.sum(c).alias(c) for c in ("g", "w", "c")))
-    found: dict[int, list] = {}
-    for row in summed.groupBy("tree", "node").applyInArrow(choose, _SPLITS).collect():
-        found.setdefault(row["tree"], []).append(row)
+                drawn = np.flatnonzero(w)
+                slot = slots[nodes_of(tree, bins[drawn])]
+                rows = drawn[slot >= 0]
+                g = np.rint((score[rows] - y[rows]) * scale).astype(np.int64) * w[rows]
+                total += _node_sums(bins[rows], slot[slot >= 0], g, w[rows], columns, size)
+            for k in np.flatnonzero(total[2, :, 0].any(-1)):
+                yield (t, opened[t][k]), total[:, k]
+
+    def choose(item: tuple[tuple[int, int], np.ndarray]) -> tuple[int, int, list]:
+        (t, node), sums = item
+        allowed = allowed_columns(width, t, node, growth)
+        whole = np.zeros((3, 1, width, size))
+        whole[:, 0, allowed] = sums
+        if not allowed[0]:  # totals are read off the first feature
+            whole[:, 0, 0, 0] = sums[:, 0].sum(-1)
+        found = best_splits(whole, allowed[None], scale, growth)
+        return t, node, [f[0].item() for f in found[:7]]
+
+    there = sum(map(len, opened.values()))
+    summed = blocks.mapPartitions(scan).reduceByKey(np.add, min(there, blocks.getNumPartitions()))
+    splits = {(t, node): found for t, node, found in summed.map(choose).collect()}
     after = {}
     for t, tree in trees.items():
-        splits = {r["node"]: r for r in found.get(t, [])}
-        there = [n for n in opened[t] if n in splits]
-        names = ("feature", "bin", "gain", "g", "h", "gl", "hl")
-        columns = [np.array([splits[n][c] for n in there]) for c in names]
-        after[t] = split_nodes(tree, there, columns, cuts, growth) if there else []
+        held = [n for n in opened[t] if (t, n) in splits]
+        columns = [np.array(c) for c in zip(*(splits[t, n] for n in held), strict=True)]
+        after[t] = split_nodes(tree, held, columns, cuts, growth) if held else []
     return after
 
 
@@ -339,38 +374,39 @@ def grow_trees(
         rows = data.rows.withColumn("one", F.lit(0)).groupBy("one").applyInArrow(whole, "trees string").collect()
         return json.loads(rows[0]["trees"]) if rows else [new_tree() for _ in range(number)]
 
-    rows = data.rows.withColumn("score", F.lit(start))
+    blocks = _blocks(data, start).persist(StorageLevel.MEMORY_AND_DISK)
     args = (growth, width, size, scale, cuts)
-    if not boosted:
-        trees = {t: new_tree() for t in range(number)}
-        opened = {t: [0] for t in trees}
-        for _ in range(growth.depth):
-            if any(opened.values()):
-                opened = _level(rows, trees, opened, [], *args)
-        return list(trees.values())
-    done: list[dict] = []
-    since: list[dict] = []
-    for t in range(number):
-        tree, opened = new_tree(), {t: [0]}
-        for _ in range(growth.depth):
-            if opened[t]:
-                opened = _level(rows, {t: tree}, opened, since, *args)
-        done.append(tree)
-        since.append(tree)
-        if len(since) == keep_every:
-            rows, since = cut_lineage(_scored(rows, since, width)), []
-    return done
-
-
-def _scored(rows: DataFrame, trees: list[dict], width: int) -> DataFrame:
-    def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            bins, score = _unpacked(b, width), b.column("score").to_numpy().copy()
-            for tree in trees:
-                score += np.array(tree["value"])[nodes_of(tree, bins)]
-            yield b.set_column(b.schema.get_field_index("score"), "score", pa.array(score))
-
-    return rows.mapInArrow(scan, rows.schema)
+    try:
+        if not boosted:
+            trees = {t: new_tree() for t in range(number)}
+            opened = {t: [0] for t in trees}
+            for _ in range(growth.depth):
+                if any(opened.values()):
+                    opened = _level(blocks, trees, opened, *args)
+            return list(trees.values())
+        done: list[dict] = []
+        for t in range(number):
+            tree, opened, before = new_tree(), {t: [0]}, None
+            if done:
+                before, blocks = blocks, _scored(blocks, done[-1]).persist(StorageLevel.MEMORY_AND_DISK)
+                if t % keep_every == 0:
+                    blocks.checkpoint()
+            for _ in range(growth.depth):
+                if opened[t]:
+                    opened = _level(blocks, {t: tree}, opened, *args)
+                if before is not None:  # the first level has computed the scores that follow it
+                    before.unpersist()
+                    before = None
+            done.append(tree)
+        return done
+    finally:
+        blocks.unpersist()
+
+
+def _scored(blocks: RDD[Block], tree: dict) -> RDD[Block]:
+    """The blocks with the tree's values added to the scores."""
+    value = np.array(tree["value"])
+    return blocks.map(lambda b: (*b[:3], b[3] + value[nodes_of(tree, b[0])]))
 
 
 # --- the model -----------------------------------------------------------------------------
