@@ -143,3 +143,15 @@ def test_quality_trend(spark):
         ("t", None, None),
         ("u", None, None),
     ]
+
+
+def test_a_task_takes_a_small_share_of_a_shuffle(spark):
+    partitions = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", "64")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.parallelismFirst", "false")
+    try:
+        dealt = spark.range(4_000_000).select(F.xxhash64("id").alias("h")).repartition("h")
+        assert dealt.select(F.spark_partition_id().alias("p")).distinct().count() >= 3
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.parallelismFirst")
+        spark.conf.set("spark.sql.shuffle.partitions", partitions)
