@@ -296,6 +296,16 @@ def test_trees_are_equal_in_one_task_and_in_the_cluster(spark, boosted):
     assert here == spread and any(len(t["feature"]) > 7 for t in here)
 
 
+def test_sums_of_a_node_are_those_of_its_own_columns():
+    bins, slot = RNG.integers(0, 8, (500, 4)).astype(np.uint8), RNG.integers(0, 3, 500)
+    g, w = RNG.integers(-99, 99, 500), RNG.integers(1, 4, 500)
+    whole = trees.histograms(bins, slot, g, w, np.arange(3), 8)
+    for columns in (np.array([[0, 2], [1, 3], [0, 3]]), np.array([[1, 2]] * 3)):
+        sums = trees._node_sums(bins, slot, g, w, columns, 8)
+        for node, own in enumerate(columns):
+            assert (sums[:, node] == whole[:, node, own]).all()
+
+
 def test_nodes_below_the_least_size_are_not_split(spark):
     rows = tree_rows(spark, 60)
     data = trees.bin_rows(rows, ("a", "b", "c"), "target")
