@@ -181,6 +181,11 @@ def test_silhouette(spark):
     assert clustering.silhouette_of_names(named, ("f0", "f1")) == pytest.approx(np.mean(scores))
 
 
+def test_copies_of_a_point_do_not_grow_with_the_points():
+    assert [clustering.slices_of(n, 64) for n in (1, 65, 90_000, 540_000)] == [1, 2, 64, 64]
+    assert clustering.slices_of(100 << 16, 64) == 100
+
+
 @pytest.mark.parametrize("slice_rows", [7, 1000])
 def test_euclidean_silhouette(spark, slice_rows):
     x = np.vstack([RNG.normal(0, 1, (20, 2)), RNG.normal(3, 1, (15, 2)), RNG.normal(9, 1, (1, 2))])

@@ -21,6 +21,10 @@ from zephyrine.operators.summaries import PROFILE_FEATURES
 from zephyrine.session import cut_lineage
 
 NOISE = "-1"
+#: Slices that all points are dealt into for tiles of distances, unless a slice would have more than so many rows.
+SLICES, SLICE_MOST = 64, 1 << 16
+#: Distances of a tile that are computed at once; they stay in a processor's cache.
+TILE_BLOCK = 1 << 16
 
 
 def _vectors(df: DataFrame, columns: tuple[str, ...], name: str = "features") -> DataFrame:
@@ -66,6 +70,10 @@ def silhouette(df: DataFrame, columns: tuple[str, ...], cluster: str = "cluster"
     return ClusteringEvaluator(predictionCol="_p", featuresCol="features").evaluate(points)
 
 
+def slices_of(total: int, slice_rows: int) -> int:
+    return max(1, min(-(-total // slice_rows), SLICES), -(-total // SLICE_MOST))
+
+
 def euclidean_silhouette(
     df: DataFrame,
     columns: tuple[str, ...],
@@ -75,10 +83,11 @@ def euclidean_silhouette(
 ) -> float:
     """Mean silhouette under the plain Euclidean distance; 0 for a single cluster, noise counts as one more.
 
-    The points are dealt into slices of about ``slice_rows`` by a hash of the key.  Every pair of slices is a tile, in
-    which a task sums each point's distances to the points of every cluster.  Only these sums leave a tile, never a
-    pair, and a task holds two slices.  The work is that of all distances, which this measure asks for; it is the same
-    path at every size.
+    The points are dealt into slices of about ``slice_rows`` by a hash of the key, but at most ``SLICES`` slices, so
+    that a point is not copied more often the more points there are; only beyond ``SLICE_MOST`` rows in each are there
+    more.  Every pair of slices is a tile, in which a task sums each point's distances to the points of every cluster
+    of the other slice.  Only these sums leave a tile, never a pair, and a task holds two slices.  The work is that of
+    all distances, which this measure asks for; it is the same path at every size.
     """
     names = [f"x{i}" for i in range(len(columns))]
     points = cut_lineage(
@@ -91,36 +100,57 @@ def euclidean_silhouette(
     total, clusters = points.agg(F.count("*"), F.approx_count_distinct("cluster")).first()
     if clusters < 2 and len(points.select("cluster").distinct().limit(2).collect()) < 2:
         return 0.0
-    slices = max(1, -(-total // slice_rows))
+    slices = slices_of(total, slice_rows)
     own = F.pmod(F.xxhash64("id"), F.lit(slices)).cast("int")
-    every = F.explode(F.sequence(F.lit(0), F.lit(slices - 1)))
-    left = points.withColumns({"row": own, "column": every})
-    right = points.withColumns({"row": every, "column": own})
+    sliced = points.withColumn("own", own)
+    left = sliced.withColumns({"row": F.col("own"), "column": F.explode(F.sequence("own", F.lit(slices - 1)))})
+    right = sliced.withColumns({"row": F.explode(F.sequence(F.lit(0), "own")), "column": F.col("own")})
 
-    def tile(a: pa.Table, b: pa.Table) -> pa.Table:
-        x, y = spaces.matrix(a, names), spaces.matrix(b, names)
-        label = b.column("cluster").combine_chunks().dictionary_encode()
+    def grouped(t: pa.Table) -> tuple[pa.Table, pa.Array, np.ndarray, np.ndarray]:
+        """The rows by cluster, the clusters, where each begins, and the coordinates."""
+        label = t.column("cluster").combine_chunks().dictionary_encode()
         member = label.indices.to_numpy()
-        sums = np.zeros((len(x), len(label.dictionary)))
-        step = max(1, spaces.BLOCK // max(len(y), 1))
-        for k in range(0, len(x), step):
-            square = np.zeros((len(x[k : k + step]), len(y)))
-            for axis in range(len(names)):
-                square += (x[k : k + step, axis, None] - y[None, :, axis]) ** 2
-            distance = np.sqrt(square)
-            for c in range(sums.shape[1]):
-                sums[k : k + step, c] = distance[:, member == c].sum(axis=1)
-        rows = np.repeat(np.arange(len(x)), sums.shape[1])
+        order = np.argsort(member, kind="stable")
+        t = t.take(pa.array(order))
+        return t, label.dictionary, np.searchsorted(member[order], np.arange(len(label.dictionary))), spaces.matrix(t, names)
+
+    def told(t: pa.Table, others: pa.Array, sums: np.ndarray) -> pa.Table:
+        rows = np.repeat(np.arange(len(sums)), len(others))
         return pa.table(
             {
-                "id": a.column("id").take(pa.array(rows)),
-                "cluster": a.column("cluster").take(pa.array(rows)),
-                "other": label.dictionary.take(pa.array(np.tile(np.arange(sums.shape[1]), len(x)))),
+                "id": t.column("id").take(pa.array(rows)),
+                "cluster": t.column("cluster").take(pa.array(rows)),
+                "other": others.take(pa.array(np.tile(np.arange(len(others)), len(sums)))),
                 "total": pa.array(sums.ravel()),
             }
         )
 
-    met = left.groupBy("row", "column").cogroup(right.groupBy("row", "column"))
+    def tile(at: tuple[pa.Scalar, ...], a: pa.Table, b: pa.Table) -> pa.Table:
+        (a, mine, _, x), (b, others, begins, y) = grouped(a), grouped(b)
+        member = np.zeros(0, int)
+        if len(x):
+            member = a.column("cluster").combine_chunks().dictionary_encode().indices.to_numpy()
+        across = np.zeros((len(x), len(others)))
+        down = np.zeros((len(mine), len(y)))
+        step = max(1, TILE_BLOCK // max(len(y), 1))
+        axes = np.ascontiguousarray(y.T)
+        total, gaps = np.empty((step, len(y))), np.empty((step, len(y)))
+        for k in range(0, len(x) if len(y) else 0, step):
+            part = x[k : k + step]
+            distance, gap = total[: len(part)], gaps[: len(part)]
+            distance[:] = 0
+            for axis, other in enumerate(axes):
+                np.subtract(part[:, axis, None], other, out=gap)
+                np.multiply(gap, gap, out=gap)
+                distance += gap
+            np.sqrt(distance, out=distance)
+            across[k : k + step] = np.add.reduceat(distance, begins, axis=1)
+            held, first = np.unique(member[k : k + step], return_index=True)
+            down[held] += np.add.reduceat(distance, first, axis=0)
+        found = told(a, others, across)
+        return found if at[0] == at[1] else pa.concat_tables([found, told(b, mine, down.T)])
+
+    met = left.drop("own").groupBy("row", "column").cogroup(right.drop("own").groupBy("row", "column"))
     sums = met.applyInArrow(tile, "id string, cluster string, other string, total double")
     sums = sums.groupBy("id", "cluster", "other").agg(F.sum("total").alias("total"))
     sizes = points.groupBy(F.col("cluster").alias("other")).agg(F.count("*").alias("n"))
