@@ -141,6 +141,29 @@ def test_density_clusters_match_brute_force(spark, dims, eps, least, part_cells)
     assert len({c for c, _ in expected.values()}) > (least < 60)
 
 
+@pytest.mark.parametrize("tile_rows", [7, 40])
+def test_density_clusters_of_small_tiles_match_brute_force(spark, tile_rows):
+    x = np.vstack([RNG.normal(0, 0.35, (60, 3)), RNG.uniform(-2, 3, (60, 3)), np.zeros((9, 3))])
+    names, df, ids = ("f0", "f1", "f2"), table(spark, x), [f"p{i:04d}" for i in range(len(x))]
+    found = clustering.dbscan(df, names, key="id", eps=0.5, part_cells=30, tile_rows=tile_rows)
+    assert {r["id"]: (r["cluster"], r["is_core"]) for r in found.collect()} == brute_dbscan(x, ids, 0.5, 3)
+
+
+def test_a_task_holds_a_tile_of_the_rows_within_reach_of_a_part(spark):
+    cells = spark.range(1000).selectExpr("cast(id as string) as cell", "1L as n", "0L as part", "id < 300 as own")
+    sizes = "part long, own long, facing long"
+
+    def held(t):
+        facing = t.column("facing").to_numpy()
+        return t.slice(0, 1).select(["part"]).append_column("own", [[(~facing).sum()]]).append_column(
+            "facing", [[facing.sum()]]
+        )
+
+    tiles = spaces._tiles(cells, cells, "cell", 100).applyInArrow(held, sizes).collect()
+    assert len(tiles) == 30 and max(max(t.own, t.facing) for t in tiles) < 150
+    assert (sum(t.own for t in tiles), sum(t.facing for t in tiles)) == (3000, 3000)
+
+
 def test_every_cell_is_in_the_parts_within_reach(spark):
     x = np.concatenate([RNG.normal(0, 1, (300, 3)), RNG.normal(0, 0.01, (50, 3))])
     side, eps, names = 0.25, 0.5, ["x0", "x1", "x2"]

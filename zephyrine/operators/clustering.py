@@ -206,6 +206,7 @@ def dbscan(
     eps: float = 0.8,
     min_samples: int = 3,
     part_cells: int = 4096,
+    tile_rows: int = 1 << 15,
 ) -> DataFrame:
     """Exact density clustering: (key, cluster, is_core).
 
@@ -217,10 +218,11 @@ def dbscan(
     ``min_samples`` points, a dense one, consists of core points.
 
     Cells meet in the parts of a split tree of about ``part_cells`` cells each.  A part also gets the cells
-    within ``eps`` of its box.  There the points of sparse cells, which are few per cell, are compared at once:
-    neighbours are counted, then core points are linked and border points attached, and only the counts, one link
-    per cell and the attachments leave the part.  Labels of parts meet in the cells they share.  Pairs with a
-    dense cell leave the part as pairs: those whose points all lie within ``eps`` are settled from their bounds, for
+    within ``eps`` of its box.  A part's own rows face all rows of the part in tiles of about ``tile_rows`` on each side,
+    and a task holds one tile, however many rows lie within ``eps`` of a part.  In a tile the points of sparse cells,
+    which are few per cell, are compared at once: neighbours are counted, then core points are linked and border points
+    attached, and only the counts, one link per cell and the attachments leave the tile.  Labels of tiles meet in the
+    cells they share.  Pairs with a dense cell leave the tile as pairs: those whose points all lie within ``eps`` are settled from their bounds, for
     the others points in reach are joined, and, for linking, only where the cells are not connected already.
     """
     names = [f"x{i}" for i in range(len(columns))]
@@ -230,7 +232,7 @@ def dbscan(
         *(F.col(c).cast("double").alias(x) for c, x in zip(columns, names, strict=True)),
     )
     cell = F.concat_ws(",", *(F.floor(F.col(x) / F.lit(side)).cast("string") for x in names))
-    points = cut_lineage(points.withColumn("cell", cell))
+    points = cut_lineage(points.withColumns({"cell": cell, "row_no": F.monotonically_increasing_id()}))
 
     cells = cut_lineage(
         points.groupBy("cell").agg(
@@ -242,12 +244,13 @@ def dbscan(
     tree = spaces.fit_tree(cells, names, side, part_cells)
     placed = cut_lineage(spaces.place_cells(cells, names, tree, eps))
     sparse = points.join(cells.filter(F.col("n") < min_samples).select("cell"), "cell")
-    pairs = cut_lineage(spaces.dense_pairs(placed, names, eps, min_samples))
-    seen = spaces.sparse_neighbours(placed, sparse, names, eps)
+    pairs = cut_lineage(spaces.dense_pairs(placed, names, eps, min_samples, tile_rows))
+    few = placed.filter(F.col("n") < min_samples)
+    seen = spaces.sparse_neighbours(few, sparse, names, eps, tile_rows)
 
     core = cut_lineage(_core_points(points, cells, pairs, seen, names, eps, min_samples))
     flagged = sparse.join(core.select("id", F.lit(True).alias("core")), "id", "left")
-    links, attached = spaces.sparse_links(placed, flagged, names, eps)
+    links, attached = spaces.sparse_links(few, flagged, names, eps, tile_rows)
     linked = _cell_clusters(core, pairs, links, names, eps)
     core_labels = core.join(linked, "cell")
     border = _border_points(points, core, linked, pairs, attached, names, eps)

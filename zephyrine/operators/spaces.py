@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
 from pyspark import Broadcast
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, GroupedData
 from pyspark.sql import functions as F
 
 from zephyrine.session import cut_lineage
@@ -15,6 +16,8 @@ from zephyrine.session import cut_lineage
 SAMPLE_CELLS = 50_000
 #: Distances that a task holds at once.
 BLOCK = 1 << 21
+#: Pairs of cells that a task writes at once.
+PAIRS = 1 << 16
 
 
 @dataclass
@@ -106,19 +109,42 @@ def _near(a: np.ndarray, b: np.ndarray, eps: float):
         yield k, total <= eps * eps
 
 
-def dense_pairs(placed: DataFrame, names: list[str], eps: float, min_samples: int) -> DataFrame:
+def _tiles(rows: DataFrame, placed: DataFrame, key: str, tile_rows: int, weight: str | None = None) -> GroupedData:
+    """Own rows of a part (``facing`` false) against all rows of the part (``facing`` true), in tiles of about
+    ``tile_rows`` on each side; a cell of ``placed`` has one of the rows, or ``weight`` of them."""
+    size = F.col(weight) if weight else F.lit(1)
+    high, wide = (F.ceil(F.sum(c) / tile_rows).cast("int") for c in (F.when(F.col("own"), size).otherwise(0), size))
+    sizes = placed.groupBy("part").agg(high.alias("high"), wide.alias("wide")).filter("high > 0")
+    dealt = rows.join(sizes, "part")
+    down, across = (F.pmod(F.xxhash64(key), F.col(c).cast("long")).cast("int") for c in ("high", "wide"))
+    every_row, every_column = (F.explode(F.sequence(F.lit(0), F.col(c) - 1)) for c in ("high", "wide"))
+    own = dealt.filter("own").withColumns({"row": down, "column": every_column, "facing": F.lit(False)})
+    all_ = dealt.withColumns({"row": every_row, "column": across, "facing": F.lit(True)})
+    return own.unionByName(all_).drop("own", "high", "wide").groupBy("part", "row", "column")
+
+
+def _sides(table: pa.Table) -> tuple[pa.Array, np.ndarray, np.ndarray, np.ndarray]:
+    """(names of the cells, the cell of every row, own rows, rows they face)."""
+    cells = table.column("cell").combine_chunks().dictionary_encode()
+    facing = table.column("facing").to_numpy()
+    return cells.dictionary, cells.indices.to_numpy(), np.flatnonzero(~facing), np.flatnonzero(facing)
+
+
+def dense_pairs(
+    placed: DataFrame, names: list[str], eps: float, min_samples: int, tile_rows: int = 1 << 15
+) -> DataFrame:
     """Ordered pairs (cell, other) within ``eps`` of each other of which at least one cell is dense."""
     bounds = [f"{end}_{x}" for x in names for end in ("lo", "hi")]
 
-    def meet(table: pa.Table) -> pa.Table:
+    def meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        table = pa.Table.from_batches(list(batches))
         lo, hi = (matrix(table, [f"{end}_{x}" for x in names]) for end in ("lo", "hi"))
-        own, n = table.column("own").to_numpy(), table.column("n").to_numpy()
-        every, dense = np.arange(len(n)), np.flatnonzero(n >= min_samples)
-        found = []
+        _, cell, own, every = _sides(table)
+        n = table.column("n").to_numpy()
         # A dense cell meets all others, a sparse one the dense cells.
         for rows, others in (
-            (np.flatnonzero(own & (n >= min_samples)), every),
-            (np.flatnonzero(own & (n < min_samples)), dense),
+            (own[n[own] >= min_samples], every),
+            (own[n[own] < min_samples], every[n[every] >= min_samples]),
         ):
             step = max(1, BLOCK // max(len(others), 1))
             for k in range(0, len(rows), step):
@@ -129,36 +155,48 @@ def dense_pairs(placed: DataFrame, names: list[str], eps: float, min_samples: in
                     above = lo[None, others, x] - hi[a, x, None]
                     gap += np.maximum(np.maximum(below, above), 0.0) ** 2
                     reach += np.maximum(-below, -above) ** 2
-                i, j = np.nonzero((gap <= eps * eps) & (a[:, None] != others[None, :]))
-                found.append((a[i], others[j], reach[i, j] <= eps * eps))
-        a, b, whole = (np.concatenate([f[c] for f in found]) if found else np.array([], int) for c in range(3))
-        left, right = table.take(pa.array(a, pa.int64())), table.take(pa.array(b, pa.int64()))
+                i, j = np.nonzero((gap <= eps * eps) & (cell[a, None] != cell[None, others]))
+                whole = reach[i, j] <= eps * eps
+                for first in range(0, len(i), PAIRS):
+                    part = slice(first, first + PAIRS)
+                    yield from told(table, a[i[part]], others[j[part]], whole[part]).to_batches()
+
+    def told(table: pa.Table, a: np.ndarray, b: np.ndarray, whole: np.ndarray) -> pa.Table:
+        left, right = table.select(["cell", "n"]).take(pa.array(a)), table.take(pa.array(b))
         made = {"cell": left.column("cell"), "other": right.column("cell"), "n": left.column("n")}
-        made |= {"other_n": right.column("n"), "whole": pa.array(whole.astype(bool))}
-        return pa.table(made | {f"o_{c}": right.column(c) for c in bounds})
+        made |= {"other_n": right.column("n"), "whole": pa.array(whole)}
+        return pa.table(made | {f"o_{c}": right.column(c) for c in bounds}).combine_chunks()
 
     schema = "cell string, other string, n long, other_n long, whole boolean, "
-    return placed.groupBy("part").applyInArrow(meet, schema + ", ".join(f"o_{c} double" for c in bounds))
+    tiles = _tiles(placed, placed, "cell", tile_rows)
+    return tiles.applyInArrow(meet, schema + ", ".join(f"o_{c} double" for c in bounds))
 
 
-def _members(placed: DataFrame, sparse: DataFrame, extra: tuple[str, ...] = ()) -> DataFrame:
-    """The points of sparse cells in every part that has their cell."""
-    return placed.select("cell", "part", "own").join(sparse, "cell")
+def _members(placed: DataFrame, sparse: DataFrame, tile_rows: int) -> GroupedData:
+    """The points of sparse cells, in the tiles of every part that has their cell."""
+    rows = placed.select("cell", "part", "own").join(sparse, "cell")
+    return _tiles(rows, placed, "row_no", tile_rows, "n")
 
 
-def sparse_neighbours(placed: DataFrame, sparse: DataFrame, names: list[str], eps: float) -> DataFrame:
-    """(id, sparse_n): how many points of other sparse cells lie within ``eps`` of a point of a sparse cell."""
+def sparse_neighbours(
+    placed: DataFrame, sparse: DataFrame, names: list[str], eps: float, tile_rows: int = 1 << 15
+) -> DataFrame:
+    """(id, sparse_n): how many points of other sparse cells lie within ``eps`` of a point of a sparse cell.
+
+    ``placed`` are the sparse cells, ``sparse`` their points.
+    """
 
     def count(table: pa.Table) -> pa.Table:
-        x, cell = matrix(table, names), table.column("cell").combine_chunks().dictionary_encode().indices.to_numpy()
-        own = np.flatnonzero(table.column("own").to_numpy())
+        x, (_, cell, own, every) = matrix(table, names), _sides(table)
         n = np.zeros(len(own), np.int64)
-        for k, near in _near(x[own], x, eps):
+        for k, near in _near(x[own], x[every], eps):
             rows = own[k : k + len(near)]
-            n[k : k + len(near)] = (near & (cell[rows, None] != cell[None, :])).sum(axis=1)
-        return pa.table({"id": table.column("id").take(pa.array(own)), "sparse_n": pa.array(n)})
+            n[k : k + len(near)] = (near & (cell[rows, None] != cell[None, every])).sum(axis=1)
+        found = table.select(["row_no", "id"]).take(pa.array(own))
+        return found.append_column("sparse_n", pa.array(n))
 
-    return _members(placed, sparse).groupBy("part").applyInArrow(count, "id string, sparse_n long")
+    counts = _members(placed, sparse, tile_rows).applyInArrow(count, "row_no long, id string, sparse_n long")
+    return counts.groupBy("row_no", "id").agg(F.sum("sparse_n").alias("sparse_n")).drop("row_no")
 
 
 def _find(parent: np.ndarray, node: int) -> int:
@@ -168,42 +206,47 @@ def _find(parent: np.ndarray, node: int) -> int:
     return node
 
 
-def sparse_links(placed: DataFrame, flagged: DataFrame, names: list[str], eps: float) -> tuple[DataFrame, DataFrame]:
+def _distinct(a: np.ndarray, b: np.ndarray, size: int) -> tuple[np.ndarray, np.ndarray]:
+    """The different pairs of ``a`` and ``b``; ``b`` is below ``size``."""
+    return np.divmod(np.unique(a.astype(np.int64) * size + b), max(size, 1))
+
+
+def sparse_links(
+    placed: DataFrame, flagged: DataFrame, names: list[str], eps: float, tile_rows: int = 1 << 15
+) -> tuple[DataFrame, DataFrame]:
     """Links (u, v) between sparse cells with core points in reach, and (id, cell) of border points of sparse cells.
 
-    A part gives one link per cell, to the first cell of its component there, and for a border point one cell per
-    component in reach.
+    A tile gives one link per cell, to the first cell of its component there, and for a border point one cell per
+    component in reach.  ``placed`` are the sparse cells, ``flagged`` their points.
     """
 
     def link(table: pa.Table) -> pa.Table:
-        x, names_of = matrix(table, names), table.column("cell").combine_chunks().dictionary_encode()
-        cell, own = names_of.indices.to_numpy(), table.column("own").to_numpy()
+        x, (named, cell, own, every) = matrix(table, names), _sides(table)
         core = np.array(table.column("core").fill_null(False).to_pylist(), bool)
-        cores = np.flatnonzero(core)
-        parent = np.arange(len(names_of.dictionary))
-        rows = np.flatnonzero(own & core)
+        cores = every[core[every]]
+        parent = np.arange(len(named))
+        rows = own[core[own]]
         for k, near in _near(x[rows], x[cores], eps):
             i, j = np.nonzero(near)
-            for a, b in np.unique(np.stack([cell[rows[k + i]], cell[cores[j]]], axis=1), axis=0).tolist():
+            for a, b in zip(*_distinct(cell[rows[k + i]], cell[cores[j]], len(named)), strict=True):
                 a, b = _find(parent, a), _find(parent, b)
                 parent[max(a, b)] = min(a, b)
         roots = np.array([_find(parent, c) for c in range(len(parent))], np.int64)
         moved = np.flatnonzero(roots != np.arange(len(roots)))
-        rest, ids, seen = np.flatnonzero(own & ~core), [], []
+        rest, ids, seen = own[~core[own]], [], []
         for k, near in _near(x[rest], x[cores], eps):
             i, j = np.nonzero(near)
-            pairs = np.unique(np.stack([rest[k + i], roots[cell[cores[j]]]], axis=1), axis=0)
-            ids.append(pairs[:, 0])
-            seen.append(pairs[:, 1])
+            found = _distinct(rest[k + i], roots[cell[cores[j]]], len(named))
+            ids.append(found[0])
+            seen.append(found[1])
         ids, seen = (np.concatenate(v) if v else np.array([], np.int64) for v in (ids, seen))
-        named = names_of.dictionary
         border = table.column("id").combine_chunks().take(pa.array(ids, pa.int64()))
         left = pa.concat_arrays([named.take(pa.array(moved, pa.int64())), border])
         right = named.take(pa.array(np.concatenate([roots[moved], seen]), pa.int64()))
         return pa.table({"u": left, "v": right, "link": pa.array(np.arange(len(left)) < len(moved))})
 
     made = cut_lineage(
-        _members(placed, flagged).groupBy("part").applyInArrow(link, "u string, v string, link boolean")
+        _members(placed, flagged, tile_rows).applyInArrow(link, "u string, v string, link boolean")
     )
     attached = made.filter("not link").select(F.col("u").alias("id"), F.col("v").alias("cell"))
     return made.filter("link").select("u", "v"), attached
