@@ -20,6 +20,7 @@ from zephyrine.operators.rolling import (
 from zephyrine.operators.validate import dedup_stream
 from zephyrine.schemas import MEASURED, POLLUTANTS
 from zephyrine.sources.messages import read_landed_stream, write_anomaly_files
+from zephyrine.sources import tables
 from zephyrine.sources.tables import TableStore
 from zephyrine.streaming.ingest import clean_stream, ingest_batch, start_ingest
 from zephyrine.streaming.scoring import _InTimeOrder, stream_features
@@ -101,6 +102,30 @@ def test_a_rerun_batch_adds_nothing(spark, folder):
     assert beats.agg(F.sum("records_processed")).first()[0] == 3
 
 
+def test_a_batch_is_read_once_and_its_rows_are_not_stored_between(spark, folder, monkeypatch):
+    read = spark.sparkContext.accumulator(0)
+
+    @F.udf("string")
+    def counted(text):
+        read.add(1)
+        return text
+
+    texts = [message("a", 0, 80.0), message("a", 0, 81.0), message("b", 1, 1.0), "{", "{", '{"sensor_id": "a"}']
+    messages = batch(spark, *texts).withColumn("value", counted.asNondeterministic()("value"))
+    stored = []
+    kept = tables.cut_lineage
+    monkeypatch.setattr(tables, "cut_lineage", lambda df: stored.append(df.columns) or kept(df))
+    store = TableStore(spark, folder)
+    ingest_batch(messages, 0, store, sensors(spark))
+    assert read.value == len(texts)
+    assert len(stored) == 1 and "records_processed" in stored[0]
+    assert rows(store.read("quarantine"), "reason") == [
+        ("malformed_json",), ("malformed_json",), ("missing_timestamp",),
+    ]
+    assert rows(store.read("measurements"), "sensor_id", "pm2_5") == [("a", 80.0), ("b", 1.0)]
+    assert store.read("raw_archive").count() == 2
+
+
 def test_strict_registry(spark, folder):
     store = TableStore(spark, folder)
     ingest_batch(batch(spark, message("z", 0, 80.0)), 0, store, sensors(spark), strict_registry=True)

@@ -59,14 +59,33 @@ def validate_battery(readings: DataFrame, column: str = "battery_level") -> Data
     return readings.filter(battery_reason(column).isNull())
 
 
-def split_valid(parsed: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """(valid readings, rejected messages with their reason)."""
-    judged = with_reject_reason(parsed)
+def split_judged(judged: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(valid readings, rejected messages with their reason) of messages that have their ``reason``."""
     valid = judged.filter(F.col("reason").isNull()).drop("reason", CORRUPT)
     rejected = judged.filter(F.col("reason").isNotNull())
     return valid, rejected
 
 
+def split_valid(parsed: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(valid readings, rejected messages with their reason)."""
+    return split_judged(with_reject_reason(parsed))
+
+
+def first_of_valid(judged: DataFrame, key: tuple[str, str], arrival: tuple[str, ...]) -> DataFrame:
+    """All rejected messages, and of the valid readings the first of each ``key`` (sensor, time).
+
+    Both come from one pass over the messages: a rejected one gets a key of its own, which no valid reading has, as
+    its time is null.
+    """
+    sensor, time = key
+    lost = F.col("reason").isNotNull()
+    own = F.monotonically_increasing_id().cast("string")
+    keyed = judged.withColumns(
+        {sensor: F.when(lost, own).otherwise(F.col(sensor)), time: F.when(~lost, F.col(time))}
+    )
+    return first_writer_wins(keyed, key, arrival)
+
+
 def sanitize_ranges(flat: DataFrame, ranges: dict = VALUE_RANGES) -> DataFrame:
     """Out-of-range or NaN values become null; the row stays."""
     cleaned = {}

@@ -126,6 +126,14 @@ def stretches(slots: list[int], most: int = MOST_STRETCHES) -> list[tuple[int, i
     return [(a, b) for a, b in kept]
 
 
+@dataclass(frozen=True)
+class Times:
+    """Where a batch lies in time: partition dates, and (first, last) slots of ``SLOT_SECONDS``."""
+
+    days: list
+    stretches: list[tuple[int, int]]
+
+
 class TableStore:
     def __init__(self, spark: SparkSession, root: str, layouts: dict[str, Layout] = LAYOUTS):
         self.spark, self.root, self.layouts = spark, root.rstrip("/"), layouts
@@ -142,7 +150,7 @@ class TableStore:
         except AnalysisException as error:
             if error.getCondition() != "PATH_NOT_FOUND":
                 raise
-            found = self.spark.createDataFrame([], schema)
+            found = self.spark.createDataFrame([], schema).limit(0)  # known to be empty when a join with it is planned
         if layout.derive and layout.partition in schema.names:
             # Filters on the timestamp find the date partition by this mark.
             return found.withMetadata(layout.partition, {DAY_OF: layout.derive})
@@ -170,6 +178,23 @@ class TableStore:
     def _existing(self, name: str, values: list) -> DataFrame:
         return self.read(name).filter(F.col(self.layouts[name].partition).isin(values))
 
+    def times_of(self, name: str, batch: DataFrame) -> Times:
+        """The partition dates of a batch, and the stretches of time it touches."""
+        layout = self.layouts[name]
+        slot = F.floor(F.unix_seconds(layout.derive) / SLOT_SECONDS).cast("long")
+        touched = batch.select(F.col(layout.partition).alias("day"), slot.alias("slot")).distinct().collect()
+        days = list({r["day"] for r in touched})
+        return Times(days, stretches([r["slot"] for r in touched if r["slot"] is not None]))
+
+    def rows_at(self, name: str, times: Times) -> DataFrame:
+        """Stored rows in the given stretches of time."""
+        time = F.col(self.layouts[name].derive)
+        here = F.lit(False)
+        for first, last in times.stretches:
+            begin, end = (F.timestamp_seconds(F.lit(k * SLOT_SECONDS)) for k in (first, last + 1))
+            here |= (time >= begin) & (time < end)
+        return self._existing(name, times.days).filter(here)
+
     def rows_beside(self, name: str, batch: DataFrame) -> DataFrame:
         """Stored rows that can share a key with ``batch``: those in the stretches of time it touches.
 
@@ -180,13 +205,7 @@ class TableStore:
         layout = self.layouts[name]
         if not layout.derive or layout.derive not in layout.key:
             return self._existing(name, self._touched(name, batch))
-        slot = F.floor(F.unix_seconds(layout.derive) / SLOT_SECONDS).cast("long")
-        touched = batch.select(F.col(layout.partition).alias("day"), slot.alias("slot")).distinct().collect()
-        here = F.lit(False)
-        for first, last in stretches([r["slot"] for r in touched if r["slot"] is not None]):
-            begin, end = (F.timestamp_seconds(F.lit(k * SLOT_SECONDS)) for k in (first, last + 1))
-            here |= (F.col(layout.derive) >= begin) & (F.col(layout.derive) < end)
-        return self._existing(name, list({r["day"] for r in touched})).filter(here)
+        return self.rows_at(name, self.times_of(name, batch))
 
     def _write(self, name: str, df: DataFrame, mode: str) -> None:
         """Rebalanced by partition value: few files per day, and a day that holds most of the
@@ -204,13 +223,23 @@ class TableStore:
         self._write(name, self.stored(name, df), "append")
 
     def insert_ignore(
-        self, name: str, df: DataFrame, arrival: tuple[str, ...] | None = None
+        self, name: str, df: DataFrame, arrival: tuple[str, ...] | None = None, times: Times | None = None
     ) -> None:
-        """Existing keys win; writing the same batch twice adds nothing."""
+        """Existing keys win; writing the same batch twice adds nothing.
+
+        ``times`` hold all times of ``df`` and may hold more; with them the rows are read once and need not be stored
+        in between.
+        """
+        key = self.layouts[name].key
+        if times is not None:
+            if times.days:
+                rows = self.stored(name, df)
+                self._write(name, new_rows(rows, self.rows_at(name, times), key, arrival), "append")
+            return
         rows = cut_lineage(self.stored(name, df))  # computed once, read twice
         if not rows.isEmpty():
             existing = self.rows_beside(name, rows)
-            self._write(name, new_rows(rows, existing, self.layouts[name].key, arrival), "append")
+            self._write(name, new_rows(rows, existing, key, arrival), "append")
 
     def upsert_replace(self, name: str, df: DataFrame) -> None:
         """Incoming keys win; other rows of the touched partitions are kept."""

@@ -13,12 +13,14 @@ from zephyrine.operators.anomalies import detect_threshold_anomalies
 from zephyrine.operators.joins import split_known_sensors
 from zephyrine.operators.quality import heartbeat_delta
 from zephyrine.operators.validate import (
-    first_writer_wins,
+    first_of_valid,
     flatten_reading,
     parse_payload,
     quarantine,
     sanitize_ranges,
+    split_judged,
     split_valid,
+    with_reject_reason,
 )
 from zephyrine.schemas import MEASUREMENT_KEY
 from zephyrine.sources.tables import TableStore
@@ -38,22 +40,25 @@ def ingest_batch(
     this batch are not, so a batch that failed half-way is completed by its rerun.  Readings of
     unknown sensors never reach ``measurements``; unless ``strict_registry`` is set, they are
     still archived and checked for anomalies.
+
+    The messages are parsed once.  All tables look for repeats in the same stretches of time, those of the batch.
     """
     stamp = F.current_timestamp() if "created_at" not in messages.columns else F.col("created_at")
     parsed = parse_payload(messages).withColumn("created_at", stamp)
-    valid, rejected = split_valid(parsed)
-    dated = valid.withColumn("date", F.to_date("timestamp"))
-    unique = first_writer_wins(dated, MEASUREMENT_KEY, ("created_at", "value")).persist(
+    judged = first_of_valid(with_reject_reason(parsed), MEASUREMENT_KEY, ("created_at", "value")).persist(
         StorageLevel.MEMORY_AND_DISK
     )
     try:
-        earlier = store.rows_beside("raw_archive", unique).filter(F.col("batch_id") < batch_id)
+        valid, rejected = split_judged(judged)
+        unique = valid.withColumn("date", F.to_date("timestamp"))
+        times = store.times_of("raw_archive", unique)
+        earlier = store.rows_at("raw_archive", times).filter(F.col("batch_id") < batch_id)
         accepted = unique.join(earlier.select(*MEASUREMENT_KEY), list(MEASUREMENT_KEY), "left_anti")
         known, unknown = split_known_sensors(accepted, sensors)
         batch = F.lit(batch_id).cast("bigint")
 
         flat = sanitize_ranges(flatten_reading(known, keep=("created_at",)))
-        store.insert_ignore("measurements", flat, arrival=("created_at",))
+        store.insert_ignore("measurements", flat, arrival=("created_at",), times=times)
 
         watched = known if strict_registry else accepted
         clean = sanitize_ranges(
@@ -62,7 +67,7 @@ def ingest_batch(
         events = detect_threshold_anomalies(
             clean, keep=("sensor_id", "timestamp", "location", "raw_payload", "created_at")
         )
-        store.insert_ignore("anomalies", events.drop("location"), arrival=("created_at",))
+        store.insert_ignore("anomalies", events.drop("location"), arrival=("created_at",), times=times)
         if publish is not None:
             publish(events.drop("raw_payload", "created_at"), batch_id)
 
@@ -76,9 +81,9 @@ def ingest_batch(
 
         # Last, so that later batches treat these keys as repeats only once all is written.
         archived = watched.select("sensor_id", "timestamp", "value").withColumn("batch_id", batch)
-        store.insert_ignore("raw_archive", archived)
+        store.insert_ignore("raw_archive", archived, times=times)
     finally:
-        unique.unpersist()
+        judged.unpersist()
 
 
 def start_ingest(
