@@ -324,6 +324,34 @@ def test_trees_are_equal_in_one_task_and_in_the_cluster(spark, boosted):
     assert here == spread and any(len(t["feature"]) > 7 for t in here)
 
 
+def test_a_forest_ships_a_number_per_cell_and_looks_up_values_once(spark, monkeypatch):
+    rows_ = tree_rows(spark)
+    looked = []
+    kept = trees._distinct_values
+    monkeypatch.setattr(trees, "_distinct_values", lambda *a: looked.append(a) or kept(*a))
+    data = trees.bin_rows(rows_, ("a", "b", "c"), "label", bins=64)
+    assert len(looked) == 1 and sorted(looked[0][1]) == [0, 1] and [len(c) for c in data.cuts][:2] == [39, 39]
+    growth = trees.Growth(depth=5, reg=0.0, least_rows_to_split=5, step=1.0, bootstrap=True, columns_per_node=0.7)
+    got = [np.array(c) for c in zip(*((r.key, r.y) for r in data.rows.collect()), strict=True)]
+    bins = np.stack([np.frombuffer(r.x, np.uint8) for r in data.rows.collect()])
+    args = (bins, *got, 0.0, 3, growth, data.cuts, data.size, data.scale, False)
+    plain = trees._grow_here(*args)
+    monkeypatch.setattr(trees, "_level", None)  # the packed sums do
+    assert trees.grow_trees(data, 3, growth, boosted=False, task_rows=0) == plain
+    assert trees.grow_trees(data, 3, growth, boosted=False) == plain and len(plain[0]["feature"]) > 7
+    assert not trees.bin_rows(rows_, ("a", "b"), "target").signs
+
+
+def test_rows_walk_to_the_node_their_values_lead_to():
+    tree = {"feature": [1, -1, 0, -1, -1], "bin": [3, 0, 5, 0, 0], "threshold": [3.5, 0, 5.5, 0, 0],
+            "left": [1, 0, 3, 0, 0], "right": [2, 0, 4, 0, 0]}
+    bins = np.array([[5, 4], [6, 4], [0, 3], [255, 0]], np.uint8)
+    assert trees.nodes_of(tree, bins).tolist() == [3, 4, 1, 1]
+    assert trees.nodes_of(tree, bins, rows=np.array([1, 3])).tolist() == [4, 1]
+    raw = np.array([[5.5, 9], [np.nan, 9], [0, np.nan], [0, 3.5]])
+    assert trees.nodes_of(tree, raw, "threshold").tolist() == [3, 4, 3, 1]
+
+
 def test_sums_of_a_node_are_those_of_its_own_columns():
     bins, slot = RNG.integers(0, 8, (500, 4)).astype(np.uint8), RNG.integers(0, 3, 500)
     g, w = RNG.integers(-99, 99, 500), RNG.integers(1, 4, 500)

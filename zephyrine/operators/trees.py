@@ -28,13 +28,15 @@ from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.ml.linalg import DenseVector
 from pyspark.ml.param import Param, Params, TypeConverters
 from pyspark.ml.util import DefaultParamsReadable, DefaultParamsWritable
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from zephyrine.session import cut_lineage
 
 #: Rows whose sums stay exact in doubles.
 EXACT_ROWS = 1 << 16
+#: Rows that walk down a tree together; what they look up stays in a core's cache.
+WALK_ROWS = 1 << 14
 
 
 @dataclass(frozen=True)
@@ -59,17 +61,26 @@ def new_tree() -> dict:
     return {"feature": [-1], "bin": [0], "threshold": [0.0], "left": [0], "right": [0], "value": [0.0], "gain": [0.0]}
 
 
-def nodes_of(tree: dict, bins: np.ndarray, by: str = "bin") -> np.ndarray:
-    """The node every row of ``bins`` (or of raw values, by ``threshold``) has reached."""
-    feature, cut = np.array(tree["feature"]), np.array(tree[by])
-    left, right = np.array(tree["left"]), np.array(tree["right"])
-    at = np.zeros(len(bins), np.int64)
-    rows = np.arange(len(bins))
-    while len(rows):
-        rows = rows[feature[at[rows]] >= 0]
-        here = at[rows]
-        at[rows] = np.where(bins[rows, feature[here]] <= cut[here], left[here], right[here])
-    return at
+def nodes_of(tree: dict, bins: np.ndarray, by: str = "bin", rows: np.ndarray | None = None) -> np.ndarray:
+    """The node every row of ``bins`` (or of raw values, by ``threshold``), or each of ``rows``, has reached.
+
+    A few thousand rows at a time take a step together, in tables where a leaf leads to itself.
+    """
+    feature, left, right = (np.array(tree[c]) for c in ("feature", "left", "right"))
+    cut, own = np.array(tree[by]).astype(bins.dtype), np.arange(len(feature))
+    leaf = feature < 0
+    feature = np.where(leaf, 0, feature)
+    child = np.stack([np.where(leaf, own, right), np.where(leaf, own, left)], axis=1).ravel()
+    flat, width = np.ascontiguousarray(bins).ravel(), bins.shape[1]
+    rows = np.arange(len(bins)) if rows is None else rows
+    reached = np.zeros(len(rows), np.int64)
+    for k in range(0, len(rows), WALK_ROWS):
+        first = rows[k : k + WALK_ROWS] * width
+        at = reached[k : k + WALK_ROWS]
+        while not leaf.take(at).all():
+            at = child.take(2 * at + (flat.take(first + feature.take(at)) <= cut.take(at)))
+        reached[k : k + WALK_ROWS] = at
+    return reached
 
 
 def _mixed(keys: np.ndarray, salt: int) -> np.ndarray:
@@ -85,7 +96,11 @@ def row_weights(keys: np.ndarray, tree: int, growth: Growth) -> np.ndarray:
     """How often each row counts in a tree: 0 or 1 of a sample, or about Poisson(1) of a bootstrap."""
     if growth.bootstrap:
         shares = np.cumsum([math.exp(-1) / math.factorial(k) for k in range(12)])
-        return np.searchsorted(shares, _mixed(keys, growth.seed * 1_000_003 + tree), side="right")
+        drawn = _mixed(keys, growth.seed * 1_000_003 + tree)
+        times = np.zeros(len(keys), np.uint8)
+        for share in shares:  # a binary search per row takes longer than these few comparisons
+            times += drawn >= share
+        return times.astype(np.int64)
     if growth.row_sample >= 1:
         return np.ones(len(keys), np.int64)
     return (_mixed(keys, growth.seed * 1_000_003 + tree) < growth.row_sample).astype(np.int64)
@@ -170,9 +185,84 @@ def _slots(tree: dict, opened: list[int]) -> np.ndarray:
     return slots
 
 
+# --- sums of whole numbers -----------------------------------------------------------------
+# If residuals are -1, 0 or 1, as a forest's are on labels 0 and 1, the sums of residuals and weights of a cell go into one
+# whole number, and a node's rows are counted once.  They are unpacked where splits are chosen.
+
+WEIGHT_BITS = 31
+MOST_WEIGHT = 12  # of a row in a bootstrap
+PACKED_ROWS = 1 << 17  # rows whose packed sum stays exact in doubles
+
+
+def _columns(width: int, t: int, opened: list[int], growth: Growth) -> np.ndarray:
+    return np.stack([np.flatnonzero(allowed_columns(width, t, node, growth)) for node in opened])
+
+
+def _packed_sums(
+    bins: np.ndarray, keys: np.ndarray, residual: np.ndarray, t: int, tree: dict,
+    opened: list[int], columns: np.ndarray, growth: Growth, size: int,
+) -> tuple[np.ndarray, np.ndarray]:
+    """Packed sums per (open node, one of its ``columns``, bin) and the number of rows per open node."""
+    n, k = columns.shape
+    slots = _slots(tree, opened)
+    alike = (columns == columns[0]).all()
+    width, total, seen = bins.shape[1], np.zeros((n, k, size), np.int64), np.zeros(n, np.int64)
+    for begin in range(0, len(bins), PACKED_ROWS):
+        part = slice(begin, begin + PACKED_ROWS)
+        x = np.ascontiguousarray(bins[part])
+        flat, w = x.ravel(), row_weights(keys[part], t, growth)
+        rows = np.flatnonzero(w)
+        own = slots.take(nodes_of(tree, x, rows=rows))
+        if (own < 0).any():
+            rows, own = rows[own >= 0], own[own >= 0]
+        w = w.take(rows).astype(float)
+        packed = w * (residual[part].take(rows) * float(1 << WEIGHT_BITS) + 1.0)
+        first, start = rows * width, own * size
+        seen += np.bincount(own, minlength=n)
+        for j in range(k):
+            at = columns[0, j] if alike else columns[:, j].take(own)
+            sums = np.bincount(start + flat.take(first + at), packed, n * size)
+            total[:, j] += sums.astype(np.int64).reshape(n, size)
+    return total, seen
+
+
+def _unpacked_splits(
+    total: np.ndarray, seen: np.ndarray, t: int, opened: list[int], columns: np.ndarray, width: int, scale: float, growth: Growth
+):
+    """``best_splits`` of the open nodes."""
+    n, size = len(opened), total.shape[-1]
+    rows, whole = np.arange(n), np.zeros((3, n, width, size))
+    weights = total & ((1 << WEIGHT_BITS) - 1)
+    for j in range(columns.shape[1]):
+        whole[0, rows, columns[:, j]] = (total[:, j] >> WEIGHT_BITS) * scale
+        whole[1, rows, columns[:, j]] = weights[:, j]
+    allowed = np.zeros((n, width), bool)
+    allowed[rows[:, None], columns] = True
+    lost = np.flatnonzero(~allowed[:, 0])  # totals are read off the first feature
+    whole[0, lost, 0, 0] = (total[lost, 0] >> WEIGHT_BITS).sum(-1) * scale
+    whole[1, lost, 0, 0] = weights[lost, 0].sum(-1)
+    whole[2, :, 0, 0] = seen
+    return best_splits(whole, allowed, scale, growth)
+
+
 # --- rows in one task ----------------------------------------------------------------------
 
 
+def _forest_here(bins, keys, y, number, growth, cuts, size, scale) -> list[dict]:
+    """A forest over rows in memory, from packed sums."""
+    trees = []
+    for t in range(number):
+        tree, opened = new_tree(), [0]
+        for _ in range(growth.depth):
+            if opened:
+                columns = _columns(bins.shape[1], t, opened, growth)
+                total, seen = _packed_sums(bins, keys, -y, t, tree, opened, columns, growth, size)
+                found = _unpacked_splits(total, seen, t, opened, columns, bins.shape[1], scale, growth)
+                opened = split_nodes(tree, opened, found, cuts, growth)
+        trees.append(tree)
+    return trees
+
+
 def _grow_here(bins, keys, y, start, number, growth, cuts, size, scale, boosted) -> list[dict]:
     """All trees over rows in memory; boosting (one at a time) follows the residuals, a forest does not."""
     trees, score = [], np.full(len(y), start)
@@ -260,6 +350,53 @@ def _node_sums(
     return total
 
 
+NODES_TOGETHER = 32
+
+
+def _packed_level(
+    blocks: RDD[Block], trees: dict[int, dict], opened: dict[int, list[int]],
+    growth: Growth, width: int, size: int, scale: float, cuts: list[list[float]],
+) -> dict[int, list[int]]:
+    """The same as ``_level`` from packed sums, which go to the grouped tasks by runs of a tree's open nodes."""
+
+    def scan(part: Iterator[Block]) -> Iterator[tuple[tuple[int, int], np.ndarray]]:
+        held = [(bins, keys, score - y) for bins, keys, y, score in part]
+        for t, tree in trees.items():
+            if not opened[t]:
+                continue
+            columns = _columns(width, t, opened[t], growth)
+            total, seen = np.zeros((*columns.shape, size), np.int64), np.zeros(len(columns), np.int64)
+            for bins, keys, residual in held:
+                sums, rows = _packed_sums(bins, keys, residual, t, tree, opened[t], columns, growth, size)
+                total += sums
+                seen += rows
+            whole = np.concatenate([total.reshape(len(columns), -1), seen[:, None]], axis=1)
+            for k in range(0, len(columns), NODES_TOGETHER):
+                yield (t, k), whole[k : k + NODES_TOGETHER]
+
+    def choose(item: tuple[tuple[int, int], np.ndarray]) -> list[tuple[int, int, list]]:
+        (t, k), whole = item
+        nodes = opened[t][k : k + NODES_TOGETHER]
+        columns, seen = _columns(width, t, nodes, growth), whole[:, -1]
+        total = whole[:, :-1].reshape(*columns.shape, size)
+        found = _unpacked_splits(total, seen, t, nodes, columns, width, scale, growth)
+        return [(t, node, [f[i].item() for f in found[:7]]) for i, node in enumerate(nodes) if seen[i]]
+
+    there = sum(-(-len(o) // NODES_TOGETHER) for o in opened.values())
+    summed = blocks.mapPartitions(scan).reduceByKey(np.add, min(there, blocks.getNumPartitions()))
+    return _applied({(t, node): found for t, node, found in summed.flatMap(choose).collect()}, trees, opened, cuts, growth)
+
+
+def _applied(splits: dict[tuple[int, int], list], trees, opened, cuts, growth) -> dict[int, list[int]]:
+    """The open nodes after the found splits were made."""
+    after = {}
+    for t, tree in trees.items():
+        held = [n for n in opened[t] if (t, n) in splits]
+        columns = [np.array(c) for c in zip(*(splits[t, n] for n in held), strict=True)]
+        after[t] = split_nodes(tree, held, columns, cuts, growth) if held else []
+    return after
+
+
 def _level(
     blocks: RDD[Block], trees: dict[int, dict], opened: dict[int, list[int]],
     growth: Growth, width: int, size: int, scale: float, cuts: list[list[float]],
@@ -276,7 +413,7 @@ def _level(
             for bins, keys, y, score in held:
                 w = row_weights(keys, t, growth)
                 drawn = np.flatnonzero(w)
-                slot = slots[nodes_of(tree, bins[drawn])]
+                slot = slots[nodes_of(tree, bins, rows=drawn)]
                 rows = drawn[slot >= 0]
                 g = np.rint((score[rows] - y[rows]) * scale).astype(np.int64) * w[rows]
                 total += _node_sums(bins[rows], slot[slot >= 0], g, w[rows], columns, size)
@@ -295,13 +432,7 @@ def _level(
 
     there = sum(map(len, opened.values()))
     summed = blocks.mapPartitions(scan).reduceByKey(np.add, min(there, blocks.getNumPartitions()))
-    splits = {(t, node): found for t, node, found in summed.map(choose).collect()}
-    after = {}
-    for t, tree in trees.items():
-        held = [n for n in opened[t] if (t, n) in splits]
-        columns = [np.array(c) for c in zip(*(splits[t, n] for n in held), strict=True)]
-        after[t] = split_nodes(tree, held, columns, cuts, growth) if held else []
-    return after
+    return _applied({(t, node): found for t, node, found in summed.map(choose).collect()}, trees, opened, cuts, growth)
 
 
 @dataclass
@@ -314,12 +445,23 @@ class Binned:
     cuts: list[list[float]]
     mean: float
     scale: float
+    signs: bool = False  # whether y is -1, 0 or 1 everywhere
 
     @property
     def size(self) -> int:
         return max(len(c) for c in self.cuts) + 1
 
 
+def _distinct_values(train: DataFrame, columns: dict[int, Column], most: int) -> dict[int, list[float]]:
+    """The smallest ``most`` distinct values of each column, from one pass over the rows."""
+    if not columns:
+        return {}
+    cells = F.explode(F.array(*(F.struct(F.lit(k).alias("k"), v.alias("v")) for k, v in columns.items())))
+    found = train.select(cells.alias("cell")).select("cell.k", "cell.v").distinct()
+    lists = found.groupBy("k").agg(F.slice(F.sort_array(F.collect_list("v")), 1, most).alias("v"))
+    return {r["k"]: list(r["v"]) for r in lists.collect()}
+
+
 def bin_rows(train: DataFrame, columns: tuple[str, ...], target: str, bins: int = 128) -> Binned:
     """Bin ``columns`` (null as 0) at their distinct values, or at quantiles if there are ``bins`` or more."""
     values = {c: F.coalesce(F.col(f"`{c}`").cast("double"), F.lit(0.0)) for c in columns}
@@ -327,15 +469,16 @@ def bin_rows(train: DataFrame, columns: tuple[str, ...], target: str, bins: int
     shares = [k / bins for k in range(1, bins)]
     stats = train.agg(
         F.count(y).alias("n"), F.avg(y).alias("mean"), F.max(F.abs(y)).alias("most"),
+        F.min((y == F.rint(y)).cast("int")).alias("whole"),
         *(F.percentile_approx(v, shares, 10_000).alias(f"q{k}") for k, v in enumerate(values.values())),
         *(F.approx_count_distinct(v).alias(f"d{k}") for k, v in enumerate(values.values())),
     ).first()
+    few = [k for k in range(len(values)) if stats[f"d{k}"] < bins]  # about; the exact values are looked up and counted
+    held = _distinct_values(train, {k: list(values.values())[k] for k in few}, 2 * bins)
     cuts = []
-    for k, v in enumerate(values.values()):
-        few = stats[f"d{k}"] < bins  # about; the exact values are looked up and counted
-        held = sorted(r[0] for r in train.select(v).distinct().limit(2 * bins).collect()) if few else []
-        exact = few and len(held) <= bins
-        cuts.append(held[:-1] if exact else sorted(set(stats[f"q{k}"] or [])))
+    for k in range(len(values)):
+        exact = k in few and len(held.get(k, [])) <= bins
+        cuts.append(held.get(k, [])[:-1] if exact else sorted(set(stats[f"q{k}"] or [])))
     bounds = [np.array(c) for c in cuts]
     n, mean = stats["n"], stats["mean"] or 0.0
     size = max(2 * (stats["most"] or 0.0), 1.0)
@@ -352,7 +495,8 @@ def bin_rows(train: DataFrame, columns: tuple[str, ...], target: str, bins: int
     named = [v.alias(f"x{k}") for k, v in enumerate(values.values())]
     rows = train.filter(y.isNotNull()).select(*named, y.alias("y"), F.xxhash64(y, *values.values()).alias("key"))
     made = rows.mapInArrow(scan, "x binary, y double, key long").withColumn("score", F.lit(float(mean)))
-    return Binned(cut_lineage(made), n, len(columns), cuts, float(mean), scale)
+    signs = stats["whole"] == 1 and stats["most"] <= 1
+    return Binned(cut_lineage(made), n, len(columns), cuts, float(mean), scale, signs)
 
 
 def grow_trees(
@@ -362,13 +506,17 @@ def grow_trees(
     start = data.mean if boosted else 0.0
     growth = growth if boosted else replace(growth, step=1.0)
     width, size, scale, cuts = data.width, data.size, data.scale, data.cuts
+    packed = not boosted and data.signs and scale >= 1 and data.n * MOST_WEIGHT < 1 << WEIGHT_BITS
     if data.n <= task_rows:
 
         def whole(table: pa.Table) -> pa.Table:
             b = table.combine_chunks().to_batches()[0]
             y, keys = b.column("y").to_numpy(), b.column("key").to_numpy()
             bins = np.ascontiguousarray(_unpacked(b, width))
-            trees = _grow_here(bins, keys, y, start, number, growth, cuts, size, scale, boosted)
+            if packed:
+                trees = _forest_here(bins, keys, y, number, growth, cuts, size, scale)
+            else:
+                trees = _grow_here(bins, keys, y, start, number, growth, cuts, size, scale, boosted)
             return pa.table({"trees": [json.dumps(trees)]})
 
         rows = data.rows.withColumn("one", F.lit(0)).groupBy("one").applyInArrow(whole, "trees string").collect()
@@ -382,7 +530,7 @@ def grow_trees(
             opened = {t: [0] for t in trees}
             for _ in range(growth.depth):
                 if any(opened.values()):
-                    opened = _level(blocks, trees, opened, *args)
+                    opened = (_packed_level if packed else _level)(blocks, trees, opened, *args)
             return list(trees.values())
         done: list[dict] = []
         for t in range(number):
