@@ -324,6 +324,20 @@ def test_trees_are_equal_in_one_task_and_in_the_cluster(spark, boosted):
     assert here == spread and any(len(t["feature"]) > 7 for t in here)
 
 
+@pytest.mark.parametrize("fit, target", [(models.train_ridge, "target"), (models.train_logistic, "label")])
+def test_a_fit_computes_its_rows_once(spark, fit, target):
+    read = spark.sparkContext.accumulator(0)
+
+    @F.udf("double")
+    def counted(value):
+        read.add(1)
+        return value
+
+    rows_ = tree_rows(spark).withColumn("a", counted.asNondeterministic()("a"))
+    fit(rows_, ("a", "b", "c"), target)
+    assert read.value == 600
+
+
 def test_a_forest_ships_a_number_per_cell_and_looks_up_values_once(spark, monkeypatch):
     rows_ = tree_rows(spark)
     looked = []

@@ -18,6 +18,7 @@ from zephyrine.operators.features import (
 )
 from zephyrine.operators.metrics import classification_metrics, regression_metrics
 from zephyrine.operators.trees import Growth, bin_rows, ensemble_of, grow_trees
+from zephyrine.session import cut_lineage
 
 _PREFIX = "_x_"
 
@@ -49,6 +50,11 @@ def _present(df: DataFrame, columns: tuple[str, ...]) -> tuple[str, ...]:
     return tuple(c for c in columns if c in df.columns)
 
 
+def _training_rows(train: DataFrame, used: tuple[str, ...], target: str) -> DataFrame:
+    """The columns of a fit, stored: scaling, counting and fitting read them without computing the features anew."""
+    return cut_lineage(train.select(*dict.fromkeys((*used, target))))
+
+
 def train_logistic(
     train: DataFrame,
     columns: tuple[str, ...] = CLASSIFIER_FEATURES,
@@ -58,6 +64,7 @@ def train_logistic(
 ) -> PipelineModel:
     """L2-penalised logistic regression; ``c`` weighs the summed loss against the penalty."""
     used = _present(train, columns)
+    train = _training_rows(train, used, label)
     estimator = LogisticRegression(
         labelCol=label,
         regParam=1.0 / (c * train.count()),
@@ -103,6 +110,7 @@ def train_ridge(
     MLlib divides the loss by n and rescales the label by its deviation, hence the factor.
     """
     used = _present(train, columns)
+    train = _training_rows(train, used, target)
     size = train.agg(F.count("*").alias("n"), F.stddev_pop(target).alias("s")).first()
     estimator = LinearRegression(
         labelCol=target,
