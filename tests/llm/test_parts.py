@@ -2,8 +2,10 @@
 
 import os
 from pydoc_data.topics import topics
+from unittest import mock
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
@@ -307,6 +309,39 @@ def test_every_position_is_trained_once(spark, monkeypatch, tmp_path):
         assert found == sorted([*range(19), 16, 17, 18])
 
 
+def test_training_splits_each_text_once(spark, monkeypatch, tmp_path):
+    seen = tmp_path / "seen"
+    seen.mkdir()
+    split = pseudolm.words_in
+
+    def recorded(texts):
+        with open(seen / str(os.getpid()), "a") as out:
+            out.write("x" * len(texts))
+        return split(texts)
+
+    monkeypatch.setattr(pseudolm, "words_in", recorded)
+    docs = spark.createDataFrame([*((n, f"a b{n} C  d") for n in range(7)), (7, None)], "doc_id long, text string")
+    held = spark.sparkContext._jsc.getPersistentRDDs().size()
+    pseudolm.train(docs, {b"a": 0}, rounds=4)
+    assert sum(len(f.read_text()) for f in seen.iterdir()) == 8
+    assert spark.sparkContext._jsc.getPersistentRDDs().size() == held
+
+
+@settings(max_examples=60, deadline=None)
+@given(
+    st.lists(st.none() | st.text(alphabet="abC \n\t\x0b\x0c\r\x1f\x85é|", max_size=30), max_size=12),
+    st.integers(1, 40),
+)
+def test_words_of_texts_split_together(texts, size):
+    column, found = pa.array(texts, pa.string()), []
+    with mock.patch.object(pseudolm, "_GROUP", size):
+        parts = [*pseudolm.groups(column)]
+    for part in parts:
+        words, of = pseudolm.words_in(column[part])
+        found += [[w for w, k in zip(words.to_pylist(), of, strict=True) if k == n] for n in range(len(column[part]))]
+    assert found == [(t or "").encode().lower().split() for t in texts]
+
+
 @pytest.mark.parametrize("near", [0, 3, 1000])
 def test_word_probabilities_follow_the_corpus_counts(spark, near):
     text = "common " * 9 + "rare seen seen " + " ".join(f"w{n} w{n}" for n in range(30))

@@ -27,9 +27,12 @@ from __future__ import annotations
 import math
 import zlib
 from collections.abc import Iterator
+from itertools import compress, pairwise, repeat
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -42,6 +45,8 @@ OWN = VOCABULARY // 2  # numbers kept for the most frequent words
 NEAR = 1 << 16  # words of shared numbers whose counts go to the tasks; the others are joined
 SIDE = 2  # tokens seen on each side
 EMBED, HIDDEN = 8, 16
+_SHIFTS = [k for k in range(2 * SIDE + 1) if k != SIDE]
+_BESIDE = np.array(_SHIFTS) - SIDE
 _SHAPES = {
     "embed": (VOCABULARY + 1, EMBED),
     "inner": (2 * SIDE * EMBED, HIDDEN),
@@ -52,7 +57,8 @@ _SHAPES = {
     "low": (HIDDEN, HALF),
     "low_bias": (HALF,),
 }
-_CHUNK = 1 << 14
+_GROUP = 1 << 20  # bytes of texts split and looked up at once, besides the last text's
+_STEP = 1 << 10  # positions scored at once: their arrays stay in a core's cache
 
 
 def new_model(seed: int = 5) -> dict[str, np.ndarray]:
@@ -73,9 +79,45 @@ def _shaped(flat: np.ndarray) -> dict[str, np.ndarray]:
     return {k: p.reshape(s) for (k, s), p in zip(_SHAPES.items(), parts, strict=True)}
 
 
+def _looked_up(words: list[bytes], known: dict[bytes, int]) -> np.ndarray:
+    """What ``known`` has for each word, -1 for the others."""
+    return np.fromiter(map(known.get, words, repeat(-1)), np.int64, len(words))
+
+
+def _shared_numbers(words: list[bytes]) -> np.ndarray:
+    return OWN + np.fromiter(map(zlib.crc32, words), np.int64, len(words)) % (VOCABULARY - OWN)
+
+
 def word_numbers(words: list[bytes], own: dict[bytes, int]) -> np.ndarray:
-    spread, crc = VOCABULARY - OWN, zlib.crc32
-    return np.array([own[w] if w in own else OWN + crc(w) % spread for w in words], np.int64)
+    numbers = _looked_up(words, own)
+    others = numbers < 0
+    numbers[others] = _shared_numbers([*compress(words, others.tobytes())])
+    return numbers
+
+
+def groups(texts: pa.Array) -> Iterator[slice]:
+    """Texts in a row that are split together."""
+    reach = np.cumsum(pc.binary_length(texts).fill_null(0).to_numpy().astype(np.int64)) // _GROUP
+    cuts = [0, *(np.flatnonzero(np.diff(reach)) + 1).tolist(), len(texts)]
+    return (slice(a, b) for a, b in pairwise(cuts) if b > a)
+
+
+def words_in(texts: pa.Array) -> tuple[pa.Array, np.ndarray]:
+    """The words of all texts in order, and for each word the place of its text."""
+    lists = pc.ascii_split_whitespace(pc.ascii_lower(texts.fill_null("")))
+    words = lists.flatten().cast(pa.binary())
+    of = np.repeat(np.arange(len(texts)), pc.list_value_length(lists).to_numpy())
+    kept = pc.binary_length(words).to_numpy() > 0  # blanks at the ends of a text leave empty words there
+    return words.filter(pa.array(kept)), of[kept]
+
+
+def _as_list(words: pa.Array) -> list[bytes]:
+    return words.to_numpy(zero_copy_only=False).tolist()  # many times as fast as to_pylist
+
+
+def _ends(of: np.ndarray, count: int) -> np.ndarray:
+    """Where the items of each of ``count`` rows end, in a list of all; a 0 before."""
+    return np.concatenate([[0], np.cumsum(np.bincount(of, minlength=count))]).astype(np.int32)
 
 
 def token_numbers(text: bytes | None, own: dict[bytes, int]) -> np.ndarray:
@@ -83,54 +125,86 @@ def token_numbers(text: bytes | None, own: dict[bytes, int]) -> np.ndarray:
     return word_numbers((text or b"").lower().split(), own)
 
 
-def windows(numbers: np.ndarray) -> np.ndarray:
-    """The tokens on both sides of every position, the edge's number beyond the ends."""
+def windows(numbers: np.ndarray, chosen: slice = slice(None)) -> np.ndarray:
+    """The tokens on both sides of the chosen positions, the edge's number beyond the ends."""
     n = len(numbers)
     padded = np.full(n + 2 * SIDE, VOCABULARY, np.int64)
     padded[SIDE : SIDE + n] = numbers
-    shifts = [k for k in range(2 * SIDE + 1) if k != SIDE]
-    return np.stack([padded[k : k + n] for k in shifts], axis=1)
+    return np.stack([padded[k : k + n][chosen] for k in _SHIFTS], axis=1)
+
+
+def _below_largest(z: np.ndarray) -> np.ndarray:
+    """``z`` less the largest of its column, in place."""
+    z -= z.max(axis=0)
+    return z
+
+
+def _column_sums(z: np.ndarray) -> np.ndarray:
+    """Sums of columns of ``HALF`` numbers, by eighths and then by pairs: more exact than one after the other."""
+    sums = z.reshape(-1, 8, z.shape[1]).sum(axis=0)
+    while len(sums) > 1:
+        sums = sums[::2] + sums[1::2]
+    return sums[0]
 
 
 def _log_softmax(z: np.ndarray) -> np.ndarray:
-    z = z - z.max(axis=1, keepdims=True)
-    return z - np.log(np.exp(z).sum(axis=1, keepdims=True))
+    """Logarithms of the softmax of the columns, in place."""
+    _below_largest(z)
+    z -= np.log(_column_sums(np.exp(z)))
+    return z
 
 
 def _forward(m, around, numbers):
-    seen = m["embed"][around].reshape(len(around), -1)
-    hidden = np.tanh(seen @ m["inner"] + m["inner_bias"])
+    """What the layers see and put out; the last two are the halves before their softmax, a column a position.
+
+    Long rows: numpy takes several times as long for many short ones.
+    """
+    seen = m["embed"].take(around, axis=0).reshape(len(around), -1)
+    hidden = seen @ m["inner"]
+    hidden += m["inner_bias"]
+    np.tanh(hidden, out=hidden)
     first = numbers // HALF
-    told = hidden + m["given"][first]
-    return (
-        seen, hidden, told, first,
-        _log_softmax(hidden @ m["high"] + m["high_bias"]),
-        _log_softmax(told @ m["low"] + m["low_bias"]),
-    )
+    told = m["given"].take(first, axis=0)
+    told += hidden
+    high, low = m["high"].T @ hidden.T, m["low"].T @ told.T
+    high += m["high_bias"][:, None]
+    low += m["low_bias"][:, None]
+    return seen, hidden, told, first, high, low
 
 
 def log_probabilities(m: dict[str, np.ndarray], around: np.ndarray, numbers: np.ndarray) -> np.ndarray:
-    rows = np.arange(len(numbers))
     *_, first, high, low = _forward(m, around, numbers)
-    return high[rows, first] + low[rows, numbers % HALF]
+    n = len(numbers)
+
+    def picked(z: np.ndarray, at: np.ndarray) -> np.ndarray:
+        held = _below_largest(z).take(at * n + np.arange(n))
+        return held - np.log(_column_sums(np.exp(z, out=z)))
+
+    return picked(high, first) + picked(low, numbers % HALF)
 
 
 def _sums_by(at: np.ndarray, rows: np.ndarray, count: int) -> np.ndarray:
     """Sums of the rows that go to each of ``count`` places."""
     wide = rows.shape[1]
-    flat = (at[:, None] * wide + np.arange(wide)).ravel()
+    flat = np.arange(count * wide).reshape(count, wide).take(at, axis=0).ravel()
     return np.bincount(flat, rows.ravel(), count * wide).reshape(count, wide).astype(rows.dtype)
 
 
 def _gradient(m, around, numbers) -> dict[str, np.ndarray]:
-    n, rows = len(numbers), np.arange(len(numbers))
+    n = len(numbers)
     seen, hidden, told, first, high, low = _forward(m, around, numbers)
-    dh, dl = np.exp(high), np.exp(low)
-    dh[rows, first] -= 1
-    dl[rows, numbers % HALF] -= 1
-    dh, dl = dh / n, dl / n
+
+    def slope(z: np.ndarray, at: np.ndarray) -> np.ndarray:
+        np.exp(_log_softmax(z), out=z)
+        z.reshape(-1)[at * n + np.arange(n)] -= 1
+        z /= n
+        return np.ascontiguousarray(z.T)
+
+    dh, dl = slope(high, first), slope(low, numbers % HALF)
     dtold = dl @ m["low"].T
-    inner = (dh @ m["high"].T + dtold) * (1 - hidden * hidden)
+    inner = dh @ m["high"].T
+    inner += dtold
+    inner *= 1 - hidden * hidden
     given = _sums_by(first, dtold, HALF)
     embed = _sums_by(around.ravel(), (inner @ m["inner"].T).reshape(-1, EMBED), VOCABULARY + 1)
     return {
@@ -144,8 +218,9 @@ class Trainer:
     """Adagrad on masked positions, in steps of ``batch`` positions."""
 
     def __init__(self, model: dict[str, np.ndarray], rate: float, batch: int = 1024):
-        self.model = {k: v.copy() for k, v in model.items()}
-        self.past = {k: np.full(v.shape, 1e-6, np.float32) for k, v in model.items()}
+        self.flat = _flat(model)
+        self.model = _shaped(self.flat)  # views of the flat model
+        self.past = np.full(self.flat.shape, 1e-6, np.float32)
         self.rate, self.batch, self.positions = rate, batch, 0
         self.held: list[tuple[np.ndarray, np.ndarray]] = []
         self.waiting = 0
@@ -164,9 +239,9 @@ class Trainer:
         self.held, self.waiting = [], 0
         for k in range(0, len(numbers), self.batch):
             part = slice(k, k + self.batch)
-            for name, g in _gradient(self.model, around[part], numbers[part]).items():
-                self.past[name] += g * g
-                self.model[name] -= self.rate * g / np.sqrt(self.past[name])
+            g = _flat(_gradient(self.model, around[part], numbers[part]))
+            self.past += g * g
+            self.flat -= self.rate * g / np.sqrt(self.past)
 
 
 def word_counts(docs: DataFrame, text: str = "text") -> DataFrame:
@@ -245,28 +320,52 @@ def train(
     rounds: int = 2,
     rate: float = 0.1,
 ) -> dict[str, np.ndarray]:
-    """The averaged network; every position of every document is trained in one of the rounds."""
-    rows = carried(docs, id, text).select("key_hash", F.col("body").cast("binary").alias("body"))
+    """The averaged network; every position of every document is trained in one of the rounds.
+
+    The texts become numbers once; the rounds read these from the cluster's disks.
+    """
+    rows = carried(docs, id, text).select("key_hash", "body")
+
+    def number(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            for part in groups(b.column("body")):
+                hashes, texts = b.column("key_hash")[part], b.column("body")[part]
+                words, of = words_in(texts)
+                coded = words.dictionary_encode()
+                numbers = word_numbers(_as_list(coded.dictionary), own).astype(np.uint16)[coded.indices.to_numpy()]
+                buffers = [None, pa.py_buffer(_ends(of, len(texts)) * 2), pa.py_buffer(numbers)]
+                held = pa.Array.from_buffers(pa.binary(), len(texts), buffers)
+                yield pa.RecordBatch.from_arrays([hashes, held], ["key_hash", "numbers"])
+
+    numbered = rows.mapInArrow(number, "key_hash long, numbers binary").persist(StorageLevel.DISK_ONLY)
+    try:
+        numbered.count()  # a round beside the numbering would have two Python workers in each task
+        return _trained(numbered, rounds, rate)
+    finally:
+        numbered.unpersist()
+
+
+def _trained(numbered: DataFrame, rounds: int, rate: float) -> dict[str, np.ndarray]:
     model = new_model()
     for turn in range(rounds):
 
         def scan(batches: Iterator[pa.RecordBatch], begin=model, turn=turn) -> Iterator[pa.RecordBatch]:
             trainer = Trainer(begin, rate)
             for b in batches:
-                for text_, hash_ in zip(b.column("body").to_pylist(), b.column("key_hash").to_pylist(), strict=True):
-                    numbers = token_numbers(text_, own)
+                for held, hash_ in zip(b.column("numbers"), b.column("key_hash").to_pylist(), strict=True):
+                    numbers = np.frombuffer(held.as_buffer(), np.uint16).astype(np.int64)
                     chosen = positions_of_round(hash_, turn, rounds)
                     if len(numbers[chosen]):
-                        trainer.add(windows(numbers)[chosen], numbers[chosen])
+                        trainer.add(windows(numbers, chosen), numbers[chosen])
             trainer.step()
             if trainer.positions:
-                made = [[trainer.positions], [_flat(trainer.model).astype(np.float64).tolist()]]
+                made = [[trainer.positions], [trainer.flat.astype(np.float64).tolist()]]
                 kinds = [pa.int64(), pa.list_(pa.float64())]
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(v, k) for v, k in zip(made, kinds, strict=True)], ["n", "model"]
                 )
 
-        copies = rows.mapInArrow(scan, "n long, model array<double>")
+        copies = numbered.mapInArrow(scan, "n long, model array<double>")
         mean = (
             copies.select("n", F.posexplode("model").alias("at", "value"))
             .groupBy("at")
@@ -297,46 +396,46 @@ def score_documents(
     shared, totals, top, all_known = shared_counts(word_counts(docs, text) if counts is None else counts, own, near)
     # A class without any word is left to unseen words as a whole.
     scale = np.concatenate([np.zeros(OWN), np.log(totals + 1)])
-    known = {w: math.log(n) for w, n in top.items()} | dict.fromkeys(own, 0.0)
+    # Words the tasks know: by their places, their numbers and the logarithms of their counts.
+    listed = [w for w in top if w not in own]
+    known = pa.array([*own, *listed], pa.binary())
+    number_at = np.array([*own.values(), *_shared_numbers(listed)], np.int64)
+    share_at = np.array([*repeat(0.0, len(own)), *(math.log(top[w]) for w in listed)])
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        def scored(ids, held, shares, rare):
-            sizes = [len(x) for x in held]
-            sums = np.array(shares, np.float64)
-            if sum(sizes):
-                numbers = np.concatenate(held)
-                around = np.concatenate([windows(x) for x in held])
-                of = np.repeat(np.arange(len(held)), sizes)
-                for k in range(0, len(numbers), _CHUNK):
-                    part = slice(k, k + _CHUNK)
-                    logs = log_probabilities(model, around[part], numbers[part]) - scale[numbers[part]]
-                    sums += np.bincount(of[part], logs, minlength=len(held))
-            arrays = [pa.array(ids, pa.int64()), pa.array(sizes, pa.int64()), pa.array(sums, pa.float64())]
-            arrays.append(pa.array(rare, pa.list_(pa.binary())))
-            return pa.RecordBatch.from_arrays(arrays, ["key_id", "n_tokens", "log_likelihood", "rare"])
-
         for b in batches:
-            ids, held, shares, rare, waiting = [], [], [], [], 0
-            for id_, text_ in zip(b.column("key_id").to_pylist(), b.column("body").to_pylist(), strict=True):
-                words = (text_ or b"").lower().split()
-                others = [w for w in words if w not in known]
-                ids.append(id_)
-                held.append(word_numbers(words, own))
-                shares.append(sum(known[w] for w in words if w in known))
+            for part in groups(b.column("body")):
+                ids, texts = b.column("key_id")[part], b.column("body")[part]
+                words, of = words_in(texts)
+                places = pc.index_in(words, value_set=known).fill_null(-1).to_numpy()
+                other = places < 0
+                others = words.filter(pa.array(other))
+                numbers, shares = np.empty(len(words), np.int64), np.zeros(len(words))
+                numbers[~other], shares[~other] = number_at[places[~other]], share_at[places[~other]]
+                numbers[other] = _shared_numbers(_as_list(others))
                 if all_known:
-                    shares[-1] += sum(unseen_log_share(len(w)) for w in others)
-                rare.append([] if all_known else others)
-                waiting += len(words)
-                if waiting >= _CHUNK:
-                    yield scored(ids, held, shares, rare)
-                    ids, held, shares, rare, waiting = [], [], [], [], 0
-            if ids:
-                yield scored(ids, held, shares, rare)
-
-    rows = carried(docs, id, text).select("key_id", F.col("body").cast("binary").alias("body"))
-    found = rows.mapInArrow(scan, "key_id long, n_tokens long, log_likelihood double, rare array<binary>")
+                    shares[other] = (pc.binary_length(others).to_numpy() + 1) * unseen_log_share(0)
+                # Two texts have the edges between them in common.
+                at = np.arange(len(words)) + SIDE * (of + 1)
+                padded = np.full(len(words) + SIDE * (len(texts) + 1), VOCABULARY, np.int64)
+                padded[at] = numbers
+                sums = np.zeros(len(texts))
+                for k in range(0, len(words), _STEP):
+                    step = slice(k, k + _STEP)
+                    around = padded.take(at[step, None] + _BESIDE)
+                    logs = log_probabilities(model, around, numbers[step]) - scale[numbers[step]] + shares[step]
+                    sums += np.bincount(of[step], logs, minlength=len(texts))
+                sizes = np.bincount(of, minlength=len(texts))
+                made = {"key_id": ids, "n_tokens": pa.array(sizes), "log_likelihood": pa.array(sums)}
+                if not all_known:
+                    made["rare"] = pa.ListArray.from_arrays(pa.array(_ends(of[other], len(texts))), others)
+                yield pa.RecordBatch.from_pydict(made)
+
+    rows = carried(docs, id, text).select("key_id", "body")
+    kinds = "key_id long, n_tokens long, log_likelihood double"
     if all_known:
-        return found.drop("rare")
+        return rows.mapInArrow(scan, kinds)
+    found = rows.mapInArrow(scan, f"{kinds}, rare array<binary>")
     lone = found.withColumn("row_no", F.monotonically_increasing_id()).select(
         "row_no", "key_id", "n_tokens", "log_likelihood", F.explode_outer("rare").alias("word")
     )
