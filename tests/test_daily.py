@@ -1,10 +1,12 @@
 import datetime as dt
+import threading
 
 import pytest
 from pyspark.sql import functions as F
 
 from tests.conftest import rows
 from workload.projection import World
+from zephyrine.operators import models as fits
 from zephyrine.operators.anomalies import detect_threshold_anomalies
 from zephyrine.operators.features import build_feature_matrix
 from zephyrine.operators.validate import sanitize_ranges
@@ -87,6 +89,20 @@ def test_training_needs_enough_rows(world, spark, folder):
     assert training.train_best_clustering(few, AS_OF, models) == (None, False)
 
 
+def test_forecast_targets_are_fitted_side_by_side(world, spark, folder, monkeypatch):
+    met, fit = threading.Barrier(2, timeout=120), fits.train_ridge
+    monkeypatch.setattr(fits, "train_ridge", lambda *a, **b: met.wait() >= 0 and fit(*a, **b))
+    models = ModelStore(spark, folder)
+    matrix = build_feature_matrix(world.measurements, world.sensors, AS_OF, 30)
+    found = training.train_best_forecasters(matrix, models, rounds=1)
+    names = [training.forecaster_name(t) for t in ("pm2_5", "no2")]
+    logged = rows(models.runs(), "run_order", "registry_name", "model_name", "version")
+    assert logged == [
+        (1, names[0], "Ridge", 1), (2, names[0], "BoostedTrees", 2), (3, names[1], "Ridge", 1), (4, names[1], "BoostedTrees", 2),
+    ]
+    assert [better for _, better in found.values()] == [True, True] and list(found) == ["pm2_5", "no2"]
+
+
 def test_all_views_are_available_to_sql(world, spark):
     tables = Tables(
         measurements=world.measurements,

@@ -324,6 +324,46 @@ def test_trees_are_equal_in_one_task_and_in_the_cluster(spark, boosted):
     assert here == spread and any(len(t["feature"]) > 7 for t in here)
 
 
+def test_boosting_sums_the_smaller_child_of_a_node_over_parts_of_equal_size(spark, monkeypatch):
+    rows_ = tree_rows(spark, 900).coalesce(1).union(tree_rows(spark, 5).limit(0)).cache()  # most parts are empty
+    growth, asked = trees.Growth(depth=4, row_sample=0.8, columns_per_tree=0.7), []
+    data = trees.bin_rows(rows_, ("a", "b", "c"), "target", bins=32)
+    parts = [sum(len(b[2]) for b in part) for part in trees._blocks(data, 0.0).glom().collect()]
+    assert sum(parts) == 900 and max(parts) <= min(parts) + len(parts)
+    kept = trees._sums_of
+    monkeypatch.setattr(trees, "_sums_of", lambda *a: asked.append(list(a[3])) or kept(*a))
+    spread = trees.grow_trees(data, 3, growth, boosted=True, task_rows=0)
+    assert spread == trees.grow_trees(data, 3, growth, boosted=True)
+    assert sum(map(len, asked)) == sum(1 + sum(1 for f in _split_above(t, 3) if f >= 0) for t in spread)
+    monkeypatch.setattr(trees, "PARTS_GATHERED", 0)  # sums of many parts meet in tasks
+    assert trees.grow_trees(data, 3, growth, boosted=True, task_rows=0, keep_every=2) == spread
+
+
+def _split_above(tree, depth):
+    """The features of the nodes above a depth."""
+    above, level = [], [0]
+    for _ in range(depth):
+        above += [tree["feature"][n] for n in level]
+        level = [tree[side][n] for n in level if tree["feature"][n] >= 0 for side in ("left", "right")]
+    return above
+
+
+def test_columns_are_described_in_a_task_each(spark, monkeypatch):
+    x = RNG.integers(0, 500, (2000, 2)).astype(float)
+    df = table(spark, x, target=x[:, 0] - 250).repartition(7).withColumn("f1", F.nullif("f1", F.lit(3.0)))
+    values = {c: F.coalesce(F.col(c), F.lit(0.0)) for c in ("f0", "f1")}
+    stats = trees._column_stats(df, values, F.col("target"), [0.25, 0.5, 0.75])
+    x[x[:, 1] == 3, 1] = 0
+    for k in range(2):
+        assert stats[k]["q"] == [np.sort(x[:, k])[i] for i in (499, 999, 1499)]
+        assert abs(stats[k]["d"] / len(np.unique(x[:, k])) - 1) < 0.2
+    y = x[:, 0] - 250
+    assert (stats[-1]["n"], stats[-1]["most"], stats[-1]["whole"]) == (2000, np.abs(y).max(), 1)
+    assert stats[-1]["mean"] == pytest.approx(y.mean())
+    nothing = trees._column_stats(df.limit(0), values, F.col("target"), [0.5])
+    assert nothing[-1]["n"] == 0 and nothing[0]["q"] is None
+
+
 @pytest.mark.parametrize("fit, target", [(models.train_ridge, "target"), (models.train_logistic, "label")])
 def test_a_fit_computes_its_rows_once(spark, fit, target):
     read = spark.sparkContext.accumulator(0)

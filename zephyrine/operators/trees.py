@@ -10,13 +10,14 @@ a model does not depend on how its rows are spread over tasks.  Rows and columns
 
 ``Binned`` holds rows in the cluster; they are cached as blocks of arrays, and a level of the trees is one Spark job.  Up to ``task_rows`` rows are a bounded table of
 one byte a value: one task then does the same sums over the same rows without a job per level.  Both give equal trees.
+In boosting, only the smaller child of a split node is summed: the other one has the rest of the node's sums.
 """
 
 from __future__ import annotations
 
 import json
 import math
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass, replace
 
 import numpy as np
@@ -297,7 +298,7 @@ def _unpacked(b: pa.RecordBatch, width: int) -> np.ndarray:
 
 
 def _blocks(data: Binned, start: float) -> RDD[Block]:
-    """The rows as blocks of at most ``BLOCK_ROWS``, in parts that a task can hold."""
+    """The rows as blocks of at most ``BLOCK_ROWS``, in parts of equal size that a task can hold."""
     width = data.width
 
     def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -324,7 +325,8 @@ def _blocks(data: Binned, start: float) -> RDD[Block]:
         return x, np.frombuffer(row["key"], np.int64), y, np.full(len(y), start)
 
     parts = max(data.rows.sparkSession.sparkContext.defaultParallelism, -(-data.n // PART_ROWS))
-    return data.rows.coalesce(parts).mapInArrow(pack, "x binary, key binary, y binary").rdd.map(arrays)
+    rows = data.rows.select("x", "y", "key").repartition(parts)  # many of the rows' own parts can be empty
+    return rows.mapInArrow(pack, "x binary, key binary, y binary").rdd.map(arrays)
 
 
 def _node_sums(
@@ -350,6 +352,19 @@ def _node_sums(
     return total
 
 
+def _block_sums(
+    block: Block, t: int, tree: dict, slots: np.ndarray, columns: np.ndarray, growth: Growth, size: int, scale: float
+) -> np.ndarray:
+    """``_node_sums`` of the rows drawn for a tree that have reached a node with a slot."""
+    bins, keys, y, score = block
+    w = row_weights(keys, t, growth)
+    drawn = np.flatnonzero(w)
+    slot = slots[nodes_of(tree, bins, rows=drawn)]
+    rows = drawn[slot >= 0]
+    g = np.rint((score[rows] - y[rows]) * scale).astype(np.int64) * w[rows]
+    return _node_sums(bins[rows], slot[slot >= 0], g, w[rows], columns, size)
+
+
 NODES_TOGETHER = 32
 
 
@@ -410,13 +425,8 @@ def _level(
                 continue
             columns = np.stack([np.flatnonzero(allowed_columns(width, t, node, growth)) for node in opened[t]])
             slots, total = _slots(tree, opened[t]), np.zeros((3, *columns.shape, size), np.int64)
-            for bins, keys, y, score in held:
-                w = row_weights(keys, t, growth)
-                drawn = np.flatnonzero(w)
-                slot = slots[nodes_of(tree, bins, rows=drawn)]
-                rows = drawn[slot >= 0]
-                g = np.rint((score[rows] - y[rows]) * scale).astype(np.int64) * w[rows]
-                total += _node_sums(bins[rows], slot[slot >= 0], g, w[rows], columns, size)
+            for block in held:
+                total += _block_sums(block, t, tree, slots, columns, growth, size, scale)
             for k in np.flatnonzero(total[2, :, 0].any(-1)):
                 yield (t, opened[t][k]), total[:, k]
 
@@ -435,6 +445,71 @@ def _level(
     return _applied({(t, node): found for t, node, found in summed.map(choose).collect()}, trees, opened, cuts, growth)
 
 
+#: Parts whose sums the driver adds itself; those of more parts meet in grouped tasks first.
+PARTS_GATHERED = 32
+
+
+def _sums_of(
+    blocks: RDD[Block], t: int, tree: dict, nodes: list[int], columns: np.ndarray, growth: Growth, size: int, scale: float
+) -> np.ndarray:
+    """Sums (gradient, weight, rows) per (one of ``nodes``, one of its ``columns``, bin) over all blocks."""
+    slots, kinds = _slots(tree, nodes), [0, 1, 2] if growth.bootstrap else [0, 2]  # otherwise a row's weight is 1
+
+    def scan(part: Iterator[Block]) -> Iterator[tuple[int, np.ndarray]]:
+        total = np.zeros((3, *columns.shape, size), np.int64)
+        for block in part:
+            total += _block_sums(block, t, tree, slots, columns, growth, size, scale)
+        for k in range(0, len(nodes), NODES_TOGETHER):
+            yield k, total[kinds, k : k + NODES_TOGETHER]
+
+    found = blocks.mapPartitions(scan)
+    if blocks.getNumPartitions() > PARTS_GATHERED:
+        found = found.reduceByKey(np.add, -(-len(nodes) // NODES_TOGETHER))
+    total = np.zeros((len(kinds), *columns.shape, size), np.int64)
+    for k, sums in found.collect():
+        total[:, k : k + sums.shape[1]] += sums
+    return total if growth.bootstrap else total[[0, 1, 1]]
+
+
+def _boosted_tree(
+    sums_of: Callable[[dict, list[int], np.ndarray], np.ndarray], t: int, growth: Growth,
+    width: int, size: int, scale: float, cuts: list[list[float]],
+) -> dict:
+    """A tree from the sums of its nodes; the larger child of a split node has what the smaller one leaves of its sums.
+
+    The sums of one level are held here, which are bounded by the tree's depth.
+    """
+    tree, opened, before = new_tree(), [0], {}
+    for _ in range(growth.depth):
+        if not opened:
+            break
+        rest = {}  # node: (the node it is split from, its sibling)
+        for node in before if growth.columns_per_node >= 1 else ():
+            if tree["feature"][node] >= 0:
+                left, right = tree["left"][node], tree["right"][node]
+                columns, sums = before[node]
+                rows = sums[2, np.searchsorted(columns, tree["feature"][node])]
+                fewer = 2 * rows[: tree["bin"][node] + 1].sum() <= rows.sum()
+                rest |= {right: (node, left)} if fewer else {left: (node, right)}
+        asked = [node for node in opened if node not in rest]
+        columns = _columns(width, t, asked, growth)
+        held = dict(zip(asked, zip(columns, sums_of(tree, asked, columns).swapaxes(0, 1), strict=True), strict=True))
+        for node, (parent, sibling) in rest.items():
+            held[node] = before[parent][0], before[parent][1] - held[sibling][1]
+        opened = [node for node in opened if held[node][1][2, 0].any()]
+        if not opened:
+            break
+        whole, allowed = np.zeros((3, len(opened), width, size)), np.zeros((len(opened), width), bool)
+        for i, node in enumerate(opened):
+            kept, sums = held[node]
+            whole[:, i, kept], allowed[i, kept] = sums, True
+            if not allowed[i, 0]:  # totals are read off the first feature
+                whole[:, i, 0, 0] = sums[:, 0].sum(-1)
+        opened = split_nodes(tree, opened, best_splits(whole, allowed, scale, growth), cuts, growth)
+        before = held
+    return tree
+
+
 @dataclass
 class Binned:
     """Training rows: ``x`` (a byte per feature), ``y``, ``key`` (a hash of the row), ``score``."""
@@ -462,26 +537,38 @@ def _distinct_values(train: DataFrame, columns: dict[int, Column], most: int) ->
     return {r["k"]: list(r["v"]) for r in lists.collect()}
 
 
+def _column_stats(train: DataFrame, values: dict[str, Column], y: Column, shares: list[float]) -> dict[int, dict]:
+    """Quantiles and about the number of distinct values of each column, and numbers on ``y`` under -1, from one pass.
+
+    A column's sketches meet in a task of its own: those of many parts and columns take long to merge.
+    """
+    columns = {-1: y} | dict(enumerate(values.values()))
+    cells = F.explode(F.array(*(F.struct(F.lit(k).alias("k"), v.alias("v")) for k, v in columns.items())))
+    v, feature = F.col("v"), F.col("k") >= 0
+    found = train.select(cells.alias("cell")).select("cell.k", "cell.v").groupBy("k").agg(
+        F.count(v).alias("n"), F.avg(v).alias("mean"), F.max(F.abs(v)).alias("most"),
+        F.min((v == F.rint(v)).cast("int")).alias("whole"),
+        F.percentile_approx(F.when(feature, v), shares, 10_000).alias("q"),
+        F.approx_count_distinct(F.when(feature, v)).alias("d"),
+    )
+    nothing = {"n": 0, "mean": None, "most": None, "whole": None, "q": None, "d": 0}
+    return dict.fromkeys(columns, nothing) | {r["k"]: r.asDict() for r in found.collect()}
+
+
 def bin_rows(train: DataFrame, columns: tuple[str, ...], target: str, bins: int = 128) -> Binned:
     """Bin ``columns`` (null as 0) at their distinct values, or at quantiles if there are ``bins`` or more."""
     values = {c: F.coalesce(F.col(f"`{c}`").cast("double"), F.lit(0.0)) for c in columns}
     y = F.col(f"`{target}`").cast("double")
-    shares = [k / bins for k in range(1, bins)]
-    stats = train.agg(
-        F.count(y).alias("n"), F.avg(y).alias("mean"), F.max(F.abs(y)).alias("most"),
-        F.min((y == F.rint(y)).cast("int")).alias("whole"),
-        *(F.percentile_approx(v, shares, 10_000).alias(f"q{k}") for k, v in enumerate(values.values())),
-        *(F.approx_count_distinct(v).alias(f"d{k}") for k, v in enumerate(values.values())),
-    ).first()
-    few = [k for k in range(len(values)) if stats[f"d{k}"] < bins]  # about; the exact values are looked up and counted
+    stats = _column_stats(train, values, y, [k / bins for k in range(1, bins)])
+    few = [k for k in range(len(values)) if stats[k]["d"] < bins]  # about; the exact values are looked up and counted
     held = _distinct_values(train, {k: list(values.values())[k] for k in few}, 2 * bins)
     cuts = []
     for k in range(len(values)):
         exact = k in few and len(held.get(k, [])) <= bins
-        cuts.append(held.get(k, [])[:-1] if exact else sorted(set(stats[f"q{k}"] or [])))
+        cuts.append(held.get(k, [])[:-1] if exact else sorted(set(stats[k]["q"] or [])))
     bounds = [np.array(c) for c in cuts]
-    n, mean = stats["n"], stats["mean"] or 0.0
-    size = max(2 * (stats["most"] or 0.0), 1.0)
+    n, mean = stats[-1]["n"], stats[-1]["mean"] or 0.0
+    size = max(2 * (stats[-1]["most"] or 0.0), 1.0)
     bits = min(61 - math.log2(max(n, 1) * size * 16), 51 - math.log2(EXACT_ROWS * size * 16))
     scale = 2.0 ** math.floor(bits)
 
@@ -489,18 +576,19 @@ def bin_rows(train: DataFrame, columns: tuple[str, ...], target: str, bins: int
         for b in batches:
             x = [np.searchsorted(bounds[k], b.column(f"x{k}").to_numpy()) for k in range(len(bounds))]
             packed = np.stack(x, axis=1).astype(np.uint8)
-            whole = pa.array([r.tobytes() for r in packed], pa.binary())
+            ends = np.arange(b.num_rows + 1, dtype=np.int32) * np.int32(len(bounds))
+            whole = pa.BinaryArray.from_buffers(pa.binary(), b.num_rows, [None, pa.py_buffer(ends), pa.py_buffer(packed)])
             yield pa.RecordBatch.from_arrays([whole, b.column("y"), b.column("key")], ["x", "y", "key"])
 
     named = [v.alias(f"x{k}") for k, v in enumerate(values.values())]
     rows = train.filter(y.isNotNull()).select(*named, y.alias("y"), F.xxhash64(y, *values.values()).alias("key"))
     made = rows.mapInArrow(scan, "x binary, y double, key long").withColumn("score", F.lit(float(mean)))
-    signs = stats["whole"] == 1 and stats["most"] <= 1
+    signs = stats[-1]["whole"] == 1 and stats[-1]["most"] <= 1
     return Binned(cut_lineage(made), n, len(columns), cuts, float(mean), scale, signs)
 
 
 def grow_trees(
-    data: Binned, number: int, growth: Growth, boosted: bool, task_rows: int = 1_000_000, keep_every: int = 10
+    data: Binned, number: int, growth: Growth, boosted: bool, task_rows: int = 1_000_000, keep_every: int = 40
 ) -> list[dict]:
     """``number`` trees: each on the residuals of those before it, or all on the target itself."""
     start = data.mean if boosted else 0.0
@@ -522,7 +610,7 @@ def grow_trees(
         rows = data.rows.withColumn("one", F.lit(0)).groupBy("one").applyInArrow(whole, "trees string").collect()
         return json.loads(rows[0]["trees"]) if rows else [new_tree() for _ in range(number)]
 
-    blocks = _blocks(data, start).persist(StorageLevel.MEMORY_AND_DISK)
+    first = blocks = _blocks(data, start).persist(StorageLevel.MEMORY_AND_DISK)
     args = (growth, width, size, scale, cuts)
     try:
         if not boosted:
@@ -534,27 +622,36 @@ def grow_trees(
             return list(trees.values())
         done: list[dict] = []
         for t in range(number):
-            tree, opened, before = new_tree(), {t: [0]}, None
+            past = []
             if done:
-                before, blocks = blocks, _scored(blocks, done[-1]).persist(StorageLevel.MEMORY_AND_DISK)
-                if t % keep_every == 0:
-                    blocks.checkpoint()
-            for _ in range(growth.depth):
-                if opened[t]:
-                    opened = _level(blocks, {t: tree}, opened, *args)
-                if before is not None:  # the first level has computed the scores that follow it
-                    before.unpersist()
-                    before = None
-            done.append(tree)
+                # From time to time scores are put together anew from the first blocks, so that no long lineage builds up.
+                past, anew = [blocks] if blocks is not first else [], t % keep_every == 0
+                blocks = _scored(first if anew else blocks, done if anew else done[-1:])
+                blocks.persist(StorageLevel.MEMORY_AND_DISK)
+
+            def sums_of(tree: dict, nodes: list[int], columns: np.ndarray) -> np.ndarray:
+                found = _sums_of(blocks, t, tree, nodes, columns, growth, size, scale)
+                while past:  # the first level has computed the scores that follow it
+                    past.pop().unpersist()
+                return found
+
+            done.append(_boosted_tree(sums_of, t, *args))
         return done
     finally:
         blocks.unpersist()
+        first.unpersist()
+
+
+def _scored(blocks: RDD[Block], trees: list[dict]) -> RDD[Block]:
+    """The blocks with the trees' values added to the scores, one after another."""
 
+    def added(block: Block) -> Block:
+        bins, keys, y, score = block
+        for tree in trees:
+            score = score + np.array(tree["value"])[nodes_of(tree, bins)]
+        return bins, keys, y, score
 
-def _scored(blocks: RDD[Block], tree: dict) -> RDD[Block]:
-    """The blocks with the tree's values added to the scores."""
-    value = np.array(tree["value"])
-    return blocks.map(lambda b: (*b[:3], b[3] + value[nodes_of(tree, b[0])]))
+    return blocks.map(added)
 
 
 # --- the model -----------------------------------------------------------------------------

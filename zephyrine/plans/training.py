@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from concurrent.futures import ThreadPoolExecutor
+
+from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -60,27 +63,35 @@ def train_best_classifier(matrix: DataFrame, store: ModelStore) -> tuple[str | N
 def train_best_forecasters(
     matrix: DataFrame, store: ModelStore, rounds: int = 200
 ) -> dict[str, tuple[str | None, bool]]:
-    """Ridge and boosted trees per target; each target has its own champion."""
+    """Ridge and boosted trees per target; each target has its own champion.
+
+    The targets are fitted side by side, so that the cluster works for one while the other waits for a level's sums.
+    """
     results: dict[str, tuple[str | None, bool]] = {}
     if not train_gate(matrix, 101):
         return {t: (None, False) for t in FORECAST_TARGETS}
-    for target in FORECAST_TARGETS:
+
+    def fitted(target: str) -> list[tuple]:
         data = features.build_forecast_dataset(matrix, target)
         split = cut_lineage(features.split_train_test(data, split_key()))
         train, test = split.filter(~F.col("is_test")), split.filter("is_test")
-        runs = []
+        made = []
         for name, fit, params in (
             ("Ridge", models.train_ridge, {"alpha": 1.0}),
             ("BoostedTrees", models.train_boosted_trees, {"rounds": rounds, "seed": 42}),
         ):
             model = fit(train, **params)
             found = models.evaluate_forecaster(model, test).first().asDict()
-            runs.append(
-                store.append_model_run(forecaster_name(target), name, params, found, model, target)
-            )
-        results[target] = store.stage_if_better(
-            forecaster_name(target), runs, "rmse", higher_is_better=False
-        )
+            made.append((name, params, found, model, target))
+        return made
+
+    beside = inheritable_thread_target(matrix.sparkSession)
+    with ThreadPoolExecutor(len(FORECAST_TARGETS)) as pool:
+        work = [pool.submit(beside(fitted), target) for target in FORECAST_TARGETS]
+        for target, made in zip(FORECAST_TARGETS, work, strict=True):
+            name = forecaster_name(target)
+            runs = [store.append_model_run(name, *run) for run in made.result()]
+            results[target] = store.stage_if_better(name, runs, "rmse", higher_is_better=False)
     return results
 
 
