@@ -141,6 +141,26 @@ def test_density_clusters_match_brute_force(spark, dims, eps, least, part_cells)
     assert len({c for c, _ in expected.values()}) > (least < 60)
 
 
+def test_density_clusters_store_no_pairs_of_connected_cells(spark, monkeypatch):
+    x = np.vstack([RNG.uniform(0, 1.5, (500, 3)), RNG.uniform(2.2, 3.2, (150, 3)), RNG.uniform(-2, 5, (30, 3))])
+    names, df, ids, stored, kept = ("f0", "f1", "f2"), table(spark, x), [f"p{i:04d}" for i in range(len(x))], [], clustering.cut_lineage
+    monkeypatch.setattr(clustering, "cut_lineage", lambda d: stored.append(kept(d)) or stored[-1])
+    found = clustering.dbscan(df, names, key="id", eps=0.5)
+    assert {r["id"]: (r["cluster"], r["is_core"]) for r in found.collect()} == brute_dbscan(x, ids, 0.5, 3)
+    assert max(d.count() for d in stored) <= 2 * len(x)
+
+
+def test_merged_roots_are_the_smallest_of_their_components():
+    a, b = RNG.integers(0, 300, (2, 260))
+    expected = np.arange(300)
+    for _ in range(300):
+        low = np.minimum(expected[a], expected[b])
+        np.minimum.at(expected, a, low)
+        np.minimum.at(expected, b, low)
+    first = spaces._merged(np.arange(300), a[:100], b[:100])
+    assert (spaces._merged(first, a[100:], b[100:]) == expected).all() and len(set(expected)) > 20
+
+
 @pytest.mark.parametrize("tile_rows", [7, 40])
 def test_density_clusters_of_small_tiles_match_brute_force(spark, tile_rows):
     x = np.vstack([RNG.normal(0, 0.35, (60, 3)), RNG.uniform(-2, 3, (60, 3)), np.zeros((9, 3))])

@@ -219,11 +219,16 @@ def dbscan(
 
     Cells meet in the parts of a split tree of about ``part_cells`` cells each.  A part also gets the cells
     within ``eps`` of its box.  A part's own rows face all rows of the part in tiles of about ``tile_rows`` on each side,
-    and a task holds one tile, however many rows lie within ``eps`` of a part.  In a tile the points of sparse cells,
-    which are few per cell, are compared at once: neighbours are counted, then core points are linked and border points
-    attached, and only the counts, one link per cell and the attachments leave the tile.  Labels of tiles meet in the
-    cells they share.  Pairs with a dense cell leave the tile as pairs: those whose points all lie within ``eps`` are settled from their bounds, for
-    the others points in reach are joined, and, for linking, only where the cells are not connected already.
+    and a task holds one tile, however many rows lie within ``eps`` of a part.  No pair of cells or points is written but those
+    of the last step below; what leaves a tile grows with its rows.
+
+    - Cells whose points all lie within ``eps`` of those of a dense cell consist of core points: they are anchored, and a
+      tile links them by their bounds, one link per cell.
+    - Points of the other sparse cells, which are few, count their neighbours in sparse cells and, by component, in dense
+      ones.
+    - Core points of sparse cells are linked and border points attached, one link per cell of a tile.
+    - Anchored cells in reach that are not connected yet, one of them dense, leave the tile as pairs; their points are
+      joined.
     """
     names = [f"x{i}" for i in range(len(columns))]
     side = eps / math.sqrt(len(columns)) * (1 - 1e-9)
@@ -243,17 +248,25 @@ def dbscan(
     )
     tree = spaces.fit_tree(cells, names, side, part_cells)
     placed = cut_lineage(spaces.place_cells(cells, names, tree, eps))
-    sparse = points.join(cells.filter(F.col("n") < min_samples).select("cell"), "cell")
-    pairs = cut_lineage(spaces.dense_pairs(placed, names, eps, min_samples, tile_rows))
-    few = placed.filter(F.col("n") < min_samples)
-    seen = spaces.sparse_neighbours(few, sparse, names, eps, tile_rows)
+    few = F.col("n") < min_samples
+    sparse = points.join(cells.filter(few).select("cell"), "cell")
+    anchored = _anchored_cells(cells.filter(~few), spaces.whole_links(placed, names, eps, min_samples, tile_rows))
+    known = cut_lineage(placed.join(anchored, "cell", "left"))
+    asks = F.col("own") & F.col("component").isNull()
+    seen = spaces.sparse_neighbours(known.filter(few).withColumn("own", asks), sparse, names, eps, tile_rows)
+    near = cut_lineage(
+        spaces.dense_near(known.filter(~few | asks).withColumn("own", asks), names, eps, min_samples, tile_rows)
+    )
+    dense = points.join(cells.filter(~few).select("cell"), "cell")
+    facing = cut_lineage(spaces.dense_neighbours(known.filter(asks), sparse, near, dense, names, eps, tile_rows))
 
-    core = cut_lineage(_core_points(points, cells, pairs, seen, names, eps, min_samples))
+    core = cut_lineage(_core_points(points, cells, anchored, facing, seen, min_samples))
     flagged = sparse.join(core.select("id", F.lit(True).alias("core")), "id", "left")
-    links, attached = spaces.sparse_links(few, flagged, names, eps, tile_rows)
-    linked = _cell_clusters(core, pairs, links, names, eps)
+    links, attached = spaces.sparse_links(known.filter(few), flagged, names, eps, tile_rows)
+    pairs = spaces.apart_pairs(known.filter("component is not null"), names, eps, min_samples, tile_rows)
+    linked = _cell_clusters(core, anchored, pairs, links, facing, names, eps)
+    border = _border_points(points, core, linked, facing, attached)
     core_labels = core.join(linked, "cell")
-    border = _border_points(points, core, linked, pairs, attached, names, eps)
     named = core_labels.groupBy("component").agg(F.min("id").alias("cluster"))
     settled = (
         core_labels.select("id", "component", F.lit(True).alias("is_core"))
@@ -296,102 +309,66 @@ def _near_points(
     return facing.join(target, "other").filter(distance <= limit)
 
 
+def _anchored_cells(dense: DataFrame, links: DataFrame) -> DataFrame:
+    """(cell, component) of the dense cells and of those that are linked to one by their bounds."""
+    found = connected_components(cut_lineage(links)).withColumnRenamed("node", "cell")
+    every = dense.select("cell").union(found.select("cell")).distinct()
+    return cut_lineage(
+        every.join(found, "cell", "left").withColumn("component", F.coalesce("component", "cell"))
+    )
+
+
 def _core_points(
     points: DataFrame,
     cells: DataFrame,
-    pairs: DataFrame,
+    anchored: DataFrame,
+    facing: DataFrame,
     sparse_seen: DataFrame,
-    names: list[str],
-    eps: float,
     min_samples: int,
 ) -> DataFrame:
-    counted = points.join(cells.select("cell", "n"), "cell")
-    dense = counted.filter(F.col("n") >= min_samples).drop("n")
-    sparse = counted.filter(F.col("n") < min_samples)
-
-    whole = (
-        pairs.filter("whole").groupBy("cell").agg(F.sum("other_n").alias("whole_n"))
-    )
-    open_pairs = pairs.filter(~F.col("whole") & (F.col("n") < min_samples)).drop("n")
-    seen = (
-        _near_points(sparse.drop("n"), open_pairs, points, names, eps)
-        .groupBy("id")
-        .agg(F.count("*").alias("seen_n"))
-    )
-    zero = F.lit(0)
-    others = [F.coalesce(c, zero) for c in ("whole_n", "seen_n", "sparse_n")]
-    around = F.col("n") + others[0] + others[1] + others[2]
+    sure = points.join(anchored.select("cell"), "cell", "left_semi")
+    rest = points.join(cells.select("cell", "n"), "cell").join(anchored.select("cell"), "cell", "left_anti")
+    seen = facing.groupBy("id").agg(F.sum("n").alias("seen_n"))
+    others = [F.coalesce(c, F.lit(0)) for c in ("seen_n", "sparse_n")]
     promoted = (
-        sparse.join(whole, "cell", "left")
-        .join(seen, "id", "left")
+        rest.join(seen, "id", "left")
         .join(sparse_seen, "id", "left")
-        .filter(around >= min_samples)
-        .select(*points.columns)
+        .filter(F.col("n") + others[0] + others[1] >= min_samples)
     )
-    return dense.select(*points.columns).unionByName(promoted)
+    return sure.select(*points.columns).unionByName(promoted.select(*points.columns))
 
 
 def _cell_clusters(
-    core: DataFrame, pairs: DataFrame, links: DataFrame, names: list[str], eps: float
+    core: DataFrame,
+    anchored: DataFrame,
+    pairs: DataFrame,
+    links: DataFrame,
+    facing: DataFrame,
+    names: list[str],
+    eps: float,
 ) -> DataFrame:
     """(cell, component) for the cells that hold core points."""
     cells = core.select("cell").distinct()
-    among = (
-        pairs.filter(F.col("cell") < F.col("other"))
-        .join(cells, "cell", "left_semi")
-        .join(cells.withColumnRenamed("cell", "other"), "other", "left_semi")
-    )
-
-    def components(edges: DataFrame) -> DataFrame:
-        found = connected_components(edges)
-        return cells.join(found.withColumnRenamed("node", "cell"), "cell", "left").withColumn(
-            "component", F.coalesce("component", "cell")
-        )
-
-    sure = among.filter("whole").select(F.col("cell").alias("u"), F.col("other").alias("v"))
-    sure = cut_lineage(sure.union(links.select("u", "v")))
-    first = cut_lineage(components(sure))
-    other = first.select(F.col("cell").alias("other"), F.col("component").alias("other_component"))
-    undecided = (
-        among.filter(~F.col("whole"))
-        .join(first, "cell")
-        .join(other, "other")
-        .filter(F.col("component") != F.col("other_component"))
-        .drop("component", "other_component", "n", "other_n")
-    )
-    touching = (
-        _near_points(core, undecided, core, names, eps)
-        .select(F.col("cell").alias("u"), F.col("other").alias("v"))
-        .distinct()
-    )
-    return cut_lineage(components(sure.union(touching)))
+    undecided = cut_lineage(pairs.filter(F.col("cell") < F.col("other")))
+    touching = _near_points(core, undecided, core, names, eps).select(F.col("cell").alias("u"), F.col("other").alias("v"))
+    seen = core.select("id", F.col("cell").alias("u")).join(facing, "id").select("u", F.col("component").alias("v"))
+    edges = links.select("u", "v").union(touching).union(seen).distinct()
+    # Anchored cells stand for their component, so that only what joins components is left.
+    for end in ("u", "v"):
+        label = anchored.select(F.col("cell").alias(end), "component")
+        edges = edges.join(label, end, "left").withColumn(end, F.coalesce("component", end)).drop("component")
+    found = connected_components(cut_lineage(edges.select("u", "v").distinct()))
+    first = cells.join(anchored, "cell", "left").withColumn("node", F.coalesce("component", "cell"))
+    linked = first.select("cell", "node").join(found, "node", "left")
+    return cut_lineage(linked.select("cell", F.coalesce("component", "node").alias("component")))
 
 
 def _border_points(
-    points: DataFrame,
-    core: DataFrame,
-    linked: DataFrame,
-    pairs: DataFrame,
-    attached: DataFrame,
-    names: list[str],
-    eps: float,
+    points: DataFrame, core: DataFrame, linked: DataFrame, facing: DataFrame, attached: DataFrame
 ) -> DataFrame:
     """(id, component) for every cluster a non-core point can join."""
     rest = points.join(core.select("id"), "id", "left_anti")
     same = rest.join(linked, "cell").select("id", "component")
-    other = linked.select(F.col("cell").alias("other"), "component")
-    whole = (
-        rest.join(pairs.filter("whole").select("cell", "other"), "cell")
-        .join(other, "other")
-        .select("id", "component")
-    )
-    open_pairs = pairs.filter(~F.col("whole")).drop("n", "other_n")
-    near = (
-        _near_points(rest, open_pairs, core, names, eps)
-        .select("id", "other")
-        .distinct()
-        .join(other, "other")
-        .select("id", "component")
-    )
+    near = rest.select("id").join(facing.select("id", F.col("component").alias("cell")), "id").join(linked, "cell")
     sparse = attached.join(linked, "cell").select("id", "component")
-    return same.unionByName(whole).unionByName(near).unionByName(sparse).distinct()
+    return same.unionByName(near.select("id", "component")).unionByName(sparse).distinct()

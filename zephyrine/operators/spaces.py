@@ -115,12 +115,16 @@ def _tiles(rows: DataFrame, placed: DataFrame, key: str, tile_rows: int, weight:
     size = F.col(weight) if weight else F.lit(1)
     high, wide = (F.ceil(F.sum(c) / tile_rows).cast("int") for c in (F.when(F.col("own"), size).otherwise(0), size))
     sizes = placed.groupBy("part").agg(high.alias("high"), wide.alias("wide")).filter("high > 0")
-    dealt = rows.join(sizes, "part")
+    return _dealt(rows.filter("own"), rows, sizes, key).drop("own").groupBy("part", "row", "column")
+
+
+def _dealt(own: DataFrame, all_: DataFrame, sizes: DataFrame, key: str) -> DataFrame:
+    """The rows of both sides (``facing`` says which) in the tiles of their part, ``high`` times ``wide`` of them."""
     down, across = (F.pmod(F.xxhash64(key), F.col(c).cast("long")).cast("int") for c in ("high", "wide"))
     every_row, every_column = (F.explode(F.sequence(F.lit(0), F.col(c) - 1)) for c in ("high", "wide"))
-    own = dealt.filter("own").withColumns({"row": down, "column": every_column, "facing": F.lit(False)})
-    all_ = dealt.withColumns({"row": every_row, "column": across, "facing": F.lit(True)})
-    return own.unionByName(all_).drop("own", "high", "wide").groupBy("part", "row", "column")
+    own = own.join(sizes, "part").withColumns({"row": down, "column": every_column, "facing": F.lit(False)})
+    all_ = all_.join(sizes, "part").withColumns({"row": every_row, "column": across, "facing": F.lit(True)})
+    return own.unionByName(all_).drop("high", "wide")
 
 
 def _sides(table: pa.Table) -> tuple[pa.Array, np.ndarray, np.ndarray, np.ndarray]:
@@ -130,46 +134,149 @@ def _sides(table: pa.Table) -> tuple[pa.Array, np.ndarray, np.ndarray, np.ndarra
     return cells.dictionary, cells.indices.to_numpy(), np.flatnonzero(~facing), np.flatnonzero(facing)
 
 
-def dense_pairs(
+def _boxes(table: pa.Table, names: list[str], rows: np.ndarray, others: np.ndarray):
+    """(rows, squared least and squared largest distances of their boxes to those of ``others``), a block at a time."""
+    lo, hi = (matrix(table, [f"{end}_{x}" for x in names]) for end in ("lo", "hi"))
+    step = max(1, BLOCK // max(len(others), 1))
+    for k in range(0, len(rows) if len(others) else 0, step):
+        a = rows[k : k + step]
+        gap, reach = np.zeros((len(a), len(others))), np.zeros((len(a), len(others)))
+        for x in range(len(names)):
+            below = lo[a, x, None] - hi[None, others, x]
+            above = lo[None, others, x] - hi[a, x, None]
+            gap += np.maximum(np.maximum(below, above), 0.0) ** 2
+            reach += np.maximum(-below, -above) ** 2
+        yield a, gap, reach
+
+
+def _with_dense(n: np.ndarray, own: np.ndarray, every: np.ndarray, least: int):
+    """Rows and those they face, so that one of two is dense: a dense cell meets all others, a sparse one the dense cells."""
+    return (own[n[own] >= least], every), (own[n[own] < least], every[n[every] >= least])
+
+
+def _merged(roots: np.ndarray, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """The root of every node, the smallest of its component, once the nodes ``a`` and ``b`` are joined pairwise."""
+    while True:
+        x, y = roots[a], roots[b]
+        apart = x != y
+        if not apart.any():
+            return roots
+        a, b, x, y = a[apart], b[apart], x[apart], y[apart]
+        np.minimum.at(roots, np.maximum(x, y), np.minimum(x, y))
+        while True:
+            onward = roots[roots]
+            if (onward == roots).all():
+                break
+            roots = onward
+
+
+def whole_links(
     placed: DataFrame, names: list[str], eps: float, min_samples: int, tile_rows: int = 1 << 15
 ) -> DataFrame:
-    """Ordered pairs (cell, other) within ``eps`` of each other of which at least one cell is dense."""
+    """Links (u, v) between cells whose points all lie within ``eps`` of each other, one of them dense.
+
+    The points of both cells are core points then.  A tile gives one link per cell, to the first cell of its component there.
+    """
+
+    def link(table: pa.Table) -> pa.Table:
+        named, cell, own, every = _sides(table)
+        roots = np.arange(len(named))
+        for rows, others in _with_dense(table.column("n").to_numpy(), own, every, min_samples):
+            for a, _, reach in _boxes(table, names, rows, others):
+                i, j = np.nonzero(reach <= eps * eps)
+                roots = _merged(roots, cell[a[i]], cell[others[j]])
+        moved = np.flatnonzero(roots != np.arange(len(roots)))
+        return pa.table({"u": named.take(pa.array(moved)), "v": named.take(pa.array(roots[moved]))})
+
+    return _tiles(placed, placed, "cell", tile_rows).applyInArrow(link, "u string, v string")
+
+
+def apart_pairs(
+    known: DataFrame, names: list[str], eps: float, min_samples: int, tile_rows: int = 1 << 15
+) -> DataFrame:
+    """Ordered pairs (cell, other) of cells in different components with boxes within ``eps``, one of them dense.
+
+    ``known`` are placed cells with their ``component``.
+    """
     bounds = [f"{end}_{x}" for x in names for end in ("lo", "hi")]
 
     def meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         table = pa.Table.from_batches(list(batches))
-        lo, hi = (matrix(table, [f"{end}_{x}" for x in names]) for end in ("lo", "hi"))
-        _, cell, own, every = _sides(table)
-        n = table.column("n").to_numpy()
-        # A dense cell meets all others, a sparse one the dense cells.
-        for rows, others in (
-            (own[n[own] >= min_samples], every),
-            (own[n[own] < min_samples], every[n[every] >= min_samples]),
-        ):
-            step = max(1, BLOCK // max(len(others), 1))
-            for k in range(0, len(rows), step):
-                a = rows[k : k + step]
-                gap, reach = np.zeros((len(a), len(others))), np.zeros((len(a), len(others)))
-                for x in range(len(names)):
-                    below = lo[a, x, None] - hi[None, others, x]
-                    above = lo[None, others, x] - hi[a, x, None]
-                    gap += np.maximum(np.maximum(below, above), 0.0) ** 2
-                    reach += np.maximum(-below, -above) ** 2
-                i, j = np.nonzero((gap <= eps * eps) & (cell[a, None] != cell[None, others]))
-                whole = reach[i, j] <= eps * eps
+        _, _, own, every = _sides(table)
+        component = table.column("component").combine_chunks().dictionary_encode().indices.to_numpy()
+        for rows, others in _with_dense(table.column("n").to_numpy(), own, every, min_samples):
+            for a, gap, _ in _boxes(table, names, rows, others):
+                i, j = np.nonzero((gap <= eps * eps) & (component[a, None] != component[None, others]))
                 for first in range(0, len(i), PAIRS):
                     part = slice(first, first + PAIRS)
-                    yield from told(table, a[i[part]], others[j[part]], whole[part]).to_batches()
+                    yield from told(table, a[i[part]], others[j[part]]).to_batches()
 
-    def told(table: pa.Table, a: np.ndarray, b: np.ndarray, whole: np.ndarray) -> pa.Table:
-        left, right = table.select(["cell", "n"]).take(pa.array(a)), table.take(pa.array(b))
-        made = {"cell": left.column("cell"), "other": right.column("cell"), "n": left.column("n")}
-        made |= {"other_n": right.column("n"), "whole": pa.array(whole)}
+    def told(table: pa.Table, a: np.ndarray, b: np.ndarray) -> pa.Table:
+        left, right = table.select(["cell"]).take(pa.array(a)), table.take(pa.array(b))
+        made = {"cell": left.column("cell"), "other": right.column("cell")}
         return pa.table(made | {f"o_{c}": right.column(c) for c in bounds}).combine_chunks()
 
-    schema = "cell string, other string, n long, other_n long, whole boolean, "
-    tiles = _tiles(placed, placed, "cell", tile_rows)
-    return tiles.applyInArrow(meet, schema + ", ".join(f"o_{c} double" for c in bounds))
+    tiles = _tiles(known, known, "cell", tile_rows)
+    return tiles.applyInArrow(meet, "cell string, other string, " + ", ".join(f"o_{c} double" for c in bounds))
+
+
+def dense_near(
+    known: DataFrame, names: list[str], eps: float, min_samples: int, tile_rows: int = 1 << 15
+) -> DataFrame:
+    """(part, cell, n, component) of the dense cells whose boxes lie within ``eps`` of an own cell of the part.
+
+    ``known`` are placed cells: the dense ones, and the sparse ones that ask, alone ``own``.
+    """
+
+    def find(table: pa.Table) -> pa.Table:
+        _, _, own, every = _sides(table)
+        n = table.column("n").to_numpy()
+        others = every[n[every] >= min_samples]
+        near = np.zeros(len(others), bool)
+        for _, gap, _ in _boxes(table, names, own, others):
+            near |= (gap <= eps * eps).any(axis=0)
+        return table.select(["part", "cell", "n", "component"]).take(pa.array(others[near]))
+
+    found = _tiles(known, known, "cell", tile_rows).applyInArrow(find, "part long, cell string, n long, component string")
+    return found.distinct()
+
+
+def dense_neighbours(
+    asking: DataFrame, sparse: DataFrame, near: DataFrame, dense: DataFrame, names: list[str], eps: float, tile_rows: int = 1 << 15
+) -> DataFrame:
+    """(id, component, n): how many points of a component's dense cells lie within ``eps`` of a point of a sparse cell.
+
+    ``asking`` are the placed sparse cells, each in its own part, ``near`` the dense cells that they face there, ``sparse``
+    and ``dense`` the points of either.
+    """
+
+    def count(table: pa.Table) -> pa.Table:
+        facing = table.column("facing").to_numpy()
+        own, every = np.flatnonzero(~facing), np.flatnonzero(facing)
+        x = matrix(table, names)
+        component = table.column("component").combine_chunks().take(pa.array(every)).dictionary_encode()
+        member = component.indices.to_numpy()
+        order = np.argsort(member, kind="stable")
+        begins = np.searchsorted(member[order], np.arange(len(component.dictionary)))
+        rows, seen, n = [], [], []
+        for k, hit in _near(x[own], x[every[order]], eps) if len(every) else ():
+            counts = np.add.reduceat(hit, begins, axis=1, dtype=np.int64)
+            i, j = np.nonzero(counts)
+            rows.append(own[k + i])
+            seen.append(j)
+            n.append(counts[i, j])
+        rows, seen, n = (np.concatenate(v) if v else np.array([], np.int64) for v in (rows, seen, n))
+        ids = table.column("id").combine_chunks().take(pa.array(rows))
+        return pa.table({"id": ids, "component": component.dictionary.take(pa.array(seen)), "n": pa.array(n)})
+
+    high, wide = (F.ceil(F.sum("n") / tile_rows).cast("int").alias(c) for c in ("high", "wide"))
+    sizes = asking.groupBy("part").agg(high).join(near.groupBy("part").agg(wide), "part")
+    held = ("row_no", "id", *names)
+    rows = asking.select("cell", "part").join(sparse.select("cell", *held), "cell").drop("cell")
+    others = near.select("cell", "part", "component").join(dense.select("cell", *held), "cell").drop("cell")
+    rows, others = rows.withColumn("component", F.lit(None).cast("string")), others.withColumn("id", F.lit(None).cast("string"))
+    tiles = _dealt(rows, others, sizes, "row_no").groupBy("part", "row", "column")
+    return tiles.applyInArrow(count, "id string, component string, n long")
 
 
 def _members(placed: DataFrame, sparse: DataFrame, tile_rows: int) -> GroupedData:
@@ -183,7 +290,7 @@ def sparse_neighbours(
 ) -> DataFrame:
     """(id, sparse_n): how many points of other sparse cells lie within ``eps`` of a point of a sparse cell.
 
-    ``placed`` are the sparse cells, ``sparse`` their points.
+    ``placed`` are the sparse cells, those whose points ask alone ``own``; ``sparse`` are their points.
     """
 
     def count(table: pa.Table) -> pa.Table:
@@ -199,13 +306,6 @@ def sparse_neighbours(
     return counts.groupBy("row_no", "id").agg(F.sum("sparse_n").alias("sparse_n")).drop("row_no")
 
 
-def _find(parent: np.ndarray, node: int) -> int:
-    while parent[node] != node:
-        parent[node] = parent[parent[node]]
-        node = parent[node]
-    return node
-
-
 def _distinct(a: np.ndarray, b: np.ndarray, size: int) -> tuple[np.ndarray, np.ndarray]:
     """The different pairs of ``a`` and ``b``; ``b`` is below ``size``."""
     return np.divmod(np.unique(a.astype(np.int64) * size + b), max(size, 1))
@@ -224,14 +324,11 @@ def sparse_links(
         x, (named, cell, own, every) = matrix(table, names), _sides(table)
         core = np.array(table.column("core").fill_null(False).to_pylist(), bool)
         cores = every[core[every]]
-        parent = np.arange(len(named))
+        roots = np.arange(len(named))
         rows = own[core[own]]
         for k, near in _near(x[rows], x[cores], eps):
             i, j = np.nonzero(near)
-            for a, b in zip(*_distinct(cell[rows[k + i]], cell[cores[j]], len(named)), strict=True):
-                a, b = _find(parent, a), _find(parent, b)
-                parent[max(a, b)] = min(a, b)
-        roots = np.array([_find(parent, c) for c in range(len(parent))], np.int64)
+            roots = _merged(roots, cell[rows[k + i]], cell[cores[j]])
         moved = np.flatnonzero(roots != np.arange(len(roots)))
         rest, ids, seen = own[~core[own]], [], []
         for k, near in _near(x[rest], x[cores], eps):
